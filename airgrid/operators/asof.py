@@ -1,25 +1,69 @@
-"""Aggregates of one history, as seen from every cutoff, in a single pass."""
+"""One history as seen from every cutoff, in a single pass over its rows."""
 
-from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airgrid.functions.calendar import Fold
+from airgrid.functions.calendar import Fold, FoldCalendar
 
 
-def aggregate_as_of(
-    rows: DataFrame, keys: list[str], folds: list[Fold], measures: dict[str, Callable[[Fold], Column]]
+def _case(day, uppers: list[int]):
+    """Index of the first bound not before the day."""
+    return reduce(lambda c, e: c.when(day <= e[1], e[0]), enumerate(uppers), F)
+
+
+def means_as_of(
+    rows: DataFrame, keys: list[str], folds: list[Fold], ranges: dict[str, str | None], value: str = "factratebase"
 ) -> DataFrame:
-    """One row per key and fold, for each fold whose cutoff is not before the key's first day.
+    """Mean of `value` per key and fold over several day ranges that all end at the fold's cutoff.
+
+    `ranges` maps an output column to the fold attribute its range starts at (None: all history).
+    A row appears for each fold that sees any row of the key.
 
-    Every fold's measure is a conditional aggregate of the same `groupBy`, so history rows are never
-    multiplied by the number of folds: they are combined map-side and shuffled once, as one partial
-    row per key. Only the finished groups are unfolded into a row per cutoff.
+    The borders of all ranges cut the calendar into a few dozen spans, and every range is a run of
+    whole spans. So history rows are never repeated per fold: they are summed per key and span,
+    map-side first, and only these sums go to the folds that see them.
     """
-    wide = rows.groupBy(*keys).agg(
-        F.min("blockdate").alias("first_day"),
-        *[measure(f).alias(f"{name}_{f.number}") for f in folds for name, measure in measures.items()],
+    starts = {name: [getattr(f, start) - 1 if start else None for f in folds] for name, start in ranges.items()}
+    uppers = sorted({f.cutoff for f in folds} | {s for days in starts.values() for s in days if s is not None})
+    span = {upper: index for index, upper in enumerate(uppers)}
+
+    def sees(fold: Fold, name: str, index: int) -> bool:
+        start = starts[name][fold.number]
+        return (start is None or span[start] < index) and index <= span[fold.cutoff]
+
+    views = F.array(*[
+        F.array(*[
+            F.struct(F.lit(f.number).alias("fold"), *[F.lit(sees(f, name, index)).alias(f"in_{name}") for name in ranges])
+            for f in folds if index <= span[f.cutoff]
+        ])
+        for index in range(len(uppers))
+    ])
+    sums = rows.groupBy(*keys, _case(F.col("blockdate"), uppers).alias("span")).agg(
+        F.sum(value).alias("total"), F.count(value).alias("n")
+    )
+    seen = sums.select(*keys, "total", "n", F.inline(views[F.col("span")]))
+
+    def mean(name: str):
+        total, n = [F.sum(F.when(F.col(f"in_{name}"), F.col(c))) for c in ("total", "n")]
+        return F.try_divide(total, n).alias(name)
+
+    return seen.groupBy("fold", *keys).agg(*[mean(name) for name in ranges])
+
+
+def rows_as_of(blocks: DataFrame, keys: list[str], calendar: FoldCalendar) -> DataFrame:
+    """How many rows each fold may learn from and has to predict, and the days on either side of its cutoff."""
+    day = F.col("blockdate")
+    measures = {
+        "n_history": lambda f: F.count_if(day <= f.cutoff),
+        "last_history": lambda f: F.max(F.when(day <= f.cutoff, day)),
+        "n_target": lambda f: F.count_if((day > f.cutoff) & (day <= f.target_to)),
+        "first_target": lambda f: F.min(F.when((day > f.cutoff) & (day <= f.target_to), day)),
+    }
+    wide = blocks.groupBy(*keys).agg(
+        F.min(day).alias("first_day"),
+        *[measure(f).alias(f"{name}_{f.number}") for f in calendar.folds for name, measure in measures.items()],
     )
     per_fold = F.array(*[
         F.struct(
@@ -27,7 +71,7 @@ def aggregate_as_of(
             F.lit(f.cutoff).alias("cutoff"),
             *[F.col(f"{name}_{f.number}").alias(name) for name in measures],
         )
-        for f in folds
+        for f in calendar.folds
     ])
     return (
         wide.select(*keys, "first_day", F.inline(per_fold))

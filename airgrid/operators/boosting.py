@@ -1,13 +1,12 @@
 """Gradient-boosted trees per segment with a small parameter search, on Spark ML."""
 
+import math
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ class BoostingSettings:
     depths: list[int] = field(default_factory=lambda: config.BOOSTING_DEPTHS)
     cv_folds: int = 3
     seed: int = 42
-    segments_at_once: int = 8
+    fits_at_once: int = 8
 
 
 @dataclass(frozen=True)
@@ -64,50 +63,85 @@ def assemble(rows: DataFrame, missing: float | None = None) -> DataFrame:
     return VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).drop(*inputs)
 
 
-def fit_one(train: DataFrame, settings: BoostingSettings) -> tuple[object, list[tuple[int, int, float]]]:
-    """Search the grid by cross-validated r2, then refit the best setting on all rows of the segment."""
-    trees = GBTRegressor(labelCol=config.LABEL, featuresCol="features", seed=settings.seed)
-    rows = assemble(train).select("features", config.LABEL, "cv_fold")
-    grid = (
-        ParamGridBuilder()
-        .addGrid(trees.maxIter, settings.iterations)
-        .addGrid(trees.maxDepth, settings.depths)
-        .build()
+def _trees(settings: BoostingSettings, iterations: int, depth: int) -> GBTRegressor:
+    return GBTRegressor(
+        labelCol=config.LABEL, featuresCol="features", maxIter=iterations, maxDepth=depth, seed=settings.seed
     )
-    if len(grid) == 1:
-        return trees.copy(grid[0]).fit(rows), [(settings.iterations[0], settings.depths[0], None)]
-    search = CrossValidator(
-        estimator=trees,
-        estimatorParamMaps=grid,
-        evaluator=RegressionEvaluator(labelCol=config.LABEL, metricName="r2"),
-        numFolds=settings.cv_folds,
-        foldCol="cv_fold",
-        parallelism=2,
-    ).fit(rows)
-    scores = [(p[trees.maxIter], p[trees.maxDepth], float(s)) for p, s in zip(grid, search.avgMetrics)]
-    return search.bestModel, scores
+
+
+def _in_parallel(rows: DataFrame, settings: BoostingSettings, work, jobs: list) -> list:
+    """Run Spark jobs a few at a time; a job's exception becomes its result."""
+
+    def attempt(job):
+        try:
+            return work(*job)
+        except Exception as error:
+            return error
+
+    with ThreadPool(max(1, min(settings.fits_at_once, len(jobs)))) as pool:
+        return pool.map(inheritable_thread_target(rows.sparkSession)(attempt), jobs, chunksize=1)
+
+
+def fold_scores(train: DataFrame, settings: BoostingSettings, segment: tuple[str, str], depth: int, fold: int) -> list[float]:
+    """Validation r2 on one fold for every number of iterations.
+
+    Boosting only ever adds trees, so one fit of the longest run scores all the shorter ones.
+    """
+    rows = assemble(_segment(train, segment)).select("features", config.LABEL, "cv_fold")
+    held_out = rows.where(F.col("cv_fold") == fold)
+    model = _trees(settings, max(settings.iterations), depth).fit(rows.where(F.col("cv_fold") != fold))
+    errors = model.evaluateEachIteration(held_out, "squared")
+    spread = held_out.agg(F.var_pop(config.LABEL)).first()[0]
+    return [1.0 - float(errors[n - 1]) / spread if spread else float("nan") for n in settings.iterations]
 
 
 def fit_boosted(
     train: DataFrame, segments: list[tuple[str, str]], settings: BoostingSettings = BoostingSettings()
 ) -> list[BoostedSegment]:
-    """Fit the segments independently, a few at a time; one that fails is recorded and the rest go on.
+    """Search the grid by mean validation r2 and refit the best setting on all rows, for each segment.
 
-    Every fit is a distributed Spark ML job over its own segment, of which `train` should be a table
-    partitioned by segment, so that each fit reads only its own files.
+    Segments are independent: one that fails is recorded and the rest go on. Every fit is a
+    distributed Spark ML job over its own segment, of which `train` should be a table partitioned by
+    segment, so that each fit reads only its own files. What comes to the driver is one number per
+    setting, fold and segment.
     """
+    errors, scores = {}, {}
+    best = {segment: (settings.iterations[0], settings.depths[0]) for segment in segments}
+    if len(settings.iterations) * len(settings.depths) > 1:
+        jobs = [(s, depth, fold) for s in segments for depth in settings.depths for fold in range(settings.cv_folds)]
+        found = _in_parallel(train, settings, lambda *job: fold_scores(train, settings, *job), jobs)
+        for (segment, depth, _), result in zip(jobs, found):
+            if isinstance(result, Exception):
+                errors.setdefault(segment, result)
+                continue
+            for iterations, r2 in zip(settings.iterations, result):
+                scores.setdefault(segment, {}).setdefault((iterations, depth), []).append(r2)
+        for segment in [s for s in segments if s not in errors]:
+            scores[segment] = {setting: sum(r) / len(r) for setting, r in sorted(scores[segment].items())}
+            best[segment] = max(scores[segment], key=lambda setting: _rank(scores[segment][setting]))
+
+    def refit(segment):
+        rows = assemble(_segment(train, segment)).select("features", config.LABEL)
+        return _trees(settings, *best[segment]).fit(rows)
+
+    left = [s for s in segments if s not in errors]
+    models = dict(zip(left, _in_parallel(train, settings, refit, [(s,) for s in left])))
+    return [_outcome(s, errors.get(s, models.get(s)), scores.get(s, {})) for s in segments]
+
+
+def _rank(r2: float) -> float:
+    return float("-inf") if math.isnan(r2) else r2
+
+
+def _outcome(segment: tuple[str, str], result, scores: dict) -> BoostedSegment:
+    if isinstance(result, Exception):
+        return BoostedSegment(*segment, error=f"{type(result).__name__}: {result}"[:500])
+    return BoostedSegment(*segment, result, [(*setting, r2) for setting, r2 in scores.items()])
 
-    def fit(segment):
-        cnlname, day_type = segment
-        rows = train.where((F.col("cnlname") == cnlname) & (F.col("day_type") == day_type))
-        try:
-            model, grid = fit_one(rows, settings)
-            return BoostedSegment(cnlname, day_type, model, grid)
-        except Exception as error:
-            return BoostedSegment(cnlname, day_type, error=f"{type(error).__name__}: {error}"[:500])
 
-    with ThreadPool(min(settings.segments_at_once, max(1, len(segments)))) as pool:
-        return pool.map(inheritable_thread_target(train.sparkSession)(fit), segments, chunksize=1)
+def _segment(rows: DataFrame, segment: tuple[str, str]) -> DataFrame:
+    cnlname, day_type = segment
+    return rows.where((F.col("cnlname") == cnlname) & (F.col("day_type") == day_type))
 
 
 def score_boosted(rows: DataFrame, fitted: list[BoostedSegment], name: str = "Pred_GBT") -> DataFrame | None:
@@ -116,7 +150,7 @@ def score_boosted(rows: DataFrame, fitted: list[BoostedSegment], name: str = "Pr
     for f in fitted:
         if f.model is None:
             continue
-        part = assemble(rows.where((F.col("cnlname") == f.cnlname) & (F.col("day_type") == f.day_type)), LOWEST)
+        part = assemble(_segment(rows, (f.cnlname, f.day_type)), LOWEST)
         part = f.model.transform(part).select(*rows.columns, F.col("prediction").alias(name))
         scored = part if scored is None else scored.unionByName(part)
     return scored

@@ -4,15 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airgrid.functions.calendar import FoldCalendar, day_key, slot, wrapped_slot
-from airgrid.operators.asof import aggregate_as_of
-
-
-def _mean_to(fold):
-    return F.avg(F.when(F.col("blockdate") <= fold.cutoff, F.col("factratebase")))
-
-
-def _mean_since(first_day, fold):
-    return F.avg(F.when(F.col("blockdate").between(first_day, fold.cutoff), F.col("factratebase")))
+from airgrid.operators.asof import means_as_of
 
 
 def history(blocks: DataFrame, calendar: FoldCalendar) -> DataFrame:
@@ -39,10 +31,8 @@ def time_averages(blocks: DataFrame, calendar: FoldCalendar) -> DataFrame:
         .where(F.col("cnlname").isNotNull() & F.col("blocktime").isNotNull())
         .withColumn("hour", wrapped_slot(F.col("blocktime")))
     )
-    return aggregate_as_of(rows, ["weekday", "cnlname", "hour"], calendar.folds, {
-        "average_grp": _mean_to,
-        "average_grp_week": lambda f: _mean_since(f.week_from, f),
-        "average_grp_month": lambda f: _mean_since(f.month_from, f),
+    return means_as_of(rows, ["weekday", "cnlname", "hour"], calendar.folds, {
+        "average_grp": None, "average_grp_week": "week_from", "average_grp_month": "month_from",
     })
 
 
@@ -54,9 +44,7 @@ def line_averages(blocks: DataFrame, calendar: FoldCalendar) -> DataFrame:
     rows = blocks.where(F.col("blockdate") <= calendar.last_cutoff).select(
         "proid", slot(F.col("blocktime")).alias("hour"), day_key(F.col("blockdate")).alias("weekday"), "blockdate", "factratebase"
     )
-    return aggregate_as_of(
-        rows, ["proid", "hour", "weekday"], calendar.folds, {"average_grp_line_prg": _mean_to}
-    )
+    return means_as_of(rows, ["proid", "hour", "weekday"], calendar.folds, {"average_grp_line_prg": None})
 
 
 def title_averages(blocks: DataFrame, calendar: FoldCalendar) -> DataFrame:
@@ -64,4 +52,4 @@ def title_averages(blocks: DataFrame, calendar: FoldCalendar) -> DataFrame:
     rows = blocks.where((F.col("blockdate") <= calendar.last_cutoff) & (F.col("pro2") != 0)).select(
         "pro2", slot(F.col("blocktime")).alias("hour"), "cnlname", "blockdate", "factratebase"
     )
-    return aggregate_as_of(rows, ["pro2", "hour", "cnlname"], calendar.folds, {"average_pro2": _mean_to})
+    return means_as_of(rows, ["pro2", "hour", "cnlname"], calendar.folds, {"average_pro2": None})

@@ -8,6 +8,7 @@ from airgrid.schema import SEGMENT
 
 # Order of the moment matrix: a constant, the features, the label.
 WIDTH = len(config.FEATURES) + 2
+LABEL = WIDTH - 1
 
 
 def moment_pairs() -> list[tuple[int, int]]:
@@ -39,28 +40,30 @@ def moment(i: int, j: int) -> Column:
     return F.col("moments")[moment_pairs().index((min(i, j), max(i, j)))]
 
 
+def _sum(weights: list[Column]) -> Column:
+    """Sum of the predictions."""
+    return sum((w * moment(0, i) for i, w in enumerate(weights, start=1)), F.lit(0.0))
+
+
+def _square_sum(weights: list[Column]) -> Column:
+    """Sum of the squared predictions."""
+    terms = [
+        (1 if i == j else 2) * weights[i - 1] * weights[j - 1] * moment(i, j)
+        for i in range(1, LABEL) for j in range(i, LABEL)
+    ]
+    return sum(terms, F.lit(0.0))
+
+
 def all_pairs_error(weights: list[Column]) -> Column:
     """Mean of (y_i - p_j)^2 over all pairs of a label and a prediction of a segment.
 
     Equals var(y) + var(p) + (mean y - mean p)^2, so the moments give it without any pairing.
     """
-    label = WIDTH - 1
-    n = moment(0, 0)
-    index = range(1, label)
-    mean_p = sum((w * moment(0, i) for i, w in zip(index, weights)), F.lit(0.0)) / n
-    mean_pp = sum((
-        wi * wj * moment(i, j) for i, wi in zip(index, weights) for j, wj in zip(index, weights)
-    ), F.lit(0.0)) / n
-    mean_y, mean_yy = moment(0, label) / n, moment(label, label) / n
-    return mean_yy - 2 * mean_y * mean_p + mean_pp
+    n, total_y, total_yy = moment(0, 0), moment(0, LABEL), moment(LABEL, LABEL)
+    return (total_yy + _square_sum(weights)) / n - 2 * (total_y / n) * (_sum(weights) / n)
 
 
 def squared_error(weights: list[Column]) -> Column:
     """Mean of (y_i - p_i)^2, the ordinary mean squared error."""
-    label = WIDTH - 1
-    index = range(1, label)
-    cross = sum((w * moment(i, label) for i, w in zip(index, weights)), F.lit(0.0))
-    square = sum((
-        wi * wj * moment(i, j) for i, wi in zip(index, weights) for j, wj in zip(index, weights)
-    ), F.lit(0.0))
-    return (moment(label, label) - 2 * cross + square) / moment(0, 0)
+    cross = sum((w * moment(i, LABEL) for i, w in enumerate(weights, start=1)), F.lit(0.0))
+    return (moment(LABEL, LABEL) - 2 * cross + _square_sum(weights)) / moment(0, 0)

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid import config
-from airgrid.operators.moments import WIDTH
+from airgrid.operators.moments import LABEL
 from airgrid.operators.nnls import moment_matrix
 from airgrid.schema import SEGMENT
 
+TRACE_COLUMNS = [*SEGMENT, "iter", "weights", "step", "all_pairs_error"]
 TRACE_SCHEMA = (
     "cnlname string, day_type string, iter int, weights array<double>, step double, all_pairs_error double"
 )
@@ -89,11 +90,11 @@ def descend(x, y, places, start, n, settings: SgdSettings):
 
 def pair_errors(weights: np.ndarray, moments: np.ndarray) -> np.ndarray:
     """All-pairs error of each weight vector, from the moment matrix."""
-    n, label = moments[0, 0], WIDTH - 1
+    n, total_yy = moments[0, 0], moments[LABEL, LABEL]
     with np.errstate(all="ignore"):
-        mean_p = weights @ moments[0, 1:label] / n
-        mean_pp = np.einsum("ti,ij,tj->t", weights, moments[1:label, 1:label], weights) / n
-        return moments[label, label] / n - 2 * moments[0, label] / n * mean_p + mean_pp
+        mean_p = weights @ moments[0, 1:LABEL] / n
+        total_pp = np.einsum("ti,ij,tj->t", weights, moments[1:LABEL, 1:LABEL], weights)
+        return (total_yy + total_pp) / n - 2 * moments[0, LABEL] / n * mean_p
 
 
 def sgd_trace(train: DataFrame, linear: DataFrame, settings: SgdSettings = SgdSettings()) -> DataFrame:
@@ -104,7 +105,7 @@ def sgd_trace(train: DataFrame, linear: DataFrame, settings: SgdSettings = SgdSe
 
     def run(rows: pd.DataFrame, fitted: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or fitted.empty:
-            return pd.DataFrame({"cnlname": [], "day_type": [], "iter": [], "weights": [], "step": [], "all_pairs_error": []})
+            return pd.DataFrame(columns=TRACE_COLUMNS, dtype=object)
         rows, fitted = rows.sort_values("place"), fitted.iloc[0]
         n = int(fitted.n_kept)
         rng = np.random.default_rng([settings.seed, *f"{fitted.cnlname}/{fitted.day_type}".encode()])

@@ -9,9 +9,11 @@ from airgrid.session import Workspace
 
 def raw_sample(blocks: DataFrame, calendar: FoldCalendar, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """Targets with their raw averages, and the one-row overall mean that fills the gaps."""
-    by_time = work.keep(history.time_averages(blocks, calendar), "by_time")
-    by_line = work.keep(history.line_averages(blocks, calendar), "by_line")
-    by_title = work.keep(history.title_averages(blocks, calendar), "by_title")
+    by_time, by_line, by_title = work.keep_all({
+        "by_time": history.time_averages(blocks, calendar),
+        "by_line": history.line_averages(blocks, calendar),
+        "by_title": history.title_averages(blocks, calendar),
+    })
     grid = targets.target_grid(blocks, calendar)
     return features.attach_averages(grid, by_time, by_line, by_title), features.overall_average(grid, by_time)
 

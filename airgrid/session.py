@@ -2,7 +2,9 @@
 
 import tempfile
 import uuid
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,7 +58,16 @@ class Workspace:
         With `partition_by`, rows are first rebalanced on those columns: one value's rows end up in
         few files, and a value holding a large share of the rows is split over several tasks.
         """
-        path = self.path(name)
+        return self._keep_at(self.path(name), df, partition_by)
+
+    def keep_all(self, stages: dict[str, DataFrame]) -> list[DataFrame]:
+        """Write stages that do not depend on each other side by side, so one's tail leaves no idle cores."""
+        paths = [self.path(name) for name in stages]
+        write = inheritable_thread_target(self.spark)(lambda stage: self._keep_at(*stage))
+        with ThreadPool(len(stages)) as pool:
+            return pool.map(write, zip(paths, stages.values()), chunksize=1)
+
+    def _keep_at(self, path: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         if partition_by:
             df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by).parquet(path)
         else:

@@ -9,7 +9,7 @@ from airgrid import config
 from airgrid.functions import calendar as cal
 from airgrid.functions.scoring import linear_score, sgd_step, strict_score, weights_of
 from airgrid.operators import boosting, features, history, moments, nnls, segments, sgd, targets
-from airgrid.operators.asof import aggregate_as_of
+from airgrid.operators.asof import rows_as_of
 from airgrid.plans import forecast, sample
 from airgrid.schema import SEGMENT
 from airgrid.session import Workspace
@@ -117,31 +117,12 @@ def day_names(spark, sf_dir):
 
 def fold_calendar(spark, sf_dir):
     """The fold calendar with the number of blocks each fold has before and after its cutoff."""
-    return calendar_counts(spark, line_blocks(spark, sf_dir), LINE_CALENDAR)
-
-
-def calendar_counts(spark, blocks, calendar):
-    counts = asof_counts(blocks, calendar, [])
-    return calendar.frame(spark).join(counts, "fold", "left").fillna(0, ["n_history", "n_target"])
-
-
-def asof_counts(blocks, calendar, keys):
-    """Rows at or before each cutoff, rows in its target range, and the days on either side of it."""
-    day = F.col("blockdate")
-
-    def target(fold):
-        return (day > fold.cutoff) & (day <= fold.target_to)
-
-    return aggregate_as_of(blocks, keys, calendar.folds, {
-        "n_history": lambda f: F.count_if(day <= f.cutoff),
-        "last_history": lambda f: F.max(F.when(day <= f.cutoff, day)),
-        "n_target": lambda f: F.count_if(target(f)),
-        "first_target": lambda f: F.min(F.when(target(f), day)),
-    })
+    counts = rows_as_of(line_blocks(spark, sf_dir), [], LINE_CALENDAR)
+    return LINE_CALENDAR.frame(spark).join(counts, "fold", "left").fillna(0, ["n_history", "n_target"])
 
 
 def asof_folds(spark, sf_dir):
-    return asof_counts(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["cnlname"])
+    return rows_as_of(event_blocks(spark, sf_dir), ["cnlname"], EVENT_CALENDAR)
 
 
 # Averages, joins, gaps, differences
