@@ -1,4 +1,7 @@
-"""What is known up to each cutoff: average ratings by time, programme line and title."""
+"""What is known up to each cutoff: average ratings by time, programme line and title.
+
+Each table has one row per key, with an array over the folds for every mean.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

@@ -9,7 +9,7 @@ from airgrid import config
 from airgrid.functions import calendar as cal
 from airgrid.functions.scoring import linear_score, sgd_step, strict_score, weights_of
 from airgrid.operators import boosting, features, history, moments, nnls, segments, sgd, targets
-from airgrid.operators.asof import rows_as_of
+from airgrid.operators.asof import per_fold, rows_as_of
 from airgrid.plans import forecast, sample
 from airgrid.schema import SEGMENT
 from airgrid.session import Workspace
@@ -128,27 +128,27 @@ def asof_folds(spark, sf_dir):
 # Averages, joins, gaps, differences
 
 def avg_time_slots(spark, sf_dir):
-    return rounded(history.time_averages(event_blocks(spark, sf_dir), EVENT_CALENDAR))
+    return rounded(per_fold(history.time_averages(event_blocks(spark, sf_dir), EVENT_CALENDAR)))
 
 
 def avg_time_slots_wide(spark, sf_dir):
-    return rounded(history.time_averages(line_blocks(spark, sf_dir), LINE_CALENDAR))
+    return rounded(per_fold(history.time_averages(line_blocks(spark, sf_dir), LINE_CALENDAR)))
 
 
 def avg_programme_line(spark, sf_dir):
-    return rounded(history.line_averages(event_blocks(spark, sf_dir), EVENT_CALENDAR))
+    return rounded(per_fold(history.line_averages(event_blocks(spark, sf_dir), EVENT_CALENDAR)))
 
 
 def avg_programme_line_wide(spark, sf_dir):
-    return rounded(history.line_averages(line_blocks(spark, sf_dir), LINE_CALENDAR))
+    return rounded(per_fold(history.line_averages(line_blocks(spark, sf_dir), LINE_CALENDAR)))
 
 
 def avg_title(spark, sf_dir):
-    return rounded(history.title_averages(event_blocks(spark, sf_dir), EVENT_CALENDAR))
+    return rounded(per_fold(history.title_averages(event_blocks(spark, sf_dir), EVENT_CALENDAR)))
 
 
 def avg_title_wide(spark, sf_dir):
-    return rounded(history.title_averages(line_blocks(spark, sf_dir), LINE_CALENDAR))
+    return rounded(per_fold(history.title_averages(line_blocks(spark, sf_dir), LINE_CALENDAR)))
 
 
 def feature_join(spark, sf_dir):

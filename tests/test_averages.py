@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from airgrid.functions.calendar import FoldCalendar
 from airgrid.operators import features, history, targets
-from airgrid.operators.asof import rows_as_of
+from airgrid.operators.asof import per_fold, rows_as_of
 from airgrid.plans import sample
 from tests.micro import CALENDAR, as_set, blocks, full_blocks
 
 
 def test_time_averages_by_hand(spark):
     # Slot 49 wraps to 1, slot 48 stays; copies count once; the null channel is no group; a null rating is skipped.
-    found = history.time_averages(blocks(spark), CALENDAR)
+    found = per_fold(history.time_averages(blocks(spark), CALENDAR))
     assert as_set(found.select("weekday", "cnlname", "hour", "average_grp", "average_grp_week", "average_grp_month")) == {
         (2, "A", 1, 6.0, 6.0, 6.0), (2, "A", 11, 5.0, 3.0, 5.0), (2, "A", 48, 8.0, 8.0, 8.0),
     }
@@ -24,7 +24,7 @@ def test_time_averages_by_hand(spark):
 
 def test_line_averages_by_hand(spark):
     # All channels and copies count, slots are not wrapped, a missing line is a group.
-    found = history.line_averages(blocks(spark), CALENDAR)
+    found = per_fold(history.line_averages(blocks(spark), CALENDAR))
     assert as_set(found.select("proid", "hour", "average_grp_line_prg")) == {
         (1, 11, 15.75), (1, 48, 8.0), (1, 49, 6.0), (None, 11, 4.0),
     }
@@ -32,7 +32,7 @@ def test_line_averages_by_hand(spark):
 
 def test_title_averages_by_hand(spark):
     # Title 0 is left out, the null channel is a group.
-    found = history.title_averages(blocks(spark), CALENDAR)
+    found = per_fold(history.title_averages(blocks(spark), CALENDAR))
     assert as_set(found.select("pro2", "hour", "cnlname", "average_pro2")) == {
         (5, 11, "A", 6.5), (5, 11, None, 50.0), (5, 49, "A", 6.0),
     }
@@ -40,9 +40,11 @@ def test_title_averages_by_hand(spark):
 
 def test_history_floor_only_bounds_the_time_averages(spark):
     calendar = FoldCalendar(start=CALENDAR.start, lookback=0, last_horizon=14, history_floor=20240101)
-    time = history.time_averages(blocks(spark), calendar).where("hour = 11")
+    time = per_fold(history.time_averages(blocks(spark), calendar)).where("hour = 11")
     assert time.first()["average_grp"] == 3.0
-    assert as_set(history.line_averages(blocks(spark), calendar)) == as_set(history.line_averages(blocks(spark), CALENDAR))
+    assert as_set(per_fold(history.line_averages(blocks(spark), calendar))) == as_set(
+        per_fold(history.line_averages(blocks(spark), CALENDAR))
+    )
 
 
 def test_raw_features_of_targets(spark, work):
@@ -69,8 +71,8 @@ def test_differences_start_from_one_base(spark):
 
 def test_title_lookup_matches_null_channels(spark):
     rows = spark.createDataFrame([(0, 5, 11, None), (0, 5, 11, "A")], "fold int, pro2 int, hour int, cnlname string")
-    averages = spark.createDataFrame([(0, 5, 11, None, 1.0)], "fold int, pro2 int, hour int, cnlname string, average_pro2 double")
-    found = features.look_up(rows, averages, ["fold", "pro2", "hour", "cnlname"], ["cnlname"])
+    averages = spark.createDataFrame([(5, 11, None, [1.0])], "pro2 int, hour int, cnlname string, average_pro2 array<double>")
+    found = features.look_up(rows, averages, ["pro2", "hour", "cnlname"], ["cnlname"])
     assert as_set(found.select("cnlname", "average_pro2")) == {(None, 1.0), ("A", None)}
 
 
@@ -112,7 +114,7 @@ def loop_time_averages(pdf, calendar):
 def test_single_pass_equals_a_loop_over_folds(spark, seed, lookback, step):
     pdf = random_blocks(seed, 600)
     calendar = FoldCalendar(start=date(2024, 2, 1), lookback=lookback, step=step, last_horizon=20, history_floor=20240103)
-    found = history.time_averages(full_blocks(spark, to_rows(pdf)), calendar).collect()
+    found = per_fold(history.time_averages(full_blocks(spark, to_rows(pdf)), calendar)).collect()
     got = {
         (r.fold, r.weekday, r.cnlname, r.hour): [
             None if v is None else round(v, 9) for v in (r.average_grp, r.average_grp_week, r.average_grp_month)
@@ -137,7 +139,7 @@ def test_later_ratings_leave_earlier_folds_alone(spark):
     changed = pdf.assign(factratebase=pdf.factratebase.where(pdf.blockdate <= cutoff, 99.0))
     for averages in (history.time_averages, history.line_averages, history.title_averages):
         before, after = [
-            as_set(averages(full_blocks(spark, to_rows(p)), calendar).where("fold = 0")) for p in (pdf, changed)
+            as_set(per_fold(averages(full_blocks(spark, to_rows(p)), calendar)).where("fold = 0")) for p in (pdf, changed)
         ]
         assert before == after and before
 
