@@ -35,9 +35,14 @@ class Modelled:
 def model_sample(
     blocks: DataFrame, calendar: FoldCalendar, channels: list[str], work: Workspace
 ) -> Modelled:
-    """Write the labelled sample once, partitioned by segment, as every model passes over it."""
+    """Write the labelled sample once, as every model passes over it.
+
+    It is partitioned by segment and side of the split: fits skip the test rows, which reach much
+    further than the training rows, and scoring skips the training rows.
+    """
     sample = feature_sample(blocks, calendar, work)
-    rows = work.keep(segments.with_segments(sample, calendar, channels), "sample", partition_by=SEGMENT)
+    labelled = segments.with_segments(sample, calendar, channels)
+    rows = work.keep(labelled, "sample", partition_by=[*SEGMENT, "is_train"])
     statistics = work.keep(segments.label_statistics(rows), "statistics")
     return Modelled(rows, statistics, segments.trimmed_train(rows, statistics, channels), channels)
 

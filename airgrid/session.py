@@ -73,3 +73,8 @@ class Workspace:
         else:
             df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    def remove(self) -> None:
+        """Delete this run's stages, once everything that reads them has been written elsewhere."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

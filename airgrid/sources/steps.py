@@ -1,6 +1,7 @@
 """Multi-step SQL transforms with a row count per step."""
 
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,12 @@ class Step:
     name: str
     sql: str
 
+    @classmethod
+    def from_file(cls, path: str) -> "Step":
+        """One statement per file; the file's name is the step's name."""
+        file = Path(path)
+        return cls(file.stem, file.read_text(encoding="utf-8").strip().removesuffix(";"))
+
 
 def run_steps(
     spark: SparkSession, steps: list[Step], inputs: dict[str, DataFrame], work: Workspace

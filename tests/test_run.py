@@ -1,5 +1,8 @@
 """Whole runs: forecast, status, isolation of failures, appended tables."""
 
+import json
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,32 @@ def test_weights_that_ran_off_count_as_zero(spark):
     rows = spark.createDataFrame([("click", "weekdays", *[1.0] * 8)], ", ".join(["cnlname string", "day_type string", *[f"{f} double" for f in config.FEATURES]]))
     found = forecast.score_linear(rows, coefficients, ["click"]).first()
     assert found.Pred_SGD == 2.0 and found.Pred_NNLS == 8.0
+
+
+def test_command_line_run(spark, work, sf_dir):
+    """Grids in, tables out; a second run of the same day replaces the first; no stage is left behind."""
+    from airgrid import __main__ as command
+    from checks.grids import NEW_GRID_NAMES, event_grids
+
+    root = work.path("cli")
+    old, new = event_grids(spark, sf_dir)
+    old.write.parquet(f"{root}/old")
+    new.write.parquet(f"{root}/new")
+    arguments = [
+        "--old", f"{root}/old", "--new", f"{root}/new", "--rename-new", json.dumps(NEW_GRID_NAMES),
+        "--network", f"{root}/network", "--tables", f"{root}/tables", "--start", "2024-01-25",
+        "--lookback", "14", "--step", "7", "--history-floor", "20230101",
+        "--channels", *EVENT_CHANNELS, "--exclude", "view", "--iterations", "2", "--depths", "2", "--replace-run",
+    ]
+    shared = os.path.dirname(work.root).removeprefix("file:")
+    before = set(os.listdir(shared))
+    command.main(arguments, spark)
+    first = spark.read.parquet(f"{root}/tables/forecast").count()
+    command.main(arguments, spark)
+    assert set(os.listdir(shared)) == before
+    forecast_rows = spark.read.parquet(f"{root}/tables/forecast")
+    assert forecast_rows.count() == first > 0
+    assert set(forecast_rows.columns) == set(forecast.FORECAST_COLUMNS)
+    assert as_set(spark.read.parquet(f"{root}/network")) == as_set(event_blocks(spark, sf_dir).select(spark.read.parquet(f"{root}/network").columns))
+    status = spark.read.parquet(f"{root}/tables/segment_status")
+    assert {r.status for r in status.collect()} == {"loaded"} and status.count() == 8

@@ -164,3 +164,10 @@ def test_averages_shuffle_sums_and_never_repeat_rows_per_fold(spark):
     plan = plan_of(history.line_averages(blocks(spark), CALENDAR))
     assert "Generate" not in plan and "Join" not in plan
     assert "partial_sum" in plan[plan.rindex("Exchange"):]
+
+
+def test_steps_from_files(spark, work, tmp_path):
+    (tmp_path / "small.sql").write_text("select id from {t} where id < 3;\n")
+    step = Step.from_file(str(tmp_path / "small.sql"))
+    assert step == Step("small", "select id from {t} where id < 3")
+    assert run_steps(spark, [step], {"t": spark.range(9)}, work)[1] == [("small", 3)]
