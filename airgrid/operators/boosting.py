@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.operators.segments import join_per_segment
 from airgrid.schema import SEGMENT
+from airgrid.session import Workspace
 
 LOWEST = -1.7976931348623157e308
 
@@ -55,6 +56,13 @@ def with_cv_folds(train: DataFrame, channels: list[str], folds: int) -> DataFram
     return join_per_segment(train, borders, channels).select(*train.columns, fold.alias("cv_fold"))
 
 
+def training_table(train: DataFrame, channels: list[str], settings: BoostingSettings, work: Workspace) -> DataFrame:
+    """Only what the fits need, written by segment and validation fold, so that each fit reads its own files."""
+    rows = with_cv_folds(train, channels, settings.cv_folds)
+    rows = rows.select(*SEGMENT, *config.FEATURES, config.LABEL, "cv_fold")
+    return work.keep(rows, "train", partition_by=[*SEGMENT, "cv_fold"])
+
+
 def assemble(rows: DataFrame, missing: float | None = None) -> DataFrame:
     """Add the feature vector. When scoring, a missing feature counts as lower than any other value."""
     inputs = [f"in_{name}" for name in config.FEATURES]
@@ -101,9 +109,8 @@ def fit_boosted(
     """Search the grid by mean validation r2 and refit the best setting on all rows, for each segment.
 
     Segments are independent: one that fails is recorded and the rest go on. Every fit is a
-    distributed Spark ML job over its own segment, of which `train` should be a table partitioned by
-    segment, so that each fit reads only its own files. What comes to the driver is one number per
-    setting, fold and segment.
+    distributed Spark ML job over its own files of the training table. What comes to the driver is
+    one number per setting, fold and segment.
     """
     errors, scores = {}, {}
     best = {segment: (settings.iterations[0], settings.depths[0]) for segment in segments}

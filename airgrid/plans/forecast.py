@@ -99,9 +99,7 @@ def run_forecast(
     # At most two rows per listed channel come to the driver here.
     ready = [(r.cnlname, r.day_type) for r in status.where("status = 'ready'").select(*SEGMENT).collect()]
 
-    train = work.keep(
-        boosting.with_cv_folds(modelled.train, channels, boosting_settings.cv_folds), "train", partition_by=SEGMENT
-    )
+    train = boosting.training_table(modelled.train, channels, boosting_settings, work)
     boosted = boosting.fit_boosted(train, ready, boosting_settings)
 
     test = score_linear(modelled.rows.where(~F.col("is_train")), coefficients, channels)

@@ -339,10 +339,11 @@ def _all_segments(modelled):
 def boosted_forecast(spark, sf_dir):
     """Every segment's trees fit its training rows better than the mean does, and predict every test row."""
     modelled, work = event_model(spark, sf_dir), Workspace(spark)
-    train = work.keep(boosting.with_cv_folds(modelled.train, modelled.channels, 3), "train", partition_by=SEGMENT)
+    train = boosting.training_table(modelled.train, modelled.channels, SMALL_BOOSTING, work)
     fitted = boosting.fit_boosted(train, _all_segments(modelled), SMALL_BOOSTING)
-    rows = train.select(*SEGMENT, "is_train", *config.FEATURES, config.LABEL).unionByName(
-        modelled.rows.where(~F.col("is_train")).select(*SEGMENT, "is_train", *config.FEATURES, config.LABEL)
+    columns = [*SEGMENT, *config.FEATURES, config.LABEL]
+    rows = train.select(*columns, F.lit(True).alias("is_train")).unionByName(
+        modelled.rows.where(~F.col("is_train")).select(*columns, "is_train")
     )
     scored = boosting.score_boosted(rows, fitted)
     label, error = F.when(F.col("is_train"), F.col(config.LABEL)), F.col(config.LABEL) - F.col("Pred_GBT")
@@ -355,9 +356,7 @@ def boosted_forecast(spark, sf_dir):
 def grid_search(spark, sf_dir):
     """Cross-validated r2 of each parameter setting, on every segment."""
     modelled, work = event_model(spark, sf_dir), Workspace(spark)
-    train = work.keep(
-        boosting.with_cv_folds(modelled.train, modelled.channels, SMALL_GRID.cv_folds), "train", partition_by=SEGMENT
-    )
+    train = boosting.training_table(modelled.train, modelled.channels, SMALL_GRID, work)
     fitted = boosting.fit_boosted(train, _all_segments(modelled), SMALL_GRID)
     return spark.createDataFrame(
         [(f.cnlname, f.day_type, *scores) for f in fitted for scores in f.grid],

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.operators import boosting
 from airgrid.plans import forecast
-from airgrid.schema import SEGMENT
 from checks.grids import EVENT_CALENDAR, EVENT_CHANNELS, event_blocks
 from tests.micro import as_set
 
@@ -76,7 +75,7 @@ def test_a_failing_fit_does_not_stop_the_others(spark, work, sf_dir):
 def test_one_long_fit_scores_the_shorter_runs(spark, work, sf_dir):
     """Validation scores taken from the longest run equal those of a fit of each length."""
     modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = work.keep(boosting.with_cv_folds(modelled.train, ["click"], 2), "train", partition_by=SEGMENT)
+    train = boosting.training_table(modelled.train, ["click"], boosting.BoostingSettings(cv_folds=2), work)
     segment = ("click", "weekdays")
     together = boosting.fold_scores(train, boosting.BoostingSettings(iterations=[2, 4]), segment, 3, 0)
     alone = [
@@ -87,8 +86,8 @@ def test_one_long_fit_scores_the_shorter_runs(spark, work, sf_dir):
 
 def test_best_setting_is_the_one_refitted(spark, work, sf_dir):
     modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = work.keep(boosting.with_cv_folds(modelled.train, ["click"], 2), "train", partition_by=SEGMENT)
     settings = boosting.BoostingSettings(iterations=[1, 2], depths=[1, 4], cv_folds=2)
+    train = boosting.training_table(modelled.train, ["click"], settings, work)
     fitted = boosting.fit_boosted(train, [("click", "weekdays")], settings)[0]
     iterations, depth, _ = max(fitted.grid, key=lambda g: g[2])
     assert fitted.model.getNumTrees == iterations
