@@ -4,7 +4,7 @@ A source's ratio of target to size is the expected number of copies of each of i
 taken outright; the fractions are rounded in pairs: mass moves at random from one document of a pair to the
 other, keeping the pair's expected words, until one of them is at 0 or 1, and the other goes on to the next pair.
 Groups of about FAN_IN documents do this side by side, and what they leave over meets in the next level of a
-tree, so a source ends within half of one document of its target, and no task ever holds a source.
+tree, so a source ends within one document of its target, and no task ever holds a source.
 """
 
 import math
@@ -79,14 +79,17 @@ def _meet(state: Column, unit: Column, seed: int) -> Column:
     return F.when(left.isNull(), F.struct(unit.alias("left"), state["done"].alias("done"))).otherwise(met)
 
 
-UNIT = "struct<turn:bigint,doc_id:bigint,size:bigint,p:double,w:double>"
+#: Largest first: what a group leaves over is then small, and so is the last draw.
+UNIT = "struct<turn:double,order:bigint,doc_id:bigint,size:bigint,p:double,w:double>"
 
 
 def _level(units: DataFrame, seed: int) -> DataFrame:
     """Round within each (source, bucket). One row per group: source, bucket, left, done."""
     gathered = units.groupBy("source", "bucket").agg(
         F.sort_array(
-            F.collect_list(F.struct(F.xxhash64(F.lit(seed), "doc_id", "size").alias("turn"), "doc_id", "size", "p", "w"))
+            F.collect_list(
+                F.struct((-F.col("w")).alias("turn"), F.xxhash64(F.lit(seed), "doc_id", "size").alias("order"), "doc_id", "size", "p", "w")
+            )
         ).alias("all")
     )
     start = F.struct(F.lit(None).cast(UNIT).alias("left"), F.array().cast(f"array<{UNIT}>").alias("done"))
@@ -126,7 +129,7 @@ def copies(sized: DataFrame, work: Workspace, seed: int = 7, **mix) -> DataFrame
     last = level.select(
         "source",
         F.struct(
-            F.lit(0).cast("long").alias("turn"), "doc_id", "size",
+            (-F.col("w")).alias("turn"), F.lit(0).cast("long").alias("order"), "doc_id", "size",
             F.when(_draw(F.col("doc_id"), F.col("size"), F.lit(seed + levels)) < F.col("p"), 1.0).otherwise(0.0).alias("p"),
             "w",
         ).alias("unit"),

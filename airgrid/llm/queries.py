@@ -5,9 +5,10 @@ import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airgrid.llm import attribution, mixing, packing, planes
-from airgrid.llm.common import read_table
+from airgrid.llm import attribution, language, mixing, packing, planes, quality
+from airgrid.llm.common import held_out, read_table
 from airgrid.session import Workspace
 
 #: Folder of the public tokenizer files; a parameter, as the files are not part of the repository.
@@ -22,10 +23,22 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = quality.score(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.plane_report(read_table(spark, sf_dir, "documents"), Workspace(spark), tokenizer("word_bpe_49k.json"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = language.identify(docs, language.fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), Workspace(spark))
 
@@ -39,6 +52,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bit_planes, op6_best_fit_packing, op7_mixing, op8_token_counts)
+    f.__name__: f
+    for f in (op1_quality, op2_bit_planes, op5_language, op6_best_fit_packing, op7_mixing, op8_token_counts)
 }
 ORACLES: dict[str, str] = {}
