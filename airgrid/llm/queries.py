@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import attribution, language, mixing, packing, planes, quality
+from airgrid.llm import attribution, jaccard, language, mixing, packing, planes, quality
 from airgrid.llm.common import held_out, read_table
 from airgrid.session import Workspace
 
@@ -33,6 +33,11 @@ def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.plane_report(read_table(spark, sf_dir, "documents"), Workspace(spark), tokenizer("word_bpe_49k.json"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.link_documents(read_table(spark, sf_dir, "documents"), Workspace(spark))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = language.identify(docs, language.fit(docs))
@@ -53,6 +58,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_quality, op2_bit_planes, op5_language, op6_best_fit_packing, op7_mixing, op8_token_counts)
+    for f in (
+        op1_quality, op2_bit_planes, op4_jaccard_join, op5_language, op6_best_fit_packing, op7_mixing, op8_token_counts,
+    )
 }
-ORACLES: dict[str, str] = {}
