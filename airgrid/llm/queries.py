@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import attribution, jaccard, language, mixing, packing, planes, quality
+from airgrid.llm import attribution, jaccard, language, mincut, mixing, packing, planes, quality
 from airgrid.llm.common import held_out, read_table
 from airgrid.session import Workspace
 
@@ -56,9 +56,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.count_by_line(read_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mincut.extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_bit_planes, op4_jaccard_join, op5_language, op6_best_fit_packing, op7_mixing, op8_token_counts,
+        op9_main_text,
     )
 }
