@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import attribution, jaccard, language, mincut, mixing, packing, planes, quality
+from airgrid.llm import attribution, jaccard, language, mincut, mixing, onebit, packing, planes, products, quality
 from airgrid.llm.common import held_out, read_table
 from airgrid.session import Workspace
 
@@ -33,6 +33,10 @@ def op2_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planes.plane_report(read_table(spark, sf_dir, "documents"), Workspace(spark), tokenizer("word_bpe_49k.json"))
 
 
+def op3_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return products.top_products(read_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard.link_documents(read_table(spark, sf_dir, "documents"), Workspace(spark))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -60,10 +64,14 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mincut.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.nearest(read_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality, op2_bit_planes, op4_jaccard_join, op5_language, op6_best_fit_packing, op7_mixing, op8_token_counts,
-        op9_main_text,
+        op1_quality, op2_bit_planes, op3_top_products, op4_jaccard_join, op5_language, op6_best_fit_packing, op7_mixing,
+        op8_token_counts, op9_main_text, op10_one_bit_neighbours,
     )
 }
