@@ -1,0 +1,437 @@
+"""Operators on documents against plain versions of themselves."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from airgrid.llm import attribution, jaccard, language, mixing, packing, planes, quality, queries
+from airgrid.llm.common import held_out
+from airgrid.llm.components import components
+from airgrid.llm.pieces import PieceEncoder
+
+from .data import documents, rows
+
+WORD_BPE, BYTE_BPE = queries.tokenizer("word_bpe_49k.json"), queries.tokenizer("byte_bpe_50k.json")
+ODD = [
+    "a<|endoftext|>b", "İstanbul ß ǅ", "x's 'S don't I'LL  \x85 \xa0\x1c y\x1dz  \n\n a", "²³ 123 ½ a1b2", "Ångström Å", "", "   ",
+    "\n \n", "it's\t\tok", "'", "''s", "日本語 text", "\x00\x01 a", "ª º µ \xad soft", "Hello, WORLD!!\n\n next  line ",
+]
+
+
+def test_held_out_is_the_stated_third(spark):
+    got = spark.createDataFrame([(i,) for i in [None, *range(50)]], "doc_id long").select("doc_id", held_out(F.col("doc_id"))).collect()
+    assert all(h == (d is not None and zlib.crc32(str(d).encode()) % 3 == 1) for d, h in got)
+
+
+# Token ids and planes
+
+@pytest.mark.parametrize("kind,path", [("word", WORD_BPE), ("byte", BYTE_BPE)])
+def test_pieces_encode_as_the_whole_text_does(kind, path):
+    texts = ODD + [r[1] for r in rows() if r[1]]
+    whole = Tokenizer.from_file(path)
+    for text, ids in zip(texts, PieceEncoder(path, kind).encode(texts), strict=True):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_spans_are_those_of_the_whole_text():
+    whole = Tokenizer.from_file(BYTE_BPE)
+    for text, spans in zip(ODD, PieceEncoder(BYTE_BPE, "byte").spans(ODD), strict=True):
+        assert [tuple(x) for x in spans.tolist()] == whole.encode(text, add_special_tokens=False).offsets
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr("airgrid.llm.pieces.REMEMBERED", 5)
+    for kind, path in (("word", WORD_BPE), ("byte", BYTE_BPE)):
+        one = PieceEncoder(path, kind)
+        for text in ODD * 2:
+            assert one.encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("kind", ["bit", "byte"])
+@pytest.mark.parametrize("n", [0, 1, 7, 8, 1000])
+def test_planes_round_trip(kind, n):
+    ids = np.random.default_rng(n).integers(0, 2**32, n, dtype=np.uint32)
+    for x in (ids, ids % 50_000, ids * 0):
+        assert planes.from_planes(planes.to_planes(x, kind), n, kind).tolist() == x.tolist()
+
+
+@pytest.mark.parametrize("kind", ["bit", "byte"])
+def test_file_round_trip_and_random_access(kind, monkeypatch):
+    import io
+
+    monkeypatch.setattr(planes, "BLOCK", 100)
+    rng = np.random.default_rng(0)
+    docs = [(None if i == 0 else i, rng.integers(0, 50_000, n, dtype=np.uint32)) for i, n in enumerate([0, 250, 3, 0, 997, 50])]
+    sink = io.BytesIO()
+    writer = planes.PlaneWriter(sink, kind)
+    for d, ids in docs:
+        writer.add(d, ids)
+    assert writer.close() == 1300
+    reader = planes.PlaneReader(sink.getvalue())
+    assert [(d, ids.tolist()) for d, _, ids in reader] == [(d, x.tolist()) for d, x in docs]
+    everything = np.concatenate([x for _, x in docs])
+    for a, b in ((0, 1300), (99, 101), (250, 250), (1299, 1300)):
+        assert reader.ids(a, b).tolist() == everything[a:b].tolist()
+
+
+@pytest.mark.parametrize("plane", ["bit", "byte"])
+def test_written_ids_against_whole_encoding(spark, work, monkeypatch, plane):
+    monkeypatch.setattr(planes, "FILE_IDS", 500)
+    got = planes.plane_report(documents(spark), work, WORD_BPE, plane=plane).collect()
+    whole = Tokenizer.from_file(WORD_BPE)
+    want, start = [], 0
+    encoded = [(r[0], np.array([*whole.encode(r[1] or "", add_special_tokens=False).ids, 2], "<u4")) for r in rows()]
+    for d, ids in sorted(encoded, key=lambda x: (x[0] is not None, x[0] or 0)):
+        want.append((d, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_no_documents_no_files(spark, work):
+    assert planes.plane_report(documents(spark, []), work, WORD_BPE).collect() == []
+
+
+# Token counts
+
+def brute_counts(spans, starts, length, rule):
+    counts, edges = [0.0] * len(starts), [*starts, length]
+    for a, b in spans:
+        held = [max(0, min(edges[i + 1], b) - max(edges[i], a)) for i in range(len(starts))]
+        first = max(i for i in range(len(starts)) if starts[i] <= a)
+        if sum(held) == 0 or rule == "start":
+            counts[first] += 1
+        elif rule == "majority":
+            counts[held.index(max(held))] += 1
+        else:
+            for i, h in enumerate(held):
+                counts[i] += h / sum(held)
+    return counts
+
+
+@pytest.mark.parametrize("rule", attribution.RULES)
+def test_allocation_against_plain_loops(rule):
+    rng = np.random.default_rng(1)
+    for _ in range(50):
+        edges = np.unique(np.concatenate([[0], rng.integers(0, 60, 20)]))
+        spans, starts = np.stack([edges, np.append(edges[1:], 60)], 1), np.unique(np.concatenate([[0], rng.integers(0, 60, 5)]))
+        got, _ = attribution.allocate(spans, starts, 60, rule)
+        assert np.allclose(got, brute_counts(spans.tolist(), starts.tolist(), 60, rule))
+        assert np.isclose(got.sum(), len(spans))
+
+
+def test_lines_of_documents(spark):
+    docs = documents(spark, [(1, "One line.\n\nThree \n four", *[None] * 7), (2, None, *[None] * 7), (2, "", *[None] * 7), (None, "a", *[None] * 7)])
+    got = sorted(map(tuple, attribution.count_by_line(docs, BYTE_BPE).collect()), key=str)
+    lines = {(r[0], r[1]): r[2:] for r in got}
+    assert [lines[1, k][:2] for k in range(4)] == [(0, 10), (10, 11), (11, 18), (18, 23)]
+    assert sum(lines[1, k][2] for k in range(4)) == len(Tokenizer.from_file(BYTE_BPE).encode("One line.\n\nThree \n four").ids)
+    assert got.count((2, 0, 0, 0, 0.0, 0)) == 2 and lines[None, 0][2] == 1.0
+    assert attribution.count_by_line(documents(spark, []), BYTE_BPE).collect() == []
+
+
+def test_fields_share_one_encoding(spark):
+    table = spark.createDataFrame([(1, "ab", "cd ef"), (2, None, "")], "k long, a string, b string")
+    got = sorted(map(tuple, attribution.count_by_field(table, "k", ["a", "b"], BYTE_BPE, separator="").collect()))
+    whole = Tokenizer.from_file(BYTE_BPE).encode("abcd ef").ids
+    assert [r[:4] for r in got] == [(1, 0, 0, 2), (1, 1, 2, 7), (2, 0, 0, 0), (2, 1, 0, 0)] and sum(r[4] for r in got) == len(whole)
+
+
+# Jaccard join
+
+def brute_components(texts, size, percent):
+    sets = []
+    for d, t in texts:
+        w = (t or "").encode().lower().split()
+        sets.append((d, {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()))
+    up = {d: d for d, _ in texts if d is not None}
+
+    def find(d):
+        while up[d] != d:
+            d = up[d]
+        return d
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if None not in (a, b) and x and y and 100 * len(x & y) >= percent * len(x | y):
+                lo, hi = sorted((find(a), find(b)))
+                up[hi] = lo
+    return [(d, len(s), (find(d) if s else d) if d is not None else None) for d, s in sets]
+
+
+def edited(seed, n, every):
+    rng, words = np.random.default_rng(seed), [f"w{i}" for i in range(n)]
+    for at in rng.choice(n, max(1, n // every), replace=False):
+        words[at] = f"x{rng.integers(9)}"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80), (1, 50)])
+def test_links_against_all_pairs(spark, work, size, percent):
+    texts = [(r[0], r[1]) for r in rows()] + [(200 + i, edited(i, 80, (15, 40, 80)[i % 3])) for i in range(60)]
+    texts += [(300, "w1 w2 w3"), (300, texts[0][1]), (301, "w1 w2 w3")]  # an id with two texts connects both
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = jaccard.link_documents(docs, work, size, percent).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute_components(texts, size, percent), key=str)
+
+
+def test_prefixes_of_similar_sets_meet_under_every_order():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        x = rng.choice(1000, rng.integers(1, 60), replace=False).astype(np.uint64)
+        y = np.unique(np.concatenate([rng.permutation(x)[: max(1, int(len(x) * 0.95))], rng.integers(0, 1000, 2).astype(np.uint64)]))
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 85 * (len(x) + len(y) - both):
+            for seed in (1, 2):
+                first = [set(np.sort(jaccard._mixed(s, seed))[: jaccard.n_prefix(len(s), 85)].tolist()) for s in (x, y)]
+                assert first[0] & first[1]
+
+
+def test_one_of_each_group_stays(spark, work):
+    docs = documents(spark)
+    got = jaccard.keep_one(docs, work)
+    assert got.columns == docs.columns
+    stays = Counter(r["doc_id"] for r in got.collect())
+    comps = {d: c for d, _, c in brute_components([(r[0], r[1]) for r in rows()], 5, 80)}
+    want = {d for d, c in comps.items() if d is None or c == d}
+    assert set(stays) == want and stays[110] == 1 and 101 not in stays
+    assert jaccard.keep_one(documents(spark, []), work).collect() == []
+
+
+def test_components_of_a_chain_a_star_and_loops(spark, work):
+    links = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (5, 4), (200, 201), (201, 202), (202, 200)]
+    got = dict(components(spark.createDataFrame(links, "a long, b long"), work).collect())
+    assert got == {i: 1 for i in range(1, 61)} | {100 + i: 100 for i in range(30)} | {200: 200, 201: 200, 202: 200}
+    assert components(spark.createDataFrame([], "a long, b long"), work).collect() == []
+
+
+# Mixing
+
+def plain_targets(sizes: dict, weights=(3, 1, 2), share=1.5, most=2.0) -> dict:
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, total = {}, share * sum(sizes.values())
+    while True:
+        free = [s for s in names if s not in target]
+        level = (total - sum(target.values())) / (sum(weight[s] for s in free) or 1)
+        above = [s for s in free if level * weight[s] > most * sizes[s]]
+        if not above:
+            return target | {s: level * weight[s] for s in free}
+        target |= {s: most * sizes[s] for s in above}
+
+
+def n_words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def test_targets_and_taken_words(spark, work):
+    docs = documents(spark)
+    got = mixing.mix_report(docs, work).collect()
+    sizes, taken, largest = defaultdict(int), defaultdict(int), defaultdict(int)
+    for r in rows():
+        sizes[r[3]] += n_words(r[1])
+        largest[r[3]] = max(largest[r[3]], n_words(r[1]))
+    want = plain_targets(sizes)
+    by_size = {v: s for s, v in sizes.items()}
+    assert len(got) == len(rows()) and len(by_size) == len(sizes)
+    for r in got:
+        assert r["target"] == pytest.approx(want[by_size[r["source_size"]]])
+        assert r["size"] == 0 and r["taken"] == 0 or r["taken"] in (0, r["size"], 2 * r["size"])
+        taken[by_size[r["source_size"]]] += r["taken"]
+    for s in sizes:
+        assert abs(taken[s] - want[s]) <= largest[s] + 1e-6
+    again = mixing.mix_report(docs.repartition(7), work).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert mixing.mix_report(documents(spark, []), work).collect() == []
+
+
+def test_water_level_against_resharing(spark):
+    rng = np.random.default_rng(0)
+    for k in range(12):
+        sizes = {f"s{i}": int(rng.integers(0, 1000)) for i in range(k)} | ({None: 5} if k % 2 else {})
+        table = spark.createDataFrame(list(sizes.items()), "source string, size long")
+        got = {r["source"]: r["target"] for r in mixing.source_targets(table).collect()}
+        assert got == pytest.approx(plain_targets(sizes)) if sizes else got == {}
+
+
+def test_many_documents_meet_their_target_through_the_tree(spark, work):
+    sized = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 < 2, "hot").otherwise("cold").alias("source"), (F.col("id") % 50 + 1).alias("size")
+    )
+    got = mixing.copies(work.keep(sized, "sized"), work).groupBy("source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("t")).collect()
+    assert all(abs(r["t"] - r["target"]) <= 50 for r in got)
+    sums = mixing.copies(work.keep(sized, "sized"), work).groupBy("source", "copies").count().collect()
+    assert len(sums) <= 4  # each source has two neighbouring numbers of copies
+
+
+def test_mix_repeats_rows_with_their_columns(spark, work):
+    docs = documents(spark)
+    mixed = mixing.mix_documents(docs, work)
+    assert mixed.columns == docs.columns
+    want = Counter()
+    for r in mixing.mix_report(docs, work).collect():
+        want[r["doc_id"]] += r["taken"] // max(1, r["size"])
+    assert Counter(r["doc_id"] for r in mixed.collect()) == +want
+
+
+# Packing
+
+def plain_best_fit(sizes, sources, clusters, capacity):
+    bins, out = [], []
+    for size, s, c in zip(sizes, sources, clusters, strict=True):
+        fits = [(b["room"], i) for i, b in enumerate(bins) if b["room"] >= size and not b["s"] & s and not b["c"] & c]
+        if not fits:
+            bins.append({"room": capacity, "s": 0, "c": 0})
+            fits = [(capacity, len(bins) - 1)]
+        i = min(fits)[1]
+        out.append((bins[i]["room"], capacity - bins[i]["room"]))
+        bins[i] = {"room": bins[i]["room"] - size, "s": bins[i]["s"] | int(s), "c": bins[i]["c"] | int(c)}
+    return out
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    rng = np.random.default_rng(2)
+    sizes = np.sort(rng.integers(0, 60, 300))[::-1].copy()
+    sources, clusters = 1 << rng.integers(0, 6, 300), 1 << rng.integers(0, 40, 300)
+    bins, offsets = packing.best_fit(sizes, sources, clusters, 100)
+    held = defaultdict(lambda: [100, 0, 0])
+    for b, at, size, s, c in zip(bins, offsets, sizes, sources, clusters, strict=True):
+        fits = [r for r, ss, cc in held.values() if r >= size and not ss & s and not cc & c]
+        assert 100 - at == (min(fits) if fits else 100) and at == 100 - held[b][0]
+        assert not held[b][1] & s and not held[b][2] & c
+        held[b] = [held[b][0] - size, held[b][1] | s, held[b][2] | c]
+    assert len(plain_best_fit(sizes, sources, clusters, 100)) == 300
+
+
+def test_packed_documents(spark, work):
+    docs = documents(spark)
+    got = packing.pack_documents(docs, work, capacity=200, shard_pieces=30).collect()
+    words = Counter()
+    for r in got:
+        words[r["doc_id"]] += r["size"]
+    want = Counter()
+    for r in rows():
+        want[r[0]] += n_words(r[1])
+    assert words == want and {r["doc_id"] for r in got} == {r[0] for r in rows()}
+    assert sorted(r["copy"] for r in got if r["doc_id"] == 110) == [1, 2, 3]
+    bins = defaultdict(list)
+    for r in got:
+        bins[r["bin_id"]].append(r)
+    for held in bins.values():
+        held.sort(key=lambda r: (r["bin_offset"], r["size"]))
+        at = 0
+        for r in held:
+            assert r["bin_offset"] == at
+            at += r["size"]
+        assert at <= 200
+        for c in ("source", "cluster"):
+            known = [r[c] for r in held if r[c] is not None]
+            assert len(known) == len(set(known))
+    assert packing.pack_documents(documents(spark, []), work).collect() == []
+
+
+# Language and quality
+
+def test_gradients_agree_with_differences():
+    rng = np.random.default_rng(3)
+    windows, _ = language.windows_of([b"abc", b"hello", bytes(range(70))])
+    windows, labels = windows[:, :9], np.array([0, 1, 1, 0])[: len(windows)]
+    net = language.train(windows, labels, ["a", "b"], steps_=1)
+    for p in language.Network.PARTS:
+        setattr(net, p, getattr(net, p).astype(np.float64))
+
+    def loss():
+        out = language._label(net, language._run(net, windows).astype(np.float64))
+        real = (windows != language._PAD).T
+        return -(np.log(out[:, np.arange(len(labels)), labels]) * real).sum() / real.sum()
+
+    grads = language._gradients(net, windows, labels)
+    for p in language.Network.PARTS:
+        array = getattr(net, p)
+        for _ in range(6):
+            at = tuple(rng.integers(0, s) for s in array.shape)
+            if p == "x":
+                at = (at[0], int(windows[0, 0]), at[2])
+            old = array[at]
+            array[at] = old + 1e-2
+            up = loss()
+            array[at] = old - 1e-2
+            down = loss()
+            array[at] = old
+            assert grads[p][at] == pytest.approx((up - down) / 2e-2, abs=2e-3)
+
+
+def test_language_on_held_out_documents(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(language, "TRAIN_STEPS", 150)
+    docs = documents(spark)
+    net = language.fit(docs)
+    got = {r["doc_id"]: r for r in language.identify(docs, net).collect()}
+    assert net.langs == ["en", "fr"]
+    assert np.mean([got[r[0]]["lang_pred"] == r[2] for r in rows()[:60]]) > 0.9
+    assert all(got[d]["lang_pred"] == "und" and got[d]["score"] == 0 for d in (103, 104, 105, 106))
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    kept = language.keep_identified(docs, net)
+    assert kept.columns == docs.columns and not {103, 104, 105, 106} & {r["doc_id"] for r in kept.collect()}
+    assert language.fit(documents(spark, [])) is None
+    assert [r["lang_pred"] for r in language.identify(docs, None).collect()] == ["und"] * len(rows())
+
+
+def test_pooling_is_the_mean_over_all_positions():
+    net = language.train(*(lambda w: (w, np.zeros(len(w), int)))(language.windows_of([b"some text here"])[0]), ["x", "y"], steps_=1)
+    long = bytes(np.random.default_rng(0).integers(32, 127, 1000).astype(np.uint8))
+    got = language.probabilities(net, [b"", long], block=3)
+    windows, _ = language.windows_of([long])
+    one_by_one = sum(language._label(net, language._run(net, w[None]))[: int((w != 256).sum()), 0].sum(0) for w in windows)
+    assert np.allclose(got[1], one_by_one / 1000, atol=1e-5) and not got[0].any()
+
+
+def plain_contexts(texts):
+    places, signs = quality.index_vectors()
+    table = np.zeros((quality.BUCKETS, quality.DIMS))
+    for words in texts:
+        for i, w in enumerate(words):
+            for j in range(max(0, i - quality.REACH), min(len(words), i + quality.REACH + 1)):
+                for k in range(quality.NONZERO):
+                    table[w, places[words[j], k]] += signs[words[j], k]
+    return table
+
+
+def test_contexts_against_plain_loops():
+    texts = [quality.words(t) for t in ("a b c a, d!!", "", "x", None, "b a b a b")]
+    table = np.zeros(quality.BUCKETS * quality.DIMS)
+    quality.add_contexts(table, texts)
+    assert np.array_equal(table.reshape(quality.BUCKETS, -1), plain_contexts(texts))
+
+
+def test_pooling_of_long_texts_goes_in_parts():
+    vectors = np.random.default_rng(0).normal(size=(quality.BUCKETS, quality.DIMS)).astype(np.float32)
+    text = " ".join(f"w{i % 977}" for i in range(40_000))
+    held = vectors[quality.words(text)].astype(float)
+    want = np.concatenate([held.mean(0), held.std(0), np.abs(np.diff(held, axis=0)).mean(0)])
+    assert np.allclose(quality.pooled(vectors, [text, "", None])[0], want, atol=1e-3)
+
+
+def test_quality_on_documents(spark):
+    docs = documents(spark)
+    labels = spark.createDataFrame([(i, int(i % 6 != 5), 0) for i in range(60)] + [(0, None, 0), (999, 1, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    net = quality.fit(docs, labels)
+    got = quality.score(docs, net).collect()
+    by_id = {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows()) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
+    assert np.mean([by_id[i]["predicted"] == (i % 6 != 5) for i in range(60)]) > 0.9
+    assert by_id[103]["score"] == by_id[104]["score"]
+    again = {r["doc_id"]: r["score"] for r in quality.score(docs.repartition(5), quality.fit(docs.repartition(5), labels)).collect()}
+    assert all(again[d] == r["score"] for d, r in by_id.items())
+    assert quality.keep_good(docs, net).columns == docs.columns
+    assert quality.fit(documents(spark, []), labels) is None and quality.score(docs, None).first()["score"] == 0.5
+
+
+def test_temperature_makes_held_labels_likelier():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(600, quality.POOLED)).astype(np.float32)
+    y = (x[:, 0] + rng.normal(size=600) > 0).astype(int)
+    assert quality.fit_network(None, x, y).temperature > 1  # a network that overfits is too sure
