@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from airgrid.llm import attribution, jaccard, language, mincut, mixing, onebit, packing, planes, products, quality
 from airgrid.llm.common import held_out, read_table
+from airgrid.llm.oracles import ORACLES
 from airgrid.session import Workspace
 
 #: Folder of the public tokenizer files; a parameter, as the files are not part of the repository.
