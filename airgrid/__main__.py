@@ -6,21 +6,31 @@ or, on a cluster, `spark-submit --py-files airgrid.zip airgrid/__main__.py ...`
 
 Unifies the grids into the network table (or takes `--network` as it is when no grids are given),
 then forecasts from the start day on and appends to the tables below `--tables`.
+
+Instead of the built-in unification, `--sql` steps can make the network table: one query per file, run in order over
+`{old}`, `{new}` and the steps before; the last result is the network table, and each step's row count goes to
+the table `step_counts`. Of the network table only the days that the result holds are replaced.
+
+`--source` and `--sink` say where tables are: `files` (paths), `catalog` (names), or `jdbc` (names in the database that
+AIRGRID_JDBC_URL and its companions point to; what a run needs of it is read once and staged).
 """
 
 import argparse
 import json
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from airgrid import config
 from airgrid.functions.calendar import FoldCalendar, default_start
 from airgrid.operators.boosting import BoostingSettings
 from airgrid.operators.sgd import SgdSettings
-from airgrid.plans.forecast import append_forecast, run_forecast
+from airgrid.plans.forecast import run_forecast, run_tables
+from airgrid.schema import conform
 from airgrid.session import Workspace, build_session
-from airgrid.sources.tables import read_blocks, write_blocks
+from airgrid.sources.sinks import append_run, append_run_table, stamp
+from airgrid.sources.steps import Step, run_steps
+from airgrid.sources.tables import RelationalStore, read_blocks, replace_days, table_blocks, write_blocks
 from airgrid.sources.unify import unify
 
 
@@ -32,7 +42,10 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--rename-old", type=json.loads, default={}, help='JSON, such as {"title": "prgname"}')
     parser.add_argument("--rename-new", type=json.loads, default={}, help="the same for the new grid")
     parser.add_argument("--format", default="parquet", help="file format of the grids")
-    parser.add_argument("--tables", required=True, help="folder of the forecast, coefficient and status tables")
+    parser.add_argument("--sql", nargs="+", default=[], metavar="FILE", help="SQL steps that make the network table from the grids")
+    parser.add_argument("--source", choices=["files", "catalog", "jdbc"], default="files", help="where grids and network table are")
+    parser.add_argument("--sink", choices=["files", "catalog", "jdbc"], default="files", help="where the result tables go")
+    parser.add_argument("--tables", required=True, help="folder of the forecast, coefficient and status tables, or what their names begin with")
     parser.add_argument("--start", type=date.fromisoformat, default=None, help="first day to forecast (default: three days ago)")
     parser.add_argument("--lookback", type=int, default=config.LOOKBACK_DAYS)
     parser.add_argument("--step", type=int, default=config.STEP_DAYS)
@@ -43,29 +56,75 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--iterations", type=int, nargs="+", default=config.BOOSTING_ITERATIONS)
     parser.add_argument("--depths", type=int, nargs="+", default=config.BOOSTING_DEPTHS)
     parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--fits-at-once", type=int, default=8, help="boosting fits that run side by side")
     parser.add_argument("--replace-run", action="store_true", help="overwrite this run date instead of appending again")
     parser.add_argument("--keep-stages", action="store_true", help="leave the intermediate tables in the shared folder")
-    return parser.parse_args(arguments)
+    options = parser.parse_args(arguments)
+    if bool(options.old) != bool(options.new):
+        parser.error("--old and --new go together: unifying takes both grids")
+    if options.sql and not options.old:
+        parser.error("--sql steps need --old and --new")
+    if options.source == "jdbc" and options.old:
+        parser.error("grids are read from files or the catalog; of a database only the network table is")
+    if options.replace_run and options.sink != "files":
+        parser.error("--replace-run works on files only")
+    return options
+
+
+def network(spark: SparkSession, options: argparse.Namespace, calendar: FoldCalendar, work: Workspace) -> DataFrame:
+    """The network table, made from the grids first if there are any."""
+    if options.old:
+        load = spark.table if options.source == "catalog" else spark.read.format(options.format).load
+        old, new = load(options.old), load(options.new)
+        if options.sql:
+            steps = [Step.from_file(path) for path in options.sql]
+            made, counts = run_steps(spark, steps, {"old": old, "new": new}, work)
+            blocks = conform(made[steps[-1].name])
+            counted = spark.createDataFrame(counts, "step string, row_count long")
+            save(stamp(counted, calendar), "step_counts", options, calendar)
+        else:
+            blocks = unify(old, new, options.rename_old, options.rename_new)
+        if options.source == "catalog":
+            replace_days(blocks, options.network)
+        else:
+            write_blocks(blocks, options.network)
+    if options.source == "catalog":
+        return table_blocks(spark, options.network)
+    if options.source == "jdbc":
+        store = RelationalStore.from_environment()
+        return work.keep(store.read_blocks(spark, options.network, calendar.history_floor, calendar.folds[-1].target_to), "network")
+    return read_blocks(spark, options.network)
+
+
+def save(rows: DataFrame | None, name: str, options: argparse.Namespace, calendar: FoldCalendar) -> None:
+    if options.sink == "files":
+        append_run(rows, f"{options.tables}/{name}", options.replace_run, calendar.run_date)
+    elif rows is not None and options.sink == "catalog":
+        append_run_table(rows, f"{options.tables}{name}")
+    elif rows is not None:
+        RelationalStore.from_environment().append(rows, f"{options.tables}{name}")
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
     options = parse(arguments)
     spark = spark or build_session()
-    if options.old and options.new:
-        old, new = [spark.read.format(options.format).load(path) for path in (options.old, options.new)]
-        write_blocks(unify(old, new, options.rename_old, options.rename_new), options.network)
     calendar = FoldCalendar(
         options.start or default_start(), options.lookback, options.step, options.horizon, options.history_floor
     )
     work = Workspace(spark)
-    run = run_forecast(
-        read_blocks(spark, options.network), calendar, work, options.channels, options.exclude,
-        SgdSettings(seed=options.seed),
-        BoostingSettings(iterations=options.iterations, depths=options.depths, seed=options.seed),
-    )
-    append_forecast(run, options.tables, options.replace_run)
-    if not options.keep_stages:
-        work.remove()
+    try:
+        run = run_forecast(
+            network(spark, options, calendar, work), calendar, work, options.channels, options.exclude,
+            SgdSettings(seed=options.seed),
+            BoostingSettings(
+                iterations=options.iterations, depths=options.depths, seed=options.seed, fits_at_once=options.fits_at_once
+            ),
+        )
+        for name, rows in run_tables(run).items():
+            save(rows, name, options, calendar)
+    finally:
+        if not options.keep_stages:
+            work.remove()
 
 
 if __name__ == "__main__":

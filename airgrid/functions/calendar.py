@@ -124,16 +124,3 @@ class FoldCalendar:
         for fold in rest:
             number = number.when((blockdate > fold.cutoff) & (blockdate <= fold.target_to), fold.number)
         return number
-
-    def frame(self, spark: SparkSession) -> DataFrame:
-        """The calendar as a table, derived with Spark's date functions."""
-        cutoff = F.date_sub(F.lit(self.start), (F.lit(self.lookback + 1) - F.col("id") * self.step).cast("int"))
-        last = F.col("id") == len(self.folds) - 1
-        horizon = F.when(last, self.last_horizon).otherwise(self.step)
-        return spark.range(len(self.folds), numPartitions=1).select(
-            F.col("id").cast("int").alias("fold"),
-            date_key(cutoff).alias("cutoff"),
-            date_key(F.date_sub(cutoff, config.WEEK_DAYS)).alias("week_from"),
-            date_key(F.date_sub(cutoff, config.MONTH_DAYS)).alias("month_from"),
-            date_key(F.date_add(cutoff, horizon)).alias("target_to"),
-        )

@@ -16,8 +16,8 @@ def weights_of(name: str) -> list[Column]:
 
 
 def linear_score(weights: list[Column]) -> Column:
-    """Weighted sum of the features; a missing term counts as zero."""
-    return sum((F.coalesce(t, F.lit(0.0)) for t in _terms(weights)), F.lit(0.0))
+    """Weighted sum of the features; a term that is missing or not a number counts as zero, an infinite one stays."""
+    return sum((F.coalesce(F.nanvl(t, F.lit(0.0)), F.lit(0.0)) for t in _terms(weights)), F.lit(0.0))
 
 
 def strict_score(weights: list[Column]) -> Column:

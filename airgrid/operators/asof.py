@@ -59,31 +59,3 @@ def per_fold(averages: DataFrame) -> DataFrame:
         averages.select(*keys, "first_fold", zipped).where("fold >= first_fold")
         .select("fold", *keys, *[F.col(f"mean.{name}").alias(name) for name in means])
     )
-
-
-def rows_as_of(blocks: DataFrame, keys: list[str], calendar: FoldCalendar) -> DataFrame:
-    """How many rows each fold may learn from and has to predict, and the days on either side of its cutoff."""
-    day = F.col("blockdate")
-    measures = {
-        "n_history": lambda f: F.count_if(day <= f.cutoff),
-        "last_history": lambda f: F.max(F.when(day <= f.cutoff, day)),
-        "n_target": lambda f: F.count_if((day > f.cutoff) & (day <= f.target_to)),
-        "first_target": lambda f: F.min(F.when((day > f.cutoff) & (day <= f.target_to), day)),
-    }
-    wide = blocks.groupBy(*keys).agg(
-        F.min(day).alias("first_day"),
-        *[measure(f).alias(f"{name}_{f.number}") for f in calendar.folds for name, measure in measures.items()],
-    )
-    per_fold = F.array(*[
-        F.struct(
-            F.lit(f.number).alias("fold"),
-            F.lit(f.cutoff).alias("cutoff"),
-            *[F.col(f"{name}_{f.number}").alias(name) for name in measures],
-        )
-        for f in calendar.folds
-    ])
-    return (
-        wide.select(*keys, "first_day", F.inline(per_fold))
-        .where(F.col("first_day") <= F.col("cutoff"))
-        .select("fold", *keys, *measures)
-    )

@@ -16,6 +16,8 @@ from airgrid.schema import SEGMENT
 from airgrid.session import Workspace
 
 LOWEST = -1.7976931348623157e308
+#: Training rows per partition of a segment.
+PARTITION_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -38,29 +40,38 @@ class BoostedSegment:
     error: str | None = None
 
 
-def with_cv_folds(train: DataFrame, channels: list[str], folds: int) -> DataFrame:
+def with_cv_folds(train: DataFrame, folds: int) -> DataFrame:
     """Give each segment's rows contiguous validation folds of about equal size, in order of time.
 
     Fold borders are found on row counts per day and slot, a table bounded by the calendar; the rows
-    themselves are never sorted or numbered.
+    themselves are never sorted or numbered. A border inside a day and slot is a share of its rows: a
+    hash of the block decides which side a row is on, so that a moment with many rows is split too.
     """
-    moment = (F.col("blockdate").cast("long") * 100 + F.col("hour")).alias("moment")
-    cells = train.groupBy(*SEGMENT, moment).agg(F.count(F.lit(1)).alias("n"))
+    moment = F.col("blockdate").cast("long") * 100 + F.col("hour")
+    cells = train.groupBy(*SEGMENT, moment.alias("moment")).agg(F.count(F.lit(1)).alias("n"))
     segment = Window.partitionBy(*SEGMENT)
-    before = F.sum("n").over(segment.orderBy("moment")) - F.col("n")
-    cells = cells.withColumn("fold", F.floor(before * folds / F.sum("n").over(segment)))
+    cells = cells.withColumn("until", F.sum("n").over(segment.orderBy("moment"))).withColumn("total", F.sum("n").over(segment))
     borders = cells.groupBy(*SEGMENT).agg(*[
-        F.min(F.when(F.col("fold") >= k, F.col("moment"))).alias(f"from_{k}") for k in range(1, folds)
+        F.min(F.when(F.col("until") * folds > F.col("total") * k, F.struct(
+            "moment", (F.ceil(F.col("total") * k / folds - F.col("until") + F.col("n")) / F.col("n")).alias("share"),
+        ))).alias(f"from_{k}") for k in range(1, folds)
     ])
-    fold = sum((F.coalesce((moment >= F.col(f"from_{k}")).cast("int"), F.lit(0)) for k in range(1, folds)), F.lit(0))
-    return join_per_segment(train, borders, channels).select(*train.columns, fold.alias("cv_fold"))
-
-
-def training_table(train: DataFrame, channels: list[str], settings: BoostingSettings, work: Workspace) -> DataFrame:
-    """Only what the fits need, written by segment and validation fold, so that each fit reads its own files."""
-    rows = with_cv_folds(train, channels, settings.cv_folds)
+    # The first 32 bits of a digest, as a number from 0 to 1.
+    place = F.conv(F.substring(F.md5(F.col("blockid").cast("string").cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    fold = sum((
+        F.coalesce((
+            (moment > F.col(f"from_{k}.moment")) | ((moment == F.col(f"from_{k}.moment")) & (F.coalesce(place, F.lit(0.0)) >= F.col(f"from_{k}.share")))
+        ).cast("int"), F.lit(0))
+        for k in range(1, folds)
+    ), F.lit(0))
+    return join_per_segment(train, borders).select(*train.columns, fold.alias("cv_fold"))
+
+
+def training_table(train: DataFrame, settings: BoostingSettings, work: Workspace) -> DataFrame:
+    """Only what the fits need, written by segment, so that each segment is read from its own files."""
+    rows = with_cv_folds(train, settings.cv_folds)
     rows = rows.select(*SEGMENT, *config.FEATURES, config.LABEL, "cv_fold")
-    return work.keep(rows, "train", partition_by=[*SEGMENT, "cv_fold"])
+    return work.keep(rows, "train", partition_by=SEGMENT)
 
 
 def assemble(rows: DataFrame, missing: float | None = None) -> DataFrame:
@@ -90,60 +101,78 @@ def _in_parallel(rows: DataFrame, settings: BoostingSettings, work, jobs: list)
         return pool.map(inheritable_thread_target(rows.sparkSession)(attempt), jobs, chunksize=1)
 
 
-def fold_scores(train: DataFrame, settings: BoostingSettings, segment: tuple[str, str], depth: int, fold: int) -> list[float]:
-    """Validation r2 on one fold for every number of iterations.
+def fold_sizes(train: DataFrame, segments: list[tuple[str, str]]) -> dict[tuple[str, str], dict[int, tuple[int, float]]]:
+    """Rows and label variance of every validation fold, from one pass: a few numbers per listed segment."""
+    found = {segment: {} for segment in segments}
+    rows = train.groupBy(*SEGMENT, "cv_fold").agg(F.count(F.lit(1)).alias("n"), F.var_pop(config.LABEL).alias("spread"))
+    for r in rows.collect():
+        if (r["cnlname"], r["day_type"]) in found:
+            found[r["cnlname"], r["day_type"]][r["cv_fold"]] = r["n"], r["spread"]
+    return found
+
+
+def fold_scores(
+    rows: DataFrame, settings: BoostingSettings, depth: int, fold: int, spread: float | None
+) -> list[float]:
+    """Validation r2 on one fold of a segment's assembled rows for every number of iterations.
 
     Boosting only ever adds trees, so one fit of the longest run scores all the shorter ones.
     """
-    rows = assemble(_segment(train, segment)).select("features", config.LABEL, "cv_fold")
-    held_out = rows.where(F.col("cv_fold") == fold)
     model = _trees(settings, max(settings.iterations), depth).fit(rows.where(F.col("cv_fold") != fold))
-    errors = model.evaluateEachIteration(held_out, "squared")
-    spread = held_out.agg(F.var_pop(config.LABEL)).first()[0]
+    errors = model.evaluateEachIteration(rows.where(F.col("cv_fold") == fold), "squared")
     return [1.0 - float(errors[n - 1]) / spread if spread else float("nan") for n in settings.iterations]
 
 
+def _search(rows: DataFrame, settings: BoostingSettings, folds: dict[int, tuple[int, float]]) -> dict:
+    """Mean validation r2 of every setting, over the folds that have rows on both sides and could be fitted."""
+    jobs = [(depth, fold) for depth in settings.depths for fold in sorted(folds)]
+    found = _in_parallel(rows, settings, lambda depth, fold: fold_scores(rows, settings, depth, fold, folds[fold][1]), jobs)
+    scores = {}
+    for (depth, _), result in zip(jobs, found):
+        if not isinstance(result, Exception):
+            for iterations, r2 in zip(settings.iterations, result):
+                scores.setdefault((iterations, depth), []).append(r2)
+    return {setting: sum(r2) / len(r2) for setting, r2 in sorted(scores.items())}
+
+
 def fit_boosted(
     train: DataFrame, segments: list[tuple[str, str]], settings: BoostingSettings = BoostingSettings()
 ) -> list[BoostedSegment]:
     """Search the grid by mean validation r2 and refit the best setting on all rows, for each segment.
 
-    Segments are independent: one that fails is recorded and the rest go on. Every fit is a
-    distributed Spark ML job over its own files of the training table. What comes to the driver is
-    one number per setting, fold and segment.
+    Segments are independent: one that fails is recorded and the rest go on. A search without a result
+    (a single fold, or no fold that can be fitted) leaves the first setting. Every fit is a distributed
+    Spark ML job over its segment's assembled rows, which are read once and kept in memory or on disk for
+    all of its fits; a small segment is one partition. What comes to the driver is one number per setting,
+    fold and segment.
     """
-    errors, scores = {}, {}
-    best = {segment: (settings.iterations[0], settings.depths[0]) for segment in segments}
-    if len(settings.iterations) * len(settings.depths) > 1:
-        jobs = [(s, depth, fold) for s in segments for depth in settings.depths for fold in range(settings.cv_folds)]
-        found = _in_parallel(train, settings, lambda *job: fold_scores(train, settings, *job), jobs)
-        for (segment, depth, _), result in zip(jobs, found):
-            if isinstance(result, Exception):
-                errors.setdefault(segment, result)
-                continue
-            for iterations, r2 in zip(settings.iterations, result):
-                scores.setdefault(segment, {}).setdefault((iterations, depth), []).append(r2)
-        for segment in [s for s in segments if s not in errors]:
-            scores[segment] = {setting: sum(r) / len(r) for setting, r in sorted(scores[segment].items())}
-            best[segment] = max(scores[segment], key=lambda setting: _rank(scores[segment][setting]))
+    sizes = fold_sizes(train, segments)
+    several = len(settings.iterations) * len(settings.depths) > 1
 
-    def refit(segment):
-        rows = assemble(_segment(train, segment)).select("features", config.LABEL)
-        return _trees(settings, *best[segment]).fit(rows)
+    def one(segment):
+        folds = sizes[segment]
+        rows = assemble(_segment(train, segment)).select("features", config.LABEL, "cv_fold")
+        rows = rows.coalesce(max(1, math.ceil(sum(n for n, _ in folds.values()) / PARTITION_ROWS))).persist()
+        try:
+            scores = _search(rows, settings, folds) if several and len(folds) > 1 else {}
+            best = max(scores, key=lambda s: _rank(scores[s])) if scores else (settings.iterations[0], settings.depths[0])
+            return _trees(settings, *best).fit(rows.select("features", config.LABEL)), scores
+        finally:
+            rows.unpersist()
 
-    left = [s for s in segments if s not in errors]
-    models = dict(zip(left, _in_parallel(train, settings, refit, [(s,) for s in left])))
-    return [_outcome(s, errors.get(s, models.get(s)), scores.get(s, {})) for s in segments]
+    found = _in_parallel(train, settings, one, [(s,) for s in segments])
+    return [_outcome(s, result) for s, result in zip(segments, found)]
 
 
 def _rank(r2: float) -> float:
     return float("-inf") if math.isnan(r2) else r2
 
 
-def _outcome(segment: tuple[str, str], result, scores: dict) -> BoostedSegment:
+def _outcome(segment: tuple[str, str], result) -> BoostedSegment:
     if isinstance(result, Exception):
-        return BoostedSegment(*segment, error=f"{type(result).__name__}: {result}"[:500])
-    return BoostedSegment(*segment, result, [(*setting, r2) for setting, r2 in scores.items()])
+        return BoostedSegment(*segment, error=f"{type(result).__name__}: {result}")
+    model, scores = result
+    return BoostedSegment(*segment, model, [(*setting, r2) for setting, r2 in scores.items()])
 
 
 def _segment(rows: DataFrame, segment: tuple[str, str]) -> DataFrame:

@@ -17,10 +17,11 @@ def moment_matrix(packed) -> np.ndarray:
     return full
 
 
-def solve_nnls(gram: np.ndarray, xty: np.ndarray, tolerance: float = 1e-10) -> np.ndarray:
+def solve_nnls(gram: np.ndarray, xty: np.ndarray, tolerance: float = 1e-10) -> np.ndarray | None:
     """Minimise c'Gc - 2c'b over c >= 0 with the active-set method of Lawson and Hanson (1974).
 
     Columns are scaled to unit norm first; a column that is all zero keeps coefficient zero.
+    None if the optimality conditions are not met after many more steps than columns.
     """
     norm = np.sqrt(np.diag(gram))
     norm[norm == 0] = 1.0
@@ -31,7 +32,7 @@ def solve_nnls(gram: np.ndarray, xty: np.ndarray, tolerance: float = 1e-10) -> n
     for _ in range(20 * len(b)):
         slope = np.where(free, -np.inf, b - g @ c)
         if slope.max() <= limit:
-            break
+            return c / norm
         free[slope.argmax()] = True
         while True:
             trial = np.zeros(len(b))
@@ -44,7 +45,7 @@ def solve_nnls(gram: np.ndarray, xty: np.ndarray, tolerance: float = 1e-10) -> n
             free &= c > 1e-14
             c[~free] = 0.0
         c = trial
-    return c / norm
+    return None
 
 
 def fit_nnls(moments: DataFrame) -> DataFrame:

@@ -8,8 +8,6 @@ from airgrid.functions.calendar import FoldCalendar, day_type
 from airgrid.schema import SEGMENT
 
 DAY_TYPES = ["weekdays", "weekend"]
-# Per-segment tables get a broadcast hint only below this many rows; beyond it Spark decides.
-BROADCAST_SEGMENTS = 20_000
 
 
 def listed_channels(channels: list[str] | None = None, excluded: list[str] | None = None) -> list[str]:
@@ -33,10 +31,9 @@ def segment_list(spark: SparkSession, channels: list[str]) -> DataFrame:
     return spark.createDataFrame([(c, d) for c in channels for d in DAY_TYPES], "cnlname string, day_type string")
 
 
-def join_per_segment(rows: DataFrame, per_segment: DataFrame, channels: list[str]) -> DataFrame:
-    """Attach one row per segment. The channel list bounds that side at two rows per channel."""
-    small = len(channels) * len(DAY_TYPES) <= BROADCAST_SEGMENTS
-    return rows.join(F.broadcast(per_segment) if small else per_segment, SEGMENT)
+def join_per_segment(rows: DataFrame, per_segment: DataFrame) -> DataFrame:
+    """Attach one row per segment. Spark picks the join by the size of that side, so pass a written stage where it can be."""
+    return rows.join(per_segment, SEGMENT)
 
 
 def label_statistics(rows: DataFrame) -> DataFrame:
@@ -50,14 +47,14 @@ def label_statistics(rows: DataFrame) -> DataFrame:
     )
 
 
-def trimmed_train(rows: DataFrame, statistics: DataFrame, channels: list[str]) -> DataFrame:
+def trimmed_train(rows: DataFrame, statistics: DataFrame) -> DataFrame:
     """Training rows whose label stays strictly below mean + 3 deviations.
 
     There is no lower bound. Rows without label fall out, and so does a segment's only row.
     """
     upper = F.col("label_mean") + config.TRIM_SIGMAS * F.col("label_std")
     return (
-        join_per_segment(rows.where("is_train"), statistics.select(*SEGMENT, "label_mean", "label_std"), channels)
+        join_per_segment(rows.where("is_train"), statistics.select(*SEGMENT, "label_mean", "label_std"))
         .where(F.col(config.LABEL) < upper)
         .select(*rows.columns)
     )

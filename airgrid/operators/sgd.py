@@ -36,6 +36,10 @@ def draw_order(train: DataFrame, settings: SgdSettings) -> DataFrame:
     Each task passes on its own earliest rows, then `SPREAD` groups per segment, then one: no task
     ever holds a segment.
     """
+    # Spark cuts a window's rows map-side only up to this many of them.
+    limit, conf = "spark.sql.optimizer.windowGroupLimitThreshold", train.sparkSession.conf
+    if int(conf.get(limit)) < settings.max_iter:
+        conf.set(limit, str(settings.max_iter))
     x = [F.col(name).cast("double").alias(name) for name in config.FEATURES]
     rows = train.select(*SEGMENT, *x, config.LABEL).groupBy(*SEGMENT, *config.FEATURES, config.LABEL).agg(
         F.count(F.lit(1)).alias("m")

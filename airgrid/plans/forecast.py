@@ -4,6 +4,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airgrid import config
 from airgrid.functions.calendar import FoldCalendar
@@ -20,6 +21,11 @@ SAMPLE_COLUMNS = [
     "Movies_diff", "Series_diff",
 ]
 FORECAST_COLUMNS = [*SAMPLE_COLUMNS, "Pred_GBT", "Pred_SGD", "Pred_NNLS", "Today"]
+FORECAST = T.StructType([
+    *BLOCKS.fields, T.StructField("weekday", T.IntegerType()), T.StructField("hour", T.IntegerType()),
+    *[T.StructField(c, T.DoubleType()) for c in [*SAMPLE_COLUMNS[len(BLOCKS) + 2 :], "Pred_GBT", "Pred_SGD", "Pred_NNLS"]],
+    T.StructField("Today", T.StringType()),
+])
 
 
 @dataclass(frozen=True)
@@ -44,7 +50,7 @@ def model_sample(
     labelled = segments.with_segments(sample, calendar, channels)
     rows = work.keep(labelled, "sample", partition_by=[*SEGMENT, "is_train"])
     statistics = work.keep(segments.label_statistics(rows), "statistics")
-    return Modelled(rows, statistics, segments.trimmed_train(rows, statistics, channels), channels)
+    return Modelled(rows, statistics, segments.trimmed_train(rows, statistics), channels)
 
 
 def fit_linear(
@@ -56,14 +62,11 @@ def fit_linear(
     return work.keep(linear.join(sgd.final_weights(trace), SEGMENT, "left"), "coefficients"), trace
 
 
-def score_linear(rows: DataFrame, coefficients: DataFrame, channels: list[str]) -> DataFrame:
-    """Both linear predictions for the rows of every fitted segment."""
+def score_linear(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
+    """Both linear predictions for the rows of every fitted segment; weights that ran off to infinity show in them."""
     fitted = coefficients.where("nnls is not null").select(*SEGMENT, "nnls", "sgd")
-    scored = segments.join_per_segment(rows, fitted, channels)
-    # A weight that ran off counts as nothing, as a missing feature does.
-    settled = F.transform("sgd", lambda w: F.when(F.isnan(w * 0), None).otherwise(w))
     return (
-        scored.withColumn("sgd", settled)
+        segments.join_per_segment(rows, fitted)
         .withColumns({"Pred_SGD": linear_score(weights_of("sgd")), "Pred_NNLS": linear_score(weights_of("nnls"))})
         .drop("nnls", "sgd")
     )
@@ -76,6 +79,8 @@ class ForecastRun:
     trace: DataFrame
     status: DataFrame
     grid: DataFrame
+    run_date: str
+    boosted: list[boosting.BoostedSegment]
 
 
 def run_forecast(
@@ -97,12 +102,15 @@ def run_forecast(
     coefficients, trace = fit_linear(modelled, work, sgd_settings)
     status = work.keep(segments.segment_status(spark, modelled.statistics, coefficients, channels), "status")
     # At most two rows per listed channel come to the driver here.
-    ready = [(r.cnlname, r.day_type) for r in status.where("status = 'ready'").select(*SEGMENT).collect()]
+    solved = coefficients.where("nnls is not null").select(*SEGMENT)
+    ready = [(r.cnlname, r.day_type) for r in status.where("status = 'ready'").join(solved, SEGMENT, "left_semi").select(*SEGMENT).collect()]
 
-    train = boosting.training_table(modelled.train, channels, boosting_settings, work)
+    train = boosting.training_table(modelled.train, boosting_settings, work)
     boosted = boosting.fit_boosted(train, ready, boosting_settings)
 
-    test = score_linear(modelled.rows.where(~F.col("is_train")), coefficients, channels)
+    # Written by segment, so that each segment's trees read its own files once and join nothing.
+    test = score_linear(modelled.rows.where(~F.col("is_train")), coefficients)
+    test = work.keep(test, "linear", partition_by=SEGMENT)
     forecast = boosting.score_boosted(test, boosted)
     if forecast is not None:
         forecast = sinks.stamp(forecast, calendar).select(*FORECAST_COLUMNS)
@@ -116,24 +124,27 @@ def run_forecast(
     )
     outcome = (
         F.when(F.col("status") != "ready", F.col("status"))
+        .when(~F.coalesce("solved", F.lit(False)), "failed")
         .when(F.col("error").isNotNull(), "failed")
         .when(~F.coalesce("sgd_finite", F.lit(False)), "diverged")
         .otherwise("loaded")
     )
     status = (
         status.join(fits, SEGMENT, "left")
-        .join(coefficients.select(*SEGMENT, "sgd_finite"), SEGMENT, "left")
+        .join(coefficients.select(*SEGMENT, "sgd_finite", F.col("nnls").isNotNull().alias("solved")), SEGMENT, "left")
         .select(*SEGMENT, "n_train", "n_test", "n_kept", outcome.alias("status"), "error")
     )
     return ForecastRun(
         forecast, sinks.stamp(sinks.coefficient_rows(coefficients.where("nnls is not null")), calendar),
-        trace, sinks.stamp(status, calendar), grid,
+        trace, sinks.stamp(status, calendar), grid, calendar.run_date, boosted,
     )
 
 
 def append_forecast(run: ForecastRun, folder: str, replace_run: bool = False) -> None:
     """Append the run's forecast, coefficients and status to the tables below `folder`."""
-    if run.forecast is not None:
-        sinks.append_run(run.forecast, f"{folder}/forecast", replace_run)
-    sinks.append_run(run.coefficients, f"{folder}/coefficients", replace_run)
-    sinks.append_run(run.status, f"{folder}/segment_status", replace_run)
+    for name, rows in run_tables(run).items():
+        sinks.append_run(rows, f"{folder}/{name}", replace_run, run.run_date)
+
+
+def run_tables(run: ForecastRun) -> dict[str, DataFrame | None]:
+    return {"forecast": run.forecast, "coefficients": run.coefficients, "segment_status": run.status}

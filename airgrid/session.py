@@ -1,5 +1,6 @@
 """Spark session settings and the shared folder that stage outputs go to."""
 
+import re
 import tempfile
 import uuid
 from multiprocessing.pool import ThreadPool
@@ -26,11 +27,15 @@ def build_session(app_name: str = "airgrid", **conf) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder. Only a local-mode session may fall back to a folder of its own."""
+    """The cluster's checkpoint folder. Only a session within one process may fall back to a folder of its own, and
+    only executors on one machine may share a `file:` folder."""
+    master = spark.sparkContext.master
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder and folder.startswith("file:") and not master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}, which other machines don't see")
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="airgrid-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -1,7 +1,8 @@
 """Append tables: forecasts, coefficients and segment status, all stamped with the run date."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airgrid import config
 from airgrid.functions.calendar import FoldCalendar
@@ -13,22 +14,33 @@ def stamp(rows: DataFrame, calendar: FoldCalendar) -> DataFrame:
     return rows.withColumn("Today", F.lit(calendar.run_date))
 
 
-def append_run(rows: DataFrame, path: str, replace_run: bool = False) -> None:
+def append_run(rows: DataFrame | None, path: str, replace_run: bool = False, run_date: str | None = None) -> None:
     """Append stamped rows to a parquet table partitioned by run date, creating it if missing.
 
-    A plain append repeats the rows when a run is repeated; `replace_run` overwrites only the run
-    dates that `rows` holds.
+    A plain append repeats the rows when a run is repeated. `replace_run` overwrites the run dates that `rows`
+    holds, and clears `run_date` if the run has no rows for this table. Files are cut by size, however many
+    parts the rows come in.
     """
-    writer = rows.write.partitionBy("Today")
-    if replace_run:
+    if rows is not None:
+        writer = rows.hint("rebalance").write.partitionBy("Today")
+        if not replace_run:
+            writer.mode("append").parquet(path)
+            return
         writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    else:
-        writer.mode("append").parquet(path)
+    if replace_run and run_date is not None and (rows is None or rows.isEmpty()):
+        spark = SparkSession.active()
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/Today={run_date}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def read_run_table(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """A table that `append_run` wrote, in its own layout: the run date is text, as it was written, not a date."""
+    return spark.read.schema(layout).parquet(path)
 
 
 def append_run_table(rows: DataFrame, name: str) -> None:
     """The same for a catalog table."""
-    rows.write.mode("append").partitionBy("Today").format("parquet").saveAsTable(name)
+    rows.hint("rebalance").write.mode("append").partitionBy("Today").format("parquet").saveAsTable(name)
 
 
 def coefficient_rows(coefficients: DataFrame) -> DataFrame:

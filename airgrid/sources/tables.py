@@ -19,8 +19,27 @@ def table_blocks(spark: SparkSession, name: str) -> DataFrame:
 
 
 def write_blocks(blocks: DataFrame, path: str) -> None:
-    """Store a network table partitioned by day, so that date bounds skip whole folders."""
-    blocks.hint("rebalance", "blockdate").write.mode("overwrite").partitionBy("blockdate").parquet(path)
+    """Store blocks in a network table partitioned by day, so that date bounds skip whole folders.
+
+    Only the days that `blocks` holds are replaced, each when its rows are written; all other days stay as they are.
+    """
+    writer = blocks.hint("rebalance", "blockdate").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("blockdate").parquet(path)
+
+
+def replace_days(blocks: DataFrame, name: str) -> None:
+    """The same for a catalog table, which is created if it is missing."""
+    rows = blocks.hint("rebalance", "blockdate")
+    if not blocks.sparkSession.catalog.tableExists(name):
+        rows.write.partitionBy("blockdate").format("parquet").saveAsTable(name)
+        return
+    spark, mode = blocks.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        rows.select(*spark.table(name).columns).write.mode("overwrite").insertInto(name)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def month_predicates(first_day: int, last_day: int, column: str = "blockdate") -> list[str]:

@@ -2,7 +2,7 @@
 
 from airgrid import config
 from checks.grids import EVENT_CHANNELS, EVENT_GRID, LINE_CHANNELS, LINE_EXCLUDED, LINE_GRID
-from checks.queries import ETA, WEIGHTS
+from checks.queries import ETA, RUNAWAY, WEIGHTS
 
 AVERAGES = ["average_grp", "average_grp_week", "average_grp_month", "average_grp_line_prg", "average_pro2"]
 BLOCK_COLUMNS = (
@@ -29,7 +29,7 @@ def _in(names: list[str]) -> str:
 
 
 def _filled() -> str:
-    mean = "(select avg(average_grp) from raw)"
+    mean = "(select mean from overall)"
     return f"""
 select * replace (
   coalesce(average_grp, {mean}) as average_grp,
@@ -73,6 +73,7 @@ from target t
 left join by_time a on t.fold = a.fold and t.weekday = a.weekday and t.cnlname = a.cnlname and t.hour = a.hour
 left join by_line l on t.fold = l.fold and t.proid is not distinct from l.proid and t.hour = l.hour and t.weekday = l.weekday
 left join by_title p on t.fold = p.fold and t.pro2 = p.pro2 and t.hour = p.hour and t.cnlname is not distinct from p.cnlname""",
+        "overall": "select avg(average_grp) as mean from raw",
         "filled": _filled(),
         "sample": """
 select *, (average_pro2 - average_grp_line_prg) * is_movie as "Movies_diff",
@@ -115,7 +116,8 @@ select {BLOCK_COLUMNS} from (
 
 
 def _sql(tables: dict[str, str], body: str) -> str:
-    return "with " + ",\n".join(f"{name} as ({text})" for name, text in tables.items()) + "\n" + body.strip()
+    kept = {name: " materialized" if name in ("raw", "overall") else "" for name in tables}
+    return "with " + ",\n".join(f"{name} as{kept[name]} ({text})" for name, text in tables.items()) + "\n" + body.strip()
 
 
 def events(body: str) -> str:
@@ -168,6 +170,14 @@ TERMS = [f"{w} * {f}" for w, f in zip(WEIGHTS, config.FEATURES)]
 STRICT = " + ".join(TERMS)
 LENIENT = " + ".join(f"coalesce({t}, 0)" for t in TERMS)
 TOTAL = sum(WEIGHTS)
+
+
+def _runaway(name: str) -> str:
+    weights = [RUNAWAY[name].get(i, w) for i, w in enumerate(WEIGHTS)]
+    terms = [f"'{w}'::double * {f}::double" for w, f in zip(weights, config.FEATURES)]
+    return " + ".join(f"coalesce(case when isnan({t}) then 0.0::double else {t} end, 0)" for t in terms)
+
+
 STEPPED = ", ".join(
     f"round({w} + 2 * {ETA} / n * {f} * residual, 6) + 0.0 as w_{f}" for w, f in zip(WEIGHTS, config.FEATURES)
 )
@@ -231,6 +241,11 @@ select cnlname, day_type, count(*) as n_kept, cast(i as int) as i, cast(j as int
   round(sum(z[i + 1] * z[j + 1]), 4) + 0.0 as total
 from z, range(10) a(i), range(10) b(j) where i <= j group by cnlname, day_type, i, j"""),
     "linear_score": events(f"select blockid, VIMB_type, round({LENIENT}, 6) + 0.0 as score from sample"),
+    "linear_score_runaway": events(f"""
+, scored as ({" union all ".join(f"select blockid, VIMB_type, '{name}' as weights, {_runaway(name)} as s from sample" for name in RUNAWAY)})
+select blockid, VIMB_type, weights,
+  case when isnan(s) then 'not a number' when s = 'inf'::double then 'above' when s = '-inf'::double then 'below' else 'finite' end as kind,
+  case when isfinite(s) then round(s, 6) + 0.0 end as score from scored"""),
     "linear_predict_strict": events(f"""
 select blockid, VIMB_type, round({STRICT}, 6) + 0.0 as strict, round({LENIENT}, 6) + 0.0 as lenient
 from (select *, (average_pro2 - average_grp_line_prg) * is_movie as "Movies_diff",
@@ -257,16 +272,24 @@ from own o join pairs r on o.cnlname = r.cnlname and o.day_type = r.day_type""")
 select *, true as repeatable, true as seed_matters, true as steps_in_range, true as finite from ({FITTED_SEGMENTS}) s"""),
     "sgd_trace": events(f"select *, true as no_gap, true as error_matches from ({FITTED_SEGMENTS}) s"),
     "cv_folds": events("""
-, placed as (select cnlname, day_type, blockdate::bigint * 100 + hour as moment,
-    (rank() over (partition by cnlname, day_type order by blockdate::bigint * 100 + hour) - 1) * 3
-      // count(*) over (partition by cnlname, day_type) as fold from train)
+, r as (select cnlname, day_type, blockdate::bigint * 100 + hour as moment,
+    ('0x' || substr(md5(blockid::varchar), 1, 8))::bigint / 4294967296.0 as place from train),
+c as (select *, count(*) over (partition by cnlname, day_type, moment) as n, count(*) over (partition by cnlname, day_type) as total,
+    rank() over (partition by cnlname, day_type order by moment) - 1 as before from r),
+placed as (select *,
+    case when total * 1 / 3.0 <= before then 1 when total * 1 / 3.0 < before + n and place >= ceil(total * 1 / 3.0 - before) / n then 1 else 0 end
+    + case when total * 2 / 3.0 <= before then 1 when total * 2 / 3.0 < before + n and place >= ceil(total * 2 / 3.0 - before) / n then 1 else 0 end
+    as fold from c)
 select cnlname, day_type, cast(fold as int) as cv_fold, count(*) as blocks, min(moment) as first_moment, max(moment) as last_moment
 from placed group by cnlname, day_type, fold"""),
     "boosted_forecast": events("""
 select s.cnlname, s.day_type, true as beats_mean, n_test as n_predicted from stats s"""),
+    "grid_search": events("""
+select s.cnlname, s.day_type, cast(i as int) as iterations, cast(d as int) as depth, true as r2_possible, true as refitted_if_best
+from stats s cross join (select unnest([5, 10]) as i) x cross join (select unnest([5, 6, 7, 8, 9, 10]) as d) y"""),
     "forecast": events("""
-select cnlname, day_type, '2024-01-28' as "Today", n_test as blocks, n_test as with_gbt, n_test as with_sgd, n_test as with_nnls
-from stats"""),
+select cnlname, day_type, '2024-01-28' as "Today", n_test as blocks, n_test as with_gbt, n_test as with_sgd, n_test as with_nnls,
+  true as best_refitted from stats"""),
     "run_status": _with(EVENT_TABLES, _status(CHANNEL_ROWS + " union all select 'off air' as cnlname").replace(
         "select l.cnlname, l.day_type", "select '2024-01-28' as \"Today\", l.cnlname, l.day_type").replace(
         "coalesce(n_kept, 0) as n_kept, coalesce(n_null, 0) as n_null,", "coalesce(n_kept, 0) as n_kept,").replace(

@@ -1,5 +1,6 @@
 """One query per operator over grids derived from the given tables."""
 
+import math
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +10,13 @@ from airgrid import config
 from airgrid.functions import calendar as cal
 from airgrid.functions.scoring import linear_score, sgd_step, strict_score, weights_of
 from airgrid.operators import boosting, features, history, moments, nnls, segments, sgd, targets
-from airgrid.operators.asof import per_fold, rows_as_of
+from airgrid.operators.asof import per_fold
 from airgrid.plans import forecast, sample
 from airgrid.schema import SEGMENT
 from airgrid.session import Workspace
 from airgrid.sources import sinks
 from airgrid.sources.steps import Step, run_steps
+from checks.calendars import calendar_frame, rows_as_of
 from checks.grids import (
     EVENT_CALENDAR, EVENT_CHANNELS, LINE_CALENDAR, LINE_CHANNELS, LINE_EXCLUDED,
     event_blocks, event_grids, line_blocks,
@@ -23,8 +25,9 @@ from checks.grids import (
 # Fixed weights for the queries that score or step without a fit.
 WEIGHTS = [0.25, 0.125, 0.0625, 0.5, 0.03125, 0.015625, 0.75, 0.375]
 ETA = 0.5
-SMALL_BOOSTING = boosting.BoostingSettings(iterations=[5], depths=[5])
-SMALL_GRID = boosting.BoostingSettings(iterations=[5, 10], depths=[5], cv_folds=2)
+# One setting, and a search of two with all folds, where the whole search (`grid_search`) would only repeat itself.
+ONE_SETTING = boosting.BoostingSettings(iterations=[5], depths=[5])
+TWO_SETTINGS = boosting.BoostingSettings(iterations=[5, 10], depths=[5])
 AVERAGES = ["average_grp", "average_grp_week", "average_grp_month", "average_grp_line_prg", "average_pro2"]
 
 
@@ -76,7 +79,7 @@ def target_grid(spark, sf_dir):
 
 
 def forecast_append(spark, sf_dir):
-    """Two runs three days apart appended to one table, the second one written again in place."""
+    """Two runs three days apart appended to one table, the second one written again in place; a third that ends empty."""
     path = Workspace(spark).path("forecast")
     rows = targets.target_grid(event_blocks(spark, sf_dir), EVENT_CALENDAR)
     test = rows.where(F.col("blockdate") >= EVENT_CALENDAR.start_key).select(
@@ -86,8 +89,10 @@ def forecast_append(spark, sf_dir):
     sinks.append_run(sinks.stamp(test, EVENT_CALENDAR), path)
     sinks.append_run(sinks.stamp(test, later), path)
     sinks.append_run(sinks.stamp(test, later), path, replace_run=True)
-    schema = sinks.stamp(test, later).schema
-    return spark.read.schema(schema).parquet(path)
+    last = cal.FoldCalendar(start=date(2024, 2, 1), lookback=14, step=7)
+    sinks.append_run(sinks.stamp(test, last), path)
+    sinks.append_run(None, path, replace_run=True, run_date=last.run_date)  # a run without rows clears its own date, no other
+    return sinks.read_run_table(spark, path, sinks.stamp(test, later).schema)
 
 
 # Calendar and scalar expressions
@@ -118,7 +123,7 @@ def day_names(spark, sf_dir):
 def fold_calendar(spark, sf_dir):
     """The fold calendar with the number of blocks each fold has before and after its cutoff."""
     counts = rows_as_of(line_blocks(spark, sf_dir), [], LINE_CALENDAR)
-    return LINE_CALENDAR.frame(spark).join(counts, "fold", "left").fillna(0, ["n_history", "n_target"])
+    return calendar_frame(LINE_CALENDAR, spark).join(counts, "fold", "left").fillna(0, ["n_history", "n_target"])
 
 
 def asof_folds(spark, sf_dir):
@@ -225,6 +230,25 @@ def linear_scores(spark, sf_dir):
     return rounded(rows.select("blockid", "VIMB_type", linear_score(fixed_weights()).alias("score")))
 
 
+RUNAWAY = {
+    "not_a_number": {1: math.nan}, "infinite": {0: math.inf}, "opposite": {0: math.inf, 3: -math.inf}, "mixed": {0: math.nan, 6: -math.inf},
+}
+
+
+def linear_score_runaway(spark, sf_dir):
+    """Scores of weights that ran off: terms that are not a number count as zero, infinite ones stay."""
+    rows = sample.feature_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, Workspace(spark))
+    scores = [
+        F.struct(F.lit(name).alias("weights"), linear_score([F.lit(runaway.get(i, w)) for i, w in enumerate(WEIGHTS)]).alias("score"))
+        for name, runaway in RUNAWAY.items()
+    ]
+    scored = rows.select("blockid", "VIMB_type", F.inline(F.array(*scores)))
+    kind = (
+        F.when(F.isnan("score"), "not a number").when(F.col("score") == math.inf, "above").when(F.col("score") == -math.inf, "below").otherwise("finite")
+    )
+    return rounded(scored.select("blockid", "VIMB_type", "weights", kind.alias("kind"), F.when(kind == "finite", F.col("score")).alias("score")))
+
+
 def linear_predict_strict(spark, sf_dir):
     """Missing features make the prediction missing: here on rows whose averages are not filled."""
     rows, _ = sample.raw_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, Workspace(spark))
@@ -239,7 +263,7 @@ def linear_predict_strict(spark, sf_dir):
 def _nnls_conditions(modelled):
     """Optimality of the coefficients, from the training rows themselves rather than from the moments."""
     fitted = nnls.fit_nnls(moments.segment_moments(modelled.train)).where("nnls is not null")
-    rows = segments.join_per_segment(modelled.train, fitted.select(*SEGMENT, "nnls"), modelled.channels)
+    rows = segments.join_per_segment(modelled.train, fitted.select(*SEGMENT, "nnls"))
     residual = F.col(config.LABEL) - strict_score(weights_of("nnls"))
     slopes = rows.groupBy(*SEGMENT, "nnls").agg(
         F.array(*[F.sum(residual * F.col(f)) / F.count(F.lit(1)) for f in config.FEATURES]).alias("slope")
@@ -275,7 +299,7 @@ def sgd_single_step(spark, sf_dir):
     """Weights after one step on each training row, from fixed weights."""
     modelled = event_model(spark, sf_dir)
     sizes = modelled.train.groupBy(*SEGMENT).agg(F.count(F.lit(1)).alias("n"))
-    rows = segments.join_per_segment(modelled.train, sizes, modelled.channels)
+    rows = segments.join_per_segment(modelled.train, sizes)
     stepped = sgd_step(fixed_weights(), F.col("n"), F.lit(ETA))
     return rounded(rows.select(
         "blockid", "VIMB_type", *[w.alias(f"w_{name}") for w, name in zip(stepped, config.FEATURES)]
@@ -319,7 +343,7 @@ def sgd_trace(spark, sf_dir):
         F.max("iter").alias("steps"), F.count(F.lit(1)).alias("n"), F.min("iter").alias("first"),
         F.max_by("all_pairs_error", "iter").alias("error"), F.max_by("weights", "iter").alias("sgd"),
     )
-    rows = segments.join_per_segment(modelled.train, last, modelled.channels)
+    rows = segments.join_per_segment(modelled.train, last)
     label, score = F.col(config.LABEL), strict_score(weights_of("sgd"))
     from_rows = F.var_pop(label) + F.var_pop(score) + F.pow(F.avg(label) - F.avg(score), 2)
     checked = rows.groupBy(*SEGMENT, "steps", "n", "first", "error").agg(from_rows.alias("from_rows"))
@@ -336,16 +360,21 @@ def _all_segments(modelled):
     return [(c, d) for c in modelled.channels for d in segments.DAY_TYPES]
 
 
+def _searched(modelled, work, settings):
+    """The training table and what the search makes of it: every setting, every fold, the best one refitted."""
+    train = boosting.training_table(modelled.train, settings, work)
+    return train, boosting.fit_boosted(train, _all_segments(modelled), settings)
+
+
 def boosted_forecast(spark, sf_dir):
     """Every segment's trees fit its training rows better than the mean does, and predict every test row."""
     modelled, work = event_model(spark, sf_dir), Workspace(spark)
-    train = boosting.training_table(modelled.train, modelled.channels, SMALL_BOOSTING, work)
-    fitted = boosting.fit_boosted(train, _all_segments(modelled), SMALL_BOOSTING)
+    train, fitted = _searched(modelled, work, ONE_SETTING)
     columns = [*SEGMENT, *config.FEATURES, config.LABEL]
     rows = train.select(*columns, F.lit(True).alias("is_train")).unionByName(
         modelled.rows.where(~F.col("is_train")).select(*columns, "is_train")
     )
-    scored = boosting.score_boosted(rows, fitted)
+    scored = boosting.score_boosted(work.keep(rows, "scored", partition_by=SEGMENT), fitted)
     label, error = F.when(F.col("is_train"), F.col(config.LABEL)), F.col(config.LABEL) - F.col("Pred_GBT")
     return scored.groupBy(*SEGMENT).agg(
         (F.avg(F.when(F.col("is_train"), error * error)) < F.var_pop(label)).alias("beats_mean"),
@@ -353,21 +382,29 @@ def boosted_forecast(spark, sf_dir):
     )
 
 
-def grid_search(spark, sf_dir):
-    """Cross-validated r2 of each parameter setting, on every segment."""
-    modelled, work = event_model(spark, sf_dir), Workspace(spark)
-    train = boosting.training_table(modelled.train, modelled.channels, SMALL_GRID, work)
-    fitted = boosting.fit_boosted(train, _all_segments(modelled), SMALL_GRID)
+def _grid_rows(fitted):
+    """Per segment and setting: whether its r2 is a possible value, and whether it was refitted just if it is the best."""
+    rows = []
+    for f in fitted:
+        best = max(f.grid, key=lambda g: g[2])
+        refitted = (f.model.getNumTrees, f.model.getOrDefault("maxDepth"))
+        rows += [(f.cnlname, f.day_type, i, d, math.isfinite(r2) and r2 <= 1, ((i, d) == refitted) == ((i, d) == best[:2])) for i, d, r2 in f.grid]
+    return rows
+
+
+def grid_search(spark, sf_dir, settings=boosting.BoostingSettings()):
+    """Cross-validated r2 of each parameter setting, on every segment; by default all settings of the job."""
+    modelled = event_model(spark, sf_dir)
+    _, fitted = _searched(modelled, Workspace(spark), settings)
     return spark.createDataFrame(
-        [(f.cnlname, f.day_type, *scores) for f in fitted for scores in f.grid],
-        "cnlname string, day_type string, iterations int, depth int, r2 double",
+        _grid_rows(fitted), "cnlname string, day_type string, iterations int, depth int, r2_possible boolean, refitted_if_best boolean"
     )
 
 
 def cv_folds(spark, sf_dir):
     """Validation folds follow one another in time and hold about the same number of rows."""
     modelled = event_model(spark, sf_dir)
-    rows = boosting.with_cv_folds(modelled.train, modelled.channels, 3)
+    rows = boosting.with_cv_folds(modelled.train, 3)
     return rows.groupBy(*SEGMENT, "cv_fold").agg(
         F.count(F.lit(1)).alias("blocks"),
         F.min(F.col("blockdate").cast("long") * 100 + F.col("hour")).alias("first_moment"),
@@ -376,30 +413,36 @@ def cv_folds(spark, sf_dir):
 
 
 def forecast_run(spark, sf_dir):
-    """A whole run, appended and read back: rows and complete predictions per segment."""
+    """A whole run, appended and read back: rows per segment, and whether each prediction is what the stored
+    coefficients, or the refitted best setting, make of the row."""
     work = Workspace(spark)
-    run = forecast.run_forecast(
-        event_blocks(spark, sf_dir), EVENT_CALENDAR, work, EVENT_CHANNELS, [], boosting_settings=SMALL_BOOSTING
-    )
+    run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, EVENT_CHANNELS, [], boosting_settings=TWO_SETTINGS)
     folder = work.path("tables")
     forecast.append_forecast(run, folder)
-    done = spark.read.parquet(f"{folder}/forecast")
-    return (
-        done.withColumn("day_type", cal.day_type(F.col("weekday"))).groupBy(*SEGMENT, F.col("Today").cast("string").alias("Today"))
-        .agg(
-            F.count(F.lit(1)).alias("blocks"),
-            F.count("Pred_GBT").alias("with_gbt"),
-            F.count("Pred_SGD").alias("with_sgd"),
-            F.count("Pred_NNLS").alias("with_nnls"),
-        )
+    done = sinks.read_run_table(spark, f"{folder}/forecast", forecast.FORECAST)
+    done = done.withColumn("day_type", cal.day_type(F.col("weekday")))
+    stored = sinks.read_run_table(spark, f"{folder}/coefficients", run.coefficients.schema)
+    weights = stored.groupBy(*SEGMENT).agg(*[
+        F.transform(F.sort_array(F.collect_list(F.struct("position", name))), lambda x, n=name: x[n]).alias(name) for name in ("nnls", "sgd")
+    ])
+    score = {n: sum((F.coalesce(F.col(n)[i] * F.col(f), F.lit(0.0)) for i, f in enumerate(config.FEATURES)), F.lit(0.0)) for n in ("nnls", "sgd")}
+    checked = boosting.score_boosted(work.keep(done, "done", partition_by=SEGMENT).join(weights, SEGMENT), run.boosted, "again")
+    near = lambda name, other: F.count_if(F.abs(F.col(name) - other) <= 1e-9 * (1 + F.abs(other)))
+    found = checked.groupBy(*SEGMENT, "Today").agg(
+        F.count(F.lit(1)).alias("blocks"),
+        near("Pred_GBT", F.col("again")).alias("with_gbt"),
+        near("Pred_SGD", score["sgd"]).alias("with_sgd"),
+        near("Pred_NNLS", score["nnls"]).alias("with_nnls"),
     )
+    best = spark.createDataFrame(_grid_rows(run.boosted), "cnlname string, day_type string, i int, d int, possible boolean, refitted boolean")
+    return found.join(best.groupBy(*SEGMENT).agg(F.bool_and("refitted").alias("best_refitted")), SEGMENT)
 
 
 def run_status(spark, sf_dir):
     """What a run reports about each segment, a channel without blocks included."""
     work = Workspace(spark)
     run = forecast.run_forecast(
-        event_blocks(spark, sf_dir), EVENT_CALENDAR, work, [*EVENT_CHANNELS, "off air"], [], boosting_settings=SMALL_BOOSTING
+        event_blocks(spark, sf_dir), EVENT_CALENDAR, work, [*EVENT_CHANNELS, "off air"], [], boosting_settings=ONE_SETTING
     )
     return run.status.drop("error")
 
@@ -433,6 +476,7 @@ QUERIES = {
     "segment_status_wide": segment_status_wide,
     "gram": gram,
     "linear_score": linear_scores,
+    "linear_score_runaway": linear_score_runaway,
     "linear_predict_strict": linear_predict_strict,
     "nnls_kkt": nnls_kkt,
     "nnls_kkt_wide": nnls_kkt_wide,
@@ -443,7 +487,7 @@ QUERIES = {
     "sgd_trace": sgd_trace,
     "cv_folds": cv_folds,
     "boosted_forecast": boosted_forecast,
-    "grid_search": grid_search,
     "forecast": forecast_run,
     "run_status": run_status,
+    "grid_search": grid_search,
 }

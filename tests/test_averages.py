@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from airgrid.functions.calendar import FoldCalendar
 from airgrid.operators import features, history, targets
-from airgrid.operators.asof import per_fold, rows_as_of
+from airgrid.operators.asof import per_fold
 from airgrid.plans import sample
+from checks.calendars import rows_as_of
 from tests.micro import CALENDAR, as_set, blocks, full_blocks
 
 

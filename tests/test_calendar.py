@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from airgrid.functions import calendar as cal
+from checks.calendars import calendar_frame
 from tests.micro import as_set
 
 
@@ -43,7 +44,7 @@ def test_uneven_calendars_are_refused(lookback, step, horizon):
 def test_calendar_table_equals_the_fold_list(spark):
     for calendar in [cal.FoldCalendar(start=date(2024, 3, 5)), cal.FoldCalendar(date(2024, 1, 25), 14, 7, 30)]:
         listed = {(f.number, f.cutoff, f.week_from, f.month_from, f.target_to) for f in calendar.folds}
-        assert as_set(calendar.frame(spark)) == listed
+        assert as_set(calendar_frame(calendar, spark)) == listed
 
 
 def test_run_dates():

@@ -136,6 +136,18 @@ def test_top_rows_are_cut_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") >= 2
 
 
+def test_top_rows_are_cut_before_the_shuffle_beyond_the_planners_default(spark):
+    plan = sgd.draw_order(feature_rows(spark), sgd.SgdSettings(max_iter=1001))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_a_solver_that_gives_up_says_so(monkeypatch):
+    gram = np.array([[1.0, 0.5], [0.5, 1.0]])
+    assert nnls.solve_nnls(gram, np.array([1.0, 1.0])) is not None
+    monkeypatch.setattr(np.linalg, "lstsq", lambda a, b, rcond: (np.full(len(b), -1.0),))
+    assert nnls.solve_nnls(gram, np.array([1.0, 1.0])) is None
+
+
 def test_sgd_trace_repeats_with_its_seed(spark, work):
     rows = feature_rows(spark, n=90)
     linear = work.keep(nnls.fit_nnls(moments.segment_moments(rows)), "nnls")

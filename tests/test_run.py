@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from airgrid import config
 from airgrid.operators import boosting
 from airgrid.plans import forecast
+from airgrid.sources import sinks
 from checks.grids import EVENT_CALENDAR, EVENT_CHANNELS, event_blocks
 from tests.micro import as_set
 
@@ -64,7 +65,7 @@ def test_run_without_any_sound_segment_still_reports(spark, work, sf_dir):
 
 def test_a_failing_fit_does_not_stop_the_others(spark, work, sf_dir):
     modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, EVENT_CHANNELS, work)
-    train = boosting.with_cv_folds(modelled.train, EVENT_CHANNELS, 2)
+    train = boosting.with_cv_folds(modelled.train, 2)
     grid = boosting.BoostingSettings(iterations=[1, 3], depths=[1, 2], cv_folds=2)
     fitted = {f.cnlname: f for f in boosting.fit_boosted(train, [("click", "weekdays"), ("off air", "weekdays")], grid)}
     assert fitted["off air"].model is None and fitted["off air"].error
@@ -75,19 +76,17 @@ def test_a_failing_fit_does_not_stop_the_others(spark, work, sf_dir):
 def test_one_long_fit_scores_the_shorter_runs(spark, work, sf_dir):
     """Validation scores taken from the longest run equal those of a fit of each length."""
     modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = boosting.training_table(modelled.train, ["click"], boosting.BoostingSettings(cv_folds=2), work)
-    segment = ("click", "weekdays")
-    together = boosting.fold_scores(train, boosting.BoostingSettings(iterations=[2, 4]), segment, 3, 0)
-    alone = [
-        boosting.fold_scores(train, boosting.BoostingSettings(iterations=[n]), segment, 3, 0)[0] for n in (2, 4)
-    ]
+    train = boosting.training_table(modelled.train, boosting.BoostingSettings(cv_folds=2), work)
+    rows = boosting.assemble(train.where("day_type = 'weekdays'")).select("features", config.LABEL, "cv_fold")
+    together = boosting.fold_scores(rows, boosting.BoostingSettings(iterations=[2, 4]), 3, 0, 1.0)
+    alone = [boosting.fold_scores(rows, boosting.BoostingSettings(iterations=[n]), 3, 0, 1.0)[0] for n in (2, 4)]
     assert together == pytest.approx(alone)
 
 
 def test_best_setting_is_the_one_refitted(spark, work, sf_dir):
     modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
     settings = boosting.BoostingSettings(iterations=[1, 2], depths=[1, 4], cv_folds=2)
-    train = boosting.training_table(modelled.train, ["click"], settings, work)
+    train = boosting.training_table(modelled.train, settings, work)
     fitted = boosting.fit_boosted(train, [("click", "weekdays")], settings)[0]
     iterations, depth, _ = max(fitted.grid, key=lambda g: g[2])
     assert fitted.model.getNumTrees == iterations
@@ -96,7 +95,7 @@ def test_best_setting_is_the_one_refitted(spark, work, sf_dir):
 
 def test_missing_test_features_are_scored_not_dropped(spark, work, sf_dir):
     modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = boosting.with_cv_folds(modelled.train, ["click"], 2)
+    train = boosting.with_cv_folds(modelled.train, 2)
     fitted = boosting.fit_boosted(train, [("click", "weekdays")], QUICK)
     rows = modelled.rows.where("day_type = 'weekdays' and not is_train").withColumn("average_grp", F.lit(None).cast("double"))
     scored = boosting.score_boosted(rows, fitted)
@@ -104,14 +103,124 @@ def test_missing_test_features_are_scored_not_dropped(spark, work, sf_dir):
     assert scored.where("Pred_GBT is null").count() == 0
 
 
-def test_weights_that_ran_off_count_as_zero(spark):
+def test_weights_that_are_no_number_count_as_zero_and_infinite_ones_show(spark):
+    inf, nan = float("inf"), float("nan")
     coefficients = spark.createDataFrame(
-        [("click", "weekdays", [1.0] * 8, [2.0, float("inf"), float("nan"), None, 0.0, 0.0, 0.0, 0.0])],
+        [("click", "weekdays", [1.0] * 8, [2.0, 0.0, nan, None, 0.0, 0.0, 0.0, 0.0]), ("click", "weekend", [1.0] * 8, [2.0, inf, nan, *[0.0] * 5])],
         "cnlname string, day_type string, nnls array<double>, sgd array<double>",
     )
-    rows = spark.createDataFrame([("click", "weekdays", *[1.0] * 8)], ", ".join(["cnlname string", "day_type string", *[f"{f} double" for f in config.FEATURES]]))
-    found = forecast.score_linear(rows, coefficients, ["click"]).first()
-    assert found.Pred_SGD == 2.0 and found.Pred_NNLS == 8.0
+    layout = ", ".join(["cnlname string", "day_type string", *[f"{f} double" for f in config.FEATURES]])
+    rows = spark.createDataFrame([("click", "weekdays", *[1.0] * 8), ("click", "weekend", *[1.0] * 8)], layout)
+    found = {r.day_type: r for r in forecast.score_linear(rows, coefficients).collect()}
+    assert found["weekdays"].Pred_SGD == 2.0 and found["weekdays"].Pred_NNLS == 8.0
+    assert found["weekend"].Pred_SGD == inf
+
+
+def test_a_segment_at_one_moment_is_searched_and_loaded(spark, work, sf_dir):
+    """All training rows on one day and slot: folds are cut inside it, and the forecasts stay."""
+    moved = (F.col("cnlname") == "view") & (F.col("blockdate") < EVENT_CALENDAR.start_key)
+    blocks = event_blocks(spark, sf_dir).withColumns({
+        "blockdate": F.when(moved, F.lit(20240118)).otherwise(F.col("blockdate")),
+        "blocktime": F.when(moved, F.lit(40000)).otherwise(F.col("blocktime")),
+    })
+    grid = boosting.BoostingSettings(iterations=[1, 2], depths=[2], cv_folds=3)
+    run = forecast.run_forecast(blocks, EVENT_CALENDAR, work, ["view"], [], boosting_settings=grid)
+    status = {r.day_type: r.status for r in run.status.collect()}
+    assert "loaded" in status.values() and "failed" not in status.values()
+    assert run.grid.count() >= 2
+
+
+def test_a_search_without_result_leaves_the_first_setting(spark, work, sf_dir):
+    modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
+    train = modelled.train.withColumn("cv_fold", F.lit(0))
+    grid = boosting.BoostingSettings(iterations=[3, 2], depths=[2, 3])
+    fitted = boosting.fit_boosted(train, [("click", "weekdays")], grid)[0]
+    assert fitted.error is None and fitted.grid == [] and fitted.model.getNumTrees == 3
+
+
+def test_scoring_reads_once_per_segment_and_joins_nothing(spark, work):
+    """40 segments: one scan of its own files for each, no broadcast, and few files."""
+    segments = [(f"c{i:02}", d) for i in range(20) for d in ("weekdays", "weekend")]
+    values = [[float((i * k) % 7) for k in range(1, 9)] for i in range(8)]
+    rows = spark.createDataFrame(
+        [(c, d, *v, sum(v)) for c, d in segments for v in values],
+        ", ".join(["cnlname string", "day_type string", *[f"{f} double" for f in config.FEATURES], "factratebase double"]),
+    )
+    kept = work.keep(rows, "linear", partition_by=["cnlname", "day_type"])
+    model = boosting._trees(boosting.BoostingSettings(), 1, 1).fit(boosting.assemble(rows.limit(8)))
+    scored = boosting.score_boosted(kept, [boosting.BoostedSegment(*s, model) for s in segments])
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 40 and "Join" not in plan and "BroadcastExchange" not in plan
+    path = work.path("forecast")
+    forecast.sinks.append_run(scored.withColumn("Today", F.lit("2024-01-01")), path)
+    files = [f for _, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(".parquet")]
+    assert len(files) < 10 and scored.count() == 320
+
+
+def test_replacing_a_run_clears_what_it_no_longer_has(spark, work, sf_dir):
+    folder = work.path("tables")
+    run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, ["click"], [], boosting_settings=QUICK)
+    forecast.append_forecast(run, folder)
+    layout = sinks.read_run_table(spark, f"{folder}/forecast", forecast.FORECAST)
+    assert dict(layout.dtypes)["Today"] == "string" and layout.first()["Today"] == "2024-01-28"
+    empty = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, ["off air"], [], boosting_settings=QUICK)
+    forecast.append_forecast(empty, folder, replace_run=True)
+    for name, schema in (("forecast", forecast.FORECAST), ("coefficients", run.coefficients.schema)):
+        assert sinks.read_run_table(spark, f"{folder}/{name}", schema).count() == 0
+    assert sinks.read_run_table(spark, f"{folder}/segment_status", run.status.schema).count() == 2
+
+
+@pytest.mark.parametrize("arguments", [
+    ["--old", "x"], ["--new", "x"], ["--sql", "a.sql"], ["--source", "jdbc", "--old", "x", "--new", "y"], ["--sink", "catalog", "--replace-run"],
+])
+def test_options_that_do_not_go_together_are_refused(arguments, capsys):
+    from airgrid import __main__ as command
+
+    with pytest.raises(SystemExit):
+        command.parse(["--network", "n", "--tables", "t", *arguments])
+
+
+def test_command_line_run_over_catalog_tables_with_sql_steps(spark, work, sf_dir, tmp_path):
+    """The network table comes from the last step, days outside it stay, counts and results go to catalog tables."""
+    from airgrid import __main__ as command
+    from checks.grids import NEW_GRID_NAMES, event_grids
+
+    old, new = event_grids(spark, sf_dir)
+    old.write.saveAsTable("grid_old")
+    new.withColumnsRenamed(NEW_GRID_NAMES).write.saveAsTable("grid_new")
+    names = old.columns
+    (tmp_path / "kept.sql").write_text("select * from {old} where blockdate > 0;")
+    (tmp_path / "both.sql").write_text(
+        f"select {', '.join(names)}, 'old' as VIMB_type from {{kept}} union all select {', '.join(names)}, 'new' as VIMB_type from {{new}}"
+    )
+    arguments = [
+        "--source", "catalog", "--sink", "catalog", "--old", "grid_old", "--new", "grid_new", "--network", "network", "--tables", "run_",
+        "--sql", str(tmp_path / "kept.sql"), str(tmp_path / "both.sql"), "--start", "2024-01-25", "--lookback", "14", "--step", "7",
+        "--history-floor", "20230101", "--channels", "click", "--exclude", "--iterations", "2", "--depths", "2",
+    ]
+    try:
+        command.main(arguments, spark)
+        n = spark.table("network").count()
+        assert n == old.count() + new.count()
+        assert {r.step: r.row_count for r in spark.table("run_step_counts").collect()} == {"kept": old.count(), "both": n}
+        assert spark.table("run_forecast").count() > 0 and {r.status for r in spark.table("run_segment_status").collect()} == {"loaded"}
+        command.main(arguments, spark)
+        assert spark.table("network").count() == n
+    finally:
+        for name in ("grid_old", "grid_new", "network", "run_step_counts", "run_forecast", "run_coefficients", "run_segment_status"):
+            spark.sql(f"drop table if exists {name}")
+
+
+def test_a_failed_run_leaves_no_stage(spark, work, sf_dir):
+    from airgrid import __main__ as command
+
+    path = work.path("network")
+    event_blocks(spark, sf_dir).limit(5).write.parquet(path)
+    shared = os.path.dirname(work.root).removeprefix("file:")
+    before = set(os.listdir(shared))
+    with pytest.raises(Exception):
+        command.main(["--network", path, "--tables", "nowhere://x", "--start", "2024-01-25", "--channels", "click"], spark)
+    assert set(os.listdir(shared)) == before
 
 
 def test_command_line_run(spark, work, sf_dir):

@@ -151,10 +151,10 @@ def test_step_expression_equals_the_definition(spark):
 @pytest.mark.parametrize("folds", [2, 3, 5])
 def test_cv_folds_are_contiguous_and_even(spark, folds):
     rows = spark.createDataFrame(
-        [("A", "weekdays", 20240101 + i // 10, i % 10) for i in range(100)],
-        "cnlname string, day_type string, blockdate int, hour int",
+        [("A", "weekdays", 20240101 + i // 10, i % 10, i) for i in range(100)],
+        "cnlname string, day_type string, blockdate int, hour int, blockid long",
     )
-    found = boosting.with_cv_folds(rows, ["A"], folds).collect()
+    found = boosting.with_cv_folds(rows, folds).collect()
     in_time = [r.cv_fold for r in sorted(found, key=lambda r: (r.blockdate, r.hour))]
     assert in_time == sorted(in_time) and set(in_time) == set(range(folds))
     assert max(in_time.count(k) for k in range(folds)) - min(in_time.count(k) for k in range(folds)) <= 1
@@ -162,3 +162,16 @@ def test_cv_folds_are_contiguous_and_even(spark, folds):
 
 def test_forecast_has_all_columns_in_order():
     assert len(forecast.SAMPLE_COLUMNS) == 28 and len(forecast.FORECAST_COLUMNS) == 32
+
+
+@pytest.mark.parametrize("folds", [2, 3, 5])
+def test_cv_folds_split_a_moment_with_many_rows(spark, folds):
+    rows = [("A", "weekdays", 20240101, 7, i) for i in range(400)] + [("A", "weekdays", 20240102, 1, 400 + i) for i in range(200)]
+    rows = spark.createDataFrame(rows, "cnlname string, day_type string, blockdate int, hour int, blockid long")
+    found = boosting.with_cv_folds(rows, folds).collect()
+    sizes = [sum(r.cv_fold == k for r in found) for k in range(folds)]
+    assert sum(sizes) == 600 and max(sizes) - min(sizes) < 60
+    last = max(r.cv_fold for r in found if r.blockdate == 20240101)
+    assert all(r.cv_fold >= last for r in found if r.blockdate == 20240102)  # still in order of time
+    again = boosting.with_cv_folds(rows.repartition(3), folds).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, found))

@@ -171,3 +171,29 @@ def test_steps_from_files(spark, work, tmp_path):
     step = Step.from_file(str(tmp_path / "small.sql"))
     assert step == Step("small", "select id from {t} where id < 3")
     assert run_steps(spark, [step], {"t": spark.range(9)}, work)[1] == [("small", 3)]
+
+
+def test_only_the_written_days_are_replaced(spark, work):
+    path = work.path("network")
+    write_blocks(full_blocks(spark, [dict(blockid=1, blockdate=20240101), dict(blockid=2, blockdate=20240102)]), path)
+    write_blocks(full_blocks(spark, [dict(blockid=3, blockdate=20240102)]), path)
+    assert sorted(r.blockid for r in read_blocks(spark, path).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("master,folder,works", [
+    ("local[2]", "", True), ("local", "", True), ("local-cluster[2,1,900]", "", False), ("spark://h:7077", "", False),
+    ("spark://h:7077", "file:/x", False), ("spark://h:7077", "hdfs://h/x", True), ("local-cluster[2,1,900]", "file:/x", True),
+])
+def test_the_shared_folder_is_one_that_executors_reach(master, folder, works, tmp_path):
+    from types import SimpleNamespace
+
+    given = folder or None
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: given, setCheckpointDir=lambda d: None)
+    if not folder and works:
+        context.getCheckpointDir = iter([None, str(tmp_path)]).__next__
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: given), sparkContext=context)
+    if works:
+        assert shared_folder(session)
+    else:
+        with pytest.raises(RuntimeError):
+            shared_folder(session)
