@@ -42,7 +42,7 @@ def test_split_is_strictly_before_the_start_day(spark):
 
 def trimmed(spark, rows):
     data = labelled(spark, rows)
-    return segments.trimmed_train(data, segments.label_statistics(data), ["A", "B"])
+    return segments.trimmed_train(data, segments.label_statistics(data))
 
 
 def test_trim_has_an_upper_side_only(spark):
@@ -71,7 +71,7 @@ def test_status_of_every_listed_segment(spark):
             ("B", 0, 20240101, 2.0), ("B", 0, 20240102, 2.0), ("B", 0, 20240201, None)]
     data = labelled(spark, rows)
     stats = segments.label_statistics(data)
-    kept = segments.trimmed_train(data, stats, ["A", "B"]).groupBy(*SEGMENT).agg(
+    kept = segments.trimmed_train(data, stats).groupBy(*SEGMENT).agg(
         F.count(F.lit(1)).alias("n_kept"), F.lit(0).alias("n_null")
     )
     found = segments.segment_status(spark, stats, kept, ["A", "B"])
