@@ -54,3 +54,27 @@ def steps(batches, column: str):
 
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a written stage that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+#: A bitmap of hashed ids has so many words of 64 bits at most, whatever the number of ids.
+BITMAP_WORDS = 1 << 19
+
+
+def perhaps_in(rows: DataFrame, column: str, ids: DataFrame, inside: bool = True) -> DataFrame:
+    """`rows` whose `column` (long) may be in `ids` (one column), or with `inside` false all others: what a bitmap of
+    BITMAP_WORDS words (8 MB at most, so it can be sent everywhere) tells. Some that may be in are not, so an exact join
+    must follow; this spares it the other rows."""
+    size = BITMAP_WORDS * 64
+    places = ids.select(F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(size)).alias("p"))
+    words = places.selectExpr("p div 64 as b_word", "shiftleft(1L, cast(p % 64 as int)) as bit").groupBy("b_word").agg(F.bit_or("bit").alias("b_bits"))
+    name = fresh(rows, "place")
+    marked = rows.withColumn(name, F.pmod(F.xxhash64(F.col(column)), F.lit(size)))
+    found = marked.join(F.broadcast(words), F.expr(f"{name} div 64") == words["b_word"], "left")
+    may = F.coalesce(F.expr(f"(b_bits & shiftleft(1L, cast({name} % 64 as int))) <> 0"), F.lit(False))
+    return found.where(may == F.lit(inside)).select(*[marked[c] for c in rows.columns])

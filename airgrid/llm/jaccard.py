@@ -14,12 +14,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airgrid.llm.common import fresh, steps, to_batch
+from airgrid.llm.common import delete, fresh, perhaps_in, steps, to_batch
 from airgrid.llm.components import components
 from airgrid.session import Workspace
 
@@ -28,21 +27,11 @@ FREQUENT = 1 << 17
 #: A task reports a token from this many of about COUNTED_TOGETHER tokens.
 OFTEN, COUNTED_TOGETHER = 4, 1 << 21
 ORDERS = 2
-REMEMBERED = 500_000
+#: Bytes whose words are hashed together.
+PIECE = 4 << 20
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = WordHashes()
-
-
 def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A bijection of 64-bit numbers (the splitmix64 finaliser)."""
     x = x + np.uint64((seed * 0x9E3779B97F4A7C15) & (2**64 - 1))
@@ -51,18 +40,79 @@ def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, size: int) -> np.ndarray:
-    """The set of a text's word shingles as sorted 64-bit hashes. A to Z are lower-cased; fewer words are one shingle."""
-    found = (text or "").encode("utf-8", "replace").lower().split()
-    n = len(found)
-    if not n:
-        return np.zeros(0, np.uint64)
-    words = np.fromiter(map(_hashes.__getitem__, found), np.uint64, n)
-    size = min(size, n)
-    rolled = np.full(n - size + 1, size, np.uint64)
+def _is_space() -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[[9, 10, 11, 12, 13, 32]] = True
+    return table
+
+
+_SPACE = _is_space()
+_powers = np.ones(1, np.uint64)
+
+
+def _power_table(n: int) -> np.ndarray:
+    """The first `n` powers of the prime, modulo 2 ** 64."""
+    global _powers
+    if len(_powers) < n:
+        factors = np.full(max(n, 64), _PRIME)
+        factors[0] = 1
+        _powers = np.multiply.accumulate(factors)
+    return _powers[:n]
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of lower-cased `data` begin, and a 64-bit hash of each: a polynomial of its bytes, then mixed
+    with its length. All words at once, in column operations."""
+    raw = np.frombuffer(data, np.uint8)
+    inside = ~_SPACE[raw]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    first = np.cumsum(lengths) - lengths  # of each word among all words' bytes
+    place = np.arange(first[-1] + lengths[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
+    terms = _power_table(int(lengths.max()))[place]
+    terms *= raw[inside]
+    return starts, _mixed(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
+
+
+def _pieces(data: bytes):
+    """`data` in pieces of about PIECE bytes that end before white space, with their places; a longer word stays whole."""
+    at = 0
+    while at < len(data):
+        end = at + PIECE
+        while end < len(data) and not _SPACE[data[end]]:
+            end += 1
+        yield at, data[at:end]
+        at = end
+
+
+def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
+    """The set of each text's word shingles as sorted 64-bit hashes. A to Z are lower-cased; fewer words are one shingle."""
+    encoded = [(t or "").encode("utf-8", "replace") for t in texts]
+    data = b" ".join(encoded).lower()
+    found = [(at + starts, hashes) for at, piece in _pieces(data) for starts, hashes in [word_hashes(piece)]]
+    starts, words = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+    ends = np.cumsum([len(e) + 1 for e in encoded])
+    last = np.searchsorted(starts, ends)
+    rolled = np.full(max(0, len(words) - size + 1), size, np.uint64)
     for k in range(size):
-        rolled = rolled * _PRIME + words[k : n - size + 1 + k]
-    return np.unique(_mixed(rolled))
+        rolled *= _PRIME
+        rolled += words[k : k + len(rolled)]
+    rolled, out, begin = _mixed(rolled), [], 0
+    for end in last.tolist():
+        n = end - begin
+        if n >= size:
+            out.append(np.unique(rolled[begin : end - size + 1]))
+        elif n:
+            whole = np.uint64(n)
+            for w in words[begin:end]:
+                whole = np.multiply(whole, _PRIME, dtype=np.uint64) + w
+            out.append(_mixed(np.array([whole], np.uint64)))
+        else:
+            out.append(words[:0])
+        begin = end
+    return out
 
 
 def n_prefix(n: int, percent: int) -> int:
@@ -81,9 +131,8 @@ def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
         schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
         held, n = [], 0
         for batch in steps(batches, "text"):
-            for text in batch.column("text").to_pylist():
-                held.append(shingles(text, size))
-                n += len(held[-1])
+            held += shingle_sets(batch.column("text").to_pylist(), size)
+            n += sum(map(len, held[-batch.num_rows :]))
             if n >= COUNTED_TOGETHER:
                 yield report(held)
                 held, n = [], 0
@@ -99,21 +148,36 @@ def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
     return token[order], n[order]
 
 
-SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64()))])
+SETS = pa.schema([
+    ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary())
+])
+
+
+def order_prefixes(tokens: np.ndarray, percent: int) -> bytes:
+    """The prefixes under the further orders, one after the other: 16 bits of each token, so that equal tokens stay
+    equal. Prefixes that meet by their bits alone are one more pair to compare, never a pair lost."""
+    p = n_prefix(len(tokens), percent)
+    return b"".join((np.sort(_mixed(tokens, k + 1))[:p] & np.uint64(0xFFFF)).astype(np.uint16).tobytes() for k in range(ORDERS))
+
+
+def orders_meet(a: bytes, b: bytes) -> bool:
+    """Whether two documents share prefix tokens under every further order."""
+    x, y = (np.frombuffer(o, np.uint16).reshape(ORDERS, -1) for o in (a, b))
+    return all(np.isin(x[k], y[k]).any() for k in range(ORDERS))
 
 
 def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order)."""
+    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
 
     def run(batches):
         token, n = sent.value
         for batch in steps(batches, "text"):
-            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": []}
-            for text in batch.column("text").to_pylist():
-                found = shingles(text, size)
+            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": []}
+            for found in shingle_sets(batch.column("text").to_pylist(), size):
                 rows["n"].append(len(found))
                 rows["sig"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
+                rows["orders"].append(order_prefixes(found, percent) if len(found) else None)
                 first = found[:0]
                 if len(found):
                     count = np.zeros(len(found), np.int64)
@@ -124,26 +188,7 @@ def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 rows["prefix"].append(first.view(np.int64))
             yield to_batch(rows, SETS)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>")
-
-
-def whole_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: doc, tokens (the set), and its prefixes o0, o1, ... under the further orders (32 bits of each token)."""
-
-    def run(batches):
-        names = [f"o{k}" for k in range(ORDERS)]
-        schema = pa.schema([("doc", pa.int64()), ("tokens", pa.list_(pa.int64())), *((o, pa.list_(pa.int32())) for o in names)])
-        for batch in steps(batches, "text"):
-            rows = {"doc": batch.column("doc_id"), "tokens": [], **{o: [] for o in names}}
-            for text in batch.column("text").to_pylist():
-                found = shingles(text, size)
-                rows["tokens"].append(found.view(np.int64))
-                for k, o in enumerate(names):
-                    ranks = np.sort(_mixed(found, k + 1))[: n_prefix(len(found), percent)]
-                    rows[o].append((ranks >> np.uint64(32)).astype(np.uint32).view(np.int32))
-            yield to_batch(rows, schema)
-
-    return docs.mapInArrow(run, "doc long, tokens array<long>" + "".join(f", o{k} array<int>" for k in range(ORDERS)))
+    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary")
 
 
 def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -154,19 +199,40 @@ def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     return (100 * most >= percent * (a["n"] + b["n"] - most)) & (100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"]))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of `pairs` (a, b, distinct) that share prefixes under all further orders and whose sets are similar."""
-    orders = [f"o{k}" for k in range(ORDERS)]
+def _pairs_where(pairs: DataFrame, by_id: DataFrame, value: str, keep) -> DataFrame:
+    """Those of `pairs` (a, b) whose two values in `by_id` (doc, value) `keep`, a function of two lists, lets pass."""
+
+    def run(batches):
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                passed = pa.array(keep(part.column("va").to_pylist(), part.column("vb").to_pylist()), pa.bool_())
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(passed)
+
+    sides = [by_id.select(F.col("doc").alias(name), F.col(value).alias(f"v{name}")) for name in "ab"]
+    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, work: Workspace, size: int, percent: int) -> DataFrame:
+    """Those of `pairs` (a, b, distinct) that share prefixes under all further orders and whose sets are similar.
 
-    def side(name: str, columns: list[str]) -> DataFrame:
-        return sets.select(F.col("doc").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in columns])
+    Only the texts of documents in pairs that pass the orders are gathered, and their sets are built from them anew."""
 
-    pairs = pairs.join(side("a", orders), "a").join(side("b", orders), "b")
-    for o in orders:
-        pairs = pairs.where(F.arrays_overlap(f"a_{o}", f"b_{o}"))
-    pairs = pairs.select("a", "b").join(side("a", ["tokens"]), "a").join(side("b", ["tokens"]), "b")
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    return pairs.where(100 * shared >= percent * (F.size("a_tokens") + F.size("b_tokens") - shared)).select("a", "b").distinct()
+    def meet(left, right):
+        return [orders_meet(x, y) for x, y in zip(left, right, strict=True)]
+
+    def similar(left, right):
+        out = []
+        for x, y in zip(shingle_sets(left, size), shingle_sets(right, size), strict=True):
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared))
+        return out
+
+    left = work.keep(_pairs_where(pairs, classes, "orders", meet).distinct(), "meeting")
+    needed = left.select(F.col("a").alias("doc_id")).unionByName(left.select(F.col("b").alias("doc_id"))).distinct()
+    found = perhaps_in(docs, "doc_id", needed).join(needed, "doc_id", "left_semi")
+    texts = found.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+    return _pairs_where(left, texts.select(F.col("doc_id").alias("doc"), "text"), "text", similar).distinct()
 
 
 def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int = 85) -> DataFrame:
@@ -178,33 +244,33 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     null component_id.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = work.keep(signed_sets(docs, size, percent), "signed")
-    members = signed.where("doc_id is not null and sig is not null")
-    classes = members.groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("rows"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+    path = work.path("signed")
+    signed_sets(docs, size, percent).write.parquet(path)
+    signed = docs.sparkSession.read.parquet(path)
+    classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
+        F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("rows"),
+        *[F.first(c).alias(c) for c in ("n", "prefix", "orders")],
     )
     classes = work.keep(classes, "classes")
+    signed = work.keep(signed.select("doc_id", "n", "sig"), "members")
+    delete(docs.sparkSession, path)  # the prefixes of copies
+    members = signed.where("doc_id is not null and sig is not null")
 
-    postings = classes.select("doc", "rows", "n", F.posexplode("prefix").alias("pos", "token"))
-    leaders = postings.groupBy("token").agg(
-        F.min(F.struct((-F.col("rows")).alias("few"), "doc", "n", "pos")).alias("lead"), F.count(F.lit(1)).alias("m")
-    )
-    shared = postings.select("token", "doc", "n", "pos").join(leaders.where("m > 1").select("token", "lead"), "token")
-    shared = work.keep(shared.select("token", "doc", "n", "pos", F.struct("lead.doc", "lead.n", "lead.pos").alias("lead")), "shared")
-
-    needed = shared.select(F.col("doc").alias("doc_id")).distinct()
-    texts = docs.join(needed, "doc_id", "left_semi").groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
-    sets = work.keep(whole_sets(texts.select("doc_id", "text"), size, percent), "sets")
+    postings = classes.select("doc", "rows", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    shared = work.keep(postings.join(several, "token", "left_semi").select("token", "doc", "rows", "n", "pos"), "postings")
+    leaders = shared.groupBy("token").agg(F.min(F.struct((-F.col("rows")).alias("few"), "doc", "n", "pos")).alias("lead"))
+    led = shared.join(leaders, "token")
 
     me = {c: F.col(c) for c in ("n", "pos")}
     lead = {c: F.col(f"lead.{c}") for c in ("n", "pos")}
     to_leader = (
-        shared.where((F.col("doc") != F.col("lead.doc")) & _near(me, lead, percent))
+        led.where((F.col("doc") != F.col("lead.doc")) & _near(me, lead, percent))
         .groupBy("doc", F.col("lead.doc").alias("leader")).agg(F.count(F.lit(1)).alias("common"))
         .groupBy("doc").agg(F.max(F.struct("common", "leader")).alias("best"))
         .select(F.least("doc", "best.leader").alias("a"), F.greatest("doc", "best.leader").alias("b")).distinct()
     )
-    links = work.keep(verified(to_leader, sets, percent), "leader-links")
+    links = work.keep(verified(work.keep(to_leader, "to-leader"), classes, docs, work, size, percent), "leader-links")
     known = components(links, work)
 
     placed = shared.select("token", "doc", "n", "pos").join(known.withColumnRenamed("node", "doc"), "doc", "left")
@@ -218,11 +284,11 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
         .where((F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component")) & _near(left, right, percent))
         .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
     )
-    links = links.unionByName(verified(work.keep(across, "across"), sets, percent))
+    links = links.unionByName(verified(work.keep(across, "across"), classes, docs, work, size, percent))
 
     named = members.select("doc_id", "sig").join(classes.select("sig", "doc"), "sig")
-    several = named.groupBy("doc_id").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
-    links = links.unionByName(named.join(several, "doc_id").where("doc <> lo").select(F.col("lo").alias("a"), F.col("doc").alias("b")))
+    twice = named.groupBy("doc_id").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
+    links = links.unionByName(named.join(twice, "doc_id").where("doc <> lo").select(F.col("lo").alias("a"), F.col("doc").alias("b")))
     known = components(links, work)
 
     found = signed.select("doc_id", "n", "sig").join(classes.select("sig", "doc"), "sig", "left")
@@ -235,12 +301,17 @@ def keep_one(docs: DataFrame, work: Workspace, size: int = 5, percent: int = 80)
     """The rows of `docs` without near copies: of each component the document with the smallest id stays, with the
     columns of `docs`. Of rows that share this id one stays. Rows without words or without id all stay."""
     found = work.keep(link_documents(docs, work, size, percent), "linked")
-    stays = found.where("sig is null or doc_id is null or doc_id = component_id")
-    stays = stays.select(F.col("doc_id").alias("k_doc"), F.col("sig").isNull().alias("k_empty")).distinct()
+    goes = F.expr("not (sig is null or doc_id = component_id)")
+    stays = found.where(F.coalesce(~goes, F.lit(True))).select(F.col("doc_id").alias("k_doc"), F.col("sig").isNull().alias("k_empty")).distinct()
+    # Only documents of which a row goes, or which have several rows, need the join: the others pass as they are.
+    touched = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.bool_or(goes).alias("gone"))
+    touched = work.keep(touched.where("n > 1 or gone").select("doc_id"), "touched")
     id_, empty, nth = fresh(docs, "id"), fresh(docs, "empty"), fresh(docs, "nth")
-    words = F.coalesce(F.length(F.regexp_replace(F.col("text").cast("string"), r"[\x20\x09-\x0D]+", "")), F.lit(0))
-    marked = docs.withColumn(id_, F.col("doc_id").cast("long")).withColumn(empty, words == 0)
-    joined = marked.join(stays, marked[id_].eqNullSafe(stays["k_doc"]) & (marked[empty] == stays["k_empty"]))
-    twin = Window.partitionBy(F.col("k_doc"), F.col("k_empty")).orderBy(F.xxhash64("text"))
+    marked = docs.withColumn(id_, F.col("doc_id").cast("long"))
+    asked = perhaps_in(marked, id_, touched)
+    asked = asked.withColumn(empty, ~F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False)))
+    joined = asked.join(stays, F.col(id_).eqNullSafe(F.col("k_doc")) & (F.col(empty) == F.col("k_empty")))
+    twin = Window.partitionBy("k_doc", "k_empty").orderBy(F.xxhash64("text"))
     joined = joined.withColumn(nth, F.row_number().over(twin))
-    return joined.where((F.col(nth) == 1) | F.col("k_empty") | F.col("k_doc").isNull()).select(*[F.col(c) for c in docs.columns])
+    one = joined.where((F.col(nth) == 1) | F.col("k_empty") | F.col("k_doc").isNull())
+    return perhaps_in(marked, id_, touched, inside=False).select(*docs.columns).unionByName(one.select(*docs.columns))
