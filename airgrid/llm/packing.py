@@ -4,12 +4,11 @@ Documents are cut into pieces of at most one bin's capacity and placed largest f
 order of residual room and carry bitmaps of the sources and duplicate clusters they hold. A piece looks for the first
 bin in that order with room enough, and goes on to the next one while source or cluster conflict, so it ends in
 the tightest compatible bin; if there is none, in a new one. Shards of a bounded number of pieces are packed side by
-side: the price is a few half-empty bins per shard. A bitmap has BITS bits per kind: two sources may share a bit,
-which can only keep compatible pieces apart, never let a conflict through.
+side: the price is a few half-empty bins per shard. Each distinct source and cluster of a shard has a bit of its own,
+in as many words as that takes, so a bin is refused for a true conflict only.
 """
 
 import math
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -21,37 +20,54 @@ from airgrid.session import Workspace
 
 CAPACITY = 2048
 SHARD_PIECES = 4096
-BITS = 63
 
 
-def bit_of(values) -> np.ndarray:
-    """Each value's bit; null has none, as nothing is known to conflict."""
-    return np.array([0 if v is None else 1 << (zlib.crc32(str(v).encode()) % BITS) for v in values], np.int64)
+def bits_of(values: list) -> np.ndarray:
+    """Each value's bitmap, (values, words): one bit per distinct value; null has none, as nothing is known to conflict."""
+    numbers = {v: k for k, v in enumerate(dict.fromkeys(v for v in values if v is not None))}
+    out = np.zeros((len(values), max(1, -(-len(numbers) // 64))), np.int64)
+    for i, v in enumerate(values):
+        if v is not None:
+            word, bit = divmod(numbers[v], 64)
+            out[i, word] = np.int64(1) << np.int64(bit)
+    return out
 
 
 def best_fit(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and place in it of each piece, in the order given; sources and clusters are bits."""
+    """Bin and place in it of each piece, in the order given; sources and clusters are bitmaps of one bit at most, in
+    one word, (pieces,), or several, (pieces, words)."""
     n = len(sizes)
-    room, src, clu, name = (np.zeros(n + 1, np.int64) for _ in range(4))  # in order of room
+    room, name = (np.zeros(n + 1, np.int64) for _ in range(2))  # in order of room
+    places, held = [], []  # of both kinds: each piece's word and bit; the bins' words, by word and then bin
+    for kind in (sources, clusters):
+        kind = kind.reshape(n, -1)
+        word = (kind != 0).argmax(1)
+        places.append((word, kind[np.arange(n), word]))
+        held.append(np.zeros((kind.shape[1], n), np.int64))
+    (s_word, s_bit), (c_word, c_bit) = places
+    src, clu = held
     bins, offsets = np.zeros(n, np.int64), np.zeros(n, np.int64)
     used = n_bins = 0
     for i in range(n):
-        size, s, c = sizes[i], sources[i], clusters[i]
+        size, in_src, in_clu = sizes[i], src[s_word[i]], clu[c_word[i]]
         lo = np.searchsorted(room[:used], size)
-        fits = ((src[lo:used] & s) | (clu[lo:used] & c)) == 0
+        roomy = name[lo:used]
+        fits = ((in_src[roomy] & s_bit[i]) | (in_clu[roomy] & c_bit[i])) == 0
         at = lo + int(fits.argmax()) if len(fits) else used
         if at < used and fits[at - lo]:
-            left, held_s, held_c, number = room[at], src[at] | s, clu[at] | c, name[at]
-            for x in (room, src, clu, name):
+            left, number = room[at], name[at]
+            for x in (room, name):
                 x[at : used - 1] = x[at + 1 : used]
             used -= 1
         else:
-            left, held_s, held_c, number = capacity, s, c, n_bins
+            left, number = capacity, n_bins
             n_bins += 1
+        in_src[number] |= s_bit[i]
+        in_clu[number] |= c_bit[i]
         bins[i], offsets[i] = number, capacity - left
         left -= size
         to = np.searchsorted(room[:used], left)
-        for x, value in ((room, left), (src, held_s), (clu, held_c), (name, number)):
+        for x, value in ((room, left), (name, number)):
             x[to + 1 : used + 1] = x[to:used]
             x[to] = value
         used += 1
@@ -93,7 +109,7 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, shard_piec
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("size", "descending"), *((c, "ascending") for c in ("doc_id", "copy", "piece", "source", "cluster"))])
         bins, offsets = best_fit(
-            group["size"].to_numpy(), bit_of(group["source"].to_pylist()), bit_of(group["cluster"].to_pylist()), capacity
+            group["size"].to_numpy(), bits_of(group["source"].to_pylist()), bits_of(group["cluster"].to_pylist()), capacity
         )
         return group.append_column("bin", pa.array(bins)).append_column("bin_offset", pa.array(offsets))
 

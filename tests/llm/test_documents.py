@@ -307,6 +307,19 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     assert len(plain_best_fit(sizes, sources, clusters, 100)) == 300
 
 
+def test_more_than_63_sources_and_clusters_conflict_only_with_themselves():
+    rng = np.random.default_rng(8)
+    sizes = np.sort(rng.integers(0, 40, 900))[::-1].copy()
+    sources, clusters = ([None if rng.random() < 0.1 else f"{c}{rng.integers(200)}" for _ in sizes] for c in "sc")
+    bins, offsets = packing.best_fit(sizes, packing.bits_of(sources), packing.bits_of(clusters), 1000)
+    held = defaultdict(lambda: [1000, set(), set()])
+    for b, at, size, s, c in zip(bins, offsets, sizes, sources, clusters, strict=True):
+        fits = [r for r, ss, cc in held.values() if r >= size and s not in ss and c not in cc]
+        assert 1000 - at == (min(fits) if fits else 1000) and at == 1000 - held[b][0]
+        assert s not in held[b][1] and c not in held[b][2]
+        held[b] = [held[b][0] - size, held[b][1] | {s} - {None}, held[b][2] | {c} - {None}]
+
+
 def test_packed_documents(spark, work):
     docs = documents(spark)
     got = packing.pack_documents(docs, work, capacity=200, shard_pieces=30).collect()
