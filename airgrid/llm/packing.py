@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from airgrid.llm import jaccard
 from airgrid.llm.common import n_words
 from airgrid.session import Workspace
 
@@ -124,7 +125,29 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, shard_piec
     return packed.select(*out).unionByName(alone.select(*out))
 
 
-def pack_documents(docs: DataFrame, work: Workspace, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """`pack` for rows of documents: size in words; copies up to case and white space are a cluster."""
-    items = docs.select("doc_id", n_words(F.col("text")).alias("size"), "source", cluster_of(F.col("text")).alias("cluster"))
+def near_clusters(docs: DataFrame, work: Workspace) -> DataFrame:
+    """link_id, near: the component that links of 0.8 or more over five-word shingles give each document with words.
+
+    Letters are lower-cased first, as for `cluster_of`. A row without doc_id is a document by its text."""
+    rows = docs.select(link_id().alias("doc_id"), F.lower("text").alias("text"))
+    linked = jaccard.link_documents(rows, work, size=5, percent=80).where("sig is not null")
+    return work.keep(linked.groupBy(F.col("doc_id").alias("link_id")).agg(F.min("component_id").alias("near")), "near")
+
+
+def link_id() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lower("text")))
+
+
+def pack_documents(
+    docs: DataFrame, work: Workspace, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES, near: bool = True
+) -> DataFrame:
+    """`pack` for rows of documents: size in words; near copies are a cluster, or with `near` false, for documents
+    without near copies, only copies up to case and white space."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "source")
+    items = docs.select(
+        "doc_id", n_words(F.col("text")).alias("size"), "source", cluster_of(F.col("text")).alias("cluster"), link_id().alias("link_id")
+    )
+    if near:
+        items = work.keep(items, "items").join(near_clusters(docs, work), "link_id", "left")
+        items = items.withColumn("cluster", F.when(F.col("cluster").isNotNull(), F.col("near").cast("string")))
     return pack(items, work, capacity, shard_pieces)

@@ -30,7 +30,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their bins and places; no bin holds two of a source or two copies."""
-    return packing.pack_documents(docs, Workspace(spark))
+    return packing.pack_documents(docs, Workspace(spark), near=False)  # near copies are gone
 
 
 STAGES = [

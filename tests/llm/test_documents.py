@@ -14,7 +14,7 @@ from airgrid.llm.common import held_out
 from airgrid.llm.components import components
 from airgrid.llm.pieces import PieceEncoder
 
-from .data import documents, rows
+from .data import documents, prose, rows
 
 WORD_BPE, BYTE_BPE = queries.tokenizer("word_bpe_49k.json"), queries.tokenizer("byte_bpe_50k.json")
 ODD = [
@@ -347,6 +347,19 @@ def test_packed_documents(spark, work):
     assert packing.pack_documents(documents(spark, []), work).collect() == []
 
 
+def test_near_copies_are_a_cluster(spark, work):
+    base = prose(700, 120).split()
+    near, far = base.copy(), base.copy()
+    near[60] = "changed"
+    far[10::20] = ["changed"] * 6
+    texts = [(1, " ".join(base), "a"), (2, " ".join(near), "b"), (3, " ".join(far), "c"), (None, " ".join(near).upper(), "d"), (4, "été " * 9, "e"), (5, "ÉTÉ " * 9, "f"), (6, " ", "g"), (7, "", "h")]
+    got = packing.pack_documents(spark.createDataFrame(texts, "doc_id long, text string, source string"), work).collect()
+    held = {r["source"]: (r["bin_id"], r["cluster"]) for r in got}
+    assert held["a"][1] == held["b"][1] == held["d"][1] and len({held[s][0] for s in "abd"}) == 3
+    assert held["c"][1] not in (None, held["a"][1]) and held["e"][1] == held["f"][1] and held["e"][0] != held["f"][0]
+    assert held["g"][1] is None and held["h"][1] is None
+
+
 # Language and quality
 
 def test_gradients_agree_with_differences():
