@@ -17,8 +17,9 @@ from airgrid.llm.common import fresh, learnable, steps, to_batch
 
 WINDOW = 64
 HIDDEN = 8
-#: The training sample: documents per language (on average), windows per document, and languages at most.
-SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_LANGS = 600, 4, 64
+#: The training sample: documents per language and of all languages (on average; at least one of each language), and
+#: windows per document.
+SAMPLE_DOCS, SAMPLE_TOTAL, SAMPLE_WINDOWS = 600, 600 * 64, 4
 TRAIN_STEPS, TRAIN_BATCH, RATE = 400, 256, 0.01
 UNKNOWN = "und"
 _PAD = 256
@@ -158,8 +159,9 @@ def train(windows: np.ndarray, labels: np.ndarray, langs: list[str], steps_: int
 
 
 def probabilities(net: Network, texts: list[bytes], block: int = 1024) -> np.ndarray:
-    """Each text's mean over its positions, (texts, languages); zeros for an empty text."""
+    """Each text's mean over its positions, (texts, languages); zeros for an empty text. Many languages go in smaller blocks."""
     windows, owner = windows_of(texts)
+    block = max(1, min(block, block * 64 // len(net.langs)))
     sums = np.zeros((len(windows), len(net.langs)))
     for a in range(0, len(windows), block):
         part = windows[a : a + block]
@@ -187,17 +189,20 @@ WINDOWS = pa.schema([("lang", pa.string()), ("window", pa.binary())])
 def fit(docs: DataFrame) -> Network | None:
     """A network from `docs` (doc_id, text, lang), learnable rows with a language only; None if there are none.
 
-    Languages are counted over all of them; the sample takes documents by a hash of their id, at a rate per language
-    that yields about SAMPLE_DOCS, and from each up to SAMPLE_WINDOWS windows, spread over the text.
+    Every language is learnt. Documents with text are counted per language; the sample takes them by a hash of their
+    id, at a rate per language that yields about SAMPLE_DOCS, or fewer where many languages share SAMPLE_TOTAL, and
+    always the one with the smallest hash. From each come up to SAMPLE_WINDOWS windows, spread over the text.
     """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     ).where(learnable(F.col("doc_id")) & F.col("lang").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE_LANGS).collect()
+    rows = rows.where(F.col("text") != "").withColumn("turn", F.xxhash64("doc_id", F.lit(5)))
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("turn").alias("first")).collect()
     if not counts:
         return None
-    rate = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, SAMPLE_DOCS / r["count"]))])
-    place = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
+    each = min(SAMPLE_DOCS, SAMPLE_TOTAL / len(counts))
+    rates = docs.sparkSession.createDataFrame([(r["lang"], each / r["n"], r["first"]) for r in counts], "lang string, rate double, first long")
+    place = F.pmod("turn", F.lit(1 << 20)) / float(1 << 20)
 
     def run(batches):
         for batch in steps(batches, "text"):
@@ -210,13 +215,15 @@ def fit(docs: DataFrame) -> Network | None:
                     windows.append(data[k * WINDOW : (k + 1) * WINDOW])
             yield to_batch({"lang": langs, "window": windows}, WINDOWS)
 
-    sample = rows.where(place < F.try_element_at(rate, F.col("lang"))).select("lang", "text").mapInArrow(run, "lang string, window binary")
+    taken = rows.join(F.broadcast(rates), "lang").where((place < F.col("rate")) | (F.col("turn") == F.col("first")))
+    sample = taken.select("lang", "text").mapInArrow(run, "lang string, window binary")
     found = sorted((r["lang"], bytes(r["window"])) for r in sample.collect())
     if not found:
         return None
     langs = sorted({lang for lang, _ in found})
     windows, _ = windows_of([w for _, w in found])
-    return train(windows, np.array([langs.index(lang) for lang, _ in found]), langs)
+    number = {lang: k for k, lang in enumerate(langs)}
+    return train(windows, np.array([number[lang] for lang, _ in found]), langs)
 
 
 def _predictor(net: Network | None):

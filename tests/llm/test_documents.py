@@ -406,6 +406,20 @@ def test_language_on_held_out_documents(spark, sf_dir, monkeypatch):
     assert [r["lang_pred"] for r in language.identify(docs, None).collect()] == ["und"] * len(rows())
 
 
+def test_more_than_64_languages_are_learnt(spark, monkeypatch):
+    monkeypatch.setattr(language, "TRAIN_STEPS", 150)
+    langs = [f"l{k:02}" for k in range(70)]
+    texts = [(70 * i + k, chr(0x100 + 7 * k) * 5 + f" {i} " + chr(0x100 + 7 * k) * 9, lang) for k, lang in enumerate(langs) for i in range(12 if k else 40)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    net = language.fit(docs)
+    assert net.langs == langs
+    right = [r["lang_pred"] == f"l{r['doc_id'] % 70:02}" for r in language.identify(docs.where(held_out(F.col("doc_id"))), net).collect()]
+    assert len(right) > 200 and np.mean(right) > 0.9
+    monkeypatch.setattr(language, "TRAIN_STEPS", 1)
+    monkeypatch.setattr(language, "SAMPLE_TOTAL", 7)
+    assert language.fit(docs).langs == langs
+
+
 def test_pooling_is_the_mean_over_all_positions():
     net = language.train(*(lambda w: (w, np.zeros(len(w), int)))(language.windows_of([b"some text here"])[0]), ["x", "y"], steps_=1)
     long = bytes(np.random.default_rng(0).integers(32, 127, 1000).astype(np.uint8))
