@@ -25,9 +25,6 @@ from checks.grids import (
 # Fixed weights for the queries that score or step without a fit.
 WEIGHTS = [0.25, 0.125, 0.0625, 0.5, 0.03125, 0.015625, 0.75, 0.375]
 ETA = 0.5
-# One setting, and a search of two with all folds, where the whole search (`grid_search`) would only repeat itself.
-ONE_SETTING = boosting.BoostingSettings(iterations=[5], depths=[5])
-TWO_SETTINGS = boosting.BoostingSettings(iterations=[5, 10], depths=[5])
 AVERAGES = ["average_grp", "average_grp_week", "average_grp_month", "average_grp_line_prg", "average_pro2"]
 
 
@@ -369,7 +366,7 @@ def _searched(modelled, work, settings):
 def boosted_forecast(spark, sf_dir):
     """Every segment's trees fit its training rows better than the mean does, and predict every test row."""
     modelled, work = event_model(spark, sf_dir), Workspace(spark)
-    train, fitted = _searched(modelled, work, ONE_SETTING)
+    train, fitted = _searched(modelled, work, boosting.BoostingSettings())
     columns = [*SEGMENT, *config.FEATURES, config.LABEL]
     rows = train.select(*columns, F.lit(True).alias("is_train")).unionByName(
         modelled.rows.where(~F.col("is_train")).select(*columns, "is_train")
@@ -416,7 +413,7 @@ def forecast_run(spark, sf_dir):
     """A whole run, appended and read back: rows per segment, and whether each prediction is what the stored
     coefficients, or the refitted best setting, make of the row."""
     work = Workspace(spark)
-    run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, EVENT_CHANNELS, [], boosting_settings=TWO_SETTINGS)
+    run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, EVENT_CHANNELS, [], boosting_settings=boosting.BoostingSettings())
     folder = work.path("tables")
     forecast.append_forecast(run, folder)
     done = sinks.read_run_table(spark, f"{folder}/forecast", forecast.FORECAST)
@@ -442,7 +439,7 @@ def run_status(spark, sf_dir):
     """What a run reports about each segment, a channel without blocks included."""
     work = Workspace(spark)
     run = forecast.run_forecast(
-        event_blocks(spark, sf_dir), EVENT_CALENDAR, work, [*EVENT_CHANNELS, "off air"], [], boosting_settings=ONE_SETTING
+        event_blocks(spark, sf_dir), EVENT_CALENDAR, work, [*EVENT_CHANNELS, "off air"], [], boosting_settings=boosting.BoostingSettings()
     )
     return run.status.drop("error")
 

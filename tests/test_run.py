@@ -11,6 +11,7 @@ from airgrid.operators import boosting
 from airgrid.plans import forecast
 from airgrid.sources import sinks
 from checks.grids import EVENT_CALENDAR, EVENT_CHANNELS, event_blocks
+from checks.queries import QUERIES
 from tests.micro import as_set
 
 QUICK = boosting.BoostingSettings(iterations=[2], depths=[2])
@@ -250,3 +251,17 @@ def test_command_line_run(spark, work, sf_dir):
     assert as_set(spark.read.parquet(f"{root}/network")) == as_set(event_blocks(spark, sf_dir).select(spark.read.parquet(f"{root}/network").columns))
     status = spark.read.parquet(f"{root}/tables/segment_status")
     assert {r.status for r in status.collect()} == {"loaded"} and status.count() == 8
+
+
+@pytest.mark.parametrize("name", ["forecast", "boosted_forecast", "run_status"])
+def test_queries_search_every_setting(spark, sf_dir, monkeypatch, name):
+    class Searched(Exception):
+        pass
+
+    def fit(train, listed, settings=boosting.BoostingSettings()):
+        raise Searched(settings)
+
+    monkeypatch.setattr(boosting, "fit_boosted", fit)
+    with pytest.raises(Searched) as found:
+        QUERIES[name](spark, sf_dir)
+    assert found.value.args == (boosting.BoostingSettings(),)
