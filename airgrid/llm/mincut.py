@@ -10,7 +10,7 @@ import html
 import math
 import re
 from collections import deque
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,12 +19,21 @@ from pyspark.sql import functions as F
 from airgrid.llm.common import steps, to_batch
 
 # Element names by role, and words of class, id and role attributes that mark boilerplate.
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "title", "textarea", "select", "button", "datalist"}
+RAW = {"script", "style", "noscript", "template", "iframe", "title", "textarea"}
+#: Elements inside running text whose own text is no part of it.
+DROPPED = {"svg", "object", "canvas", "audio", "video", "select", "button", "datalist", "annotation", "annotation-xml"}
+MATH = {
+    "math", "maction", "menclose", "merror", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mprescripts",
+    "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover",
+    "semantics",
+}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
     "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
-}
+} | DROPPED | MATH
+#: What does not end a dropped element that has no end tag.
+WITHIN = INLINE | VOID | {"option", "optgroup"}
 BOILER = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "head"}
 CONTENT = {"article", "main"}
 CONTENT_HINTS = {"article", "articlebody", "content", "entry", "main", "maincontent", "post", "story"}
@@ -66,6 +75,20 @@ class Element:
     boiler: bool
     content: bool
     link: bool
+    dropped: int = 0  # 1: its text goes; 2: until the next block-level tag only, as it has no end tag
+
+
+def _ended(page: str, tag: str) -> set[int]:
+    """Where the start tags of `tag` begin that an end tag belongs to; nested ones are told apart."""
+    found, held = set(), []
+    for match in _TAG.finditer(page):
+        if (match[2] or match[5] or "").lower() != tag:
+            continue
+        if not (match[1] or match[4]):
+            held.append(match.start())
+        elif held:
+            found.add(held.pop())
+    return found
 
 
 def _hints(value: str) -> set[str]:
@@ -107,6 +130,7 @@ def blocks(page: str) -> list[Block]:
     stack, opened, out = [root], {}, []
     parts: list[str] = []
     linked = number = at = 0
+    ended: dict[str, set[int]] = {}
 
     def end_block() -> None:
         nonlocal linked
@@ -128,7 +152,7 @@ def blocks(page: str) -> list[Block]:
 
     def add(text: str) -> None:
         nonlocal linked
-        if text:
+        if text and not stack[-1].dropped:
             text = html.unescape(text)
             parts.append(text)
             if stack[-1].link:
@@ -141,7 +165,7 @@ def blocks(page: str) -> list[Block]:
         at = match.end()
         tag = (match[2] or match[5] or "").lower()
         if not tag:
-            if match[0].startswith("<![CDATA["):
+            if match[0].startswith("<![CDATA[") and not stack[-1].dropped:
                 parts.append(match[0][9:].removesuffix("]]>"))
             continue
         closing, attributes = match[1] or match[4], match[3] or match[6] or ""
@@ -150,6 +174,20 @@ def blocks(page: str) -> list[Block]:
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
+        while tag not in WITHIN and stack[-1].dropped == 2:
+            close({stack[-1].tag})
+        if stack[-1].dropped:
+            if closing:
+                first = next(i for i, e in enumerate(stack) if e.dropped)
+                if any(e.tag == tag for e in stack[first:]):
+                    close({tag})
+                    continue
+            elif tag not in VOID and not attributes.endswith("/"):
+                stack.append(replace(stack[-1], tag=tag))
+                opened[tag] = opened.get(tag, 0) + 1
+                continue
+            else:
+                continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -170,7 +208,12 @@ def blocks(page: str) -> list[Block]:
                     close({same}, depth)
         top, number = stack[-1], number + 1
         role = _role(tag, attributes, top.content)
-        stack.append(Element(tag, number, top.boiler or role == "boiler", top.content or role == "content", top.link or tag == "a"))
+        dropped = 0
+        if tag in DROPPED:
+            if tag not in ended:
+                ended[tag] = _ended(page, tag)
+            dropped = 1 if match.start() in ended[tag] else 2
+        stack.append(Element(tag, number, top.boiler or role == "boiler", top.content or role == "content", top.link or tag == "a", dropped))
         opened[tag] = opened.get(tag, 0) + 1
         if attributes.endswith("/"):
             close({tag})

@@ -124,6 +124,22 @@ def test_article_without_the_rest():
     assert mincut.main_text(PAGE) == "Story & title One long paragraph of text, with words enough to count. Short <one>. Quoted text, good."
 
 
+def test_elements_inside_running_text():
+    text = "<p>A paragraph with words enough to count as text.</p>"
+    plain = "A paragraph with words enough to count as text."
+    for start in ("<video src=x>", "<button>Share", "<svg>", "<select><option>One", "<canvas>", "<audio>", "<object>", "<datalist>"):
+        tag = start[1:].split(">")[0].split()[0]
+        assert mincut.main_text(f"{start}<article>{text}{text}</article>") == f"{plain} {plain}"
+        assert mincut.main_text(f"<article>{text}{start}{text}</article>") == f"{plain} {plain}"
+        nested = f"<article>{text}<{tag}>Gone <{tag}>words</{tag}> here <p>and here</p></{tag}>{text}</article>"
+        assert mincut.main_text(nested) == f"{plain} {plain}"
+        assert mincut.main_text(f"<article><p>A paragraph <{tag}>Gone</{tag}>with words enough to count as text.</article>") == plain
+        outer = f"<article><p>Some words that are enough to count here. <{tag}>Gone</p>{text}</{tag}></article>"
+        assert mincut.main_text(outer) == f"Some words that are enough to count here. {plain}"
+    formula = "<article><p>The sum of <math><mrow><mi>x</mi><mo>+</mo><mn>1</mn></mrow></math> is the number that we want here.</p></article>"
+    assert mincut.main_text(formula) == "The sum of x+1 is the number that we want here."
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>Words of a very long page.</p>" * 5000
     pages = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "v", ""), (4, "v", "a < b"), (None, "w", "<p"), (5, "x", long), (6, "y", "<a 'b>c" * 300), (7, "z", "<article>x&#xD800;y.</article>")]
