@@ -46,6 +46,14 @@ HINTS = {
     "comment", "comments", "reply", "replies", "respond", "disqus", "discussion", "contentinfo", "complementary", "search", "toolbar",
     "copyright", "disclaimer", "skip",
 }
+#: Inside content these are as often topics: a section called discussion, a box called notice.
+TOPICS = {
+    "notice", "notices", "search", "header", "discussion", "copyright", "disclaimer", "consent", "navigation", "promotion", "skip",
+    "sharing", "trending", "social", "related", "recommended", "reply", "respond",
+}
+#: What a hint takes from a block's score: outside content, inside it, and inside it where the word may be a topic.
+HINT, INNER_HINT, TOPIC_HINT = 4.0, 6.0, 2.0
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE_HINTS = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related", "teaser"}
 
 _TAG = re.compile(
@@ -66,6 +74,7 @@ class Block:
     content: bool
     heading: bool
     linked: int  # characters inside links
+    hint: float = 0.0  # what class, id and role of the elements around it take from its score
 
 
 @dataclass(slots=True)
@@ -75,6 +84,7 @@ class Element:
     boiler: bool
     content: bool
     link: bool
+    hint: float = 0.0
     dropped: int = 0  # 1: its text goes; 2: until the next block-level tag only, as it has no end tag
 
 
@@ -101,27 +111,30 @@ def _hints(value: str) -> set[str]:
     return found
 
 
-def _role(tag: str, attributes: str, content: bool) -> str:
-    """"boiler", "content" or "": what the element says of itself; inside content it need not say so again."""
+def _role(tag: str, attributes: str, content: bool) -> tuple[str, float]:
+    """"boiler", "content" or "", which the element itself says (inside content it need not say so again), and the
+    weight of its hints against it. Ids of headings and paragraphs are slugs of their text and say nothing."""
     if tag in BOILER or tag == "header" and not content:
-        return "boiler"
-    role = "content" if tag in CONTENT else ""
+        return "boiler", 0.0
+    role, hint = "content" if tag in CONTENT else "", 0.0
     if not attributes or tag in ("html", "body", "main"):
-        return role
+        return role, hint
     for name, value in _MARKS.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return "boiler"
+            return "boiler", 0.0
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return "boiler"
-        elif name != "aria-hidden":
+                return "boiler", 0.0
+        elif name != "aria-hidden" and not (name == "id" and (tag == "p" or tag in HEADINGS)):
             words = _hints(value)
-            if words & (ARTICLE_HINTS if tag == "article" else HINTS):
-                return "boiler"
-            if words & CONTENT_HINTS and tag not in INLINE:
+            found = words & (ARTICLE_HINTS if tag == "article" else HINTS)
+            if found:
+                topic = found <= TOPICS or tag == "p" or tag in HEADINGS
+                hint = max(hint, HINT if not content else TOPIC_HINT if topic else INNER_HINT)
+            elif words & CONTENT_HINTS and tag not in INLINE:
                 role = "content"
-    return role
+    return ("" if hint else role), hint
 
 
 def blocks(page: str) -> list[Block]:
@@ -139,7 +152,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 place = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag not in INLINE)
                 holder, above = stack[place], stack[max(0, place - 1)]
-                out.append(Block(text, above.number, holder.boiler or stack[-1].boiler, holder.content, holder.tag in ("h1", "h2", "h3", "h4"), linked))
+                out.append(Block(text, above.number, holder.boiler or stack[-1].boiler, holder.content, holder.tag in ("h1", "h2", "h3", "h4"), linked, max(holder.hint, stack[-1].hint)))
             parts.clear()
         linked = 0
 
@@ -207,13 +220,13 @@ def blocks(page: str) -> list[Block]:
                 if any(e.tag == same for e in stack[depth + 1 :]):
                     close({same}, depth)
         top, number = stack[-1], number + 1
-        role = _role(tag, attributes, top.content)
+        role, hint = _role(tag, attributes, top.content)
         dropped = 0
         if tag in DROPPED:
             if tag not in ended:
                 ended[tag] = _ended(page, tag)
             dropped = 1 if match.start() in ended[tag] else 2
-        stack.append(Element(tag, number, top.boiler or role == "boiler", top.content or role == "content", top.link or tag == "a", dropped))
+        stack.append(Element(tag, number, top.boiler or role == "boiler", top.content or role == "content", top.link or tag == "a", max(top.hint, hint), dropped))
         opened[tag] = opened.get(tag, 0) + 1
         if attributes.endswith("/"):
             close({tag})
@@ -229,7 +242,7 @@ def score(block: Block) -> float:
     words = block.text.count(" ") + 1
     linked = min(1.0, block.linked / max(1, len(block.text)))
     found = 0.8 * math.log1p(words) - 1.6 - 4.0 * linked
-    found += 3.0 if block.content else 0.0
+    found += (3.0 if block.content else 0.0) - block.hint
     found += 0.8 if block.text[-1] in ".!?:;\"'”»…" else 0.0
     return found + (1.0 if block.heading else 0.0)
 

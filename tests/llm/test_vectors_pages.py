@@ -140,6 +140,20 @@ def test_elements_inside_running_text():
     assert mincut.main_text(formula) == "The sum of x+1 is the number that we want here."
 
 
+def test_hints_can_be_outweighed():
+    words = "This paragraph of the article has quite a few words, and it says what it means."
+    for mark in ("<h2 id='how-to-share-data'>Title</h2>", "<h2 id='related-work'>Title</h2>", "<h2 id='search-results'>Title</h2>"):
+        assert mincut.main_text(f"<article>{mark}<p>{words}</p><p>{words}</p></article>") == f"Title {words} {words}"
+    for page in (
+        f"<article><p>{words}</p><section id='discussion'><p>{words}</p><p>{words}</p></section></article>",
+        f"<article><p>{words}</p><p class='notice'>{words}</p><p>{words}</p></article>",
+        f"<article><p>{words}</p><p class='comment-on-method'>{words}</p><p>{words}</p></article>",
+    ):
+        assert mincut.main_text(page) == f"{words} {words} {words}"
+    boxes = "".join(f"<div class='{c}'><p>Buy or share or answer this now, it is good.</p></div>" for c in ("ad", "comments", "newsletter", "cookie-banner"))
+    assert mincut.main_text(f"<div class='comments'><p>{words}</p></div><article><p>{words}</p>{boxes}</article>") == words
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>Words of a very long page.</p>" * 5000
     pages = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "v", ""), (4, "v", "a < b"), (None, "w", "<p"), (5, "x", long), (6, "y", "<a 'b>c" * 300), (7, "z", "<article>x&#xD800;y.</article>")]
