@@ -82,7 +82,8 @@ def nearest(table: DataFrame, work: Workspace, k: int = 5, every: int = 50) -> D
     """Per query (vec_id divisible by `every`): its `k` nearest other rows found, by cosine: query_id, rank, vec_id, score.
 
     Every row is in the index. Rows whose vector is null, zero, or holds null or non-finite components take no part, nor do
-    rows without id; a repeated id counts once; vectors of unequal width are compared as if padded with zeros.
+    rows without id; equal rows count once, and all vectors of a repeated id are candidates and,
+    if it asks, queries of that id; vectors of unequal width are compared as if padded with zeros.
     """
     clean = V.clean(table, lambda x: x).where(F.exists("v", lambda x: x != 0))
     rows = work.keep(clean, "vectors")

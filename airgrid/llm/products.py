@@ -98,8 +98,8 @@ def top_products(table: DataFrame, work: Workspace, k: int = 20, every: int = 20
     """Per query (vec_id divisible by `every`): the `k` highest products of floor(scale * x) vectors with all other
     rows, ties to smaller ids: query_id, rank, vec_id, score. `table`: vec_id, embedding.
 
-    Rows whose vector is null or holds null or non-finite components take no part, nor do rows without id; a repeated
-    id counts once; vectors of unequal width are compared as if padded with zeros.
+    Rows whose vector is null or holds null or non-finite components take no part, nor do rows without id; equal
+    rows count once, and all vectors of a repeated id are candidates and, if it asks, queries of that id; vectors of unequal width are compared as if padded with zeros.
     """
     vectors = work.keep(V.clean(table, lambda x: F.floor(x * scale).cast("double")), "vectors")
     queries = vectors.where(F.col("vec_id") % every == 0)

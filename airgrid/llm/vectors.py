@@ -13,11 +13,12 @@ CANDIDATES, QUERIES, SHARES = 4096, 1024, 32
 
 def clean(table: DataFrame, component) -> DataFrame:
     """vec_id, v (array<double>) of usable rows: not null, without null or non-finite components, with an id.
-    `component` maps a component (double). A repeated vec_id counts once, with the first of its vectors in array order."""
+    `component` maps a component (double). Equal rows count once; a
+    vec_id with several vectors keeps them all."""
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     vectors = F.transform("embedding", lambda x: component(x.cast("double")))
     rows = table.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull()).where(finite)
-    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), vectors.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), vectors.alias("v")).distinct()
 
 
 def without_copies(vectors: DataFrame, enough: int) -> DataFrame:
@@ -60,7 +61,7 @@ def candidate_blocks(vectors: DataFrame, kind: Column, extra=lambda data: b"") -
     rows = vectors.withColumn("kind", kind)
     sizes = rows.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / CANDIDATES).alias("blocks"))
     rows = rows.join(sizes, "kind")
-    dealt = F.concat_ws("/", F.col("kind").cast("string"), F.pmod(F.xxhash64("vec_id", F.lit(2)), F.col("blocks")).cast("string"))
+    dealt = F.concat_ws("/", F.col("kind").cast("string"), F.pmod(F.xxhash64("vec_id", "v", F.lit(2)), F.col("blocks")).cast("string"))
     return _packed(rows.withColumn("block", dealt), "block", extra)
 
 

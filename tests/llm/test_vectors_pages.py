@@ -36,6 +36,15 @@ def test_products_against_all_pairs(spark, work, monkeypatch):
     assert [(r["query_id"], r["rank"]) for r in sorted(few)] == [(0, 1), (0, 2)]
 
 
+def test_vectors_of_a_repeated_id_all_count(spark, work):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.0]), (1, [2.0, 0.25]), (2, [0.25, 4.0]), (2, [0.25, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in products.top_products(df, work, k=3).collect())
+    assert got == [(1, 2, 4 * 4096), (2, 1, 2 * 4096), (3, 1, 2048)]
+    got = sorted((r["rank"], r["vec_id"], round(r["score"], 4)) for r in onebit.nearest(df, work, k=3).collect())
+    assert got == [(1, 1, 1.0), (2, 2, round(4 / 16.0625**0.5, 4)), (3, 1, round(2 / 4.0625**0.5, 4))]
+
+
 def test_pruning_loses_nothing():
     rng = np.random.default_rng(1)
     for spread in (0.01, 1.0):
