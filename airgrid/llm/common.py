@@ -37,15 +37,15 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-def steps(batches, column: str):
-    """Arrow batches cut so that `column` holds about STEP_BYTES in each, however long its texts are."""
+def steps(batches, column: str, limit: int = STEP_BYTES):
+    """Arrow batches cut so that `column` holds about `limit` bytes in each, however long its texts are."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         begin = held = 0
         for end, size in enumerate(sizes):
-            if held and held + size > STEP_BYTES:
+            if held and held + size > limit:
                 yield batch.slice(begin, end - begin)
                 begin, held = end, 0
             held += int(size)
@@ -56,6 +56,17 @@ def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
+_KINDS = {
+    "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(),
+    "array<string>": pa.list_(pa.string()), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of "name kind, name kind" for the kinds that tasks return."""
+    return pa.schema([(name, _KINDS[kind]) for name, kind in map(str.split, ddl.split(", "))])
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a written stage that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

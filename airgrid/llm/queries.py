@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airgrid.llm import attribution, jaccard, language, mincut, mixing, onebit, packing, planes, products, quality
+from airgrid.llm import attribution, fertility, jaccard, language, manifest, mincut, mixing, onebit, packing, planes, products, quality, whitening
 from airgrid.llm.common import held_out, read_table
 from airgrid.llm.oracles import ORACLES
 from airgrid.session import Workspace
@@ -16,12 +16,21 @@ from airgrid.session import Workspace
 TOKENIZERS = os.environ.get("AIRGRID_TOKENIZERS", "/opt/tokenizers")
 
 
-def tokenizer(name: str) -> str:
+def _tokenizers():
     if TOKENIZERS not in sys.path:
         sys.path.append(TOKENIZERS)
     import public_tokenizers
 
-    return public_tokenizers.path(name)
+    return public_tokenizers
+
+
+def tokenizer(name: str) -> str:
+    return _tokenizers().path(name)
+
+
+def vocabularies() -> tuple[str, str, str]:
+    """Files of the piece and the byte-level vocabulary, and the pattern that the latter splits by."""
+    return tokenizer("piece_bpe_32k.model"), tokenizer("byte_bpe_multi_50k.tiktoken"), _tokenizers().PATTERN
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,10 +78,23 @@ def op10_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.nearest(read_table(spark, sf_dir, "embeddings"), Workspace(spark))
 
 
+def op11_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fertility.apply_rules(read_table(spark, sf_dir, "documents"), Workspace(spark), *vocabularies())
+    return found.select("doc_id", *fertility.COUNTS, "base_failed", "kept", *fertility.MEASURES)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.tampering(read_table(spark, sf_dir, "documents"), Workspace(spark))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), Workspace(spark))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality, op2_bit_planes, op3_top_products, op4_jaccard_join, op5_language, op6_best_fit_packing, op7_mixing,
-        op8_token_counts, op9_main_text, op10_one_bit_neighbours,
+        op8_token_counts, op9_main_text, op10_one_bit_neighbours, op11_fertility_rules, op12_merkle_manifest, op13_whitening,
     )
 }
