@@ -9,7 +9,11 @@ then forecasts from the start day on and appends to the tables below `--tables`.
 
 Instead of the built-in unification, `--sql` steps can make the network table: one query per file, run in order over
 `{old}`, `{new}` and the steps before; the last result is the network table, and each step's row count goes to
-the table `step_counts`. Of the network table only the days that the result holds are replaced.
+the table `step_counts`. With `--step-log`, a run goes on after the last step that an earlier one has written. The result
+is merged into the network table by block and origin; only days with a change are written.
+
+All tables of a run are published together under `--run`, by default the run date. A run that is published already does
+nothing, unless `--replace-run` is given. With `--state`, the averages come from daily sums kept in that folder.
 
 `--source` and `--sink` say where tables are: `files` (paths), `catalog` (names), or `jdbc` (names in the database that
 AIRGRID_JDBC_URL and its companions point to; what a run needs of it is read once and staged).
@@ -28,9 +32,12 @@ from airgrid.operators.sgd import SgdSettings
 from airgrid.plans.forecast import run_forecast, run_tables
 from airgrid.schema import conform
 from airgrid.session import Workspace, build_session
-from airgrid.sources.sinks import append_run, append_run_table, stamp
-from airgrid.sources.steps import Step, run_steps
-from airgrid.sources.tables import RelationalStore, read_blocks, replace_days, table_blocks, write_blocks
+from airgrid.sources.daily import DailySums
+from airgrid.sources.merge import merge_blocks, merge_table
+from airgrid.sources.runs import RunTables
+from airgrid.sources.sinks import stamp
+from airgrid.sources.steps import Step, StepLog, run_steps
+from airgrid.sources.tables import RelationalStore, read_blocks, table_blocks
 from airgrid.sources.unify import unify
 
 
@@ -56,8 +63,11 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--iterations", type=int, nargs="+", default=config.BOOSTING_ITERATIONS)
     parser.add_argument("--depths", type=int, nargs="+", default=config.BOOSTING_DEPTHS)
     parser.add_argument("--seed", type=int, default=42)
-    parser.add_argument("--fits-at-once", type=int, default=8, help="boosting fits that run side by side")
-    parser.add_argument("--replace-run", action="store_true", help="overwrite this run date instead of appending again")
+    parser.add_argument("--step-log", help="folder of written SQL steps, to go on from after a failure")
+    parser.add_argument("--whole-days", action="store_true", help="the grids hold all blocks of their days: others on these days go")
+    parser.add_argument("--state", help="folder of daily sums, kept from run to run")
+    parser.add_argument("--run", help="name that the run is published under (default: the run date)")
+    parser.add_argument("--replace-run", action="store_true", help="publish the run anew if it is published already")
     parser.add_argument("--keep-stages", action="store_true", help="leave the intermediate tables in the shared folder")
     options = parser.parse_args(arguments)
     if bool(options.old) != bool(options.new):
@@ -66,43 +76,38 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         parser.error("--sql steps need --old and --new")
     if options.source == "jdbc" and options.old:
         parser.error("grids are read from files or the catalog; of a database only the network table is")
-    if options.replace_run and options.sink != "files":
-        parser.error("--replace-run works on files only")
+    if options.replace_run and options.sink == "jdbc":
+        parser.error("a database keeps no runs apart: --replace-run works on files and in the catalog")
+    if options.state and options.source != "files":
+        parser.error("--state needs a network table in files")
+    if options.step_log and not options.sql:
+        parser.error("--step-log goes with --sql")
     return options
 
 
-def network(spark: SparkSession, options: argparse.Namespace, calendar: FoldCalendar, work: Workspace) -> DataFrame:
-    """The network table, made from the grids first if there are any."""
+def network(spark: SparkSession, options: argparse.Namespace, calendar: FoldCalendar, work: Workspace) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The network table, made from the grids first if there are any, and what there is to publish about that."""
+    found = {}
     if options.old:
         load = spark.table if options.source == "catalog" else spark.read.format(options.format).load
         old, new = load(options.old), load(options.new)
         if options.sql:
             steps = [Step.from_file(path) for path in options.sql]
-            made, counts = run_steps(spark, steps, {"old": old, "new": new}, work)
+            log = StepLog(spark, options.step_log) if options.step_log else None
+            made, counts = run_steps(spark, steps, {"old": old, "new": new}, work, log)
             blocks = conform(made[steps[-1].name])
-            counted = spark.createDataFrame(counts, "step string, row_count long")
-            save(stamp(counted, calendar), "step_counts", options, calendar)
+            found["step_counts"] = stamp(spark.createDataFrame(counts, "step string, row_count long"), calendar)
         else:
             blocks = unify(old, new, options.rename_old, options.rename_new)
-        if options.source == "catalog":
-            replace_days(blocks, options.network)
-        else:
-            write_blocks(blocks, options.network)
+        merge = merge_table if options.source == "catalog" else merge_blocks
+        merge(blocks, options.network, work, options.whole_days)
     if options.source == "catalog":
-        return table_blocks(spark, options.network)
+        return table_blocks(spark, options.network), found
     if options.source == "jdbc":
         store = RelationalStore.from_environment()
-        return work.keep(store.read_blocks(spark, options.network, calendar.history_floor, calendar.folds[-1].target_to), "network")
-    return read_blocks(spark, options.network)
-
-
-def save(rows: DataFrame | None, name: str, options: argparse.Namespace, calendar: FoldCalendar) -> None:
-    if options.sink == "files":
-        append_run(rows, f"{options.tables}/{name}", options.replace_run, calendar.run_date)
-    elif rows is not None and options.sink == "catalog":
-        append_run_table(rows, f"{options.tables}{name}")
-    elif rows is not None:
-        RelationalStore.from_environment().append(rows, f"{options.tables}{name}")
+        rows = store.read_blocks(spark, options.network, calendar.history_floor, calendar.folds[-1].target_to)
+        return work.keep(rows, "network"), found
+    return read_blocks(spark, options.network), found
 
 
 def main(arguments: list[str] | None = None, spark: SparkSession | None = None) -> None:
@@ -111,17 +116,27 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     calendar = FoldCalendar(
         options.start or default_start(), options.lookback, options.step, options.horizon, options.history_floor
     )
+    run_id = options.run or calendar.run_date
+    published = RunTables(spark, options.tables, options.sink) if options.sink != "jdbc" else None
+    if published and not options.replace_run and published.is_published(run_id):
+        return
     work = Workspace(spark)
     try:
+        blocks, tables = network(spark, options, calendar, work)
+        sums = DailySums(spark, options.state) if options.state else None
+        if sums:
+            sums.update(options.network, work)
         run = run_forecast(
-            network(spark, options, calendar, work), calendar, work, options.channels, options.exclude,
-            SgdSettings(seed=options.seed),
-            BoostingSettings(
-                iterations=options.iterations, depths=options.depths, seed=options.seed, fits_at_once=options.fits_at_once
-            ),
+            blocks, calendar, work, options.channels, options.exclude, SgdSettings(seed=options.seed),
+            BoostingSettings(iterations=options.iterations, depths=options.depths), sums,
         )
-        for name, rows in run_tables(run).items():
-            save(rows, name, options, calendar)
+        tables |= run_tables(run)
+        if published:
+            published.publish(run_id, tables, options.replace_run)
+        else:
+            store = RelationalStore.from_environment()
+            for name, rows in tables.items():
+                store.append(rows, f"{options.tables}{name}")
     finally:
         if not options.keep_stages:
             work.remove()

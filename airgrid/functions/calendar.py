@@ -47,8 +47,13 @@ def day_type(weekday: Column) -> Column:
     return F.when(weekday.isin(config.WEEKEND_DAY_KEYS), "weekend").otherwise("weekdays")
 
 
+def start_day(today: Column) -> Column:
+    """First day to forecast, as a date: actual ratings arrive three days late."""
+    return F.date_sub(today, config.ACTUALS_LAG_DAYS)
+
+
 def default_start(today: date | None = None) -> date:
-    """First day to forecast: actual ratings arrive three days late."""
+    """The same for a run made on `today`."""
     return (today or date.today()) - timedelta(days=config.ACTUALS_LAG_DAYS)
 
 

@@ -14,12 +14,13 @@ def _case(value: Column, uppers: list[int]) -> Column:
 
 
 def means_as_of(
-    rows: DataFrame, keys: list[str], folds: list[Fold], ranges: dict[str, str | None], value: str = "factratebase"
+    rows: DataFrame, keys: list[str], folds: list[Fold], ranges: dict[str, str | None], value: str = "factratebase",
+    counted: str | None = None,
 ) -> DataFrame:
     """Mean of `value` per key, as an array over the folds, for several day ranges that end at the cutoff.
 
     `ranges` maps an output column to the fold attribute its range starts at (None: all history).
-    `first_fold` is the first fold that sees any row of the key.
+    `first_fold` is the first fold that sees any row of the key. With `counted`, rows are sums already, of so many values.
 
     The borders of all ranges cut the calendar into a few dozen spans, and every range is a run of
     whole spans. So history rows are never repeated per fold: they are summed per key and span,
@@ -30,7 +31,7 @@ def means_as_of(
     uppers = sorted({f.cutoff for f in folds} | {s for days in starts.values() for s in days if s is not None})
     span = {upper: index for index, upper in enumerate(uppers)}
     sums = rows.groupBy(*keys, _case(F.col("blockdate"), uppers).alias("span")).agg(
-        F.sum(value).alias("total"), F.count(value).alias("n")
+        F.sum(value).alias("total"), (F.sum(counted) if counted else F.count(value)).alias("n")
     )
 
     def within(name: str, fold: Fold, column: str):

@@ -1,13 +1,25 @@
-"""Gradient-boosted trees per segment with a small parameter search, on Spark ML."""
+"""Gradient-boosted trees for all segments at once, with a small parameter search.
+
+Every segment needs a model per depth and validation fold, and one per depth on all rows. All of these replicas grow
+together, level by level: tasks sum the gradients of their rows per segment, replica, node, feature and bin, the sums are
+added up per segment and replica, and the best split is chosen there. So a search is a fixed number of Spark jobs, about
+one per level and tree, whatever the number of segments, replicas and rows.
+
+Trees are symmetric: all nodes of a level share one split, the one that lowers the squared error most. A tree's levels
+therefore are the first levels of any deeper tree on the same residuals, and a boosted model's first trees are a
+shorter model, so shorter runs are scored on the way, and the refit on all rows is a replica like the others.
+
+Features are cut into bins at quantiles, once per segment. Rows are kept in chunks with the predictions of all replicas,
+written anew after each tree: a lost executor costs a level at most.
+"""
 
 import math
 from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airgrid import config
@@ -16,28 +28,45 @@ from airgrid.schema import SEGMENT
 from airgrid.session import Workspace
 
 LOWEST = -1.7976931348623157e308
-#: Training rows per partition of a segment.
-PARTITION_ROWS = 200_000
+#: Replica fold that leaves no row out.
+ALL_ROWS = -1
+#: Bytes of sums that a task holds before it hands them on.
+HELD = 64 << 20
+#: With more tasks than this, sums are first added up in shares.
+SHARED_BEYOND = 16
 
 
 @dataclass(frozen=True)
 class BoostingSettings:
+    """`rate`: what of a leaf's mean is taken; `shrink`: rows that a leaf's mean is drawn towards zero by."""
+
     iterations: list[int] = field(default_factory=lambda: config.BOOSTING_ITERATIONS)
     depths: list[int] = field(default_factory=lambda: config.BOOSTING_DEPTHS)
     cv_folds: int = 3
-    seed: int = 42
-    fits_at_once: int = 8
+    rate: float = 0.5
+    shrink: float = 3.0
+    bins: int = 32
+
+    @property
+    def several(self) -> bool:
+        return len(self.iterations) * len(self.depths) > 1
+
+    @property
+    def replicas(self) -> list[tuple[int, int]]:
+        """(depth, fold left out): what is grown for each segment."""
+        folds = [*range(self.cv_folds), ALL_ROWS] if self.several else [ALL_ROWS]
+        depths = sorted(set(self.depths)) if self.several else self.depths[:1]
+        return [(depth, fold) for depth in depths for fold in folds]
 
 
 @dataclass(frozen=True)
-class BoostedSegment:
-    """What became of one segment: a model with its search results, or the error that stopped it."""
+class Boosted:
+    """What became of all segments. `models`: segment, iterations, depth, base, trees (the best setting's); `grid`:
+    segment, iterations, depth, r2; `errors`: segment, error of those without a model."""
 
-    cnlname: str
-    day_type: str
-    model: object = None
-    grid: list[tuple[int, int, float]] = field(default_factory=list)
-    error: str | None = None
+    models: DataFrame
+    grid: DataFrame
+    errors: DataFrame
 
 
 def with_cv_folds(train: DataFrame, folds: int) -> DataFrame:
@@ -68,125 +97,375 @@ def with_cv_folds(train: DataFrame, folds: int) -> DataFrame:
 
 
 def training_table(train: DataFrame, settings: BoostingSettings, work: Workspace) -> DataFrame:
-    """Only what the fits need, written by segment, so that each segment is read from its own files."""
+    """Only what the fits need, written by segment, so that a chunk holds rows of one segment."""
     rows = with_cv_folds(train, settings.cv_folds)
     rows = rows.select(*SEGMENT, *config.FEATURES, config.LABEL, "cv_fold")
     return work.keep(rows, "train", partition_by=SEGMENT)
 
 
-def assemble(rows: DataFrame, missing: float | None = None) -> DataFrame:
-    """Add the feature vector. When scoring, a missing feature counts as lower than any other value."""
-    inputs = [f"in_{name}" for name in config.FEATURES]
-    fill = (lambda c: c) if missing is None else (lambda c: F.coalesce(c, F.lit(missing)))
-    rows = rows.withColumns({i: fill(F.col(n).cast("double")) for i, n in zip(inputs, config.FEATURES)})
-    return VectorAssembler(inputCols=inputs, outputCol="features").transform(rows).drop(*inputs)
+def fold_statistics(train: DataFrame, segments: list[tuple[str, str]]) -> dict[tuple[str, str], dict[int, tuple]]:
+    """Per listed segment and validation fold: rows, label sum and variance, and rows that can't be learned from. One
+    pass; a few numbers per segment."""
+    found = {segment: {} for segment in segments}
+    values = [F.col(c).cast("double") for c in (*config.FEATURES, config.LABEL)]
+    sound = F.coalesce(F.forall(F.array(*values), lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < math.inf)), F.lit(False))
+    rows = train.groupBy(*SEGMENT, "cv_fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(config.LABEL).alias("total"), F.var_pop(config.LABEL).alias("spread"), F.count_if(~sound).alias("unsound")
+    )
+    for r in rows.collect():
+        if (r["cnlname"], r["day_type"]) in found:
+            found[r["cnlname"], r["day_type"]][r["cv_fold"]] = r["n"], r["total"], r["spread"], r["unsound"]
+    return found
 
 
-def _trees(settings: BoostingSettings, iterations: int, depth: int) -> GBTRegressor:
-    return GBTRegressor(
-        labelCol=config.LABEL, featuresCol="features", maxIter=iterations, maxDepth=depth, seed=settings.seed
+def borders(train: DataFrame, bins: int) -> DataFrame:
+    """Per segment and feature, the distinct values at which its rows are cut into `bins` parts of about equal size."""
+    shares = F.array(*[F.lit(k / bins) for k in range(1, bins)])
+    return train.groupBy(*SEGMENT).agg(
+        F.array(*[F.array_sort(F.array_distinct(F.percentile_approx(F.col(c).cast("double"), shares, F.lit(10_000)))) for c in config.FEATURES]).alias("borders")
     )
 
 
-def _in_parallel(rows: DataFrame, settings: BoostingSettings, work, jobs: list) -> list:
-    """Run Spark jobs a few at a time; a job's exception becomes its result."""
+def _below(value: Column):
+    return lambda border: border < value
 
-    def attempt(job):
-        try:
-            return work(*job)
-        except Exception as error:
-            return error
 
-    with ThreadPool(max(1, min(settings.fits_at_once, len(jobs)))) as pool:
-        return pool.map(inheritable_thread_target(rows.sparkSession)(attempt), jobs, chunksize=1)
+def _index(segments: pa.RecordBatch):
+    """(segment, its rows' places) of a batch."""
+    pairs = list(zip(*(segments.column(c).to_pylist() for c in SEGMENT), strict=True))
+    where: dict[tuple, list[int]] = {}
+    for i, pair in enumerate(pairs):
+        where.setdefault(pair, []).append(i)
+    return where.items()
 
 
-def fold_sizes(train: DataFrame, segments: list[tuple[str, str]]) -> dict[tuple[str, str], dict[int, tuple[int, float]]]:
-    """Rows and label variance of every validation fold, from one pass: a few numbers per listed segment."""
-    found = {segment: {} for segment in segments}
-    rows = train.groupBy(*SEGMENT, "cv_fold").agg(F.count(F.lit(1)).alias("n"), F.var_pop(config.LABEL).alias("spread"))
-    for r in rows.collect():
-        if (r["cnlname"], r["day_type"]) in found:
-            found[r["cnlname"], r["day_type"]][r["cv_fold"]] = r["n"], r["spread"]
-    return found
+CHUNK = "cnlname string, day_type string, n long, bins binary, labels binary, folds binary, predicted binary, errors array<double>"
 
 
-def fold_scores(
-    rows: DataFrame, settings: BoostingSettings, depth: int, fold: int, spread: float | None
-) -> list[float]:
-    """Validation r2 on one fold of a segment's assembled rows for every number of iterations.
+def chunks(train: DataFrame, cuts: DataFrame, settings: BoostingSettings, bases: dict[tuple, list[float]]) -> DataFrame:
+    """Rows of about one Arrow batch and one segment together: bins (n, features), labels, folds, and what each replica
+    predicts so far (replicas, n), at first the mean label it may see."""
+    binned = join_per_segment(train, cuts).select(
+        *SEGMENT, F.col(config.LABEL).cast("double").alias("label"), F.col("cv_fold").cast("int").alias("fold"),
+        *[
+            F.size(F.filter(F.get("borders", F.lit(k)), _below(F.col(c).cast("double")))).alias(f"bin_{k}")
+            for k, c in enumerate(config.FEATURES)
+        ],
+    )
 
-    Boosting only ever adds trees, so one fit of the longest run scores all the shorter ones.
-    """
-    model = _trees(settings, max(settings.iterations), depth).fit(rows.where(F.col("cv_fold") != fold))
-    errors = model.evaluateEachIteration(rows.where(F.col("cv_fold") == fold), "squared")
-    return [1.0 - float(errors[n - 1]) / spread if spread else float("nan") for n in settings.iterations]
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(f"bin_{k}").to_numpy() for k in range(len(config.FEATURES))]
+            bins, labels, folds = np.stack(columns, 1).astype(np.uint8), batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+            for segment, where in _index(batch):
+                start = np.repeat(np.array(bases[segment])[:, None], len(where), 1)
+                yield _chunk(segment, bins[where], labels[where], folds[where].astype(np.int16), start, None)
+
+    return binned.mapInArrow(run, CHUNK)
+
+
+def _chunk(segment, bins, labels, folds, predicted, errors) -> pa.RecordBatch:
+    held = [x.tobytes() for x in (bins, labels, folds, predicted)]
+    arrays = [
+        pa.array([segment[0]], pa.string()), pa.array([segment[1]], pa.string()), pa.array([len(labels)], pa.int64()),
+        *[pa.array([x], pa.binary()) for x in held], pa.array([errors], pa.list_(pa.float64())),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in CHUNK.split(", ")])
+
+
+def _opened(batches, columns=("bins", "labels", "folds", "predicted")):
+    """(segment, arrays, the batch's other columns at that row) of each chunk."""
+    kinds = {"bins": np.uint8, "labels": np.float64, "folds": np.int16, "predicted": np.float64}
+    for batch in batches:
+        for i in range(batch.num_rows):
+            n = batch.column("n")[i].as_py()
+            found = [np.frombuffer(batch.column(c)[i].as_buffer(), kinds[c]) for c in columns]
+            shapes = {"bins": (n, -1), "predicted": (-1, n)}
+            found = [x.reshape(shapes[c]) if c in shapes else x for c, x in zip(columns, found, strict=True)]
+            yield tuple(batch.column(c)[i].as_py() for c in SEGMENT), found, (batch, i)
+
+
+def node_of(bins: np.ndarray, splits: list[tuple[int, int]]) -> np.ndarray:
+    """Each row's node below `splits`: a bit per level, set where the row's bin lies beyond the border."""
+    node = np.zeros(len(bins), np.int64)
+    for feature, border in splits:
+        node = 2 * node + (bins[:, feature] > border)
+    return node
+
+
+def best_split(gradients: np.ndarray, counts: np.ndarray, shrink: float) -> tuple[float, int, int]:
+    """(what it explains, feature, border) of the split that explains most of the squared error, the first of equals.
+    Sums and counts are (nodes, features, bins); a border leaves the bins up to its own on the left."""
+    left, n_left = gradients.cumsum(2)[:, :, :-1], counts.cumsum(2)[:, :, :-1]
+    right, n_right = gradients.sum(2, keepdims=True) - left, counts.sum(2, keepdims=True) - n_left
+    explained = (left**2 / (n_left + shrink) + right**2 / (n_right + shrink)).sum(0)
+    feature, border = divmod(int(explained.argmax()), explained.shape[1])
+    return float(explained[feature, border]), feature, border
+
+
+def leaf_values(gradients: np.ndarray, counts: np.ndarray, feature: int, border: int, settings: BoostingSettings) -> np.ndarray:
+    """Values of the leaves that a last split makes, (2 * nodes,)."""
+    sums = np.stack([x[:, feature, : border + 1].sum(1) for x in (gradients, counts)] + [x[:, feature, border + 1 :].sum(1) for x in (gradients, counts)])
+    return (settings.rate * np.stack([sums[0] / np.maximum(sums[1] + settings.shrink, 1e-300), sums[2] / np.maximum(sums[3] + settings.shrink, 1e-300)], 1)).ravel()
+
+
+SUMS = "cnlname string, day_type string, replica int, share int, sums binary"
+CHOSEN = "cnlname string, day_type string, replica int, ends int, feature int, border int, leaves array<double>, error string"
+
+
+def _level(state: DataFrame, settings: BoostingSettings, splits: dict, active: list[int], ends: dict[int, int]) -> DataFrame:
+    """The next split (CHOSEN) of every segment and active replica, given the current tree's `splits` so far. Replicas in
+    `ends` have their last split here and get leaves; `ends` says which replica these are for."""
+    replicas, width, bins = settings.replicas, len(config.FEATURES), settings.bins
+    tasks = state.rdd.getNumPartitions()
+    shares = math.ceil(math.sqrt(tasks))
+
+    def add(batches):
+        share = TaskContext.get().partitionId() % shares
+        held, size = {}, 0
+
+        def report():
+            rows = list(held.items())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([s[0] for (s, _), _ in rows]), pa.array([s[1] for (s, _), _ in rows]), pa.array([r for (_, r), _ in rows], pa.int32()),
+                 pa.array([share] * len(rows), pa.int32()), pa.array([x.tobytes() for _, x in rows], pa.binary())],
+                names=[c.split()[0] for c in SUMS.split(", ")],
+            )
+
+        for segment, (binned, labels, folds, predicted), _ in _opened(batches):
+            if segment not in splits:
+                continue
+            cells = binned + np.arange(width, dtype=np.int64) * bins
+            for r in active:
+                mine = folds != replicas[r][1]
+                node = node_of(binned[mine], splits[segment][r])
+                places = (node[:, None] * (width * bins) + cells[mine]).ravel()
+                least = (1 << len(splits[segment][r])) * width * bins
+                gradient = np.repeat((labels - predicted[r])[mine], width)
+                found = np.stack([np.bincount(places, gradient, least), np.bincount(places, minlength=least)])
+                if (segment, r) in held:
+                    held[segment, r] += found
+                else:
+                    held[segment, r] = found
+                    size += found.nbytes
+            if size > HELD:
+                yield report()
+                held, size = {}, 0
+        if held:
+            yield report()
+
+    def summed(table: pa.Table) -> np.ndarray:
+        table = table.sort_by("share")
+        total = np.frombuffer(table["sums"][0].as_buffer()).copy()
+        for x in table["sums"][1:]:
+            total += np.frombuffer(x.as_buffer())
+        return total
+
+    def together(table: pa.Table) -> pa.Table:
+        same = {c: table[c].slice(0, 1) for c in (*SEGMENT, "replica", "share")}
+        return pa.table(same | {"sums": pa.array([summed(table).tobytes()], pa.binary())})
+
+    def choose(table: pa.Table) -> pa.Table:
+        gradients, counts = summed(table).reshape(2, -1, width, bins)
+        with np.errstate(all="ignore"):
+            explained, feature, border = best_split(gradients, counts, settings.shrink)
+            replica = table["replica"][0].as_py()
+            leaves = leaf_values(gradients, counts, feature, border, settings) if replica in ends else None
+        sound = np.isfinite(explained) and (leaves is None or np.isfinite(leaves).all())
+        return pa.table({c: table[c].slice(0, 1) for c in (*SEGMENT, "replica")} | {
+            "ends": pa.array([ends.get(replica)], pa.int32()), "feature": pa.array([feature], pa.int32()), "border": pa.array([border], pa.int32()),
+            "leaves": pa.array([leaves if sound else None], pa.list_(pa.float64())),
+            "error": pa.array([None if sound else "OverflowError: the labels' squares are beyond a double"], pa.string()),
+        })
+
+    sums = state.select(*SEGMENT, "n", "bins", "labels", "folds", "predicted").mapInArrow(add, SUMS)
+    if tasks > SHARED_BEYOND:
+        sums = sums.groupBy(*SEGMENT, "replica", "share").applyInArrow(together, SUMS)
+    return sums.groupBy(*SEGMENT, "replica").applyInArrow(choose, CHOSEN)
+
+
+def _updated(state: DataFrame, settings: BoostingSettings, splits: dict, leaves: DataFrame) -> DataFrame:
+    """Chunks with the current tree added to every replica's predictions, and each replica's squared error on the rows it
+    may not see."""
+    replicas = settings.replicas
+    per_segment = leaves.groupBy(*SEGMENT).agg(F.collect_list(F.struct("replica", "leaves")).alias("grown"))
+
+    def run(batches):
+        for segment, (bins, labels, folds, predicted), (batch, i) in _opened(batches):
+            if segment not in splits:
+                continue
+            values = {x["replica"]: np.array(x["leaves"]) for x in batch.column("grown")[i].as_py()}
+            predicted, errors = predicted.copy(), []
+            for r, (_, fold) in enumerate(replicas):
+                predicted[r] += values[r][node_of(bins, splits[segment][r])]
+                unseen = folds == fold
+                errors.append(float(((labels - predicted[r])[unseen] ** 2).sum()))
+            yield _chunk(segment, bins, labels, folds, predicted, errors)
+
+    return join_per_segment(state, per_segment).select(*SEGMENT, "n", "bins", "labels", "folds", "predicted", "grown").mapInArrow(run, CHUNK)
+
+
+def _unseen_errors(state: DataFrame) -> dict[tuple, dict[int, float]]:
+    """Per segment and replica, the squared error on the rows it may not see."""
+    rows = state.select(*SEGMENT, F.posexplode("errors").alias("replica", "error"))
+    found: dict = {}
+    for r in rows.groupBy(*SEGMENT, "replica").agg(F.sum("error").alias("error")).collect():
+        found.setdefault((r["cnlname"], r["day_type"]), {})[r["replica"]] = r["error"]
+    return found
 
 
-def _search(rows: DataFrame, settings: BoostingSettings, folds: dict[int, tuple[int, float]]) -> dict:
-    """Mean validation r2 of every setting, over the folds that have rows on both sides and could be fitted."""
-    jobs = [(depth, fold) for depth in settings.depths for fold in sorted(folds)]
-    found = _in_parallel(rows, settings, lambda depth, fold: fold_scores(rows, settings, depth, fold, folds[fold][1]), jobs)
-    scores = {}
-    for (depth, _), result in zip(jobs, found):
-        if not isinstance(result, Exception):
-            for iterations, r2 in zip(settings.iterations, result):
-                scores.setdefault((iterations, depth), []).append(r2)
-    return {setting: sum(r2) / len(r2) for setting, r2 in sorted(scores.items())}
+class _Growth:
+    """The trees grown so far. The driver holds splits only (a few numbers per segment, replica and level); leaves are in
+    written stages."""
+
+    def __init__(self, settings: BoostingSettings, segments: list[tuple[str, str]]):
+        self.settings, self.replicas = settings, settings.replicas
+        self.trees = {s: [] for s in segments}  # per tree, the splits of each replica
+        self.leaves: list[DataFrame] = []  # per tree: segment, replica, leaves
+        self.errors: dict[tuple, str] = {}
+
+    def grow(self, state: DataFrame, work: Workspace, first: bool) -> tuple[DataFrame, dict]:
+        """One tree for every replica: its leaves and its splits. While no tree is grown, replicas of one fold have equal
+        residuals, so the deepest one's levels serve all."""
+        deepest = {fold: r for r, (_, fold) in enumerate(self.replicas)}  # replicas ascend by depth
+        leads = sorted(deepest.values()) if first else list(range(len(self.replicas)))
+        splits = {s: [[] for _ in self.replicas] for s in self.trees}
+        ended = []
+        for level in range(1, max(d for d, _ in self.replicas) + 1):
+            active = [r for r in leads if self.replicas[r][0] >= level]
+            if first:
+                ends = {deepest[fold]: r for r, (depth, fold) in enumerate(self.replicas) if depth == level}
+            else:
+                ends = {r: r for r in active if self.replicas[r][0] == level}
+            chosen = _level(state, self.settings, splits, active, ends)
+            if ends:
+                chosen = work.keep(chosen, "level")
+                ended.append(chosen.where("ends is not null").select(*SEGMENT, F.col("ends").alias("replica"), "leaves"))
+            for r in chosen.drop("leaves").collect():
+                segment = r["cnlname"], r["day_type"]
+                if r["error"]:
+                    self.errors.setdefault(segment, r["error"])
+                else:
+                    splits[segment][r["replica"]].append((r["feature"], r["border"]))
+            for segment in self.errors:
+                splits.pop(segment, None)
+                self.trees.pop(segment, None)
+        if first:
+            for grown in splits.values():
+                lead = [list(grown[deepest[fold]]) for _, fold in self.replicas]
+                grown[:] = [x[:depth] for x, (depth, _) in zip(lead, self.replicas, strict=True)]
+        leaves = ended[0]
+        for more in ended[1:]:
+            leaves = leaves.unionByName(more)
+        leaves = work.keep(leaves.where("leaves is not null"), "leaves")
+        for segment, grown in splits.items():
+            self.trees[segment].append(grown)
+        self.leaves.append(leaves)
+        return leaves, splits
 
 
-def fit_boosted(
-    train: DataFrame, segments: list[tuple[str, str]], settings: BoostingSettings = BoostingSettings()
-) -> list[BoostedSegment]:
-    """Search the grid by mean validation r2 and refit the best setting on all rows, for each segment.
-
-    Segments are independent: one that fails is recorded and the rest go on. A search without a result
-    (a single fold, or no fold that can be fitted) leaves the first setting. Every fit is a distributed
-    Spark ML job over its segment's assembled rows, which are read once and kept in memory or on disk for
-    all of its fits; a small segment is one partition. What comes to the driver is one number per setting,
-    fold and segment.
-    """
-    sizes = fold_sizes(train, segments)
-    several = len(settings.iterations) * len(settings.depths) > 1
+def _rank(r2: float) -> float:
+    return float("-inf") if math.isnan(r2) else r2
 
-    def one(segment):
-        folds = sizes[segment]
-        rows = assemble(_segment(train, segment)).select("features", config.LABEL, "cv_fold")
-        rows = rows.coalesce(max(1, math.ceil(sum(n for n, _ in folds.values()) / PARTITION_ROWS))).persist()
-        try:
-            scores = _search(rows, settings, folds) if several and len(folds) > 1 else {}
-            best = max(scores, key=lambda s: _rank(scores[s])) if scores else (settings.iterations[0], settings.depths[0])
-            return _trees(settings, *best).fit(rows.select("features", config.LABEL)), scores
-        finally:
-            rows.unpersist()
 
-    found = _in_parallel(train, settings, one, [(s,) for s in segments])
-    return [_outcome(s, result) for s, result in zip(segments, found)]
+def _models(growth: _Growth, best: dict[tuple, tuple[int, int]], bases: dict, cuts: DataFrame, work: Workspace) -> DataFrame:
+    """segment, iterations, depth, base, trees: array of (splits: feature and border value, leaves)."""
+    spark, replicas = work.spark, growth.replicas
+    full = {s: replicas.index((depth, ALL_ROWS)) for s, (_, depth) in best.items()}
+    rows = [
+        (*s, full[s], tree, [(feature, border) for feature, border in growth.trees[s][tree][full[s]]])
+        for s, (iterations, _) in best.items() for tree in range(iterations)
+    ]
+    wanted = spark.createDataFrame(rows, "cnlname string, day_type string, replica int, tree int, cuts array<struct<feature: int, bin: int>>")
+    leaves = None
+    for tree, grown in enumerate(growth.leaves):
+        part = grown.withColumn("tree", F.lit(tree))
+        leaves = part if leaves is None else leaves.unionByName(part)
+    grown = wanted.join(leaves, [*SEGMENT, "replica", "tree"]).join(cuts, SEGMENT)
+    # A bin beyond a feature's last border holds no row: such a split has all rows on its left.
+    split = F.transform("cuts", lambda c: F.struct(
+        c.feature.alias("feature"), F.coalesce(F.get(F.get("borders", c.feature), c.bin), F.lit(math.inf)).alias("border")
+    ))
+    trees = grown.groupBy(*SEGMENT).agg(F.sort_array(F.collect_list(F.struct("tree", split.alias("splits"), "leaves"))).alias("trees"))
+    chosen = spark.createDataFrame(
+        [(*s, iterations, depth, bases[s][full[s]]) for s, (iterations, depth) in best.items()],
+        "cnlname string, day_type string, iterations int, depth int, base double",
+    )
+    return work.keep(chosen.join(trees, SEGMENT), "models")
 
 
-def _rank(r2: float) -> float:
-    return float("-inf") if math.isnan(r2) else r2
+MODELS = (
+    "cnlname string, day_type string, iterations int, depth int, base double, "
+    "trees array<struct<tree: int, splits: array<struct<feature: int, border: double>>, leaves: array<double>>>"
+)
 
 
-def _outcome(segment: tuple[str, str], result) -> BoostedSegment:
-    if isinstance(result, Exception):
-        return BoostedSegment(*segment, error=f"{type(result).__name__}: {result}")
-    model, scores = result
-    return BoostedSegment(*segment, model, [(*setting, r2) for setting, r2 in scores.items()])
+def fit_boosted(
+    train: DataFrame, segments: list[tuple[str, str]], work: Workspace, settings: BoostingSettings = BoostingSettings()
+) -> Boosted:
+    """Search the grid by mean validation r2 and keep the best setting's model on all rows, for each listed segment.
+
+    A segment that can't be learned from is recorded and the rest go on. Only folds with rows on both sides and a spread of
+    labels count; a search without a result leaves the first setting, as does a grid of one.
+    """
+    spark, replicas = work.spark, settings.replicas
+    found = fold_statistics(train, segments)
+    errors = {s: "ValueError: no training rows" for s, folds in found.items() if not folds}
+    errors |= {s: "ValueError: a feature or label is missing or not finite" for s, folds in found.items() if any(f[3] for f in folds.values())}
+    usable = [s for s in found if s not in errors]
+    bases, best, grid = {}, {}, []
+    for s in usable:
+        n, total = (sum(f[k] for f in found[s].values()) for k in (0, 1))
+        seen = {fold: (n - f[0], total - f[1]) for fold, f in found[s].items()}
+        bases[s] = [seen.get(fold, (n, total))[1] / max(1, seen.get(fold, (n, total))[0]) for _, fold in replicas]
+    errors |= {s: "OverflowError: the labels' sum is beyond a double" for s in usable if not np.isfinite(bases[s]).all()}
+    usable = [s for s in usable if s not in errors]
+    models = spark.createDataFrame([], MODELS)
+    if usable:
+        listed = spark.createDataFrame(usable, "cnlname string, day_type string")
+        rows = join_per_segment(train, listed)
+        cuts = work.keep(borders(rows, settings.bins), "borders")
+        state = work.keep(chunks(rows, cuts, settings, bases), "chunks")
+        growth, scores = _Growth(settings, usable), {}
+        for tree in range(1, max(settings.iterations) + 1):
+            leaves, splits = growth.grow(state, work, first=tree == 1)
+            if not splits:
+                break
+            before, state = state, work.keep(_updated(state, settings, splits, leaves), "chunks")
+            work.drop(before)
+            if settings.several and tree in settings.iterations:
+                for s, by_replica in _unseen_errors(state).items():
+                    for r, (depth, fold) in enumerate(replicas):
+                        n, _, spread, _ = found[s].get(fold, (0, 0, None, 0))
+                        if n and len(found[s]) > 1:
+                            r2 = 1.0 - by_replica[r] / n / spread if spread else math.nan
+                            scores.setdefault(s, {}).setdefault((tree, depth), []).append(r2)
+        work.drop(state)
+        errors |= growth.errors
+        for s in usable:
+            if s not in errors:
+                means = {setting: sum(r2) / len(r2) for setting, r2 in sorted(scores.get(s, {}).items())}
+                best[s] = max(means, key=lambda x: _rank(means[x])) if means else (settings.iterations[0], settings.depths[0])
+                grid += [(*s, *setting, r2) for setting, r2 in means.items()]
+        if best:
+            models = _models(growth, best, bases, cuts, work)
+    return Boosted(
+        models,
+        spark.createDataFrame(grid, "cnlname string, day_type string, iterations int, depth int, r2 double"),
+        spark.createDataFrame([(*s, e) for s, e in errors.items()], "cnlname string, day_type string, error string"),
+    )
 
 
-def _segment(rows: DataFrame, segment: tuple[str, str]) -> DataFrame:
-    cnlname, day_type = segment
-    return rows.where((F.col("cnlname") == cnlname) & (F.col("day_type") == day_type))
+def boosted_score(features: list[str] = config.FEATURES) -> Column:
+    """What a row's model (columns base and trees) predicts. A missing feature counts as lower than any other value."""
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(LOWEST)) for c in features])
+    leaf = lambda tree: F.aggregate(
+        tree["splits"], F.lit(0), lambda node, split: node * 2 + (F.get(values, split["feature"]) > split["border"]).cast("int")
+    )
+    return F.aggregate("trees", F.col("base"), lambda sum_, tree: sum_ + F.get(tree["leaves"], leaf(tree)))
 
 
-def score_boosted(rows: DataFrame, fitted: list[BoostedSegment], name: str = "Pred_GBT") -> DataFrame | None:
-    """Predictions for the rows of every fitted segment; None if there is no fitted segment."""
-    scored = None
-    for f in fitted:
-        if f.model is None:
-            continue
-        part = assemble(_segment(rows, (f.cnlname, f.day_type)), LOWEST)
-        part = f.model.transform(part).select(*rows.columns, F.col("prediction").alias(name))
-        scored = part if scored is None else scored.unionByName(part)
-    return scored
+def score_boosted(rows: DataFrame, models: DataFrame, name: str = "Pred_GBT") -> DataFrame:
+    """Predictions for the rows of every segment with a model."""
+    fitted = models.select(*SEGMENT, F.col("base").alias("base"), "trees")
+    return join_per_segment(rows, fitted).withColumn(name, boosted_score()).select(*rows.columns, name)

@@ -14,6 +14,8 @@ from airgrid.plans.sample import feature_sample
 from airgrid.schema import BLOCKS, SEGMENT
 from airgrid.session import Workspace
 from airgrid.sources import sinks
+from airgrid.sources.daily import DailySums
+from airgrid.sources.runs import RunTables
 
 SAMPLE_COLUMNS = [
     *BLOCKS.fieldNames(), "weekday", "hour",
@@ -39,14 +41,14 @@ class Modelled:
 
 
 def model_sample(
-    blocks: DataFrame, calendar: FoldCalendar, channels: list[str], work: Workspace
+    blocks: DataFrame, calendar: FoldCalendar, channels: list[str], work: Workspace, sums: DailySums | None = None
 ) -> Modelled:
     """Write the labelled sample once, as every model passes over it.
 
     It is partitioned by segment and side of the split: fits skip the test rows, which reach much
     further than the training rows, and scoring skips the training rows.
     """
-    sample = feature_sample(blocks, calendar, work)
+    sample = feature_sample(blocks, calendar, work, sums)
     labelled = segments.with_segments(sample, calendar, channels)
     rows = work.keep(labelled, "sample", partition_by=[*SEGMENT, "is_train"])
     statistics = work.keep(segments.label_statistics(rows), "statistics")
@@ -74,13 +76,13 @@ def score_linear(rows: DataFrame, coefficients: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class ForecastRun:
-    forecast: DataFrame | None
+    forecast: DataFrame
     coefficients: DataFrame
     trace: DataFrame
     status: DataFrame
     grid: DataFrame
     run_date: str
-    boosted: list[boosting.BoostedSegment]
+    boosted: boosting.Boosted
 
 
 def run_forecast(
@@ -91,14 +93,15 @@ def run_forecast(
     excluded: list[str] | None = None,
     sgd_settings: sgd.SgdSettings = sgd.SgdSettings(),
     boosting_settings: boosting.BoostingSettings = boosting.BoostingSettings(),
+    sums: DailySums | None = None,
 ) -> ForecastRun:
     """Forecast the blocks from the calendar's start day on, for every listed channel and day type.
 
-    Fails segment by segment: the status table says what became of each one.
+    Fails segment by segment: the status table says what became of each one. `sums`: see `raw_sample`.
     """
     spark = work.spark
     channels = segments.listed_channels(channels, excluded)
-    modelled = model_sample(blocks, calendar, channels, work)
+    modelled = model_sample(blocks, calendar, channels, work, sums)
     coefficients, trace = fit_linear(modelled, work, sgd_settings)
     status = work.keep(segments.segment_status(spark, modelled.statistics, coefficients, channels), "status")
     # At most two rows per listed channel come to the driver here.
@@ -106,22 +109,10 @@ def run_forecast(
     ready = [(r.cnlname, r.day_type) for r in status.where("status = 'ready'").join(solved, SEGMENT, "left_semi").select(*SEGMENT).collect()]
 
     train = boosting.training_table(modelled.train, boosting_settings, work)
-    boosted = boosting.fit_boosted(train, ready, boosting_settings)
+    boosted = boosting.fit_boosted(train, ready, work, boosting_settings)
 
-    # Written by segment, so that each segment's trees read its own files once and join nothing.
     test = score_linear(modelled.rows.where(~F.col("is_train")), coefficients)
-    test = work.keep(test, "linear", partition_by=SEGMENT)
-    forecast = boosting.score_boosted(test, boosted)
-    if forecast is not None:
-        forecast = sinks.stamp(forecast, calendar).select(*FORECAST_COLUMNS)
-
-    fits = spark.createDataFrame(
-        [(b.cnlname, b.day_type, b.error) for b in boosted], "cnlname string, day_type string, error string"
-    )
-    grid = spark.createDataFrame(
-        [(b.cnlname, b.day_type, *scores) for b in boosted for scores in b.grid],
-        "cnlname string, day_type string, iterations int, depth int, r2 double",
-    )
+    forecast = sinks.stamp(boosting.score_boosted(test, boosted.models), calendar).select(*FORECAST_COLUMNS)
     outcome = (
         F.when(F.col("status") != "ready", F.col("status"))
         .when(~F.coalesce("solved", F.lit(False)), "failed")
@@ -130,21 +121,21 @@ def run_forecast(
         .otherwise("loaded")
     )
     status = (
-        status.join(fits, SEGMENT, "left")
+        status.join(boosted.errors, SEGMENT, "left")
         .join(coefficients.select(*SEGMENT, "sgd_finite", F.col("nnls").isNotNull().alias("solved")), SEGMENT, "left")
         .select(*SEGMENT, "n_train", "n_test", "n_kept", outcome.alias("status"), "error")
     )
     return ForecastRun(
         forecast, sinks.stamp(sinks.coefficient_rows(coefficients.where("nnls is not null")), calendar),
-        trace, sinks.stamp(status, calendar), grid, calendar.run_date, boosted,
+        trace, sinks.stamp(status, calendar), boosted.grid, calendar.run_date, boosted,
     )
 
 
-def append_forecast(run: ForecastRun, folder: str, replace_run: bool = False) -> None:
-    """Append the run's forecast, coefficients and status to the tables below `folder`."""
-    for name, rows in run_tables(run).items():
-        sinks.append_run(rows, f"{folder}/{name}", replace_run, run.run_date)
+def publish_forecast(run: ForecastRun, tables: RunTables, run_id: str | None = None, replace: bool = False) -> bool:
+    """Publish the run's forecast, coefficients and status together, under its date if it has no other name; false if
+    that run is published already and not to be replaced."""
+    return tables.publish(run_id or run.run_date, run_tables(run), replace)
 
 
-def run_tables(run: ForecastRun) -> dict[str, DataFrame | None]:
+def run_tables(run: ForecastRun) -> dict[str, DataFrame]:
     return {"forecast": run.forecast, "coefficients": run.coefficients, "segment_status": run.status}

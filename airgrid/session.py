@@ -3,6 +3,7 @@
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -41,6 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Spark removes a query's shuffle files when it ends, instead of when the driver happens to collect garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Workspace:
     """Stage outputs of one run, written as parquet under the shared folder.
 
@@ -52,6 +57,7 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/airgrid-{uuid.uuid4().hex}"
         self._written = 0
+        self._paths: dict[int, tuple[DataFrame, str]] = {}
 
     def path(self, name: str) -> str:
         self._written += 1
@@ -63,23 +69,47 @@ class Workspace:
         With `partition_by`, rows are first rebalanced on those columns: one value's rows end up in
         few files, and a value holding a large share of the rows is split over several tasks.
         """
-        return self._keep_at(self.path(name), df, partition_by)
+        with self._shuffles_removed():
+            return self._keep_at(self.path(name), df, partition_by)
 
     def keep_all(self, stages: dict[str, DataFrame]) -> list[DataFrame]:
         """Write stages that do not depend on each other side by side, so one's tail leaves no idle cores."""
         paths = [self.path(name) for name in stages]
         write = inheritable_thread_target(self.spark)(lambda stage: self._keep_at(*stage))
-        with ThreadPool(len(stages)) as pool:
+        with ThreadPool(len(stages)) as pool, self._shuffles_removed():
             return pool.map(write, zip(paths, stages.values()), chunksize=1)
 
+    @contextmanager
+    def _shuffles_removed(self):
+        """While a stage is written: nobody reads its shuffle files again, as all go on from the written stage."""
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            yield
+        finally:
+            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
+
     def _keep_at(self, path: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         if partition_by:
             df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by).parquet(path)
         else:
             df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        stage = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        self._paths[id(stage)] = stage, path  # with the stage itself, so that its number stays its own
+        return stage
+
+    def drop(self, *stages: DataFrame) -> None:
+        """Delete stages that `keep` returned and nothing reads any more, so that a run holds what it still needs only.
+        A frame that is no stage of this run is left alone."""
+        for stage in stages:
+            _, path = self._paths.pop(id(stage), (None, None))
+            if path:
+                self._delete(path)
 
     def remove(self) -> None:
         """Delete this run's stages, once everything that reads them has been written elsewhere."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -184,6 +184,18 @@ STEPPED = ", ".join(
 FITTED_SEGMENTS = """
 select distinct t.cnlname, t.day_type from train t"""
 
+MERGED = """
+, existing as (select * from blocks where blockid % 7 <> 0),
+incoming as (select * replace (
+    case when blockid % 3 = 0 then blockdate + 1 else blockdate end as blockdate,
+    case when blockid % 4 = 0 then factratebase * 2 else factratebase end as factratebase)
+  from blocks where blockdate between 20240105 and 20240112 and blockid % 5 <> 0),
+keys as (select blockid, "VIMB_type" from incoming), days as (select distinct blockdate from incoming)"""
+CHANGED = """
+select case when o.blockid is null then 'added' when n.blockid is null then 'gone' else 'changed' end as change, o.blockdate as before, n.blockdate as after
+from {existing} o full join incoming n on o.blockid = n.blockid and o."VIMB_type" = n."VIMB_type"
+where o.blockid is null or n.blockid is null or o.blockdate <> n.blockdate or o.factratebase is distinct from n.factratebase"""
+
 ORACLES = {
     "unify_sources": events("select * from blocks"),
     "step_row_counts": events("""
@@ -193,6 +205,32 @@ select 'old_days' as step, count(*) as row_count from old_days
 union all select 'new_days', count(*) from new_days
 union all select 'both_days', count(*) from old_days o join new_days n on o.blockdate = n.blockdate
 union all select 'late_blocks', count(*) from blocks where blocktime >= 86400"""),
+    "merge_grids": events(MERGED + """
+select * from incoming union all
+select e.* from existing e anti join keys k on e.blockid = k.blockid and e."VIMB_type" = k."VIMB_type\""""),
+    "merge_grids_whole": events(MERGED + """
+select * from incoming union all
+select e.* from existing e anti join keys k on e.blockid = k.blockid and e."VIMB_type" = k."VIMB_type" where e.blockdate not in (from days)"""),
+    "merge_changes": events(MERGED + f"""
+, asked as (select e.* from existing e semi join keys k on e.blockid = k.blockid and e."VIMB_type" = k."VIMB_type"),
+there as (select e.* from existing e anti join keys k on e.blockid = k.blockid and e."VIMB_type" = k."VIMB_type" where e.blockdate in (from days)),
+whole as (select * from asked union all select * from there),
+c as (select false as whole_days, * from ({CHANGED.format(existing="asked")}) a union all select true, * from ({CHANGED.format(existing="whole")}) b)
+select whole_days, change, blockdate, count(*) as blocks from (
+  select whole_days, change, before as blockdate from c where before is not null
+  union all select whole_days, change, after from c where after is not null and after is distinct from before) d
+group by all"""),
+    "published_runs": events("""
+, r as (select 'first' as run_id, cnlname, blockid from target union all select 'second', cnlname, blockid from target where blockid % 2 = 0)
+select run_id, cnlname, count(*) as n, 'rows' as "of" from r group by run_id, cnlname
+union all select d.run_id, c.cnlname, 1::bigint, 'counts' from (select distinct cnlname from target) c
+  cross join (select 'first' as run_id union all select 'third') d"""),
+    "restarted_steps": events("""
+, old_days as (select blockdate, count(*) as n from grid where blockid % 2 = 0 group by blockdate),
+new_days as (select blockdate, count(*) as n from grid where blockid % 2 = 1 or blockid % 20 = 0 group by blockdate)
+select 'old_days' as step, count(*) as row_count, true as goes_on from old_days
+union all select 'new_days', count(*), true from new_days
+union all select 'both_days', count(*), true from old_days o join new_days n on o.blockdate = n.blockdate"""),
     "history_distinct": events("select * from history"),
     "target_grid": events("select * from target"),
     "forecast_append": events("""
@@ -208,6 +246,10 @@ select blockid, VIMB_type, blocktime, blocktime // 1800 as hour,
     "day_names": lines("""
 select dayname(day) as day_name, cast(isodow(day) as int) as day_number, count(*) as blocks
 from (select strptime(cast(blockdate as varchar), '%Y%m%d') as day from blocks) d group by dayname(day), isodow(day)"""),
+    "start_day": lines("""
+select blockdate as today, cast(strftime(day - interval 3 day, '%Y%m%d') as int) as start,
+  cast(date_diff('day', day - interval 3 day, max(day) over ()) as int) as days_left
+from (select distinct blockdate, strptime(cast(blockdate as varchar), '%Y%m%d') as day from blocks) d"""),
     "fold_calendar": lines(f"select f.*, {COUNTS} from folds f cross join blocks b group by all"),
     "asof_folds": events(f"""
 select fold, cnlname, {COUNTS} from folds f cross join blocks b
@@ -222,6 +264,10 @@ group by fold, cnlname having min(b.blockdate) <= min(f.cutoff)"""),
     "imputation": events(f"select fold, blockid, VIMB_type, {_round(*AVERAGES)} from filled"),
     "features": events(FEATURES),
     "features_wide": lines(FEATURES),
+    "features_from_state": events(FEATURES),
+    "state_updates": events("""
+select cast(0 as int) as "update", blockdate from blocks where blockdate <= 20240118 group by blockdate
+union all select cast(1 as int), blockdate from blocks where blockdate > 20240118 or blockdate = 20240110 group by blockdate"""),
     "train_test_split": events("select blockid, VIMB_type, fold, blockdate < 20240125 as is_train from target"),
     "segments": events("""
 select cnlname, day_type, weekday, is_train, count(*) as blocks from labelled group by all"""),

@@ -3,7 +3,7 @@
 import math
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airgrid import config
@@ -14,8 +14,11 @@ from airgrid.operators.asof import per_fold
 from airgrid.plans import forecast, sample
 from airgrid.schema import SEGMENT
 from airgrid.session import Workspace
-from airgrid.sources import sinks
-from airgrid.sources.steps import Step, run_steps
+from airgrid.sources import merge, sinks
+from airgrid.sources.daily import DailySums
+from airgrid.sources.runs import RunTables
+from airgrid.sources.steps import Step, StepLog, run_steps
+from airgrid.sources.tables import read_blocks, write_blocks
 from checks.calendars import calendar_frame, rows_as_of
 from checks.grids import (
     EVENT_CALENDAR, EVENT_CHANNELS, LINE_CALENDAR, LINE_CHANNELS, LINE_EXCLUDED,
@@ -92,6 +95,83 @@ def forecast_append(spark, sf_dir):
     return sinks.read_run_table(spark, path, sinks.stamp(test, later).schema)
 
 
+def _corrected(blocks):
+    """A part of a week's blocks, some a day later, some with another rating."""
+    part = blocks.where(F.col("blockdate").between(20240105, 20240112) & (F.col("blockid") % 5 != 0))
+    return part.withColumns({
+        "blockdate": F.when(F.col("blockid") % 3 == 0, F.col("blockdate") + 1).otherwise(F.col("blockdate")),
+        "factratebase": F.when(F.col("blockid") % 4 == 0, F.col("factratebase") * 2).otherwise(F.col("factratebase")),
+    })
+
+
+def _merged(spark, sf_dir, whole_days):
+    """A network table without one block in seven, and a corrected grid merged into it: the table's folder, the changes."""
+    work, blocks = Workspace(spark), event_blocks(spark, sf_dir)
+    path = work.path("network")
+    merge.merge_blocks(blocks.where("blockid % 7 <> 0"), path, work)
+    return path, merge.merge_blocks(_corrected(blocks), path, work, whole_days)
+
+
+def merge_grids(spark, sf_dir):
+    """Blocks of a network table after a grid with a part of a week was merged into it."""
+    return read_blocks(spark, _merged(spark, sf_dir, whole_days=False)[0])
+
+
+def merge_grids_whole(spark, sf_dir):
+    """The same for a grid that holds all blocks of its days."""
+    return read_blocks(spark, _merged(spark, sf_dir, whole_days=True)[0])
+
+
+def merge_changes(spark, sf_dir):
+    """What a merge changes, by day, for both kinds of grid."""
+    found = None
+    for whole in (False, True):
+        changes = _merged(spark, sf_dir, whole)[1].where("change <> 'same'").withColumn("whole_days", F.lit(whole))
+        found = changes if found is None else found.unionByName(changes)
+    days = found.select("whole_days", "change", F.explode(F.array_union("old_days", "new_days")).alias("blockdate"))
+    return days.groupBy("whole_days", "change", "blockdate").agg(F.count(F.lit(1)).alias("blocks"))
+
+
+def published_runs(spark, sf_dir):
+    """What readers see after one run was published twice, one was killed between two tables, one was replaced by fewer
+    rows, and another came last."""
+    work = Workspace(spark)
+    tables = RunTables(spark, work.path("tables"))
+    rows = targets.target_grid(event_blocks(spark, sf_dir), EVENT_CALENDAR).select("blockid", "VIMB_type", "cnlname")
+    counts = rows.groupBy("cnlname").agg(F.count(F.lit(1)).alias("blocks"))
+    tables.publish("first", {"rows": rows, "counts": counts})
+    tables.publish("first", {"rows": rows, "counts": counts})
+    tables.stage("killed", {"rows": rows})
+    tables.publish("second", {"rows": rows, "counts": counts})
+    few = rows.where("blockid % 2 = 0")
+    tables.publish("second", {"rows": few, "counts": counts.where("false")}, replace=True)
+    tables.publish("third", {"counts": counts})
+    found = None
+    for name, frame in (("rows", rows), ("counts", counts)):
+        part = tables.read(name, frame.schema, with_run=True).groupBy("run_id", "cnlname").agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit(name))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def restarted_steps(spark, sf_dir):
+    """Row counts of steps in a run that goes on after one that came to its second step, and whether the first two were
+    read rather than made again."""
+    work = Workspace(spark)
+    old, new = (work.keep(grid, name) for grid, name in zip(event_grids(spark, sf_dir), ("old", "new"), strict=True))
+    log = StepLog(spark, work.path("steps"))
+    steps = [
+        Step("old_days", "select blockdate, count(*) as blocks from {old} group by blockdate"),
+        Step("new_days", "select blockdate, count(*) as blocks from {new} group by blockdate"),
+        Step("both_days", "select o.blockdate, o.blocks + n.blocks as blocks from {old_days} o join {new_days} n on o.blockdate = n.blockdate"),
+    ]
+    run_steps(spark, steps[:2], {"old": old, "new": new}, work, log)
+    before = log.done()
+    made, counts = run_steps(spark, steps, {"old": old, "new": new}, work, log)
+    after = log.done()
+    rows = [(name, n, len(after) == len(before) + 1 == 3) for name, n in counts]
+    return spark.createDataFrame(rows, "step string, row_count long, goes_on boolean")
+
+
 # Calendar and scalar expressions
 
 def day_key(spark, sf_dir):
@@ -117,6 +197,17 @@ def day_names(spark, sf_dir):
     )
 
 
+def start_day(spark, sf_dir):
+    """For a run made on each day of the table: the first day to forecast, and how many days from it on the table holds."""
+    day = cal.key_date(F.col("blockdate"))
+    days = line_blocks(spark, sf_dir).select("blockdate").distinct()
+    last = days.agg(F.max(day).alias("last"))
+    start = cal.start_day(day)
+    return days.select(
+        F.col("blockdate").alias("today"), cal.date_key(start).alias("start"), F.date_diff(last.scalar(), start).alias("days_left")
+    )
+
+
 def fold_calendar(spark, sf_dir):
     """The fold calendar with the number of blocks each fold has before and after its cutoff."""
     counts = rows_as_of(line_blocks(spark, sf_dir), [], LINE_CALENDAR)
@@ -167,6 +258,33 @@ def feature_sample(spark, sf_dir):
     return rounded(sample.feature_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, Workspace(spark)))
 
 
+def _updated_sums(spark, sf_dir):
+    """Daily sums after three updates: all but the last days, the last days and a corrected one, nothing new. The sums, the
+    blocks, and the days that each update read."""
+    work, blocks = Workspace(spark), event_blocks(spark, sf_dir)
+    network, sums = work.path("network"), DailySums(spark, work.path("state"))
+    late, wrong = F.col("blockdate") > 20240118, F.col("blockdate") == 20240110
+    first = blocks.where(~late).withColumn("factratebase", F.when(wrong, F.lit(1.0)).otherwise(F.col("factratebase")))
+    read = []
+    for written in (first, blocks.where(late | wrong), None):
+        if written is not None:
+            write_blocks(written, network)
+        read.append(sums.update(network, work))
+    return sums, read_blocks(spark, network), read
+
+
+def features_from_state(spark, sf_dir):
+    """The feature sample, its averages made of daily sums that several updates brought up to date."""
+    sums, blocks, _ = _updated_sums(spark, sf_dir)
+    return rounded(sample.feature_sample(blocks, EVENT_CALENDAR, Workspace(spark), sums))
+
+
+def state_updates(spark, sf_dir):
+    """The days that each update of the daily sums read."""
+    _, _, read = _updated_sums(spark, sf_dir)
+    return spark.createDataFrame([(k, day) for k, days in enumerate(read) for day in days], "update int, blockdate int")
+
+
 def feature_sample_wide(spark, sf_dir):
     return rounded(sample.feature_sample(line_blocks(spark, sf_dir), LINE_CALENDAR, Workspace(spark)))
 
@@ -358,20 +476,20 @@ def _all_segments(modelled):
 
 
 def _searched(modelled, work, settings):
-    """The training table and what the search makes of it: every setting, every fold, the best one refitted."""
+    """The training table and what the search makes of it: every setting, every fold, the best one's model."""
     train = boosting.training_table(modelled.train, settings, work)
-    return train, boosting.fit_boosted(train, _all_segments(modelled), settings)
+    return train, boosting.fit_boosted(train, _all_segments(modelled), work, settings)
 
 
 def boosted_forecast(spark, sf_dir):
     """Every segment's trees fit its training rows better than the mean does, and predict every test row."""
     modelled, work = event_model(spark, sf_dir), Workspace(spark)
-    train, fitted = _searched(modelled, work, boosting.BoostingSettings())
+    train, boosted = _searched(modelled, work, boosting.BoostingSettings())
     columns = [*SEGMENT, *config.FEATURES, config.LABEL]
     rows = train.select(*columns, F.lit(True).alias("is_train")).unionByName(
         modelled.rows.where(~F.col("is_train")).select(*columns, "is_train")
     )
-    scored = boosting.score_boosted(work.keep(rows, "scored", partition_by=SEGMENT), fitted)
+    scored = boosting.score_boosted(rows, boosted.models)
     label, error = F.when(F.col("is_train"), F.col(config.LABEL)), F.col(config.LABEL) - F.col("Pred_GBT")
     return scored.groupBy(*SEGMENT).agg(
         (F.avg(F.when(F.col("is_train"), error * error)) < F.var_pop(label)).alias("beats_mean"),
@@ -379,23 +497,20 @@ def boosted_forecast(spark, sf_dir):
     )
 
 
-def _grid_rows(fitted):
-    """Per segment and setting: whether its r2 is a possible value, and whether it was refitted just if it is the best."""
-    rows = []
-    for f in fitted:
-        best = max(f.grid, key=lambda g: g[2])
-        refitted = (f.model.getNumTrees, f.model.getOrDefault("maxDepth"))
-        rows += [(f.cnlname, f.day_type, i, d, math.isfinite(r2) and r2 <= 1, ((i, d) == refitted) == ((i, d) == best[:2])) for i, d, r2 in f.grid]
-    return rows
+def _grid_rows(boosted):
+    """Per segment and setting: whether its r2 is a possible value, and whether it is the model's just if it is the best."""
+    order = Window.partitionBy(*SEGMENT).orderBy(F.desc("r2"), "iterations", "depth")
+    models = boosted.models.select(*SEGMENT, F.col("iterations").alias("i"), F.col("depth").alias("d"), F.size("trees").alias("n"))
+    grid = boosted.grid.withColumn("first", F.row_number().over(order) == 1).join(models, SEGMENT)
+    refitted = (F.col("iterations") == F.col("i")) & (F.col("depth") == F.col("d")) & (F.col("n") == F.col("i"))
+    possible = ~F.isnan("r2") & (F.abs("r2") < math.inf) & (F.col("r2") <= 1)
+    return grid.select(*SEGMENT, "iterations", "depth", possible.alias("r2_possible"), (refitted == F.col("first")).alias("refitted_if_best"))
 
 
 def grid_search(spark, sf_dir, settings=boosting.BoostingSettings()):
     """Cross-validated r2 of each parameter setting, on every segment; by default all settings of the job."""
     modelled = event_model(spark, sf_dir)
-    _, fitted = _searched(modelled, Workspace(spark), settings)
-    return spark.createDataFrame(
-        _grid_rows(fitted), "cnlname string, day_type string, iterations int, depth int, r2_possible boolean, refitted_if_best boolean"
-    )
+    return _grid_rows(_searched(modelled, Workspace(spark), settings)[1])
 
 
 def cv_folds(spark, sf_dir):
@@ -409,21 +524,25 @@ def cv_folds(spark, sf_dir):
     )
 
 
+def _field(name):
+    return lambda x: x[name]
+
+
 def forecast_run(spark, sf_dir):
-    """A whole run, appended and read back: rows per segment, and whether each prediction is what the stored
-    coefficients, or the refitted best setting, make of the row."""
+    """A whole run, published and read back: rows per segment, and whether each prediction is what the stored
+    coefficients, or the best setting's trees, make of the row."""
     work = Workspace(spark)
     run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, EVENT_CHANNELS, [], boosting_settings=boosting.BoostingSettings())
-    folder = work.path("tables")
-    forecast.append_forecast(run, folder)
-    done = sinks.read_run_table(spark, f"{folder}/forecast", forecast.FORECAST)
+    tables = RunTables(spark, work.path("tables"))
+    forecast.publish_forecast(run, tables)
+    done = tables.read("forecast", forecast.FORECAST)
     done = done.withColumn("day_type", cal.day_type(F.col("weekday")))
-    stored = sinks.read_run_table(spark, f"{folder}/coefficients", run.coefficients.schema)
+    stored = tables.read("coefficients", run.coefficients.schema)
     weights = stored.groupBy(*SEGMENT).agg(*[
-        F.transform(F.sort_array(F.collect_list(F.struct("position", name))), lambda x, n=name: x[n]).alias(name) for name in ("nnls", "sgd")
+        F.transform(F.sort_array(F.collect_list(F.struct("position", name))), _field(name)).alias(name) for name in ("nnls", "sgd")
     ])
     score = {n: sum((F.coalesce(F.col(n)[i] * F.col(f), F.lit(0.0)) for i, f in enumerate(config.FEATURES)), F.lit(0.0)) for n in ("nnls", "sgd")}
-    checked = boosting.score_boosted(work.keep(done, "done", partition_by=SEGMENT).join(weights, SEGMENT), run.boosted, "again")
+    checked = boosting.score_boosted(done.join(weights, SEGMENT), run.boosted.models, "again")
     near = lambda name, other: F.count_if(F.abs(F.col(name) - other) <= 1e-9 * (1 + F.abs(other)))
     found = checked.groupBy(*SEGMENT, "Today").agg(
         F.count(F.lit(1)).alias("blocks"),
@@ -431,8 +550,8 @@ def forecast_run(spark, sf_dir):
         near("Pred_SGD", score["sgd"]).alias("with_sgd"),
         near("Pred_NNLS", score["nnls"]).alias("with_nnls"),
     )
-    best = spark.createDataFrame(_grid_rows(run.boosted), "cnlname string, day_type string, i int, d int, possible boolean, refitted boolean")
-    return found.join(best.groupBy(*SEGMENT).agg(F.bool_and("refitted").alias("best_refitted")), SEGMENT)
+    best = _grid_rows(run.boosted).groupBy(*SEGMENT).agg(F.bool_and("refitted_if_best").alias("best_refitted"))
+    return found.join(best, SEGMENT)
 
 
 def run_status(spark, sf_dir):
@@ -445,14 +564,21 @@ def run_status(spark, sf_dir):
 
 
 QUERIES = {
+    "features_wide": feature_sample_wide,
     "unify_sources": unify_sources,
+    "merge_grids": merge_grids,
+    "merge_grids_whole": merge_grids_whole,
+    "merge_changes": merge_changes,
+    "published_runs": published_runs,
     "step_row_counts": step_row_counts,
+    "restarted_steps": restarted_steps,
     "history_distinct": history_distinct,
     "target_grid": target_grid,
     "forecast_append": forecast_append,
     "day_key": day_key,
     "slots": slots,
     "day_names": day_names,
+    "start_day": start_day,
     "fold_calendar": fold_calendar,
     "asof_folds": asof_folds,
     "avg_time_slots": avg_time_slots,
@@ -464,7 +590,8 @@ QUERIES = {
     "feature_join": feature_join,
     "imputation": imputation,
     "features": feature_sample,
-    "features_wide": feature_sample_wide,
+    "features_from_state": features_from_state,
+    "state_updates": state_updates,
     "train_test_split": train_test_split,
     "segments": segment_rows,
     "channel_filter": channel_filter,

@@ -5,11 +5,12 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from airgrid import config
 from airgrid.operators import boosting
 from airgrid.plans import forecast
-from airgrid.sources import sinks
+from airgrid.sources.runs import RunTables
 from checks.grids import EVENT_CALENDAR, EVENT_CHANNELS, event_blocks
 from checks.queries import QUERIES
 from tests.micro import as_set
@@ -47,63 +48,22 @@ def test_run_reports_each_segment_and_forecasts_the_sound_ones(spark, work, bad_
         expected = sum(weights[r.cnlname, day_type, f] * getattr(r, f) for f in config.FEATURES)
         assert abs(expected - r.Pred_NNLS) < 1e-9
 
-    folder = work.path("tables")
-    forecast.append_forecast(run, folder)
-    forecast.append_forecast(run, folder)
-    assert spark.read.parquet(f"{folder}/forecast").count() == 2 * len(rows)
-    forecast.append_forecast(run, folder, replace_run=True)
-    assert spark.read.parquet(f"{folder}/forecast").count() == len(rows)
-    assert spark.read.parquet(f"{folder}/segment_status").count() == 10
-    assert spark.read.parquet(f"{folder}/coefficients").count() == 8 * len(sound)
+    tables = RunTables(spark, work.path("tables"))
+    assert forecast.publish_forecast(run, tables)
+    for again in (False, True):  # a repeated run is not appended; a replaced one takes the place of the first
+        assert forecast.publish_forecast(run, tables, replace=again) == again
+        assert tables.read("forecast", forecast.FORECAST).count() == len(rows)
+        assert tables.read("segment_status", run.status.schema).count() == 10
+        assert tables.read("coefficients", run.coefficients.schema).count() == 8 * len(sound)
 
 
 def test_run_without_any_sound_segment_still_reports(spark, work, sf_dir):
     run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, ["off air"], [], boosting_settings=QUICK)
-    assert run.forecast is None
+    assert run.forecast.count() == 0
     assert as_set(run.status.select("cnlname", "status")) == {("off air", "empty")}
     assert run.coefficients.count() == 0 and run.grid.count() == 0
 
 
-def test_a_failing_fit_does_not_stop_the_others(spark, work, sf_dir):
-    modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, EVENT_CHANNELS, work)
-    train = boosting.with_cv_folds(modelled.train, 2)
-    grid = boosting.BoostingSettings(iterations=[1, 3], depths=[1, 2], cv_folds=2)
-    fitted = {f.cnlname: f for f in boosting.fit_boosted(train, [("click", "weekdays"), ("off air", "weekdays")], grid)}
-    assert fitted["off air"].model is None and fitted["off air"].error
-    assert fitted["click"].model is not None and fitted["click"].error is None
-    assert [(i, d) for i, d, _ in fitted["click"].grid] == [(1, 1), (1, 2), (3, 1), (3, 2)]
-
-
-def test_one_long_fit_scores_the_shorter_runs(spark, work, sf_dir):
-    """Validation scores taken from the longest run equal those of a fit of each length."""
-    modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = boosting.training_table(modelled.train, boosting.BoostingSettings(cv_folds=2), work)
-    rows = boosting.assemble(train.where("day_type = 'weekdays'")).select("features", config.LABEL, "cv_fold")
-    together = boosting.fold_scores(rows, boosting.BoostingSettings(iterations=[2, 4]), 3, 0, 1.0)
-    alone = [boosting.fold_scores(rows, boosting.BoostingSettings(iterations=[n]), 3, 0, 1.0)[0] for n in (2, 4)]
-    assert together == pytest.approx(alone)
-
-
-def test_best_setting_is_the_one_refitted(spark, work, sf_dir):
-    modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    settings = boosting.BoostingSettings(iterations=[1, 2], depths=[1, 4], cv_folds=2)
-    train = boosting.training_table(modelled.train, settings, work)
-    fitted = boosting.fit_boosted(train, [("click", "weekdays")], settings)[0]
-    iterations, depth, _ = max(fitted.grid, key=lambda g: g[2])
-    assert fitted.model.getNumTrees == iterations
-    assert fitted.model.getOrDefault("maxDepth") == depth
-
-
-def test_missing_test_features_are_scored_not_dropped(spark, work, sf_dir):
-    modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = boosting.with_cv_folds(modelled.train, 2)
-    fitted = boosting.fit_boosted(train, [("click", "weekdays")], QUICK)
-    rows = modelled.rows.where("day_type = 'weekdays' and not is_train").withColumn("average_grp", F.lit(None).cast("double"))
-    scored = boosting.score_boosted(rows, fitted)
-    assert scored.count() == rows.count() > 0
-    assert scored.where("Pred_GBT is null").count() == 0
-
-
 def test_weights_that_are_no_number_count_as_zero_and_infinite_ones_show(spark):
     inf, nan = float("inf"), float("nan")
     coefficients = spark.createDataFrame(
@@ -131,48 +91,22 @@ def test_a_segment_at_one_moment_is_searched_and_loaded(spark, work, sf_dir):
     assert run.grid.count() >= 2
 
 
-def test_a_search_without_result_leaves_the_first_setting(spark, work, sf_dir):
-    modelled = forecast.model_sample(event_blocks(spark, sf_dir), EVENT_CALENDAR, ["click"], work)
-    train = modelled.train.withColumn("cv_fold", F.lit(0))
-    grid = boosting.BoostingSettings(iterations=[3, 2], depths=[2, 3])
-    fitted = boosting.fit_boosted(train, [("click", "weekdays")], grid)[0]
-    assert fitted.error is None and fitted.grid == [] and fitted.model.getNumTrees == 3
-
-
-def test_scoring_reads_once_per_segment_and_joins_nothing(spark, work):
-    """40 segments: one scan of its own files for each, no broadcast, and few files."""
-    segments = [(f"c{i:02}", d) for i in range(20) for d in ("weekdays", "weekend")]
-    values = [[float((i * k) % 7) for k in range(1, 9)] for i in range(8)]
-    rows = spark.createDataFrame(
-        [(c, d, *v, sum(v)) for c, d in segments for v in values],
-        ", ".join(["cnlname string", "day_type string", *[f"{f} double" for f in config.FEATURES], "factratebase double"]),
-    )
-    kept = work.keep(rows, "linear", partition_by=["cnlname", "day_type"])
-    model = boosting._trees(boosting.BoostingSettings(), 1, 1).fit(boosting.assemble(rows.limit(8)))
-    scored = boosting.score_boosted(kept, [boosting.BoostedSegment(*s, model) for s in segments])
-    plan = scored._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 40 and "Join" not in plan and "BroadcastExchange" not in plan
-    path = work.path("forecast")
-    forecast.sinks.append_run(scored.withColumn("Today", F.lit("2024-01-01")), path)
-    files = [f for _, _, names in os.walk(path.removeprefix("file:")) for f in names if f.endswith(".parquet")]
-    assert len(files) < 10 and scored.count() == 320
-
-
 def test_replacing_a_run_clears_what_it_no_longer_has(spark, work, sf_dir):
-    folder = work.path("tables")
+    tables = RunTables(spark, work.path("tables"))
     run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, ["click"], [], boosting_settings=QUICK)
-    forecast.append_forecast(run, folder)
-    layout = sinks.read_run_table(spark, f"{folder}/forecast", forecast.FORECAST)
+    forecast.publish_forecast(run, tables)
+    layout = tables.read("forecast", forecast.FORECAST)
     assert dict(layout.dtypes)["Today"] == "string" and layout.first()["Today"] == "2024-01-28"
     empty = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, ["off air"], [], boosting_settings=QUICK)
-    forecast.append_forecast(empty, folder, replace_run=True)
+    forecast.publish_forecast(empty, tables, replace=True)
     for name, schema in (("forecast", forecast.FORECAST), ("coefficients", run.coefficients.schema)):
-        assert sinks.read_run_table(spark, f"{folder}/{name}", schema).count() == 0
-    assert sinks.read_run_table(spark, f"{folder}/segment_status", run.status.schema).count() == 2
+        assert tables.read(name, schema).count() == 0
+    assert tables.read("segment_status", run.status.schema).count() == 2
 
 
 @pytest.mark.parametrize("arguments", [
-    ["--old", "x"], ["--new", "x"], ["--sql", "a.sql"], ["--source", "jdbc", "--old", "x", "--new", "y"], ["--sink", "catalog", "--replace-run"],
+    ["--old", "x"], ["--new", "x"], ["--sql", "a.sql"], ["--source", "jdbc", "--old", "x", "--new", "y"], ["--sink", "jdbc", "--replace-run"],
+    ["--step-log", "x"], ["--state", "x", "--source", "catalog"],
 ])
 def test_options_that_do_not_go_together_are_refused(arguments, capsys):
     from airgrid import __main__ as command
@@ -205,10 +139,13 @@ def test_command_line_run_over_catalog_tables_with_sql_steps(spark, work, sf_dir
         assert n == old.count() + new.count()
         assert {r.step: r.row_count for r in spark.table("run_step_counts").collect()} == {"kept": old.count(), "both": n}
         assert spark.table("run_forecast").count() > 0 and {r.status for r in spark.table("run_segment_status").collect()} == {"loaded"}
-        command.main(arguments, spark)
-        assert spark.table("network").count() == n
+        forecasts = spark.table("run_forecast").count()
+        command.main(arguments, spark)  # that run is published: nothing happens
+        command.main([*arguments, "--run", "again", "--step-log", f"file:{tmp_path}/log"], spark)
+        assert spark.table("network").count() == n and spark.table("run_forecast").count() == 2 * forecasts
+        assert {r.run_id for r in spark.table("run_manifest").collect()} == {"2024-01-28", "again"}
     finally:
-        for name in ("grid_old", "grid_new", "network", "run_step_counts", "run_forecast", "run_coefficients", "run_segment_status"):
+        for name in ("grid_old", "grid_new", "network", "run_step_counts", "run_forecast", "run_coefficients", "run_segment_status", "run_manifest"):
             spark.sql(f"drop table if exists {name}")
 
 
@@ -237,19 +174,18 @@ def test_command_line_run(spark, work, sf_dir):
         "--old", f"{root}/old", "--new", f"{root}/new", "--rename-new", json.dumps(NEW_GRID_NAMES),
         "--network", f"{root}/network", "--tables", f"{root}/tables", "--start", "2024-01-25",
         "--lookback", "14", "--step", "7", "--history-floor", "20230101",
-        "--channels", *EVENT_CHANNELS, "--exclude", "view", "--iterations", "2", "--depths", "2", "--replace-run",
+        "--channels", *EVENT_CHANNELS, "--exclude", "view", "--iterations", "2", "--depths", "2", "--replace-run", "--state", f"{root}/state",
     ]
     shared = os.path.dirname(work.root).removeprefix("file:")
     before = set(os.listdir(shared))
     command.main(arguments, spark)
-    first = spark.read.parquet(f"{root}/tables/forecast").count()
+    tables = RunTables(spark, f"{root}/tables")
+    first = tables.read("forecast", forecast.FORECAST).count()
     command.main(arguments, spark)
     assert set(os.listdir(shared)) == before
-    forecast_rows = spark.read.parquet(f"{root}/tables/forecast")
-    assert forecast_rows.count() == first > 0
-    assert set(forecast_rows.columns) == set(forecast.FORECAST_COLUMNS)
+    assert tables.read("forecast", forecast.FORECAST).count() == first > 0
     assert as_set(spark.read.parquet(f"{root}/network")) == as_set(event_blocks(spark, sf_dir).select(spark.read.parquet(f"{root}/network").columns))
-    status = spark.read.parquet(f"{root}/tables/segment_status")
+    status = tables.read("segment_status", T.StructType.fromDDL("cnlname string, status string"))
     assert {r.status for r in status.collect()} == {"loaded"} and status.count() == 8
 
 
@@ -258,7 +194,7 @@ def test_queries_search_every_setting(spark, sf_dir, monkeypatch, name):
     class Searched(Exception):
         pass
 
-    def fit(train, listed, settings=boosting.BoostingSettings()):
+    def fit(train, listed, work, settings=boosting.BoostingSettings()):
         raise Searched(settings)
 
     monkeypatch.setattr(boosting, "fit_boosted", fit)
