@@ -18,6 +18,8 @@ from airgrid.llm.common import fresh, steps
 from airgrid.llm.pieces import encoder
 
 RULES = ("start", "majority", "share")
+#: Bytes of text that a task encodes together, about; a longer text is a step of its own.
+ENCODED_TOGETHER = 1 << 20
 
 
 def allocate(spans: np.ndarray, starts: np.ndarray, length: int, rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -32,15 +34,18 @@ def allocate(spans: np.ndarray, starts: np.ndarray, length: int, rule: str) -> t
     crossing = np.flatnonzero(last > first)
     counts = np.bincount(first[last == first] if rule != "start" else first, minlength=n).astype(float)
     crossed = np.bincount(first[crossing], minlength=n)
-    if rule != "start":
-        edges = np.append(starts, length)
-        for t in crossing:
-            sections = np.arange(first[t], last[t] + 1)
-            held = np.minimum(edges[sections + 1], end[t]) - np.maximum(edges[sections], begin[t])
-            if rule == "majority":
-                counts[sections[np.argmax(held)]] += 1
-            else:
-                counts[sections] += held / held.sum()
+    if rule != "start" and len(crossing):
+        # A row per crossing token and section it lies in, with the characters it has there.
+        edges, spread = np.append(starts, length), last[crossing] - first[crossing] + 1
+        rows = np.cumsum(spread) - spread
+        token = np.repeat(crossing, spread)
+        section = np.arange(spread.sum()) - np.repeat(rows, spread) + first[token]
+        held = np.minimum(edges[section + 1], end[token]) - np.maximum(edges[section], begin[token])
+        if rule == "majority":
+            most = np.flatnonzero(held == np.repeat(np.maximum.reduceat(held, rows), spread))
+            counts += np.bincount(section[most[np.searchsorted(most, rows)]], minlength=n)
+        else:
+            counts += np.bincount(section, held / np.repeat(np.add.reduceat(held, rows), spread), n)
     return counts, crossed
 
 
@@ -61,7 +66,7 @@ OUT = pa.schema([
 def _counted(docs: DataFrame, key: str, arrays: str, texts_of, tokenizer: str, kind: str, rule: str, column: str) -> DataFrame:
     def run(batches):
         spans_of = encoder(tokenizer, kind).spans
-        for batch in steps(batches, column):
+        for batch in steps(batches, column, ENCODED_TOGETHER):
             texts, starts = texts_of(batch)
             rows, parts = [], []
             for row, (text, begins, spans) in enumerate(zip(texts, starts, spans_of(texts), strict=True)):

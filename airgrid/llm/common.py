@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 #: Words are runs of characters outside blank and the controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Texts that one step inside a task handles together, in bytes; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,12 +67,6 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, _KINDS[kind]) for name, kind in map(str.split, ddl.split(", "))])
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Delete a written stage that nothing reads any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 #: A bitmap of hashed ids has so many words of 64 bits at most, whatever the number of ids.
 BITMAP_WORDS = 1 << 19
 

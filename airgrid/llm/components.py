@@ -26,14 +26,18 @@ def components(links: DataFrame, work: Workspace) -> DataFrame:
         left = to.select(F.col("node").alias("a"), F.col("to").alias("x"))
         right = to.select(F.col("node").alias("b"), F.col("to").alias("y"))
         moved = links.join(left, "a").join(right, "b").where("x <> y")
-        links = work.keep(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        before, links = links, work.keep(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+        work.drop(before)
         k += 1
     if not joined:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     labels = joined.pop()
     while joined:
-        later = labels.select(F.col("node").alias("to"), F.col("to").alias("end"))
-        labels = joined.pop().join(later, "to", "left").select("node", F.coalesce("end", "to").alias("to"))
-        labels = work.keep(labels, "labels")
+        later, earlier = labels, joined.pop()
+        ends = later.select(F.col("node").alias("to"), F.col("to").alias("end"))
+        labels = work.keep(earlier.join(ends, "to", "left").select("node", F.coalesce("end", "to").alias("to")), "labels")
+        work.drop(later, earlier)
     smallest = labels.groupBy("to").agg(F.min("node").alias("component"))
-    return work.keep(labels.join(smallest, "to").select("node", "component"), "components")
+    found = work.keep(labels.join(smallest, "to").select("node", "component"), "components")
+    work.drop(links, labels)
+    return found

@@ -3,14 +3,17 @@
 If two sets are similar enough, then under any one order of all tokens their prefixes (the first
 n - ceil(t * n) + 1 tokens of n) share a token. Candidates come from the order that puts tokens of many documents
 last; a pair must then also share prefix tokens under ORDERS further orders, which are pseudo-random, before its
-sets are compared. All of this is exact: the orders only decide how many pairs are looked at.
+sets are compared. All of this is exact: the orders only decide how many pairs are looked at. As tokens of many documents
+stand last, what a token's documents make of pairs stays within a fixed multiple of their number.
 
 Large groups are not expanded into their pairs. Documents with equal sets are one class, and only its smallest id goes
 on. Of the documents that share a prefix token, each is first compared with a leader; what these links connect is
-then one component, and the full search runs between documents of different components only.
+then one component, and the full search runs between documents of different components only. There a bitmap of each set
+passes over pairs that differ too much, before they are pairs.
 """
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +21,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airgrid.llm.common import delete, fresh, perhaps_in, steps, to_batch
+from airgrid.llm.common import fresh, perhaps_in, steps, to_batch
 from airgrid.llm.components import components
 from airgrid.session import Workspace
 
-#: Tokens whose document counts the first order knows, at most; all others count as rare. It affects speed only.
-FREQUENT = 1 << 17
-#: A task reports a token from this many of about COUNTED_TOGETHER tokens.
-OFTEN, COUNTED_TOGETHER = 4, 1 << 21
+#: Tokens whose document counts the first order knows, at most, and how many documents make a token one of them. Tokens
+#: are counted exactly where they may come into a prefix: REACH times its length from its begin, by their hash.
+FREQUENT, FEW, REACH = 1 << 19, 4, 1.5
 ORDERS = 2
-#: Bytes whose words are hashed together.
-PIECE = 4 << 20
+#: Words of the bitmaps that tell sets apart which can't be similar.
+WORDS = 16
+#: Bytes whose words are hashed together; bytes of texts that are compared together.
+PIECE, COMPARED = 1 << 20, 1 << 19
+#: A leader's partners are dealt over tasks by so many of their shingles.
+PARTNERS = 1 << 15
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,28 +125,20 @@ def n_prefix(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of many documents with (nearly) their document counts, FREQUENT at most, in order of token."""
+def frequent_tokens(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of many documents with their counts, FREQUENT at most, in order of token.
 
-    def run(batches):
-        def report(held):
-            token, count = np.unique(np.concatenate(held), return_counts=True)
-            often = count >= OFTEN
-            return to_batch({"token": token[often].view(np.int64), "n": count[often]}, schema)
+    Without counts, a prefix would be a set's first hashes. Frequent ones of these are what makes many candidates, so all
+    documents' first hashes are counted, half as many again as a prefix has: put last, they make room for the next ones."""
 
-        schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
-        held, n = [], 0
+    def run(batches):
         for batch in steps(batches, "text"):
-            held += shingle_sets(batch.column("text").to_pylist(), size)
-            n += sum(map(len, held[-batch.num_rows :]))
-            if n >= COUNTED_TOGETHER:
-                yield report(held)
-                held, n = [], 0
-        if held:
-            yield report(held)
+            found = shingle_sets(batch.column("text").to_pylist(), size)
+            first = [x[: math.ceil(REACH * n_prefix(len(x), percent))] for x in found if len(x)]
+            yield to_batch({"token": np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64)}, pa.schema([("token", pa.int64())]))
 
     found = (
-        docs.select("text").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+        docs.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW)
         .orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     )
     token, n = found["token"].to_numpy().view(np.uint64), found["n"].to_numpy()
@@ -149,15 +147,29 @@ def frequent_tokens(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
 
 
 SETS = pa.schema([
-    ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary())
+    ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary()),
+    ("bits", pa.list_(pa.int64())),
 ])
 
 
+def bitmap(tokens: np.ndarray) -> np.ndarray:
+    """WORDS words with a bit for each token's hash. Two sets differ in at least as many tokens as their bitmaps in bits."""
+    bits = np.zeros(64 * WORDS, bool)
+    bits[(tokens >> np.uint64(32)) % np.uint64(64 * WORDS)] = True
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
+def _differ_little(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """What bitmaps allow: sets with `percent` of their union in common differ in (100 - percent) of it at most."""
+    apart = sum((F.bit_count(a["bits"][k].bitwiseXOR(b["bits"][k])) for k in range(WORDS)), F.lit(0))
+    return apart * (100 + percent) <= (a["n"] + b["n"]) * (100 - percent)
+
+
 def order_prefixes(tokens: np.ndarray, percent: int) -> bytes:
     """The prefixes under the further orders, one after the other: 16 bits of each token, so that equal tokens stay
     equal. Prefixes that meet by their bits alone are one more pair to compare, never a pair lost."""
     p = n_prefix(len(tokens), percent)
-    return b"".join((np.sort(_mixed(tokens, k + 1))[:p] & np.uint64(0xFFFF)).astype(np.uint16).tobytes() for k in range(ORDERS))
+    return b"".join((np.partition(_mixed(tokens, k + 1), p - 1)[:p] & np.uint64(0xFFFF)).astype(np.uint16).tobytes() for k in range(ORDERS))
 
 
 def orders_meet(a: bytes, b: bytes) -> bool:
@@ -167,17 +179,18 @@ def orders_meet(a: bytes, b: bytes) -> bool:
 
 
 def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size))
+    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size, percent))
 
     def run(batches):
         token, n = sent.value
         for batch in steps(batches, "text"):
-            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": []}
+            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": [], "bits": []}
             for found in shingle_sets(batch.column("text").to_pylist(), size):
                 rows["n"].append(len(found))
                 rows["sig"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 rows["orders"].append(order_prefixes(found, percent) if len(found) else None)
+                rows["bits"].append(bitmap(found) if len(found) else None)
                 first = found[:0]
                 if len(found):
                     count = np.zeros(len(found), np.int64)
@@ -188,7 +201,7 @@ def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 rows["prefix"].append(first.view(np.int64))
             yield to_batch(rows, SETS)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary")
+    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary, bits array<long>")
 
 
 def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -199,40 +212,94 @@ def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     return (100 * most >= percent * (a["n"] + b["n"] - most)) & (100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"]))
 
 
-def _pairs_where(pairs: DataFrame, by_id: DataFrame, value: str, keep) -> DataFrame:
-    """Those of `pairs` (a, b) whose two values in `by_id` (doc, value) `keep`, a function of two lists, lets pass."""
+def _meeting(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Those of `pairs` (a, b) whose bitmaps differ little and whose prefixes meet under all further orders, with n, the size
+    of b's set."""
 
     def run(batches):
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                passed = pa.array(keep(part.column("va").to_pylist(), part.column("vb").to_pylist()), pa.bool_())
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(passed)
+            for begin in range(0, batch.num_rows, 1024):
+                part = batch.slice(begin, 1024)
+                both = zip(part.column("va").to_pylist(), part.column("vb").to_pylist(), strict=True)
+                met = pa.array([orders_meet(x, y) for x, y in both], pa.bool_())
+                yield part.select(["a", "b", "n"]).filter(met)
 
-    sides = [by_id.select(F.col("doc").alias(name), F.col(value).alias(f"v{name}")) for name in "ab"]
-    return pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "va", "vb").mapInArrow(run, "a long, b long")
+    left = classes.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("orders").alias("va"), F.col("bits").alias("ba"))
+    right = classes.select(F.col("doc").alias("b"), "n", F.col("orders").alias("vb"), F.col("bits").alias("bb"))
+    near = _differ_little({"n": F.col("na"), "bits": F.col("ba")}, {"n": F.col("n"), "bits": F.col("bb")}, percent)
+    found = pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "n", "va", "vb").mapInArrow(run, "a long, b long, n long")
+    return found.groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, work: Workspace, size: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, several: DataFrame, work: Workspace, size: int, percent: int) -> DataFrame:
     """Those of `pairs` (a, b, distinct) that share prefixes under all further orders and whose sets are similar.
 
-    Only the texts of documents in pairs that pass the orders are gathered, and their sets are built from them anew."""
+    Only texts of documents in pairs that pass the orders are gathered. Each goes to its partner a once, and a's own text
+    stands before its partners', dealt over several tasks where these are many: so a task holds one set of a and a
+    few texts at a time, and sets are built once. `several`: ids with more than one text; any of them may do.
+    """
+    meeting = work.keep(_meeting(pairs, classes, percent), "meeting")
+    needed = meeting.select(F.col("a").alias("doc_id")).unionByName(meeting.select(F.col("b").alias("doc_id"))).distinct()
+    texts = perhaps_in(docs, "doc_id", needed)
+    if not several.isEmpty():
+        once = perhaps_in(texts, "doc_id", several, inside=False)
+        again = perhaps_in(texts, "doc_id", several).groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
+        texts = once.unionByName(again.select("doc_id", "text"))
+    shares = meeting.groupBy("a").agg(F.ceil(F.sum("n") / PARTNERS).alias("shares"))
+    dealt = meeting.join(shares, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("shares")).alias("share"))
+    asked = dealt.select("a", "share", F.col("b").alias("doc_id"), F.lit(True).alias("partner")).unionByName(
+        dealt.select("a", "share", F.col("a").alias("doc_id"), F.lit(False).alias("partner")).distinct()
+    )
 
-    def meet(left, right):
-        return [orders_meet(x, y) for x, y in zip(left, right, strict=True)]
+    def run(batches):
+        hub, sets = None, []  # the document at hand and the sets of its texts
+        for batch in steps(batches, "text", COMPARED):
+            keys = zip(*(batch.column(c).to_pylist() for c in ("a", "share", "doc_id", "partner")), strict=True)
+            linked = {"a": [], "b": []}
+            for (a, share, doc, partner), found in zip(keys, shingle_sets(batch.column("text").to_pylist(), size), strict=True):
+                if not partner:
+                    hub, sets = ((a, share), [found]) if hub != (a, share) else (hub, [*sets, found])
+                elif any(similar(x, found, percent) for x in sets):
+                    linked["a"].append(a)
+                    linked["b"].append(doc)
+            yield to_batch(linked, pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    placed = asked.join(texts, "doc_id").select("a", "share", "partner", "doc_id", "text")
+    placed = placed.repartition("a", "share").sortWithinPartitions("a", "share", "partner")
+    links = work.keep(placed.mapInArrow(run, "a long, b long").distinct(), "links")
+    work.drop(meeting)
+    return links
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets, sorted, have `percent` of their union in common."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
+def _to_leader(led: DataFrame, percent: int) -> DataFrame:
+    """b, a: each document of `led` (token, doc, n, pos, leader, lead_n, lead_pos) with the one of its tokens' leaders that it
+    has most prefix tokens in common with, of those that sizes and places allow."""
+    me, lead = ({c: F.col(f"{side}{c}") for c in ("n", "pos")} for side in ("", "lead_"))
+    return (
+        led.where((F.col("doc") != F.col("leader")) & _near(me, lead, percent))
+        .groupBy("doc", "leader").agg(F.count(F.lit(1)).alias("common"))
+        .groupBy("doc").agg(F.max(F.struct("common", "leader")).alias("best"))
+        .select(F.col("best.leader").alias("a"), F.col("doc").alias("b"))
+    )
 
-    def similar(left, right):
-        out = []
-        for x, y in zip(shingle_sets(left, size), shingle_sets(right, size), strict=True):
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared))
-        return out
 
-    left = work.keep(_pairs_where(pairs, classes, "orders", meet).distinct(), "meeting")
-    needed = left.select(F.col("a").alias("doc_id")).unionByName(left.select(F.col("b").alias("doc_id"))).distinct()
-    found = perhaps_in(docs, "doc_id", needed).join(needed, "doc_id", "left_semi")
-    texts = found.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"))
-    return _pairs_where(left, texts.select(F.col("doc_id").alias("doc"), "text"), "text", similar).distinct()
+def _apart(postings: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
+    """`postings` (token, doc, n, pos) of tokens that documents of different components share, with the component."""
+    known = components(links, work)
+    placed = postings.join(known.withColumnRenamed("node", "doc"), "doc", "left")
+    placed = work.keep(placed.withColumn("component", F.coalesce("component", "doc")), "placed")
+    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    apart = work.keep(placed.join(mixed, "token", "left_semi"), "apart")
+    work.drop(known, placed)
+    return apart
 
 
 def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int = 85) -> DataFrame:
@@ -244,63 +311,62 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     null component_id.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    path = work.path("signed")
-    signed_sets(docs, size, percent).write.parquet(path)
-    signed = docs.sparkSession.read.parquet(path)
+    signed = work.keep(signed_sets(docs, size, percent), "signed")
     classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("rows"),
-        *[F.first(c).alias(c) for c in ("n", "prefix", "orders")],
+        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits")],
     )
     classes = work.keep(classes, "classes")
-    signed = work.keep(signed.select("doc_id", "n", "sig"), "members")
-    delete(docs.sparkSession, path)  # the prefixes of copies
-    members = signed.where("doc_id is not null and sig is not null")
-
-    postings = classes.select("doc", "rows", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
-    shared = work.keep(postings.join(several, "token", "left_semi").select("token", "doc", "rows", "n", "pos"), "postings")
-    leaders = shared.groupBy("token").agg(F.min(F.struct((-F.col("rows")).alias("few"), "doc", "n", "pos")).alias("lead"))
-    led = shared.join(leaders, "token")
-
-    me = {c: F.col(c) for c in ("n", "pos")}
-    lead = {c: F.col(f"lead.{c}") for c in ("n", "pos")}
-    to_leader = (
-        led.where((F.col("doc") != F.col("lead.doc")) & _near(me, lead, percent))
-        .groupBy("doc", F.col("lead.doc").alias("leader")).agg(F.count(F.lit(1)).alias("common"))
-        .groupBy("doc").agg(F.max(F.struct("common", "leader")).alias("best"))
-        .select(F.least("doc", "best.leader").alias("a"), F.greatest("doc", "best.leader").alias("b")).distinct()
-    )
-    links = work.keep(verified(work.keep(to_leader, "to-leader"), classes, docs, work, size, percent), "leader-links")
-    known = components(links, work)
-
-    placed = shared.select("token", "doc", "n", "pos").join(known.withColumnRenamed("node", "doc"), "doc", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "doc"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    placed = work.keep(placed.join(mixed, "token", "left_semi"), "placed")
-    x, y = placed.alias("x"), placed.alias("y")
-    left, right = ({c: F.col(f"{s}.{c}") for c in ("n", "pos")} for s in "xy")
+    members = work.keep(signed.select("doc_id", "n", "sig"), "members")
+    work.drop(signed)  # the prefixes of copies
+    known_ids = members.where("doc_id is not null and sig is not null")
+    several = work.keep(known_ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
+
+    # Postings of tokens that several documents have in their prefix. A token's leader is the document that has fewest rarer
+    # tokens: of copies that were changed in places, the one they were made of.
+    postings = classes.select("doc", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
+    leaders = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("pos", "doc", "n")).alias("lead"))
+    shared = postings.join(leaders.where("m > 1").select("token", "lead"), "token")
+    shared = work.keep(shared.select("token", "doc", "n", "pos", "lead.*").toDF("token", "doc", "n", "pos", "lead_pos", "leader", "lead_n"), "postings")
+    slim = work.keep(classes.select("sig", "doc", "n", "orders", "bits"), "documents")
+    work.drop(classes)
+
+    links = verified(_to_leader(shared, percent), slim, docs, several, work, size, percent)
+    apart = _apart(shared.select("token", "doc", "n", "pos"), links, work)
+    work.drop(shared)
+
+    # A document of several texts has no one bitmap: it is told apart later.
+    single = slim.select("doc", "bits").join(several.withColumnRenamed("doc_id", "doc"), "doc", "left_anti")
+    marked = apart.join(single, "doc", "left")
+    x, y = marked.alias("x"), marked.alias("y")
+    left, right = ({c: F.col(f"{s}.{c}") for c in ("n", "pos", "bits")} for s in "xy")
     across = (
         x.join(y, F.col("x.token") == F.col("y.token"))
         .where((F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component")) & _near(left, right, percent))
+        .where(F.coalesce(_differ_little(left, right, percent), F.lit(True)))
         .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
     )
-    links = links.unionByName(verified(work.keep(across, "across"), classes, docs, work, size, percent))
+    across = work.keep(across, "across")
+    work.drop(apart)
+    more = verified(across, slim, docs, several, work, size, percent)
 
-    named = members.select("doc_id", "sig").join(classes.select("sig", "doc"), "sig")
+    named = known_ids.select("doc_id", "sig").join(several, "doc_id", "left_semi").join(slim.select("sig", "doc"), "sig")
     twice = named.groupBy("doc_id").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
-    links = links.unionByName(named.join(twice, "doc_id").where("doc <> lo").select(F.col("lo").alias("a"), F.col("doc").alias("b")))
-    known = components(links, work)
+    same = named.join(twice, "doc_id").where("doc <> lo").select(F.col("lo").alias("a"), F.col("doc").alias("b"))
+    known = components(links.unionByName(more).unionByName(same), work)
+    work.drop(links, across, more)
 
-    found = signed.select("doc_id", "n", "sig").join(classes.select("sig", "doc"), "sig", "left")
+    found = members.join(slim.select("sig", "doc"), "sig", "left")
     found = found.join(known.withColumnRenamed("node", "doc"), "doc", "left")
     smallest = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc", "doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), "sig", smallest.alias("component_id"))
+    found = work.keep(found.select("doc_id", F.col("n").alias("n_shingles"), "sig", smallest.alias("component_id")), "linked")
+    work.drop(members, slim, several, known)
+    return found
 
 
 def keep_one(docs: DataFrame, work: Workspace, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` without near copies: of each component the document with the smallest id stays, with the
     columns of `docs`. Of rows that share this id one stays. Rows without words or without id all stay."""
-    found = work.keep(link_documents(docs, work, size, percent), "linked")
+    found = link_documents(docs, work, size, percent)
     goes = F.expr("not (sig is null or doc_id = component_id)")
     stays = found.where(F.coalesce(~goes, F.lit(True))).select(F.col("doc_id").alias("k_doc"), F.col("sig").isNull().alias("k_empty")).distinct()
     # Only documents of which a row goes, or which have several rows, need the join: the others pass as they are.

@@ -249,8 +249,15 @@ def identify(docs: DataFrame, net: Network | None) -> DataFrame:
     return found.select("doc_id", "found.lang_pred", "found.score")
 
 
-def keep_identified(docs: DataFrame, net: Network | None, least: float = 0.3) -> DataFrame:
-    """The rows of `docs` whose text has letters and a language at `least` that probable, with their columns."""
+def least_score(n_langs: int, sure: float) -> float:
+    """The score that lies `sure` of the way from a blind guess among so many languages to certainty."""
+    blind = 1 / max(1, n_langs)
+    return blind + sure * (1 - blind)
+
+
+def keep_identified(docs: DataFrame, net: Network | None, sure: float = 0.2) -> DataFrame:
+    """The rows of `docs` whose text has letters and a language that is `sure` enough, with their columns."""
+    least = least_score(len(net.langs) if net else 1, sure)
     name = fresh(docs, "found")
     marked = docs.withColumn(name, _predictor(net)(F.col("text").cast("string")))
     sure = (F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least)

@@ -4,6 +4,10 @@ A page is read into blocks: runs of text between block-level tags. A linear clas
 content). Its size becomes the block's capacity to the source (content) or to the sink (boilerplate); edges between
 blocks that stand next to each other, and between neighbours under the same parent element, make it cost something to
 label them differently. The maximum flow's minimum cut is the cheapest labelling; its source side is the text.
+
+What an element's name, class or role says against its text is a finite weight that fades with each level below it. A
+wrapper says nothing where it holds most of the page's prose, and an article inside it lifts half of what it says. Links
+weigh less inside an article than elsewhere, and text beside an article weighs less than text of a page without one.
 """
 
 import html
@@ -20,6 +24,8 @@ from airgrid.llm.common import steps, to_batch
 
 # Element names by role, and words of class, id and role attributes that mark boilerplate.
 RAW = {"script", "style", "noscript", "template", "iframe", "title", "textarea"}
+#: Of these, what takes the rest of the page if it never ends; the others are tags to skip then.
+SWALLOW = {"script", "style"}
 #: Elements inside running text whose own text is no part of it.
 DROPPED = {"svg", "object", "canvas", "audio", "video", "select", "button", "datalist", "annotation", "annotation-xml"}
 MATH = {
@@ -34,7 +40,6 @@ INLINE = {
 } | DROPPED | MATH
 #: What does not end a dropped element that has no end tag.
 WITHIN = INLINE | VOID | {"option", "optgroup"}
-BOILER = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset", "head"}
 CONTENT = {"article", "main"}
 CONTENT_HINTS = {"article", "articlebody", "content", "entry", "main", "maincontent", "post", "story"}
 ENDS_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -44,8 +49,10 @@ HINTS = {
     "signup", "login", "paywall", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "pager", "footer",
     "header", "masthead", "topbar", "sidebar", "aside", "widget", "share", "sharing", "social", "related", "recommended", "trending",
     "comment", "comments", "reply", "replies", "respond", "disqus", "discussion", "contentinfo", "complementary", "search", "toolbar",
-    "copyright", "disclaimer", "skip",
+    "copyright", "disclaimer", "skip", "feedback", "guestbook",
 }
+#: Of these, what readers wrote: no wrapper of an article, however much of the page it holds.
+READERS = {"comment", "comments", "reply", "replies", "respond", "disqus", "discussion", "feedback", "guestbook"}
 #: Inside content these are as often topics: a section called discussion, a box called notice.
 TOPICS = {
     "notice", "notices", "search", "header", "discussion", "copyright", "disclaimer", "consent", "navigation", "promotion", "skip",
@@ -53,6 +60,17 @@ TOPICS = {
 }
 #: What a hint takes from a block's score: outside content, inside it, and inside it where the word may be a topic.
 HINT, INNER_HINT, TOPIC_HINT = 4.0, 6.0, 2.0
+#: The same for elements by their name, and for text that isn't shown; a form inside content.
+ROLES = {"nav": 6.0, "footer": 5.0, "aside": 5.0, "menu": 5.0, "dialog": 5.0, "head": 9.0, "header": 5.0, "form": 4.0}
+INNER_FORM, HIDDEN = 6.0, 30.0
+#: Elements that can be the wrapper of a whole page.
+WRAPPERS = {"form", "header"}
+#: What is left of a weight one level below, and of a wrapper's weight inside an article.
+FADE, LIFTED = 0.9, 0.5
+#: Shares of the page's prose from which on a wrapper says nothing: with an article inside, and without.
+MOST, NEARLY_ALL = 0.5, 0.8
+#: What text beside an article of so many words loses.
+BESIDE, ARTICLE_WORDS = 4.0, 40
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ARTICLE_HINTS = {"comment", "comments", "reply", "replies", "ad", "ads", "advert", "sponsored", "promo", "related", "teaser"}
 
@@ -66,26 +84,39 @@ _MARKS = re.compile(r"(?<![\w-])(class|id|role|itemprop|style|hidden|aria-hidden
 _WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+@dataclass(slots=True)
+class Element:
+    tag: str
+    number: int
+    up: "Element | None" = None
+    content: bool = False
+    link: bool = False
+    weight: float = 0.0  # what it says against its text by itself
+    wrapper: bool = False  # whether that is void if it holds most of the page
+    dropped: int = 0  # 1: its text goes; 2: until the next block-level tag only, as it has no end tag
+    article: bool = False  # an article or main part, with nothing said against it
+    kept_out: bool = False  # no wrapper of an article, or in one
+    holds: bool = False  # an article inside
+    words: int = 0  # outside links
+
+
 @dataclass(slots=True)
 class Block:
     text: str
     parent: int  # number of the element around the one that holds it
-    boiler: bool
-    content: bool
-    heading: bool
+    holder: Element
+    inner: Element  # the innermost element at its end
     linked: int  # characters inside links
-    hint: float = 0.0  # what class, id and role of the elements around it take from its score
+    against: float = 0.0  # what the elements around it take from its score
+    beside: bool = False  # an article, which this is no part of
 
+    @property
+    def words(self) -> int:
+        return self.text.count(" ") + 1
 
-@dataclass(slots=True)
-class Element:
-    tag: str
-    number: int
-    boiler: bool
-    content: bool
-    link: bool
-    hint: float = 0.0
-    dropped: int = 0  # 1: its text goes; 2: until the next block-level tag only, as it has no end tag
+    @property
+    def link_share(self) -> float:
+        return min(1.0, self.linked / max(1, len(self.text)))
 
 
 def _ended(page: str, tag: str) -> set[int]:
@@ -111,36 +142,36 @@ def _hints(value: str) -> set[str]:
     return found
 
 
-def _role(tag: str, attributes: str, content: bool) -> tuple[str, float]:
-    """"boiler", "content" or "", which the element itself says (inside content it need not say so again), and the
-    weight of its hints against it. Ids of headings and paragraphs are slugs of their text and say nothing."""
-    if tag in BOILER or tag == "header" and not content:
-        return "boiler", 0.0
-    role, hint = "content" if tag in CONTENT else "", 0.0
+def _role(tag: str, attributes: str, content: bool) -> tuple[bool, float, bool]:
+    """What the element itself says: whether it is content (inside content it need not say so again), the weight against
+    its text, and whether a wrapper may say that. Ids of headings and paragraphs are slugs of their text and say nothing."""
+    weight = 0.0 if tag == "header" and content else INNER_FORM if tag == "form" and content else ROLES.get(tag, 0.0)
+    role, hint, wrapper = tag in CONTENT, 0.0, weight == 0 or tag in WRAPPERS
     if not attributes or tag in ("html", "body", "main"):
-        return role, hint
+        return role and not weight, weight, wrapper
     for name, value in _MARKS.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return "boiler", 0.0
+            return False, HIDDEN, False
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return "boiler", 0.0
+                return False, HIDDEN, False
         elif name != "aria-hidden" and not (name == "id" and (tag == "p" or tag in HEADINGS)):
             words = _hints(value)
             found = words & (ARTICLE_HINTS if tag == "article" else HINTS)
             if found:
                 topic = found <= TOPICS or tag == "p" or tag in HEADINGS
                 hint = max(hint, HINT if not content else TOPIC_HINT if topic else INNER_HINT)
+                wrapper = wrapper and not found & READERS
             elif words & CONTENT_HINTS and tag not in INLINE:
-                role = "content"
-    return ("" if hint else role), hint
+                role = True
+    return role and not hint and not weight, max(weight, hint), wrapper
 
 
 def blocks(page: str) -> list[Block]:
     """The page's blocks with text, in order. Markup that is cut off or wrongly nested is read as browsers would, nearly."""
-    root = Element("", 0, False, False, False)
-    stack, opened, out = [root], {}, []
+    root = Element("", 0)
+    stack, opened, out, elements = [root], {}, [], [root]
     parts: list[str] = []
     linked = number = at = 0
     ended: dict[str, set[int]] = {}
@@ -152,7 +183,7 @@ def blocks(page: str) -> list[Block]:
             if text:
                 place = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag not in INLINE)
                 holder, above = stack[place], stack[max(0, place - 1)]
-                out.append(Block(text, above.number, holder.boiler or stack[-1].boiler, holder.content, holder.tag in ("h1", "h2", "h3", "h4"), linked, max(holder.hint, stack[-1].hint)))
+                out.append(Block(text, above.number, holder, stack[-1], linked))
             parts.clear()
         linked = 0
 
@@ -185,7 +216,8 @@ def blocks(page: str) -> list[Block]:
         if tag in RAW:
             if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if end or tag in SWALLOW:
+                    at = end.end() if end else len(page)
             continue
         while tag not in WITHIN and stack[-1].dropped == 2:
             close({stack[-1].tag})
@@ -220,31 +252,55 @@ def blocks(page: str) -> list[Block]:
                 if any(e.tag == same for e in stack[depth + 1 :]):
                     close({same}, depth)
         top, number = stack[-1], number + 1
-        role, hint = _role(tag, attributes, top.content)
+        content, weight, wrapper = _role(tag, attributes, top.content)
         dropped = 0
         if tag in DROPPED:
             if tag not in ended:
                 ended[tag] = _ended(page, tag)
             dropped = 1 if match.start() in ended[tag] else 2
-        stack.append(Element(tag, number, top.boiler or role == "boiler", top.content or role == "content", top.link or tag == "a", max(top.hint, hint), dropped))
+        content = content and not top.kept_out
+        article, kept_out = content and tag in CONTENT, top.kept_out or weight > 0 and not wrapper
+        stack.append(Element(tag, number, top, top.content or content, top.link or tag == "a", weight, wrapper, dropped, article, kept_out))
+        elements.append(stack[-1])
         opened[tag] = opened.get(tag, 0) + 1
         if attributes.endswith("/"):
             close({tag})
     add(page[at:])
     end_block()
+    weigh(out, elements)
     return out
 
 
+def weigh(found: list[Block], elements: list[Element]) -> None:
+    """Set what the elements around each block say against it, once all of the page is known. `elements` ascend by their
+    number, the root first, so each stands behind the one it is in."""
+    for block in found:
+        block.holder.words += round(block.words * (1 - block.link_share))
+    for element in reversed(elements[1:]):
+        element.up.words += element.words
+        element.up.holds = element.up.holds or element.holds or element.article
+    total = max(1, elements[0].words)
+    weights, articles = {0: 0.0}, {0: 0}  # by number
+    for element in elements[1:]:
+        n, up = element.number, element.up.number
+        inherited = FADE * weights[up] * (LIFTED if element.article else 1.0)
+        void = element.wrapper and element.words >= (MOST if element.holds else NEARLY_ALL) * total
+        weights[n] = max(0.0 if void else element.weight, inherited)
+        articles[n] = element.words if element.article else articles[up]
+    for block in found:
+        block.against = max(weights[block.holder.number], weights[block.inner.number])
+    largest = max((articles[b.holder.number] for b in found if b.holder.content and not b.against), default=0)
+    for block in found:
+        block.beside = largest >= ARTICLE_WORDS and not block.holder.content and block.holder.tag != "h1"
+
+
 def score(block: Block) -> float:
-    """Linear classifier; its weights are set so that the elements' roles decide where there are any, else the text."""
-    if block.boiler:
-        return -5.0
-    words = block.text.count(" ") + 1
-    linked = min(1.0, block.linked / max(1, len(block.text)))
-    found = 0.8 * math.log1p(words) - 1.6 - 4.0 * linked
-    found += (3.0 if block.content else 0.0) - block.hint
+    """Linear classifier. Its weights are set, not learnt: pages have no labels."""
+    found = min(3.5, 0.8 * math.log1p(block.words)) - 1.6 - (1.5 if block.holder.content else 4.0) * block.link_share
+    found += (3.0 if block.holder.content else 0.0) - block.against - (BESIDE if block.beside else 0.0)
     found += 0.8 if block.text[-1] in ".!?:;\"'”»…" else 0.0
-    return found + (1.0 if block.heading else 0.0)
+    found += 0.5 if block.holder.tag == "p" else 0.0
+    return found + (1.0 if block.holder.tag in ("h1", "h2", "h3", "h4") else 0.0)
 
 
 def edges(found: list[Block]) -> dict[tuple[int, int], float]:
@@ -253,7 +309,7 @@ def edges(found: list[Block]) -> dict[tuple[int, int], float]:
     last: dict[int, int] = {}
     for i, block in enumerate(found):
         if i:
-            out[i - 1, i] = 0.4 if found[i - 1].content == block.content else 0.1
+            out[i - 1, i] = 0.4 if found[i - 1].holder.content == block.holder.content else 0.1
         if block.parent in last:
             pair = last[block.parent], i
             out[pair] = out.get(pair, 0.0) + 0.6

@@ -130,8 +130,10 @@ def near_clusters(docs: DataFrame, work: Workspace) -> DataFrame:
 
     Letters are lower-cased first, as for `cluster_of`. A row without doc_id is a document by its text."""
     rows = docs.select(link_id().alias("doc_id"), F.lower("text").alias("text"))
-    linked = jaccard.link_documents(rows, work, size=5, percent=80).where("sig is not null")
-    return work.keep(linked.groupBy(F.col("doc_id").alias("link_id")).agg(F.min("component_id").alias("near")), "near")
+    linked = jaccard.link_documents(rows, work, size=5, percent=80)
+    near = work.keep(linked.where("sig is not null").groupBy(F.col("doc_id").alias("link_id")).agg(F.min("component_id").alias("near")), "near")
+    work.drop(linked)
+    return near
 
 
 def link_id() -> Column:
@@ -144,10 +146,10 @@ def pack_documents(
     """`pack` for rows of documents: size in words; near copies are a cluster, or with `near` false, for documents
     without near copies, only copies up to case and white space."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "source")
-    items = docs.select(
-        "doc_id", n_words(F.col("text")).alias("size"), "source", cluster_of(F.col("text")).alias("cluster"), link_id().alias("link_id")
-    )
-    if near:
-        items = work.keep(items, "items").join(near_clusters(docs, work), "link_id", "left")
-        items = items.withColumn("cluster", F.when(F.col("cluster").isNotNull(), F.col("near").cast("string")))
-    return pack(items, work, capacity, shard_pieces)
+    size = n_words(F.col("text")).alias("size")
+    if not near:
+        return pack(docs.select("doc_id", size, "source", cluster_of(F.col("text")).alias("cluster")), work, capacity, shard_pieces)
+    clusters = near_clusters(docs, work)
+    items = work.keep(docs.select("doc_id", size, "source", link_id().alias("link_id")).join(clusters, "link_id", "left"), "items")
+    work.drop(clusters)
+    return pack(items.withColumn("cluster", F.when(F.col("size") > 0, F.col("near").cast("string"))), work, capacity, shard_pieces)

@@ -3,7 +3,10 @@
 A byte-pair tokenizer first splits a text into pieces (words, numbers, runs of marks) and merges within each piece
 alone. So a text's tokens are its pieces' tokens in a row, and each distinct piece needs to be encoded once. Pieces
 are found here only in texts whose characters are all below U+0100, where splitting is beyond doubt; any other text,
-and any that holds a special token's string, goes to the tokenizer whole. A test compares both ways.
+and any that holds a special token's string, goes to the tokenizer as it is. A test compares both ways.
+
+Memory is bounded whatever the texts: a long text is cut where no piece and no token can go on, pieces are learnt
+a few thousand at a time, and an encoder that remembers too many pieces or characters starts anew.
 """
 
 import re
@@ -13,8 +16,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-#: Pieces remembered at a time; beyond, the memory starts anew.
-REMEMBERED = 600_000
+#: Pieces and their characters that are remembered at most, and pieces learnt at a time.
+REMEMBERED, REMEMBERED_CHARS, LEARNT = 300_000, 4_000_000, 4096
+#: Characters that a long text is cut after, and that are encoded together, about.
+PART, TOGETHER = 1 << 18, 1 << 20
+#: A single blank between letters or digits: both kinds of tokenizer begin a piece there, whatever stands around it.
+_BETWEEN = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 _LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 _NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0"
@@ -28,6 +35,49 @@ PIECES = {
 }
 
 
+def parts(text: str):
+    """(begin, part) of `text` in parts of about PART characters that can be encoded one by one."""
+    at = 0
+    while len(text) - at > PART:
+        found = _BETWEEN.search(text, at + PART)
+        if not found:
+            break
+        yield at, text[at : found.start()]
+        at = found.start()
+    yield at, text[at:]
+
+
+def groups(texts: list[str | None]):
+    """All texts' parts as lists of (text's number, begin, part), each list of about TOGETHER characters."""
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        for begin, part in parts(text or ""):
+            if group and size + len(part) > TOGETHER:
+                yield group
+                group, size = [], 0
+            group.append((i, begin, part))
+            size += len(part)
+    if group:
+        yield group
+
+
+class Column:
+    """Numbers in a row that more are added to; the room doubles when it is full."""
+
+    def __init__(self, kind, *first):
+        self.room, self.n = np.array([*first, 0], kind), len(first)
+
+    def add(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.room):
+            self.room = np.resize(self.room, max(2 * len(self.room), self.n + len(values)))
+        self.room[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def held(self) -> np.ndarray:
+        return self.room[: self.n]
+
+
 class PieceEncoder:
     """`kind`: "word" lower-cases and drops white space, "byte" keeps every character."""
 
@@ -42,11 +92,11 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)  # where each known piece's tokens begin
-        self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(0, np.int32)  # per token, offsets within its piece
-        self.begins = np.zeros(0, np.int32)
-        self.lengths = np.zeros(0, np.int32)
+        self.chars = 0
+        self.first = Column(np.int64, 0)  # where each known piece's tokens begin
+        self.ids = Column(np.uint32)
+        self.ends, self.begins = Column(np.int32), Column(np.int32)  # per token, offsets within its piece
+        self.lengths = Column(np.int32)
 
     def _whole(self, text: str) -> bool:
         try:
@@ -55,41 +105,48 @@ class PieceEncoder:
             return True
         return any(s in text for s in self.specials)
 
-    def _learn_words(self, pieces: list[str]) -> None:
+    def _ids_of_words(self, pieces: list[str]) -> tuple[np.ndarray, ...]:
         """Ids alone: one text of all pieces is encoded, and a token that closes a word ends its piece."""
         ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, np.uint32)
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(pieces):
             raise ValueError("the tokenizer doesn't close each piece with its end-of-word mark")
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
-        self.first = np.concatenate([self.first, self.first[-1] + ends])
-        self.ids = np.concatenate([self.ids, ids])
+        return ends, ids
 
-    def _learn(self, pieces: list[str]) -> None:
-        if self.lower:
-            return self._learn_words(pieces)
+    def _ids_and_offsets(self, pieces: list[str]) -> tuple[np.ndarray, ...]:
         found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        counts = [len(e.ids) for e in found]
         offsets = np.array([o for e in found for o in e.offsets], np.int32).reshape(-1, 2)
-        for n, piece in enumerate(pieces, len(self.known)):
-            self.known[piece] = n
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts, dtype=np.int64)])
-        self.ids = np.concatenate([self.ids, np.array([i for e in found for i in e.ids], np.uint32)])
-        self.begins = np.concatenate([self.begins, offsets[:, 0]])
-        self.ends = np.concatenate([self.ends, offsets[:, 1]])
-        self.lengths = np.concatenate([self.lengths, np.array([len(p) for p in pieces], np.int32)])
+        return (
+            np.cumsum([len(e.ids) for e in found], dtype=np.int64), np.array([i for e in found for i in e.ids], np.uint32),
+            offsets[:, 0], offsets[:, 1], np.array([len(p) for p in pieces], np.int32),
+        )
+
+    def _learn(self, pieces: list[str]) -> None:
+        columns = [self.ids] if self.lower else [self.ids, self.begins, self.ends, self.lengths]
+        for begin in range(0, len(pieces), LEARNT):
+            some = pieces[begin : begin + LEARNT]
+            ends, *found = (self._ids_of_words if self.lower else self._ids_and_offsets)(some)
+            self.first.add(self.first.held[-1] + ends)
+            for column, values in zip(columns, found, strict=True):
+                column.add(values)
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
+        self.chars += sum(map(len, pieces))
+
+    def _remember(self, new: list[str], needed: list[str]) -> None:
+        """Learn `new`, or all that is `needed` now where too much is remembered already."""
+        if len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self._forget()
+            new = needed
+        self._learn(new)
 
     def _numbers(self, texts: list[str]) -> list[np.ndarray]:
-        """Per text, the numbers of its pieces."""
+        """Per text, the numbers of its pieces, which hold until the next call."""
         if self.lower:
             return self._word_numbers(texts)
         found = [self.find(t) for t in texts]
-        new = {p for pieces in found for p in pieces if p not in self.known}
-        if len(self.known) + len(new) > REMEMBERED and self.known:
-            self._forget()
-            new = {p for pieces in found for p in pieces}
+        new = list({p for pieces in found for p in pieces if p not in self.known})
         if new:
-            self._learn(list(new))
+            self._remember(new, list({p for pieces in found for p in pieces}))
         get = self.known.__getitem__
         return [np.fromiter(map(get, pieces), np.int64, len(pieces)) for pieces in found]
 
@@ -105,10 +162,7 @@ class PieceEncoder:
         numbers = list(map(self.known.get, pieces))
         new = [p for p, n in zip(pieces, numbers, strict=True) if n is None and p]
         if new:
-            if len(self.known) + len(new) > REMEMBERED and self.known:
-                self._forget()
-                new = [p for p in pieces if p]
-            self._learn(new)
+            self._remember(new, [p for p in pieces if p])
             numbers = list(map(self.known.get, pieces))
         keep = np.ones(len(codes), bool)
         keep[np.cumsum(lengths + 1) - 1] = False
@@ -117,35 +171,42 @@ class PieceEncoder:
 
     def _tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of pieces in a row: which remembered token each token is, and each piece's token count."""
-        counts = self.first[numbers + 1] - self.first[numbers]
+        begins = self.first.held[numbers]
+        counts = self.first.held[numbers + 1] - begins
         ends = np.cumsum(counts)
-        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[numbers] - (ends - counts), counts)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - counts), counts)
         return at, counts
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Token ids of each text (null: none)."""
-        out: list = [None] * len(texts)
-        plain = [i for i, t in enumerate(texts) if t and t.strip(_SPACE) and not self._whole(t)]
-        for i, numbers in zip(plain, self._numbers([texts[i] for i in plain]), strict=True):
-            out[i] = self.ids[self._tokens(numbers)[0]]
-        other = [i for i, t in enumerate(texts) if out[i] is None and t]
-        for i in other:
-            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
-        return [np.zeros(0, np.uint32) if x is None else x for x in out]
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        for group in groups(texts):
+            plain = [bool(t.strip(_SPACE)) and not self._whole(t) for _, _, t in group]
+            numbers = iter(self._numbers([t for (_, _, t), p in zip(group, plain, strict=True) if p]))
+            for (i, _, text), known in zip(group, plain, strict=True):
+                if known:
+                    out[i].append(self.ids.held[self._tokens(next(numbers))[0]])
+                elif text:
+                    out[i].append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+        return [np.concatenate(x) if x else np.zeros(0, np.uint32) for x in out]
 
     def spans(self, texts: list[str | None]) -> list[np.ndarray]:
         """Character spans of each text's tokens, an array of (begin, end) rows. For the "byte" kind only."""
-        out: list = [np.zeros((0, 2), np.int64)] * len(texts)
-        plain = [i for i, t in enumerate(texts) if t and not self._whole(t)]
-        for i, numbers in zip(plain, self._numbers([texts[i] for i in plain]), strict=True):
-            at, counts = self._tokens(numbers)
-            lengths = self.lengths[numbers].astype(np.int64)
-            base = np.repeat(np.cumsum(lengths) - lengths, counts)
-            out[i] = np.stack([base + self.begins[at], base + self.ends[at]], 1)
-        for i in sorted({i for i, t in enumerate(texts) if t} - set(plain)):
-            found = self.tokenizer.encode(texts[i], add_special_tokens=False).offsets
-            out[i] = np.array(found, np.int64).reshape(-1, 2)
-        return out
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        for group in groups(texts):
+            plain = [bool(t) and not self._whole(t) for _, _, t in group]
+            numbers = iter(self._numbers([t for (_, _, t), p in zip(group, plain, strict=True) if p]))
+            for (i, begin, text), known in zip(group, plain, strict=True):
+                if known:
+                    mine = next(numbers)
+                    at, counts = self._tokens(mine)
+                    lengths = self.lengths.held[mine].astype(np.int64)
+                    base = np.repeat(begin + np.cumsum(lengths) - lengths, counts)
+                    out[i].append(np.stack([base + self.begins.held[at], base + self.ends.held[at]], 1))
+                elif text:
+                    found = self.tokenizer.encode(text, add_special_tokens=False).offsets
+                    out[i].append(begin + np.array(found, np.int64).reshape(-1, 2))
+        return [np.concatenate(x) if x else np.zeros((0, 2), np.int64) for x in out]
 
 
 _encoders: dict[tuple[str, str], PieceEncoder] = {}

@@ -29,6 +29,8 @@ MAGIC = b"IDPLANE1"
 BLOCK = 1 << 16
 FILE_IDS = 1 << 23
 LEVEL = 3
+#: Bytes of text that a task encodes together, about; a longer text is a step of its own.
+ENCODED_TOGETHER = 1 << 21
 
 
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -151,7 +153,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, kind: str, end_id: int) ->
 
     def run(batches):
         encode = encoder(tokenizer, kind)
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", ENCODED_TOGETHER):
             texts = batch.column("text").to_pylist()
             found = [np.append(x, np.uint32(end_id)).astype("<u4").tobytes() for x in encode.encode(texts)]
             press = zstandard.ZstdCompressor(level=1).compress
@@ -237,13 +239,22 @@ def read_planes(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame
     return found.join(places, "file").select("doc_id", (F.col("before") + F.col("start")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def as_uri(spark: SparkSession, folder: str) -> str:
+    """`folder` with the scheme that Spark writes it under, so that tasks write where Spark reads; local ones with the
+    empty host that URIs have."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return found if "://" in found else found.replace("file:", "file://", 1)
+
+
 def plane_report(docs: DataFrame, work: Workspace, tokenizer: str, kind: str = "word", end_id: int = 2, plane: str = "byte") -> DataFrame:
     """Encode, write, read back. A null text has the end id alone; repeated rows are written as often as they come;
     without any row no file is written and no row returned."""
     spark = docs.sparkSession
     encoded = work.keep(encode_documents(docs, tokenizer, kind, end_id), "encoded")
-    folder = work.path("planes")
-    files = work.keep(write_planes(encoded, folder if "://" in folder else f"file://{folder}", plane), "files")
+    folder = as_uri(spark, work.path("planes"))
+    files = work.keep(write_planes(encoded, folder, plane), "files")
+    work.drop(encoded)
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return read_planes(spark, folder, files)

@@ -25,7 +25,8 @@ BUCKETS, DIMS, NONZERO, REACH = 1 << 15, 32, 2, 2
 #: Labelled rows that the network is fitted on, at most; taken by a hash of the id.
 MAX_LABELLED = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 128, 3e-3, 1e-4
-REMEMBERED = 500_000
+#: Words whose buckets a Python worker remembers at most.
+REMEMBERED = 100_000
 POOLED = 3 * DIMS
 _TOKEN = re.compile(r"\w+|[^\w\s]+").findall
 
@@ -135,8 +136,16 @@ class Classifier:
     temperature: float = 1.0
 
     def logits(self, features: np.ndarray) -> np.ndarray:
-        hidden = np.maximum(0, (features - self.centre) / self.scale @ self.w1 + self.b1)
-        return hidden @ self.w2 + self.b2
+        """Added up term by term: a matrix product's last bits depend on how many rows it has, and a document's score must
+        not depend on the documents beside it."""
+        x = (features - self.centre) / self.scale
+        hidden, out = np.zeros((len(x), HIDDEN)) + self.b1, np.full(len(x), float(self.b2))
+        for k in range(POOLED):
+            hidden += x[:, k : k + 1] * self.w1[k]
+        hidden = np.maximum(0, hidden)
+        for k in range(HIDDEN):
+            out += hidden[:, k] * self.w2[k]
+        return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(pooled(self.vectors, texts)) / self.temperature, -30, 30)))
@@ -234,7 +243,7 @@ def score(docs: DataFrame, net: Classifier | None) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def keep_good(docs: DataFrame, net: Classifier | None, least: float = 0.3) -> DataFrame:
-    """The rows of `docs` that score `least` or more, with their columns."""
+def keep_good(docs: DataFrame, net: Classifier | None, least: float = 0.5) -> DataFrame:
+    """The rows of `docs` that score `least` or more, by default those that `score` predicts to be good, with their columns."""
     name = fresh(docs, "score")
     return docs.withColumn(name, _scorer(docs.sparkSession, net)(F.col("text").cast("string"))).where(F.col(name) >= least).select(*docs.columns)

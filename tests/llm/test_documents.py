@@ -1,10 +1,12 @@
 """Operators on documents against plain versions of themselves."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import psutil
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -12,7 +14,8 @@ from tokenizers import Tokenizer
 from airgrid.llm import attribution, jaccard, language, mixing, packing, planes, quality, queries
 from airgrid.llm.common import held_out
 from airgrid.llm.components import components
-from airgrid.llm.pieces import PieceEncoder
+from airgrid.llm.pieces import PieceEncoder, parts
+from airgrid.session import Workspace
 
 from .data import documents, prose, rows
 
@@ -52,6 +55,35 @@ def test_forgetting_changes_nothing(monkeypatch):
             assert one.encode([text])[0].tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_long_texts_are_cut_without_a_trace(monkeypatch):
+    monkeypatch.setattr("airgrid.llm.pieces.PART", 7)
+    monkeypatch.setattr("airgrid.llm.pieces.TOGETHER", 50)
+    texts = [*ODD, *(r[1] for r in rows() if r[1]), "日本 x y 日本 ab\u0301 cd  e f g\nh i's j 12 3", None, ""]
+    assert max(len(list(parts(t or ""))) for t in texts) > 1000
+    for kind, path in (("word", WORD_BPE), ("byte", BYTE_BPE)):
+        encoder, whole = PieceEncoder(path, kind), Tokenizer.from_file(path)
+        for text, ids in zip(texts, encoder.encode(texts), strict=True):
+            assert ids.tolist() == whole.encode(text or "", add_special_tokens=False).ids
+        if kind == "byte":
+            for text, spans in zip(texts, encoder.spans(texts), strict=True):
+                assert [tuple(x) for x in spans.tolist()] == whole.encode(text or "", add_special_tokens=False).offsets
+
+
+@pytest.mark.parametrize("kind,path", [("word", WORD_BPE), ("byte", BYTE_BPE)])
+def test_an_encoder_keeps_within_its_memory(kind, path):
+    """All-different words, 4 MB in one text, then in small ones: what a worker grows by stays small."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(4, 12))) for _ in range(450_000)]
+    text, encoder = " ".join(words), PieceEncoder(path, kind)
+    encoder.encode(["warm up"])
+    before, most = psutil.Process().memory_info().rss, 0
+    for texts in [[text], [" ".join(words[i : i + 500]) for i in range(0, len(words), 500)]]:
+        n = sum(map(len, encoder.encode(texts)))
+        most = max(most, psutil.Process().memory_info().rss - before)
+        assert n > 450_000 and len(encoder.known) <= 300_000
+    assert most < 250e6
+
+
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 1000])
 def test_planes_round_trip(kind, n):
@@ -92,6 +124,14 @@ def test_written_ids_against_whole_encoding(spark, work, monkeypatch, plane):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_planes_go_where_spark_reads_whatever_the_folder_is_called(spark, tmp_path, scheme):
+    work = Workspace(spark)
+    work.root = f"{scheme}{tmp_path}/stages"
+    assert planes.plane_report(documents(spark), work, WORD_BPE).count() == len(rows())
+    assert planes.as_uri(spark, f"{scheme}/a/b") == "file:///a/b"
+
+
 def test_no_documents_no_files(spark, work):
     assert planes.plane_report(documents(spark, []), work, WORD_BPE).collect() == []
 
@@ -191,6 +231,23 @@ def test_prefixes_of_similar_sets_meet_under_every_order():
                 assert first[0] & first[1]
 
 
+def test_bitmaps_pass_over_no_similar_pair():
+    rng = np.random.default_rng(9)
+    for n in (1, 20, 300, 3000):
+        for share in (0.0, 0.05, 0.1, 0.5):
+            x = rng.integers(0, 2**63, n).astype(np.uint64)
+            y = np.unique(np.concatenate([x[int(share * n) :], rng.integers(0, 2**63, int(share * n)).astype(np.uint64)]))
+            x, both = np.unique(x), len(np.intersect1d(x, y))
+            bits = [np.unpackbits(jaccard.bitmap(s).view(np.uint8)) for s in (x, y)]
+            differ = int((bits[0] != bits[1]).sum())
+            assert len(bits[0]) == 64 * jaccard.WORDS and differ <= len(x) + len(y) - 2 * both
+            for percent in (50, 80, 85):
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    assert differ * (100 + percent) <= (len(x) + len(y)) * (100 - percent)
+            if n == 300 and share == 0.5:
+                assert differ * 185 > (len(x) + len(y)) * 15  # and does pass over others
+
+
 def test_one_of_each_group_stays(spark, work):
     docs = documents(spark)
     got = jaccard.keep_one(docs, work)

@@ -22,12 +22,12 @@ def test_each_stage_on_its_predecessors_rows(spark, work, tmp_path, monkeypatch)
     known = work.keep(stage["language"](spark, docs, folder), "language")
     net = language.fit(docs)
     scores = [language.predict(net, [r[1]]) for r in rows()]
-    want = Counter(r[0] for r, (langs, found) in zip(rows(), scores, strict=True) if langs[0] != "und" and found[0] >= 0.3)
+    want = Counter(r[0] for r, (langs, found) in zip(rows(), scores, strict=True) if langs[0] != "und" and found[0] >= language.least_score(len(net.langs), 0.2))
     assert Counter(r["doc_id"] for r in known.collect()) == want and known.columns == docs.columns
 
     good = work.keep(stage["quality"](spark, known, folder), "quality")
     judge = quality.fit(known, spark.read.parquet(f"{folder}/labels.parquet"))
-    want = Counter(r["doc_id"] for r in known.collect() if judge.scores([r["text"]])[0] >= 0.3)
+    want = Counter(r["doc_id"] for r in known.collect() if judge.scores([r["text"]])[0] >= 0.5)
     assert Counter(r["doc_id"] for r in good.collect()) == want and good.columns == docs.columns
 
     single = work.keep(stage["near_copies"](spark, good, folder), "single")

@@ -163,6 +163,40 @@ def test_hints_can_be_outweighed():
     assert mincut.main_text(f"<div class='comments'><p>{words}</p></div><article><p>{words}</p>{boxes}</article>") == words
 
 
+FIRST = "The council met on Tuesday evening to talk about the new bridge, which many people in the town have been waiting for since the old one was closed."
+SECOND = "After two hours of talk the plan was agreed, and work is due to begin in the spring if the money can be found before the end of the year."
+STORY = f"<article><h1>The bridge</h1><p>{FIRST}</p><p>{SECOND}</p></article>"
+
+
+def inside(more):
+    return f"<article><h1>The bridge</h1><p>{FIRST}</p>{more}<p>{SECOND}</p></article>"
+
+
+@pytest.mark.parametrize("body,kept", [
+    (f"<form action='/'><div>{STORY}</div><input></form>", ""),
+    (f"<div class='social-science'>{STORY}</div>", ""),
+    (f"<div class='layout-sidebar-right'>{STORY}<div class='sidebar'><p>Most read today in the paper by our readers.</p></div></div>", ""),
+    (inside("<ul><li><a href='/1'>First plan of the bridge</a></li><li><a href='/2'>Second plan</a></li></ul>"), "First plan of the bridge Second plan "),
+    (inside("<fieldset><legend>Costs</legend><p>The bridge costs four million.</p></fieldset>"), "Costs The bridge costs four million. "),
+    (inside("<div><p>Ok</p></div>"), "Ok "),
+    (f"{STORY}<div class='user-feedback'><p>I think this is a very good idea, and it should have been done years ago.</p><p>No, it is far too dear for us.</p></div>", ""),
+    (f"<noscript><img src=x>{STORY}", ""),
+    (f"{STORY}<section class='comments'><article><p>{SECOND} {FIRST}</p></article><article><p>{SECOND} {SECOND}</p></article></section>", ""),
+    (f"{STORY}<aside><div><div><p>{FIRST}</p></div></div></aside>", ""),
+    (f"<aside><article class='card'><p>{SECOND}</p></article></aside>{STORY}", ""),
+    (inside("<form><p>Sign up for our letter, which comes each week with all the news of the town.</p><label>Mail</label></form>"), ""),
+    ("<div>" * 5000 + STORY, ""),
+], ids=["form", "topic", "layout", "links", "fieldset", "short", "feedback", "noscript", "comments", "aside", "card", "inner form", "deep"])
+def test_wrappers_and_neighbours_of_an_article(body, kept):
+    menu = "<nav><ul><li><a href='/'>Home</a></li><li><a href='/n'>News</a></li></ul></nav>"
+    page = f"<html><head><title>x</title></head><body>{menu}{body}<footer><p>Copyright 2024 The Paper. All rights reserved.</p></footer></body></html>"
+    assert mincut.main_text(page) == f"The bridge {FIRST} {kept}{SECOND}"
+
+
+def test_a_page_without_an_article_keeps_its_short_paragraphs():
+    assert mincut.main_text(f"<div><p>{FIRST}</p><p>{SECOND}</p><p>Ok</p></div>") == f"{FIRST} {SECOND} Ok"
+
+
 def test_odd_pages(spark):
     long = "<article>" + "<p>Words of a very long page.</p>" * 5000
     pages = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "v", ""), (4, "v", "a < b"), (None, "w", "<p"), (5, "x", long), (6, "y", "<a 'b>c" * 300), (7, "z", "<article>x&#xD800;y.</article>")]
