@@ -7,8 +7,8 @@ sets are compared. All of this is exact: the orders only decide how many pairs a
 stand last, what a token's documents make of pairs stays within a fixed multiple of their number.
 
 Large groups are not expanded into their pairs. Documents with equal sets are one class, and only its smallest id goes
-on. Of the documents that share a prefix token, each is first compared with a leader; what these links connect is
-then one component, and the full search runs between documents of different components only. There a bitmap of each set
+on. Of the documents that share a prefix token, each is first compared with a leader, and so are those that share one of a
+few keys made of smallest hashes, which similar sets do most of the time; what these links connect is then one component, and the full search runs between documents of different components only. There a bitmap of each set
 passes over pairs that differ too much, before they are pairs.
 """
 
@@ -29,6 +29,8 @@ from airgrid.session import Workspace
 #: are counted exactly where they may come into a prefix: REACH times its length from its begin, by their hash.
 FREQUENT, FEW, REACH = 1 << 19, 4, 1.5
 ORDERS = 2
+#: Keys by which similar sets meet for a first comparison, each of so many smallest hashes under orders of their own.
+KEYS, SMALLEST = 6, 2
 #: Words of the bitmaps that tell sets apart which can't be similar.
 WORDS = 16
 #: Bytes whose words are hashed together; bytes of texts that are compared together.
@@ -148,10 +150,20 @@ def frequent_tokens(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarra
 
 SETS = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary()),
-    ("bits", pa.list_(pa.int64())),
+    ("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
 ])
 
 
+def keys_of(tokens: np.ndarray) -> np.ndarray:
+    """KEYS numbers that sets share the likelier the more similar they are: each mixes the first tokens under SMALLEST
+    pseudo-random orders."""
+    first = np.array([_mixed(tokens, 100 + k).min() for k in range(KEYS * SMALLEST)]).reshape(KEYS, SMALLEST)
+    out = np.arange(KEYS, dtype=np.uint64)
+    for k in range(SMALLEST):
+        out = _mixed(out ^ first[:, k], 7)
+    return out.view(np.int64)
+
+
 def bitmap(tokens: np.ndarray) -> np.ndarray:
     """WORDS words with a bit for each token's hash. Two sets differ in at least as many tokens as their bitmaps in bits."""
     bits = np.zeros(64 * WORDS, bool)
@@ -179,18 +191,19 @@ def orders_meet(a: bytes, b: bytes) -> bool:
 
 
 def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits."""
+    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, keys."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size, percent))
 
     def run(batches):
         token, n = sent.value
         for batch in steps(batches, "text"):
-            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": [], "bits": []}
+            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": [], "bits": [], "keys": []}
             for found in shingle_sets(batch.column("text").to_pylist(), size):
                 rows["n"].append(len(found))
                 rows["sig"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 rows["orders"].append(order_prefixes(found, percent) if len(found) else None)
                 rows["bits"].append(bitmap(found) if len(found) else None)
+                rows["keys"].append(keys_of(found) if len(found) else None)
                 first = found[:0]
                 if len(found):
                     count = np.zeros(len(found), np.int64)
@@ -201,7 +214,7 @@ def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 rows["prefix"].append(first.view(np.int64))
             yield to_batch(rows, SETS)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary, bits array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary, bits array<long>, keys array<long>")
 
 
 def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -291,6 +304,13 @@ def _to_leader(led: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _to_key_leader(classes: DataFrame) -> DataFrame:
+    """b, a: each document with the first one of those that it shares a key with."""
+    keyed = classes.select("doc", F.explode("keys").alias("key"))
+    leaders = keyed.groupBy("key").agg(F.min("doc").alias("leader"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    return keyed.join(leaders, "key").where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+
+
 def _apart(postings: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
     """`postings` (token, doc, n, pos) of tokens that documents of different components share, with the component."""
     known = components(links, work)
@@ -313,7 +333,7 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = work.keep(signed_sets(docs, size, percent), "signed")
     classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits")],
+        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits", "keys")],
     )
     classes = work.keep(classes, "classes")
     members = work.keep(signed.select("doc_id", "n", "sig"), "members")
@@ -328,9 +348,11 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     shared = postings.join(leaders.where("m > 1").select("token", "lead"), "token")
     shared = work.keep(shared.select("token", "doc", "n", "pos", "lead.*").toDF("token", "doc", "n", "pos", "lead_pos", "leader", "lead_n"), "postings")
     slim = work.keep(classes.select("sig", "doc", "n", "orders", "bits"), "documents")
+    first = work.keep(_to_leader(shared, percent).unionByName(_to_key_leader(classes)).distinct(), "first-pairs")
     work.drop(classes)
 
-    links = verified(_to_leader(shared, percent), slim, docs, several, work, size, percent)
+    links = verified(first, slim, docs, several, work, size, percent)
+    work.drop(first)
     apart = _apart(shared.select("token", "doc", "n", "pos"), links, work)
     work.drop(shared)
 

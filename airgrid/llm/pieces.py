@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: Pieces and their characters that are remembered at most, and pieces learnt at a time.
-REMEMBERED, REMEMBERED_CHARS, LEARNT = 300_000, 4_000_000, 4096
+REMEMBERED, REMEMBERED_CHARS, LEARNT = 500_000, 6_000_000, 4096
 #: Characters that a long text is cut after, and that are encoded together, about.
 PART, TOGETHER = 1 << 18, 1 << 20
 #: A single blank between letters or digits: both kinds of tokenizer begin a piece there, whatever stands around it.
