@@ -242,7 +242,8 @@ def _level(state: DataFrame, settings: BoostingSettings, splits: dict, active: l
                 places = (node[:, None] * (width * bins) + cells[mine]).ravel()
                 least = (1 << len(splits[segment][r])) * width * bins
                 gradient = np.repeat((labels - predicted[r])[mine], width)
-                found = np.stack([np.bincount(places, gradient, least), np.bincount(places, minlength=least)])
+                # Of no rows, as in a chunk within the fold left out, numpy makes whole numbers.
+                found = np.stack([np.bincount(places, gradient, least), np.bincount(places, minlength=least)]).astype(np.float64)
                 if (segment, r) in held:
                     held[segment, r] += found
                 else:

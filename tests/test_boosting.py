@@ -142,6 +142,18 @@ def test_many_tasks_and_shares_change_nothing(spark, work, monkeypatch):
     assert found[0][0] == found[1][0] and found[0][1] == pytest.approx(found[1][1])
 
 
+def test_chunks_within_one_fold_change_nothing(spark, work):
+    """A large segment has whole chunks in the fold that a replica leaves out."""
+    train, settings, found = spark.createDataFrame(learnable_rows(["a", "b"], n=90), LAYOUT).coalesce(1), boosting.BoostingSettings(iterations=[1, 2], depths=[1, 2]), []
+    for rows in ("10000", "7"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+        fitted = boosting.fit_boosted(train, [("a", "weekdays"), ("b", "weekdays")], work, settings)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert fitted.errors.count() == 0
+        found.append({(r.cnlname, r.iterations, r.depth): r.r2 for r in fitted.grid.collect()})
+    assert len(found[0]) == 8 and found[0] == pytest.approx(found[1])
+
+
 def test_an_unusable_segment_does_not_stop_the_others(spark, work):
     rows = learnable_rows(["good", "huge", "null", "nan"], n=30)
     spoiled = {"huge": (10, 1e200), "null": (3, None), "nan": (10, math.nan)}
