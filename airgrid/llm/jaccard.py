@@ -9,7 +9,7 @@ stand last, what a token's documents make of pairs stays within a fixed multiple
 Large groups are not expanded into their pairs. Documents with equal sets are one class, and only its smallest id goes
 on. Of the documents that share a prefix token, each is first compared with a leader, and so are those that share one of a
 few keys made of smallest hashes, which similar sets do most of the time; what these links connect is then one component, and the full search runs between documents of different components only. There a bitmap of each set
-passes over pairs that differ too much, before they are pairs.
+passes over pairs that differ too much, before they are pairs; a wider one of each long set does so before texts are gathered.
 """
 
 import hashlib
@@ -150,7 +150,7 @@ def frequent_tokens(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarra
 
 SETS = pa.schema([
     ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary()),
-    ("bits", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())),
+    ("bits", pa.list_(pa.int64())), ("wide", pa.binary()), ("keys", pa.list_(pa.int64())),
 ])
 
 
@@ -164,11 +164,27 @@ def keys_of(tokens: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """WORDS words with a bit for each token's hash. Two sets differ in at least as many tokens as their bitmaps in bits."""
-    bits = np.zeros(64 * WORDS, bool)
-    bits[(tokens >> np.uint64(32)) % np.uint64(64 * WORDS)] = True
-    return np.packbits(bits, bitorder="little").view(np.int64)
+def bitmap(tokens: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """`words` words, a power of two, with a bit for each hash: whether an odd number of tokens has it. Each token that only
+    one of two sets has turns one bit, so the sets differ in at least as many tokens as their bitmaps in bits."""
+    counts = np.bincount(((tokens >> np.uint64(32)) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words)
+    return np.packbits(counts & 1 == 1, bitorder="little").view(np.int64)
+
+
+def wide_bitmap(tokens: np.ndarray) -> bytes | None:
+    """A bitmap of a bit for each token and more, for sets that turn most bits of WORDS words."""
+    words = 1 << max(0, math.ceil(len(tokens) / 64) - 1).bit_length()
+    return bitmap(tokens, words).tobytes() if words > WORDS else None
+
+
+def wide_apart(a: bytes | None, b: bytes | None) -> int:
+    """In how many bits wide bitmaps differ, the wider one folded; 0 without one."""
+    if a is None or b is None:
+        return 0
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    least = min(len(x), len(y))
+    x, y = (np.bitwise_xor.reduce(z.reshape(-1, least), 0) for z in (x, y))
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _differ_little(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -191,18 +207,19 @@ def orders_meet(a: bytes, b: bytes) -> bool:
 
 
 def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, keys."""
+    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, wide, keys."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size, percent))
 
     def run(batches):
         token, n = sent.value
         for batch in steps(batches, "text"):
-            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": [], "bits": [], "keys": []}
+            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": [], "bits": [], "wide": [], "keys": []}
             for found in shingle_sets(batch.column("text").to_pylist(), size):
                 rows["n"].append(len(found))
                 rows["sig"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 rows["orders"].append(order_prefixes(found, percent) if len(found) else None)
                 rows["bits"].append(bitmap(found) if len(found) else None)
+                rows["wide"].append(wide_bitmap(found))
                 rows["keys"].append(keys_of(found) if len(found) else None)
                 first = found[:0]
                 if len(found):
@@ -214,7 +231,7 @@ def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 rows["prefix"].append(first.view(np.int64))
             yield to_batch(rows, SETS)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary, bits array<long>, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary, bits array<long>, wide binary, keys array<long>")
 
 
 def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -225,6 +242,13 @@ def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
     return (100 * most >= percent * (a["n"] + b["n"] - most)) & (100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"]))
 
 
+def _near_first(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """The same for the first prefix token that two sets share, at which every similar pair passes: no token before it is
+    shared, so the shorter tail bounds the overlap."""
+    most = F.least(a["n"] - a["pos"], b["n"] - b["pos"])
+    return (100 * most >= percent * (a["n"] + b["n"] - most)) & (100 * F.least(a["n"], b["n"]) >= percent * F.greatest(a["n"], b["n"]))
+
+
 def _meeting(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Those of `pairs` (a, b) whose bitmaps differ little and whose prefixes meet under all further orders, with n, the size
     of b's set."""
@@ -233,14 +257,16 @@ def _meeting(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 1024):
                 part = batch.slice(begin, 1024)
-                both = zip(part.column("va").to_pylist(), part.column("vb").to_pylist(), strict=True)
-                met = pa.array([orders_meet(x, y) for x, y in both], pa.bool_())
+                both = zip(*(part.column(c).to_pylist() for c in ("na", "n", "wa", "wb", "va", "vb")), strict=True)
+                met = pa.array([
+                    wide_apart(wa, wb) * (100 + percent) <= (na + nb) * (100 - percent) and orders_meet(va, vb) for na, nb, wa, wb, va, vb in both
+                ], pa.bool_())
                 yield part.select(["a", "b", "n"]).filter(met)
 
-    left = classes.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("orders").alias("va"), F.col("bits").alias("ba"))
-    right = classes.select(F.col("doc").alias("b"), "n", F.col("orders").alias("vb"), F.col("bits").alias("bb"))
+    left = classes.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("orders").alias("va"), F.col("bits").alias("ba"), F.col("wide").alias("wa"))
+    right = classes.select(F.col("doc").alias("b"), "n", F.col("orders").alias("vb"), F.col("bits").alias("bb"), F.col("wide").alias("wb"))
     near = _differ_little({"n": F.col("na"), "bits": F.col("ba")}, {"n": F.col("n"), "bits": F.col("bb")}, percent)
-    found = pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "n", "va", "vb").mapInArrow(run, "a long, b long, n long")
+    found = pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "na", "n", "wa", "wb", "va", "vb").mapInArrow(run, "a long, b long, n long")
     return found.groupBy("a", "b").agg(F.max("n").alias("n"))
 
 
@@ -311,17 +337,27 @@ def _to_key_leader(classes: DataFrame) -> DataFrame:
     return keyed.join(leaders, "key").where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
 
 
-def _apart(postings: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
-    """`postings` (token, doc, n, pos) of tokens that documents of different components share, with the component."""
-    known = components(links, work)
+def _apart(postings: DataFrame, known: DataFrame, work: Workspace) -> DataFrame:
+    """`postings` (token, doc, n, pos) of tokens that documents of different components (`known`) share, with the component."""
     placed = postings.join(known.withColumnRenamed("node", "doc"), "doc", "left")
     placed = work.keep(placed.withColumn("component", F.coalesce("component", "doc")), "placed")
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     apart = work.keep(placed.join(mixed, "token", "left_semi"), "apart")
-    work.drop(known, placed)
+    work.drop(placed)
     return apart
 
 
+def _joined(known: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
+    """Components (node, component) when `links` (a, b) are added to those `known`: only components that they connect are
+    worked on again."""
+    at = lambda side: known.select(F.col("node").alias(side), F.col("component").alias(f"{side}_in"))
+    between = links.join(at("a"), "a", "left").join(at("b"), "b", "left")
+    again = components(between.select(F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b")), work)
+    moved = again.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    before = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return before.unionByName(again.join(known.select("node"), "node", "left_anti"))
+
+
 def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int = 85) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, n_shingles, sig, component_id.
 
@@ -333,7 +369,7 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = work.keep(signed_sets(docs, size, percent), "signed")
     classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits", "keys")],
+        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits", "wide", "keys")],
     )
     classes = work.keep(classes, "classes")
     members = work.keep(signed.select("doc_id", "n", "sig"), "members")
@@ -347,23 +383,26 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     leaders = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("pos", "doc", "n")).alias("lead"))
     shared = postings.join(leaders.where("m > 1").select("token", "lead"), "token")
     shared = work.keep(shared.select("token", "doc", "n", "pos", "lead.*").toDF("token", "doc", "n", "pos", "lead_pos", "leader", "lead_n"), "postings")
-    slim = work.keep(classes.select("sig", "doc", "n", "orders", "bits"), "documents")
+    slim = work.keep(classes.select("sig", "doc", "n", "orders", "bits", "wide"), "documents")
     first = work.keep(_to_leader(shared, percent).unionByName(_to_key_leader(classes)).distinct(), "first-pairs")
     work.drop(classes)
 
     links = verified(first, slim, docs, several, work, size, percent)
     work.drop(first)
-    apart = _apart(shared.select("token", "doc", "n", "pos"), links, work)
-    work.drop(shared)
+    known = components(links, work)
+    apart = _apart(shared.select("token", "doc", "n", "pos"), known, work)
+    work.drop(shared, links)
 
-    # A document of several texts has no one bitmap: it is told apart later.
-    single = slim.select("doc", "bits").join(several.withColumnRenamed("doc_id", "doc"), "doc", "left_anti")
+    # A document of several texts has no one bitmap, and in one of a long text any two sets differ in half of the bits, which
+    # is allowed: they are told apart later.
+    telling = 2 * F.col("n") * (100 - percent) < 38 * WORDS * (100 + percent)
+    single = slim.where(telling).select("doc", "bits").join(several.withColumnRenamed("doc_id", "doc"), "doc", "left_anti")
     marked = apart.join(single, "doc", "left")
     x, y = marked.alias("x"), marked.alias("y")
     left, right = ({c: F.col(f"{s}.{c}") for c in ("n", "pos", "bits")} for s in "xy")
     across = (
         x.join(y, F.col("x.token") == F.col("y.token"))
-        .where((F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component")) & _near(left, right, percent))
+        .where((F.col("x.doc") < F.col("y.doc")) & (F.col("x.component") != F.col("y.component")) & _near_first(left, right, percent))
         .where(F.coalesce(_differ_little(left, right, percent), F.lit(True)))
         .select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
     )
@@ -374,8 +413,8 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     named = known_ids.select("doc_id", "sig").join(several, "doc_id", "left_semi").join(slim.select("sig", "doc"), "sig")
     twice = named.groupBy("doc_id").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi")
     same = named.join(twice, "doc_id").where("doc <> lo").select(F.col("lo").alias("a"), F.col("doc").alias("b"))
-    known = components(links.unionByName(more).unionByName(same), work)
-    work.drop(links, across, more)
+    known, before = work.keep(_joined(known, more.unionByName(same), work), "components"), known
+    work.drop(across, more, before)
 
     found = members.join(slim.select("sig", "doc"), "sig", "left")
     found = found.join(known.withColumnRenamed("node", "doc"), "doc", "left")

@@ -248,6 +248,59 @@ def test_bitmaps_pass_over_no_similar_pair():
                 assert differ * 185 > (len(x) + len(y)) * 15  # and does pass over others
 
 
+def test_wide_bitmaps_pass_over_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for n, share in ((1000, 0.0), (1100, 0.1), (2040, 0.05), (3000, 0.1), (3000, 0.7), (9000, 0.05)):
+        x = rng.integers(0, 2**63, n).astype(np.uint64)
+        y = np.unique(np.concatenate([x[int(share * n) :], rng.integers(0, 2**63, n // 20).astype(np.uint64)]))
+        x, both = np.unique(x), len(np.intersect1d(x, y))
+        differ = jaccard.wide_apart(jaccard.wide_bitmap(x), jaccard.wide_bitmap(y))
+        assert differ <= len(x) + len(y) - 2 * both
+        assert (differ == 0) == (n == 1000)
+        if share == 0.7:
+            assert differ * 180 > (len(x) + len(y)) * 20  # and does pass over others
+
+
+def test_similar_sets_pass_at_the_first_token_they_share(spark):
+    rng, rows = np.random.default_rng(6), []
+    for _ in range(300):
+        x = rng.permutation(2000)[: rng.integers(1, 80)]
+        y = np.union1d(x[: max(1, int(len(x) * rng.choice([0.5, 0.9, 0.95, 1])))], rng.integers(0, 2000, rng.integers(0, 4)))
+        x, shared = np.sort(x), np.intersect1d(x, y)
+        if 100 * len(shared) >= 80 * (len(x) + len(y) - len(shared)):
+            rows.append((len(x), int(np.flatnonzero(x == shared[0])[0]), len(y), int(np.flatnonzero(y == shared[0])[0])))
+    found = spark.createDataFrame(rows, "xn int, xpos int, yn int, ypos int")
+    side = lambda k: {"n": F.col(f"{k}n"), "pos": F.col(f"{k}pos")}
+    assert len(rows) > 100 and found.where(jaccard._near_first(side("x"), side("y"), 80)).count() == len(rows)
+
+
+def test_long_documents_with_a_passage_in_common_are_not_gathered(spark, work, monkeypatch):
+    """A quarter of their shingles is shared, so that their prefixes meet under any order; only the two near copies link."""
+    passage = " ".join(f"p{k}" for k in range(750))
+    texts = [(i, passage + " " + " ".join(f"d{i}w{k}" for k in range(2250))) for i in range(3)] + [(8, passage + " " + " ".join(f"d0w{k}" for k in range(2200)))]
+    seen, meeting = [], jaccard._meeting
+
+    def counted(pairs, classes, percent):
+        found = meeting(pairs, classes, percent)
+        seen.extend((r.a, r.b) for r in found.collect())
+        return found
+
+    monkeypatch.setattr(jaccard, "_meeting", counted)
+    got = jaccard.link_documents(spark.createDataFrame(texts, "doc_id long, text string"), work, 5, 80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {0: 0, 1: 1, 2: 2, 8: 0}
+    assert set(seen) <= {(0, 8), (8, 0)}
+
+
+def test_links_added_to_known_components(spark, work):
+    known = components(spark.createDataFrame([(1, 2), (2, 3), (7, 8), (10, 11)], "a long, b long"), work)
+    more = spark.createDataFrame([(3, 8), (20, 21), (11, 5), (9, 21)], "a long, b long")
+    got = {r.node: r.component for r in jaccard._joined(known, more, work).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 7: 1, 8: 1, 5: 5, 10: 5, 11: 5, 9: 9, 20: 9, 21: 9}
+    none = spark.createDataFrame([], "a long, b long")
+    assert {r.node for r in jaccard._joined(known, none, work).collect()} == {1, 2, 3, 7, 8, 10, 11}
+    assert jaccard._joined(components(none, work), more.limit(1), work).count() == 2
+
+
 def test_one_of_each_group_stays(spark, work):
     docs = documents(spark)
     got = jaccard.keep_one(docs, work)
