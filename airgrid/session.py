@@ -42,8 +42,9 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-#: Spark removes a query's shuffle files when it ends, instead of when the driver happens to collect garbage.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a stage is written, Spark removes its shuffle files when it ends, instead of when the driver happens to collect
+#: garbage, and hands rows of long texts to Python in batches of bounded bytes.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 class Workspace:
@@ -69,25 +70,27 @@ class Workspace:
         With `partition_by`, rows are first rebalanced on those columns: one value's rows end up in
         few files, and a value holding a large share of the rows is split over several tasks.
         """
-        with self._shuffles_removed():
+        with self._while_writing():
             return self._keep_at(self.path(name), df, partition_by)
 
     def keep_all(self, stages: dict[str, DataFrame]) -> list[DataFrame]:
         """Write stages that do not depend on each other side by side, so one's tail leaves no idle cores."""
         paths = [self.path(name) for name in stages]
         write = inheritable_thread_target(self.spark)(lambda stage: self._keep_at(*stage))
-        with ThreadPool(len(stages)) as pool, self._shuffles_removed():
+        with ThreadPool(len(stages)) as pool, self._while_writing():
             return pool.map(write, zip(paths, stages.values()), chunksize=1)
 
     @contextmanager
-    def _shuffles_removed(self):
+    def _while_writing(self):
         """While a stage is written: nobody reads its shuffle files again, as all go on from the written stage."""
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
+        before = {key: self.spark.conf.get(key, None) for key in _WRITING}
+        for key, value in _WRITING.items():
+            self.spark.conf.set(key, value)
         try:
             yield
         finally:
-            self.spark.conf.unset(_CLEANUP) if before is None else self.spark.conf.set(_CLEANUP, before)
+            for key, value in before.items():
+                self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
 
     def _keep_at(self, path: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         if partition_by:

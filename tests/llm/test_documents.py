@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import psutil
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -301,6 +302,16 @@ def test_links_added_to_known_components(spark, work):
     assert jaccard._joined(components(none, work), more.limit(1), work).count() == 2
 
 
+def test_stages_hand_long_texts_over_in_small_batches(spark, work):
+    def run(batches):
+        yield pa.RecordBatch.from_pydict({"most": [max((b.nbytes for b in batches), default=0)]})
+
+    texts = spark.range(0, 400, 1, 2).select(F.repeat(F.lit("word "), 20_000).alias("text"))  # 40 MB
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert work.keep(texts.mapInArrow(run, "most long"), "most").agg(F.max("most")).first()[0] < 6 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
 def test_one_of_each_group_stays(spark, work):
     docs = documents(spark)
     got = jaccard.keep_one(docs, work)
