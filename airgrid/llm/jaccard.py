@@ -206,9 +206,11 @@ def orders_meet(a: bytes, b: bytes) -> bool:
     return all(np.isin(x[k], y[k]).any() for k in range(ORDERS))
 
 
-def signed_sets(docs: DataFrame, size: int, percent: int) -> DataFrame:
+def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int) -> DataFrame:
     """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, wide, keys."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent_tokens(docs, size, percent))
+    with work.running():
+        frequent = frequent_tokens(docs, size, percent)
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         token, n = sent.value
@@ -367,7 +369,7 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     null component_id.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = work.keep(signed_sets(docs, size, percent), "signed")
+    signed = work.keep(signed_sets(docs, work, size, percent), "signed")
     classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
         F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits", "wide", "keys")],
     )

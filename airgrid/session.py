@@ -44,7 +44,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 #: While a stage is written, Spark removes its shuffle files when it ends, instead of when the driver happens to collect
 #: garbage, and hands rows of long texts to Python in batches of bounded bytes.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", _BATCH_BYTES: "4m"}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python in batches of the bytes that stages are written with, unless it has a
+    limit of its own. For jobs that return frames unwritten: their batches are made when the caller runs them."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, _WRITING[_BATCH_BYTES])
 
 
 class Workspace:
@@ -70,19 +78,20 @@ class Workspace:
         With `partition_by`, rows are first rebalanced on those columns: one value's rows end up in
         few files, and a value holding a large share of the rows is split over several tasks.
         """
-        with self._while_writing():
+        with self.running():
             return self._keep_at(self.path(name), df, partition_by)
 
     def keep_all(self, stages: dict[str, DataFrame]) -> list[DataFrame]:
         """Write stages that do not depend on each other side by side, so one's tail leaves no idle cores."""
         paths = [self.path(name) for name in stages]
         write = inheritable_thread_target(self.spark)(lambda stage: self._keep_at(*stage))
-        with ThreadPool(len(stages)) as pool, self._while_writing():
+        with ThreadPool(len(stages)) as pool, self.running():
             return pool.map(write, zip(paths, stages.values()), chunksize=1)
 
     @contextmanager
-    def _while_writing(self):
-        """While a stage is written: nobody reads its shuffle files again, as all go on from the written stage."""
+    def running(self):
+        """While a stage is written, or a result is brought to the driver: nobody reads its shuffle files again, as all go on
+        from what it made."""
         before = {key: self.spark.conf.get(key, None) for key in _WRITING}
         for key, value in _WRITING.items():
             self.spark.conf.set(key, value)

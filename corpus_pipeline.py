@@ -5,21 +5,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airgrid.llm import jaccard, language, mixing, packing, quality
 from airgrid.llm.common import read_table
-from airgrid.session import Workspace
+from airgrid.session import Workspace, bound_batches
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or whose language is not clear, go."""
+    bound_batches(spark)
     return language.keep_identified(docs, language.fit(docs))
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier holds to be bad go."""
+    bound_batches(spark)
     return quality.keep_good(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of 0.8 or more over five-word shingles connect, the one with the smallest id stays."""
+    bound_batches(spark)
     return jaccard.keep_one(docs, Workspace(spark), size=5, percent=80)
 
 

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.accumulators import AccumulatorParam
+
 import corpus_pipeline
 from airgrid.llm import language, mixing, quality
 
@@ -50,3 +52,36 @@ def test_each_stage_on_its_predecessors_rows(spark, work, tmp_path, monkeypatch)
     for r in mixed.collect():
         want[r["doc_id"]] += n_words(r["text"])
     assert +words == +want
+
+
+class Most(AccumulatorParam):
+    def zero(self, value):
+        return value
+
+    def addInPlace(self, a, b):
+        return max(a, b)
+
+
+def test_stages_read_texts_in_small_batches(spark, tmp_path, monkeypatch):
+    """Whatever runs a stage's frame: the limit must hold when the caller writes it, not only while a stage of ours is written."""
+    monkeypatch.setattr(language, "TRAIN_STEPS", 5)
+    key, most = "spark.sql.execution.arrow.maxBytesPerBatch", spark.sparkContext.accumulator(0, Most())
+    steps = language.steps
+
+    def seen(batches, *args):
+        for batch in batches:
+            most.add(batch.nbytes)
+            yield from steps([batch], *args)
+
+    monkeypatch.setattr(language, "steps", seen)
+    docs = spark.range(40, numPartitions=1).selectExpr("id as doc_id", "repeat('tree ', 100000) as text", "'en' as lang")
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        found = dict(corpus_pipeline.STAGES)["language"](spark, docs, str(tmp_path))
+        assert found.count() == 40 and 0 < most.value < 6_000_000
+        spark.conf.set(key, "1m")
+        dict(corpus_pipeline.STAGES)["language"](spark, docs, str(tmp_path))
+        assert spark.conf.get(key) == "1m"  # a limit of the session's own stays
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
