@@ -10,6 +10,7 @@ a few thousand at a time, and an encoder that remembers too many pieces or chara
 """
 
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,33 @@ PIECES = {
 }
 
 
+_CHARS = [chr(i) for i in range(256)]
+_BLANK, _MARK = 0, 3
+#: Of each character below U+0100, its lower-case one and its kind: white space, letter, number, or any other mark.
+_LOWER = np.frombuffer("".join(pc.utf8_lower(pa.array(_CHARS)).to_pylist()).encode("latin-1"), np.uint8)
+_KIND = np.array([next((k for k, x in enumerate((_SPACE, _LETTER, _NUMBER)) if re.match(f"[{x}]", c)), _MARK) for c in _CHARS], np.uint8)
+
+
+def word_begins(raw: np.ndarray) -> np.ndarray:
+    """Where pieces of the "word" kind begin in lower-case characters below U+0100: what PIECES["word"] finds, for all at
+    once. A piece goes on while its kind does, but each number stands alone, and 's and its like end where they end."""
+    kind = _KIND[raw]
+    before = np.concatenate([np.zeros(1, np.uint8), kind[:-1]])
+    begins = ((kind != before) | (kind == _KIND[ord("0")])) & (kind != _BLANK)
+    quotes = np.flatnonzero((raw == ord("'")) & (before != _MARK))  # a quote within a run of marks is one of them
+    if len(quotes):
+        padded = np.concatenate([raw, np.full(3, ord(" "), np.uint8)])
+        first, second = padded[quotes + 1], padded[quotes + 2]
+        short = np.isin(first, np.frombuffer(b"stmd", np.uint8))
+        both = first.astype(np.int32) << 8 | second
+        long = np.isin(both, [int.from_bytes(x, "big") for x in (b"re", b"ve", b"ll")])
+        begins[quotes[short | long] + 1] = False
+        ends = np.concatenate([quotes[short] + 2, quotes[long] + 3])
+        ends = ends[ends < len(raw)]
+        begins[ends] = _KIND[raw[ends]] != _BLANK
+    return begins
+
+
 def parts(text: str):
     """(begin, part) of `text` in parts of about PART characters that can be encoded one by one."""
     at = 0
@@ -91,7 +119,7 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[str | bytes, int] = {}
         self.chars = 0
         self.first = Column(np.int64, 0)  # where each known piece's tokens begin
         self.ids = Column(np.uint32)
@@ -105,9 +133,10 @@ class PieceEncoder:
             return True
         return any(s in text for s in self.specials)
 
-    def _ids_of_words(self, pieces: list[str]) -> tuple[np.ndarray, ...]:
+    def _ids_of_words(self, pieces: list[bytes]) -> tuple[np.ndarray, ...]:
         """Ids alone: one text of all pieces is encoded, and a token that closes a word ends its piece."""
-        ids = np.array(self.tokenizer.encode(" ".join(pieces), add_special_tokens=False).ids, np.uint32)
+        text = b" ".join(pieces).decode("latin-1")
+        ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(pieces):
             raise ValueError("the tokenizer doesn't close each piece with its end-of-word mark")
@@ -121,7 +150,7 @@ class PieceEncoder:
             offsets[:, 0], offsets[:, 1], np.array([len(p) for p in pieces], np.int32),
         )
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list) -> None:
         columns = [self.ids] if self.lower else [self.ids, self.begins, self.ends, self.lengths]
         for begin in range(0, len(pieces), LEARNT):
             some = pieces[begin : begin + LEARNT]
@@ -132,12 +161,13 @@ class PieceEncoder:
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces)), strict=True))
         self.chars += sum(map(len, pieces))
 
-    def _remember(self, new: list[str], needed: list[str]) -> None:
-        """Learn `new`, or all that is `needed` now where too much is remembered already."""
-        if len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+    def _remember(self, new: list, needed: list) -> bool:
+        """Learn `new`, or all that is `needed` now where too much is remembered already; whether it was the latter."""
+        full = len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS
+        if full:
             self._forget()
-            new = needed
-        self._learn(new)
+        self._learn(needed if full else new)
+        return full
 
     def _numbers(self, texts: list[str]) -> list[np.ndarray]:
         """Per text, the numbers of its pieces, which hold until the next call."""
@@ -151,23 +181,30 @@ class PieceEncoder:
         return [np.fromiter(map(get, pieces), np.int64, len(pieces)) for pieces in found]
 
     def _word_numbers(self, texts: list[str]) -> list[np.ndarray]:
-        """The same by column functions: a line break after each piece, white space dropped, then split."""
+        """The same by column operations: white space dropped, what is left cut into pieces, known here by their bytes."""
         if not texts:
             return []
-        lowered = pc.utf8_lower(pa.array(texts, pa.large_string()))
-        lines = pc.split_pattern(pc.replace_substring_regex(lowered, f"[{_SPACE}]*({PIECES['word']})[{_SPACE}]*", "\\1\n"), "\n")
-        lengths = pc.list_value_length(lines).to_numpy(zero_copy_only=False) - 1  # the last is "", after the last piece
-        coded = lines.flatten().dictionary_encode()
-        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
-        numbers = list(map(self.known.get, pieces))
-        new = [p for p, n in zip(pieces, numbers, strict=True) if n is None and p]
-        if new:
-            self._remember(new, [p for p in pieces if p])
-            numbers = list(map(self.known.get, pieces))
-        keep = np.ones(len(codes), bool)
-        keep[np.cumsum(lengths + 1) - 1] = False
-        number = np.array([n if n is not None else -1 for n in numbers], np.int64)
-        return np.split(number[codes[keep]], np.cumsum(lengths)[:-1])
+        raw = _LOWER[np.frombuffer("\n".join(texts).encode("latin-1"), np.uint8)]
+        begins = word_begins(raw)
+        inside = _KIND[raw] != _BLANK
+        edges = np.append(np.flatnonzero(begins[inside]), np.count_nonzero(inside))
+        buffers = [None, pa.py_buffer(edges), pa.py_buffer(raw[inside])]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, buffers).dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = self._known_numbers(pieces)
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            new = [pieces[i] for i in missing.tolist()]
+            if self._remember(new, pieces):
+                number = self._known_numbers(pieces)
+            else:
+                number[missing] = self._known_numbers(new)
+        firsts = np.cumsum([len(t) + 1 for t in texts[:-1]], dtype=np.int64)  # of the second text and on
+        return np.split(number[coded.indices.to_numpy(zero_copy_only=False)], np.searchsorted(np.flatnonzero(begins), firsts))
+
+    def _known_numbers(self, pieces: list) -> np.ndarray:
+        """Each piece's number, -1 for those that are not known."""
+        return np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
 
     def _tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of pieces in a row: which remembered token each token is, and each piece's token count."""

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from airgrid.llm import attribution, jaccard, language, mixing, packing, planes, quality, queries
 from airgrid.llm.common import held_out
 from airgrid.llm.components import components
-from airgrid.llm.pieces import PieceEncoder, parts
+from airgrid.llm.pieces import _KIND, _LOWER, PIECES, PieceEncoder, parts, word_begins
 from airgrid.session import Workspace
 
 from .data import documents, prose, rows
@@ -48,6 +48,19 @@ def test_spans_are_those_of_the_whole_text():
         assert [tuple(x) for x in spans.tolist()] == whole.encode(text, add_special_tokens=False).offsets
 
 
+def test_word_pieces_in_column_operations_are_those_of_the_pattern():
+    """Every character below U+0100, and quotes, endings, marks, numbers and white space beside each other."""
+    rng, find = random.Random(3), re.compile(PIECES["word"]).findall
+    for k in range(4000):
+        alphabet = "'''stmdrevlabAS0 -\n\x1c\x00" if k % 2 else "".join(map(chr, range(256)))
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randint(1, 14)))
+        raw = _LOWER[np.frombuffer(text.encode("latin-1"), np.uint8)]
+        inside = _KIND[raw] != 0
+        edges = [*np.flatnonzero(word_begins(raw)[inside]).tolist(), int(inside.sum())]
+        data = raw[inside].tobytes().decode("latin-1")
+        assert [data[a:b] for a, b in zip(edges, edges[1:])] == find(text.lower()), text
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr("airgrid.llm.pieces.REMEMBERED", 5)
     for kind, path in (("word", WORD_BPE), ("byte", BYTE_BPE)):
