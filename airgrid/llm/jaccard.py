@@ -95,8 +95,17 @@ def _pieces(data: bytes):
         at = end
 
 
-def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
-    """The set of each text's word shingles as sorted 64-bit hashes. A to Z are lower-cased; fewer words are one shingle."""
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """The distinct `hashes`, sorted. (A plain sort; np.unique builds a hash table first, which takes longer for a text.)"""
+    hashes = np.sort(hashes)
+    new = np.ones(len(hashes), bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    return hashes[new]
+
+
+def shingle_sets(texts: list[str | None], size: int, n_words: list[int] | None = None) -> list[np.ndarray]:
+    """The set of each text's word shingles as sorted 64-bit hashes. A to Z are lower-cased; fewer words are one shingle.
+    `n_words`, if given, gets each text's number of words."""
     encoded = [(t or "").encode("utf-8", "replace") for t in texts]
     data = b" ".join(encoded).lower()
     found = [(at + starts, hashes) for at, piece in _pieces(data) for starts, hashes in [word_hashes(piece)]]
@@ -111,7 +120,7 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     for end in last.tolist():
         n = end - begin
         if n >= size:
-            out.append(np.unique(rolled[begin : end - size + 1]))
+            out.append(_distinct(rolled[begin : end - size + 1]))
         elif n:
             whole = np.uint64(n)
             for w in words[begin:end]:
@@ -120,6 +129,8 @@ def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
         else:
             out.append(words[:0])
         begin = end
+        if n_words is not None:
+            n_words.append(n)
     return out
 
 
@@ -149,19 +160,25 @@ def frequent_tokens(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarra
 
 
 SETS = pa.schema([
-    ("doc_id", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary()),
+    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary()),
     ("bits", pa.list_(pa.int64())), ("wide", pa.binary()), ("keys", pa.list_(pa.int64())),
 ])
 
 
-def keys_of(tokens: np.ndarray) -> np.ndarray:
-    """KEYS numbers that sets share the likelier the more similar they are: each mixes the first tokens under SMALLEST
-    pseudo-random orders."""
-    first = np.array([_mixed(tokens, 100 + k).min() for k in range(KEYS * SMALLEST)]).reshape(KEYS, SMALLEST)
-    out = np.arange(KEYS, dtype=np.uint64)
-    for k in range(SMALLEST):
-        out = _mixed(out ^ first[:, k], 7)
-    return out.view(np.int64)
+def keys_of(sets: list[np.ndarray]) -> list[np.ndarray | None]:
+    """KEYS numbers of each set that sets share the likelier the more similar they are: each mixes the first tokens under
+    SMALLEST pseudo-random orders, those of products with odd numbers. None for an empty set."""
+    full = [x for x in sets if len(x)]
+    if not full:
+        return [None] * len(sets)
+    tokens, begins = np.concatenate(full), np.cumsum([0, *map(len, full[:-1])])
+    out = np.tile(np.arange(KEYS, dtype=np.uint64), (len(full), 1))
+    odd = _mixed(np.arange(100, 100 + KEYS * SMALLEST, dtype=np.uint64)) | np.uint64(1)
+    for k, factor in enumerate(odd):
+        first = np.minimum.reduceat(tokens * factor, begins)
+        out[:, k // SMALLEST] = _mixed(out[:, k // SMALLEST] ^ first, 7)
+    found = iter(out.view(np.int64))
+    return [next(found) if len(x) else None for x in sets]
 
 
 def bitmap(tokens: np.ndarray, words: int = WORDS) -> np.ndarray:
@@ -206,8 +223,9 @@ def orders_meet(a: bytes, b: bytes) -> bool:
     return all(np.isin(x[k], y[k]).any() for k in range(ORDERS))
 
 
-def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int) -> DataFrame:
-    """Per row: doc_id, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, wide, keys."""
+def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, n_words, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, wide, keys,
+    and the columns `carried`."""
     with work.running():
         frequent = frequent_tokens(docs, size, percent)
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
@@ -215,14 +233,15 @@ def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int) -> Da
     def run(batches):
         token, n = sent.value
         for batch in steps(batches, "text"):
-            rows = {"doc_id": batch.column("doc_id"), "n": [], "sig": [], "prefix": [], "orders": [], "bits": [], "wide": [], "keys": []}
-            for found in shingle_sets(batch.column("text").to_pylist(), size):
+            rows = {"doc_id": batch.column("doc_id"), "n_words": [], "n": [], "sig": [], "prefix": [], "orders": [], "bits": [], "wide": []}
+            sets = shingle_sets(batch.column("text").to_pylist(), size, rows["n_words"])
+            rows["keys"] = keys_of(sets)
+            for found in sets:
                 rows["n"].append(len(found))
                 rows["sig"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 rows["orders"].append(order_prefixes(found, percent) if len(found) else None)
                 rows["bits"].append(bitmap(found) if len(found) else None)
                 rows["wide"].append(wide_bitmap(found))
-                rows["keys"].append(keys_of(found) if len(found) else None)
                 first = found[:0]
                 if len(found):
                     count = np.zeros(len(found), np.int64)
@@ -231,9 +250,11 @@ def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int) -> Da
                         count = np.where(token[at] == found, n[at], 0)
                     first = found[np.argsort(count, kind="stable")[: n_prefix(len(found), percent)]]
                 rows["prefix"].append(first.view(np.int64))
-            yield to_batch(rows, SETS)
+            schema = pa.schema([*SETS, *map(batch.schema.field, carried)])
+            yield to_batch(rows | {c: batch.column(c) for c in carried}, schema)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig binary, prefix array<long>, orders binary, bits array<long>, wide binary, keys array<long>")
+    kinds = "doc_id long, n_words long, n long, sig binary, prefix array<long>, orders binary, bits array<long>, wide binary, keys array<long>"
+    return docs.mapInArrow(run, ", ".join([kinds, *(f"`{c}` {kind}" for c, kind in docs.select(*carried).dtypes)]))
 
 
 def _near(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
@@ -360,21 +381,22 @@ def _joined(known: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
     return before.unionByName(again.join(known.select("node"), "node", "left_anti"))
 
 
-def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int = 85) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, n_shingles, sig, component_id.
+def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int = 85, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of `docs` (doc_id, text): doc_id, n_words, n_shingles, sig, component_id, and its columns `carried`.
 
     Two documents link when 100 * intersection >= percent * union of their shingle sets. component_id is the smallest
     doc_id that links reach from the row. Texts without words link with nothing. Rows that share a doc_id are
     one document with several texts, so links of any of them connect it; rows without doc_id link with nothing and have a
     null component_id.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = work.keep(signed_sets(docs, work, size, percent), "signed")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    docs = rows.select("doc_id", "text")
+    signed = work.keep(signed_sets(rows, work, size, percent, carried), "signed")
     classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
         F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits", "wide", "keys")],
     )
     classes = work.keep(classes, "classes")
-    members = work.keep(signed.select("doc_id", "n", "sig"), "members")
+    members = work.keep(signed.select("doc_id", "n_words", "n", "sig", *carried), "members")
     work.drop(signed)  # the prefixes of copies
     known_ids = members.where("doc_id is not null and sig is not null")
     several = work.keep(known_ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
@@ -421,7 +443,7 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     found = members.join(slim.select("sig", "doc"), "sig", "left")
     found = found.join(known.withColumnRenamed("node", "doc"), "doc", "left")
     smallest = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc", "doc_id"))
-    found = work.keep(found.select("doc_id", F.col("n").alias("n_shingles"), "sig", smallest.alias("component_id")), "linked")
+    found = work.keep(found.select("doc_id", "n_words", F.col("n").alias("n_shingles"), "sig", smallest.alias("component_id"), *carried), "linked")
     work.drop(members, slim, several, known)
     return found
 

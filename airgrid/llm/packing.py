@@ -125,15 +125,15 @@ def pack(items: DataFrame, work: Workspace, capacity: int = CAPACITY, shard_piec
     return packed.select(*out).unionByName(alone.select(*out))
 
 
-def near_clusters(docs: DataFrame, work: Workspace) -> DataFrame:
-    """link_id, near: the component that links of 0.8 or more over five-word shingles give each document with words.
+def linked_items(docs: DataFrame, work: Workspace) -> DataFrame:
+    """Per row of `docs`: doc_id, size in words, source, and cluster: the component that links of 0.8 or more over five-word
+    shingles give a document with words. One reading of the texts makes sizes and sets.
 
     Letters are lower-cased first, as for `cluster_of`. A row without doc_id is a document by its text."""
-    rows = docs.select(link_id().alias("doc_id"), F.lower("text").alias("text"))
-    linked = jaccard.link_documents(rows, work, size=5, percent=80)
-    near = work.keep(linked.where("sig is not null").groupBy(F.col("doc_id").alias("link_id")).agg(F.min("component_id").alias("near")), "near")
-    work.drop(linked)
-    return near
+    rows = docs.select(link_id().alias("doc_id"), F.lower("text").alias("text"), F.col("doc_id").alias("row_id"), "source")
+    linked = jaccard.link_documents(rows, work, size=5, percent=80, carried=("row_id", "source"))
+    cluster = F.when(F.col("n_words") > 0, F.col("component_id").cast("string"))
+    return linked.select(F.col("row_id").alias("doc_id"), F.col("n_words").alias("size"), "source", cluster.alias("cluster"))
 
 
 def link_id() -> Column:
@@ -146,10 +146,7 @@ def pack_documents(
     """`pack` for rows of documents: size in words; near copies are a cluster, or with `near` false, for documents
     without near copies, only copies up to case and white space."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "source")
+    if near:
+        return pack(linked_items(docs, work), work, capacity, shard_pieces)
     size = n_words(F.col("text")).alias("size")
-    if not near:
-        return pack(docs.select("doc_id", size, "source", cluster_of(F.col("text")).alias("cluster")), work, capacity, shard_pieces)
-    clusters = near_clusters(docs, work)
-    items = work.keep(docs.select("doc_id", size, "source", link_id().alias("link_id")).join(clusters, "link_id", "left"), "items")
-    work.drop(clusters)
-    return pack(items.withColumn("cluster", F.when(F.col("size") > 0, F.col("near").cast("string"))), work, capacity, shard_pieces)
+    return pack(docs.select("doc_id", size, "source", cluster_of(F.col("text")).alias("cluster")), work, capacity, shard_pieces)

@@ -315,6 +315,28 @@ def test_links_added_to_known_components(spark, work):
     assert jaccard._joined(components(none, work), more.limit(1), work).count() == 2
 
 
+def test_keys_are_equal_for_equal_sets_and_mostly_for_similar_ones():
+    rng = np.random.default_rng(4)
+    sets = [np.sort(rng.integers(0, 2**63, 400).astype(np.uint64)) for _ in range(60)]
+    near = [np.sort(np.append(x[:-10], rng.integers(0, 2**63, 10).astype(np.uint64))) for x in sets]
+    one, same, other = jaccard.keys_of([*sets, sets[0][:0]]), jaccard.keys_of(sets), jaccard.keys_of(near)
+    assert one[-1] is None and all((a == b).all() and len(a) == jaccard.KEYS for a, b in zip(one, same))
+    assert sum((a == b).any() for a, b in zip(same, other)) >= 57 and len({k for x in same for k in x.tolist()}) == 60 * jaccard.KEYS
+
+
+def test_packing_reads_sizes_and_clusters_in_one_pass(spark, work, monkeypatch):
+    texts = [(i, None if i == 7 else prose(i % 9, 40), f"s{i % 3}") for i in range(30)] + [(None, prose(1, 40).upper(), None), (3, " \n", "s1"), (3, "x", "s1")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    found = packing.linked_items(docs, work).collect()
+    assert Counter((r["doc_id"], r["size"], r["source"]) for r in found) == Counter((d, n_words(t), s) for d, t, s in texts)
+    assert all((r["cluster"] is None) == (r["size"] == 0) for r in found)
+    cluster = {r["doc_id"]: r["cluster"] for r in found if r["size"] > 1}
+    assert cluster[None] == cluster[1] == cluster[10] == cluster[28] and len(set(cluster.values())) == 9
+    assert {r["cluster"] for r in found if r["doc_id"] == 3} == {None, cluster[3]}
+    monkeypatch.delattr(packing, "n_words")  # a reading of the texts of its own
+    assert sum(r["size"] for r in packing.pack_documents(docs, work).collect()) == sum(n_words(t) for _, t, _ in texts)
+
+
 def test_stages_hand_long_texts_over_in_small_batches(spark, work):
     def run(batches):
         yield pa.RecordBatch.from_pydict({"most": [max((b.nbytes for b in batches), default=0)]})
