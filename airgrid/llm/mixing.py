@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from airgrid.llm.common import fresh, n_words
+from airgrid.llm.common import BITMAP_WORDS, fresh, n_words
 from airgrid.session import Workspace
 
 FAN_IN = 64
@@ -165,19 +165,39 @@ def mix_report(docs: DataFrame, work: Workspace, **mix) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, work: Workspace, **mix) -> DataFrame:
-    """The mix itself: each row of `docs` as often as it was taken, with the columns of `docs`."""
-    name = fresh(docs, "size")
-    marked = docs.withColumn(name, n_words(F.col("text")))
-    sized = work.keep(marked.select(F.col("doc_id").cast("long"), "source", F.col(name).alias("size")), "sizes")
-    decided = copies(sized, work, **mix).where("copies > 0").select(
+    """The mix itself: each row of `docs` as often as it was taken, with the columns of `docs`.
+
+    Three bitmaps over hashed ids and sources tell which documents come never, once and twice. A row's own one has its
+    bit, so a row with a single bit is certain, and its text stays where it is; the others join the counts exactly."""
+    sized = work.keep(docs.select(F.col("doc_id").cast("long"), "source", n_words(F.col("text")).alias("size")), "sizes")
+    decided = copies(sized, work, **mix).select(
         F.col("doc_id").alias("k_doc"), F.col("source").alias("k_source"), F.col("size").alias("k_size"),
         F.col("copies").alias("k_copies"),
     )
     decided = work.keep(decided, "copies")
+    place = lambda doc, source: F.pmod(F.xxhash64(doc, source), F.lit(64 * BITMAP_WORDS))
+    held = decided.select(place(F.col("k_doc"), F.col("k_source")).alias("p"), "k_copies").selectExpr(
+        "p div 64 as b_word", "shiftleft(1L, cast(p % 64 as int)) as bit", "k_copies"
+    )
+    words = held.groupBy("b_word").agg(*[
+        F.bit_or(F.when((F.col("k_copies") == k) | (F.col("k_copies") > 2), F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"b_{k}")
+        for k in range(3)
+    ])
+    words = work.keep(words, "bitmaps")
+
+    at, bit, number, size, nth = (fresh(docs, x) for x in ("place", "bit", "copies", "size", "nth"))
+    marked = docs.withColumn(at, place(F.col("doc_id").cast("long"), F.col("source"))).withColumn(bit, F.expr(f"shiftleft(1L, cast({at} % 64 as int))"))
+    found = marked.join(F.broadcast(words), F.expr(f"{at} div 64") == words["b_word"])
+    may = [(words[f"b_{k}"].bitwiseAND(marked[bit]) != 0).cast("int") for k in range(3)]
+    certain = F.when(may[0] + may[1] + may[2] == 1, may[1] + 2 * may[2])
+    found = found.select(*[marked[c] for c in docs.columns], certain.alias(number))
+    sure = found.where(F.col(number) > 0).withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(number))))
+    asked = found.where(F.col(number).isNull()).withColumn(size, n_words(F.col("text")))
     same = (
-        marked["doc_id"].eqNullSafe(decided["k_doc"])
-        & marked["source"].eqNullSafe(decided["k_source"])
-        & (marked[name] == decided["k_size"])
+        asked["doc_id"].eqNullSafe(decided["k_doc"])
+        & asked["source"].eqNullSafe(decided["k_source"])
+        & (asked[size] == decided["k_size"])
+        & (decided["k_copies"] > 0)
     )
-    taken = marked.join(decided, same).withColumn(fresh(docs, "nth"), F.explode(F.sequence(F.lit(1), decided["k_copies"])))
-    return taken.select(*[marked[c] for c in docs.columns])
+    rest = asked.join(decided, same).withColumn(nth, F.explode(F.sequence(F.lit(1), decided["k_copies"])))
+    return sure.select(*docs.columns).unionByName(rest.select(*[asked[c] for c in docs.columns]))

@@ -434,6 +434,26 @@ def test_mix_repeats_rows_with_their_columns(spark, work):
     assert Counter(r["doc_id"] for r in mixed.collect()) == +want
 
 
+@pytest.mark.parametrize("words", [1, 4, 1 << 19])
+def test_mix_moves_only_texts_that_bitmaps_leave_open(spark, work, monkeypatch, words):
+    """Few bits make many rows uncertain, which the exact join settles; certain ones are not shuffled, however large the tables."""
+    monkeypatch.setattr(mixing, "BITMAP_WORDS", words)
+    texts = [(i if i % 13 else None, prose(i, 5 + i % 40), f"s{i % 4}" if i % 7 else None) for i in range(300)] + [(5, "a b", "s1")] * 3 + [(8, None, "s0")]
+    docs = work.keep(spark.createDataFrame(texts, "doc_id int, text string, source string"), "docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixed = mixing.mix_documents(docs, work)
+        got = Counter((r["doc_id"], r["source"], n_words(r["text"])) for r in mixed.collect())
+        assert "BroadcastHashJoin" in mixed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = Counter()
+    for r in mixing.copies(work.keep(docs.selectExpr("cast(doc_id as long) doc_id", "source", "cast(coalesce(size(split(text, ' ')), 0) as long) size").replace(-1, 0, "size"), "s"), work).collect():
+        want[r["doc_id"], r["source"], r["size"] if r["size"] > 0 else 0] += r["copies"] * r["n_same"]
+    assert got == +want
+
+
 # Packing
 
 def plain_best_fit(sizes, sources, clusters, capacity):
