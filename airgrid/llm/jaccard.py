@@ -4,7 +4,8 @@ If two sets are similar enough, then under any one order of all tokens their pre
 n - ceil(t * n) + 1 tokens of n) share a token. Candidates come from the order that puts tokens of many documents
 last; a pair must then also share prefix tokens under ORDERS further orders, which are pseudo-random, before its
 sets are compared. All of this is exact: the orders only decide how many pairs are looked at. As tokens of many documents
-stand last, what a token's documents make of pairs stays within a fixed multiple of their number.
+stand last, what a token's documents make of pairs stays within a fixed multiple of their number. Tokens are counted, and
+brought together, in blocks; nearly all of them are of one document alone and end there.
 
 Large groups are not expanded into their pairs. Documents with equal sets are one class, and only its smallest id goes
 on. Of the documents that share a prefix token, each is first compared with a leader, and so are those that share one of a
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from airgrid.llm.blocks import block_ddl, dealt, from_blocks, to_blocks
 from airgrid.llm.common import fresh, perhaps_in, steps, to_batch
 from airgrid.llm.components import components
 from airgrid.session import Workspace
@@ -35,9 +37,14 @@ KEYS, SMALLEST = 6, 2
 WORDS = 16
 #: Bytes whose words are hashed together; bytes of texts that are compared together.
 PIECE, COMPARED = 1 << 20, 1 << 19
+#: Postings of a token whose pairs are looked at where they meet.
+LISTED = 16
 #: A leader's partners are dealt over tasks by so many of their shingles.
 PARTNERS = 1 << 15
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a word that is hashed by eight bytes at a time; the first bytes of eight.
+SHORT = 64
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def _mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -69,19 +76,31 @@ def _power_table(n: int) -> np.ndarray:
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of lower-cased `data` begin, and a 64-bit hash of each: a polynomial of its bytes, then mixed
-    with its length. All words at once, in column operations."""
+    """Where the words of lower-cased `data` begin, and a 64-bit hash of each: a polynomial of its bytes, taken eight at a
+    time in words of up to SHORT bytes, then mixed with its length. All words at once, in column operations."""
     raw = np.frombuffer(data, np.uint8)
-    inside = ~_SPACE[raw]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    inside = np.zeros(len(raw) + 2, bool)
+    np.logical_not(_SPACE[raw], out=inside[1:-1])
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, lengths = edges[::2], edges[1::2] - edges[::2]
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
-    first = np.cumsum(lengths) - lengths  # of each word among all words' bytes
-    place = np.arange(first[-1] + lengths[-1], dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
-    terms = _power_table(int(lengths.max()))[place]
-    terms *= raw[inside]
-    return starts, _mixed(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    eights = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    hashes = eights[starts] & _FIRST_BYTES[np.minimum(lengths, 8)]
+    at = 8
+    rest = np.flatnonzero(lengths > at)
+    while len(rest) and at < SHORT:
+        hashes[rest] = _mixed(hashes[rest]) + (eights[starts[rest] + at] & _FIRST_BYTES[np.minimum(lengths[rest] - at, 8)])
+        at += 8
+        rest = rest[lengths[rest] > at]
+    if len(rest):
+        first = np.cumsum(lengths[rest]) - lengths[rest]  # of each long word among all long words' bytes
+        place = np.arange(first[-1] + lengths[rest[-1]]) - np.repeat(first, lengths[rest])
+        terms = _power_table(int(lengths[rest].max()))[place]
+        terms *= raw[place + np.repeat(starts[rest], lengths[rest])]
+        hashes[rest] = np.add.reduceat(terms, first)
+    return starts, _mixed(_mixed(hashes, 1) + lengths.astype(np.uint64))
 
 
 def _pieces(data: bytes):
@@ -138,29 +157,44 @@ def n_prefix(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def counted(token: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens, sorted, and the sum of each one's counts `n`."""
+    if not len(token):
+        return token, n
+    order = np.argsort(token)
+    token, n = token[order], n[order]
+    begins = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1])
+    return token[begins], np.add.reduceat(n, begins)
+
+
 def frequent_tokens(docs: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of many documents with their counts, FREQUENT at most, in order of token.
 
     Without counts, a prefix would be a set's first hashes. Frequent ones of these are what makes many candidates, so all
     documents' first hashes are counted, half as many again as a prefix has: put last, they make room for the next ones."""
 
-    def run(batches):
+    def first(batches):
         for batch in steps(batches, "text"):
-            found = shingle_sets(batch.column("text").to_pylist(), size)
-            first = [x[: math.ceil(REACH * n_prefix(len(x), percent))] for x in found if len(x)]
-            yield to_batch({"token": np.concatenate([*first, np.zeros(0, np.uint64)]).view(np.int64)}, pa.schema([("token", pa.int64())]))
-
-    found = (
-        docs.select("text").mapInArrow(run, "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > FEW)
-        .orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    )
+            sets = shingle_sets(batch.column("text").to_pylist(), size)
+            tokens = np.concatenate([x[: math.ceil(REACH * n_prefix(len(x), percent))] for x in sets])
+            yield tokens, np.ones(len(tokens), np.int32)
+
+    def many(batches):
+        schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
+        for pieces in from_blocks(batches, [np.uint64, np.int32]):
+            token, n = (np.concatenate(c) for c in zip(*pieces, strict=True))
+            token, n = counted(token, n.astype(np.int64))
+            yield to_batch({"token": token[n > FEW].view(np.int64), "n": n[n > FEW]}, schema)
+
+    blocks = docs.select("text").mapInArrow(lambda batches: to_blocks(first(batches), counted), block_ddl(2))
+    found = dealt(blocks).mapInArrow(many, "token long, n long").orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
     token, n = found["token"].to_numpy().view(np.uint64), found["n"].to_numpy()
     order = np.argsort(token)
     return token[order], n[order]
 
 
 SETS = pa.schema([
-    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.list_(pa.int64())), ("orders", pa.binary()),
+    ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n", pa.int64()), ("sig", pa.binary()), ("prefix", pa.binary()), ("orders", pa.binary()),
     ("bits", pa.list_(pa.int64())), ("wide", pa.binary()), ("keys", pa.list_(pa.int64())),
 ])
 
@@ -188,6 +222,19 @@ def bitmap(tokens: np.ndarray, words: int = WORDS) -> np.ndarray:
     return np.packbits(counts & 1 == 1, bitorder="little").view(np.int64)
 
 
+def bitmaps(sets: list[np.ndarray]) -> list[np.ndarray | None]:
+    """The bitmap of each set, None for an empty one; a few hundred sets at once."""
+    out = []
+    for begin in range(0, len(sets), 256):
+        some = sets[begin : begin + 256]
+        place = (np.concatenate(some) >> np.uint64(32)).astype(np.int64) & (64 * WORDS - 1)
+        place += np.repeat(np.arange(len(some)) * (64 * WORDS), [len(x) for x in some])
+        odd = np.bincount(place, minlength=64 * WORDS * len(some)) & 1 == 1
+        bits = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(some), WORDS)
+        out += [b if len(x) else None for x, b in zip(some, bits, strict=True)]
+    return out
+
+
 def wide_bitmap(tokens: np.ndarray) -> bytes | None:
     """A bitmap of a bit for each token and more, for sets that turn most bits of WORDS words."""
     words = 1 << max(0, math.ceil(len(tokens) / 64) - 1).bit_length()
@@ -210,11 +257,20 @@ def _differ_little(a: dict[str, Column], b: dict[str, Column], percent: int) ->
     return apart * (100 + percent) <= (a["n"] + b["n"]) * (100 - percent)
 
 
-def order_prefixes(tokens: np.ndarray, percent: int) -> bytes:
-    """The prefixes under the further orders, one after the other: 16 bits of each token, so that equal tokens stay
-    equal. Prefixes that meet by their bits alone are one more pair to compare, never a pair lost."""
-    p = n_prefix(len(tokens), percent)
-    return b"".join((np.partition(_mixed(tokens, k + 1), p - 1)[:p] & np.uint64(0xFFFF)).astype(np.uint16).tobytes() for k in range(ORDERS))
+def order_prefixes(sets: list[np.ndarray], percent: int) -> list[bytes | None]:
+    """Each set's prefixes under the further orders, one after the other: 16 bits of each token, so that equal tokens stay
+    equal. Prefixes that meet by their bits alone are one more pair to compare, never a pair lost. None for an empty set."""
+    tokens = np.concatenate([*sets, np.zeros(0, np.uint64)])
+    ends = np.cumsum([len(x) for x in sets])
+    found = [[] for _ in sets]
+    for k in range(ORDERS):
+        mixed = _mixed(tokens, k + 1)
+        for parts, x, end in zip(found, sets, ends, strict=True):
+            if len(x):
+                p, own = n_prefix(len(x), percent), mixed[end - len(x) : end]
+                own.partition(p - 1)
+                parts.append(own[:p].astype(np.uint16))  # the lower bits
+    return [b"".join(x.tobytes() for x in parts) if parts else None for parts in found]
 
 
 def orders_meet(a: bytes, b: bytes) -> bool:
@@ -223,6 +279,22 @@ def orders_meet(a: bytes, b: bytes) -> bool:
     return all(np.isin(x[k], y[k]).any() for k in range(ORDERS))
 
 
+def first_prefixes(sets: list[np.ndarray], token: np.ndarray, n: np.ndarray, percent: int) -> list[np.ndarray]:
+    """The prefix of each set in the first order: by the counts `n` of frequent tokens (sorted), others 0, then by hash."""
+    sizes = [n_prefix(len(x), percent) if len(x) else 0 for x in sets]
+    out = [x[:p] for x, p in zip(sets, sizes, strict=True)]
+    if not len(token) or not any(sizes):
+        return out
+    heads = np.concatenate(out)
+    hit = token[np.minimum(np.searchsorted(token, heads), len(token) - 1)] == heads
+    of = np.repeat(np.arange(len(sets)), sizes)
+    for k in np.unique(of[hit]).tolist():  # the others' first tokens by hash are all of count 0
+        found = sets[k]
+        at = np.minimum(np.searchsorted(token, found), len(token) - 1)
+        out[k] = found[np.argsort(np.where(token[at] == found, n[at], 0), kind="stable")[: sizes[k]]]
+    return out
+
+
 def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int, carried: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, n_words, n (set size), sig (equal for equal sets; null for the empty set), prefix (first order), orders, bits, wide, keys,
     and the columns `carried`."""
@@ -233,27 +305,18 @@ def signed_sets(docs: DataFrame, work: Workspace, size: int, percent: int, carri
     def run(batches):
         token, n = sent.value
         for batch in steps(batches, "text"):
-            rows = {"doc_id": batch.column("doc_id"), "n_words": [], "n": [], "sig": [], "prefix": [], "orders": [], "bits": [], "wide": []}
+            rows = {"doc_id": batch.column("doc_id"), "n_words": [], "n": [], "sig": [], "wide": []}
             sets = shingle_sets(batch.column("text").to_pylist(), size, rows["n_words"])
-            rows["keys"] = keys_of(sets)
+            rows |= {"keys": keys_of(sets), "orders": order_prefixes(sets, percent), "bits": bitmaps(sets)}
+            rows["prefix"] = [x.tobytes() for x in first_prefixes(sets, token, n, percent)]
             for found in sets:
                 rows["n"].append(len(found))
                 rows["sig"].append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
-                rows["orders"].append(order_prefixes(found, percent) if len(found) else None)
-                rows["bits"].append(bitmap(found) if len(found) else None)
                 rows["wide"].append(wide_bitmap(found))
-                first = found[:0]
-                if len(found):
-                    count = np.zeros(len(found), np.int64)
-                    if len(token):
-                        at = np.minimum(np.searchsorted(token, found), len(token) - 1)
-                        count = np.where(token[at] == found, n[at], 0)
-                    first = found[np.argsort(count, kind="stable")[: n_prefix(len(found), percent)]]
-                rows["prefix"].append(first.view(np.int64))
             schema = pa.schema([*SETS, *map(batch.schema.field, carried)])
             yield to_batch(rows | {c: batch.column(c) for c in carried}, schema)
 
-    kinds = "doc_id long, n_words long, n long, sig binary, prefix array<long>, orders binary, bits array<long>, wide binary, keys array<long>"
+    kinds = "doc_id long, n_words long, n long, sig binary, prefix binary, orders binary, bits array<long>, wide binary, keys array<long>"
     return docs.mapInArrow(run, ", ".join([kinds, *(f"`{c}` {kind}" for c, kind in docs.select(*carried).dtypes)]))
 
 
@@ -286,8 +349,9 @@ def _meeting(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 ], pa.bool_())
                 yield part.select(["a", "b", "n"]).filter(met)
 
-    left = classes.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("orders").alias("va"), F.col("bits").alias("ba"), F.col("wide").alias("wa"))
-    right = classes.select(F.col("doc").alias("b"), "n", F.col("orders").alias("vb"), F.col("bits").alias("bb"), F.col("wide").alias("wb"))
+    leading, others = (perhaps_in(classes, "doc", pairs.select(side).distinct()) for side in "ab")
+    left = leading.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("orders").alias("va"), F.col("bits").alias("ba"), F.col("wide").alias("wa"))
+    right = others.select(F.col("doc").alias("b"), "n", F.col("orders").alias("vb"), F.col("bits").alias("bb"), F.col("wide").alias("wb"))
     near = _differ_little({"n": F.col("na"), "bits": F.col("ba")}, {"n": F.col("n"), "bits": F.col("bb")}, percent)
     found = pairs.join(left, "a").join(right, "b").where(near).select("a", "b", "na", "n", "wa", "wb", "va", "vb").mapInArrow(run, "a long, b long, n long")
     return found.groupBy("a", "b").agg(F.max("n").alias("n"))
@@ -341,6 +405,121 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared)
 
 
+SHARED = pa.schema([
+    ("token", pa.int64()), ("doc", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("lead_pos", pa.int32()), ("leader", pa.int64()), ("lead_n", pa.int32()),
+    ("first", pa.bool_()),
+])
+_POSTING = [np.uint64, np.int64, np.int32, np.int32]
+
+
+def _by_token(token, doc, n, pos):
+    order = np.argsort(token)
+    return token[order], doc[order], n[order], pos[order]
+
+
+def _repeated(token, *columns):
+    """The rows whose token another row has too."""
+    order = np.argsort(token)
+    same = token[order[1:]] == token[order[:-1]]
+    order = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
+    return [c[order] for c in (token, *columns)]
+
+
+def _leaders(token, m, pos, doc, n):
+    """Of each token, in order: how many postings (sum of `m`), and the least pos, then doc, with its n."""
+    order = np.lexsort((doc, pos, token))
+    token, m, pos, doc, n = token[order], m[order], pos[order], doc[order], n[order]
+    begins = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1])
+    return token[begins], np.add.reduceat(m, begins), pos[begins], doc[begins], n[begins]
+
+
+def _near_any(token, n, pos, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each posting, sorted by token, whether _near, and whether _near_first, allows a pair of it and any other one of its
+    token. True for all of a token with more than LISTED postings, as its pairs are not listed here."""
+    near, first = (np.zeros(len(token), bool) for _ in range(2))
+    if len(token) > LISTED:
+        at = np.flatnonzero(token[LISTED:] == token[:-LISTED])
+        for k in range(LISTED + 1):
+            near[at + k] = first[at + k] = True
+    x = np.arange(len(token))
+    n, pos = n.astype(np.int64), pos.astype(np.int64)
+    for k in range(1, LISTED):
+        x = x[x + k < len(token)]
+        x = x[token[x] == token[x + k]]
+        y = x + k
+        tail, both = np.minimum(n[x] - pos[x], n[y] - pos[y]), n[x] + n[y]
+        sized = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        for found, most in ((near, tail + np.minimum(pos[x], pos[y])), (first, tail)):
+            may = sized & (100 * most >= percent * (both - most))
+            found[x[may]] = found[y[may]] = True
+    return near, first
+
+
+def led_postings(pieces: list, percent: int):
+    """For each piece of postings (token, doc, n, pos), all of their tokens' together, the rows of SHARED."""
+    near = [(np.ones(len(p[0]), bool),) * 2 for p in pieces]
+    if len(pieces) == 1:
+        pieces = [_repeated(*pieces[0])]
+        near = [_near_any(*(pieces[0][k] for k in (0, 2, 3)), percent)]
+    # A token of very many documents may fill several pieces; only its leader is held beside them.
+    led = [_leaders(t, np.ones(len(t), np.int64), pos, doc, n) for t, doc, n, pos in pieces if len(t)]
+    led = _leaders(*(np.concatenate(c) for c in zip(*led, strict=True))) if led else None
+    if led is None or not (led[1] > 1).any():
+        return
+    tokens, _, lead_pos, leader, lead_n = (c[led[1] > 1] for c in led)
+    for (t, doc, n, pos), (any_near, first) in zip(pieces, near, strict=True):
+        at = np.minimum(np.searchsorted(tokens, t), len(tokens) - 1)
+        kept = (tokens[at] == t) & any_near
+        at = at[kept]
+        yield {
+            "token": t[kept].view(np.int64), "doc": doc[kept], "n": n[kept], "pos": pos[kept],
+            "lead_pos": lead_pos[at], "leader": leader[at], "lead_n": lead_n[at], "first": first[kept],
+        }
+
+
+def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
+    """token, doc, n, pos and lead_pos, leader, lead_n: postings of tokens that several documents of `classes` have in their
+    prefix, each with its token's leader, the document that has fewest rarer tokens. Of copies that were changed in places,
+    this is the one they were made of. `first`: the token may be the first one that it shares with a similar set.
+
+    The tokens that one document alone has, nearly all, never become rows, nor do postings that sizes and places
+    leave no partner."""
+
+    def postings(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            prefixes = [np.frombuffer(x, np.uint64) for x in batch.column("prefix").to_pylist()]
+            sizes = np.array([len(x) for x in prefixes])
+            doc, n = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("doc", "n"))
+            pos = np.arange(sizes.sum(), dtype=np.int32) - np.repeat(np.cumsum(sizes) - sizes, sizes).astype(np.int32)
+            yield np.concatenate(prefixes), doc, n, pos
+
+    def met(batches):
+        for pieces in from_blocks(batches, _POSTING):
+            for rows in led_postings(pieces, percent):
+                yield to_batch(rows, SHARED)
+
+    sets = classes.select("doc", F.col("n").cast("int").alias("n"), "prefix")
+    blocks = sets.mapInArrow(lambda batches: to_blocks(postings(batches), _by_token), block_ddl(4))
+    return dealt(blocks).mapInArrow(met, "token long, doc long, n int, pos int, lead_pos int, leader long, lead_n int, first boolean")
+
+
+def _one_each(signed: DataFrame, work: Workspace) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows of `signed` with an id and words, one for each set, under the smallest id that has it (doc), and the stages that
+    they are read from besides. Only sets that several rows may have are grouped and written; the others stay where they are."""
+    columns = ("n", "prefix", "orders", "bits", "wide", "keys")
+    rows = signed.where("doc_id is not null and sig is not null")
+    place = fresh(signed, "place")
+    copies = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.xxhash64("sig").alias("h"))
+    copies = work.keep(copies, "copies")
+    marked = rows.withColumn(place, F.xxhash64("sig"))
+    again = perhaps_in(marked, place, copies).groupBy("sig").agg(F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in columns])
+    again = work.keep(again, "again")
+    once = perhaps_in(marked, place, copies, inside=False).select("sig", F.col("doc_id").alias("doc"), *columns)
+    return once.unionByName(again), [copies, again]
+
+
 def _to_leader(led: DataFrame, percent: int) -> DataFrame:
     """b, a: each document of `led` (token, doc, n, pos, leader, lead_n, lead_pos) with the one of its tokens' leaders that it
     has most prefix tokens in common with, of those that sizes and places allow."""
@@ -355,9 +534,40 @@ def _to_leader(led: DataFrame, percent: int) -> DataFrame:
 
 def _to_key_leader(classes: DataFrame) -> DataFrame:
     """b, a: each document with the first one of those that it shares a key with."""
-    keyed = classes.select("doc", F.explode("keys").alias("key"))
-    leaders = keyed.groupBy("key").agg(F.min("doc").alias("leader"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    return keyed.join(leaders, "key").where("doc <> leader").select(F.col("leader").alias("a"), F.col("doc").alias("b"))
+
+    def keyed(batches):
+        for batch in batches:
+            found = batch.column("keys")
+            sizes = np.diff(found.offsets.to_numpy())
+            yield found.flatten().to_numpy().view(np.uint64), np.repeat(batch.column("doc").to_numpy(), sizes)
+
+    def met(batches):
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for pieces in from_blocks(batches, [np.uint64, np.int64]):
+            if len(pieces) == 1:
+                pieces = [_repeated(*pieces[0])]
+            first = _first_documents(*(np.concatenate(c) for c in zip(*map(lambda p: _first_documents(*p), pieces), strict=True)))
+            for key, doc in pieces:
+                leader = first[1][np.searchsorted(first[0], key)]
+                other = leader != doc
+                yield to_batch({"a": leader[other], "b": doc[other]}, schema)
+
+    def sort(key, doc):
+        order = np.argsort(key)
+        return key[order], doc[order]
+
+    blocks = classes.select("doc", "keys").mapInArrow(lambda batches: to_blocks(keyed(batches), sort), block_ddl(2))
+    return dealt(blocks).mapInArrow(met, "a long, b long")
+
+
+def _first_documents(key, doc):
+    """The distinct keys, sorted, and the least document of each."""
+    if not len(key):
+        return key, doc
+    order = np.argsort(key)
+    key, doc = key[order], doc[order]
+    begins = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+    return key[begins], np.minimum.reduceat(doc, begins)
 
 
 def _apart(postings: DataFrame, known: DataFrame, work: Workspace) -> DataFrame:
@@ -392,29 +602,20 @@ def link_documents(docs: DataFrame, work: Workspace, size: int = 4, percent: int
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
     docs = rows.select("doc_id", "text")
     signed = work.keep(signed_sets(rows, work, size, percent, carried), "signed")
-    classes = signed.where("doc_id is not null and sig is not null").groupBy("sig").agg(
-        F.min("doc_id").alias("doc"), *[F.first(c).alias(c) for c in ("n", "prefix", "orders", "bits", "wide", "keys")],
-    )
-    classes = work.keep(classes, "classes")
+    classes, read = _one_each(signed, work)
     members = work.keep(signed.select("doc_id", "n_words", "n", "sig", *carried), "members")
-    work.drop(signed)  # the prefixes of copies
     known_ids = members.where("doc_id is not null and sig is not null")
     several = work.keep(known_ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "several")
 
-    # Postings of tokens that several documents have in their prefix. A token's leader is the document that has fewest rarer
-    # tokens: of copies that were changed in places, the one they were made of.
-    postings = classes.select("doc", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "token"))
-    leaders = postings.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("pos", "doc", "n")).alias("lead"))
-    shared = postings.join(leaders.where("m > 1").select("token", "lead"), "token")
-    shared = work.keep(shared.select("token", "doc", "n", "pos", "lead.*").toDF("token", "doc", "n", "pos", "lead_pos", "leader", "lead_n"), "postings")
+    shared = work.keep(shared_postings(classes, percent), "postings")
     slim = work.keep(classes.select("sig", "doc", "n", "orders", "bits", "wide"), "documents")
     first = work.keep(_to_leader(shared, percent).unionByName(_to_key_leader(classes)).distinct(), "first-pairs")
-    work.drop(classes)
+    work.drop(signed, *read)
 
     links = verified(first, slim, docs, several, work, size, percent)
     work.drop(first)
     known = components(links, work)
-    apart = _apart(shared.select("token", "doc", "n", "pos"), known, work)
+    apart = _apart(shared.where("first").select("token", "doc", "n", "pos"), known, work)
     work.drop(shared, links)
 
     # A document of several texts has no one bitmap, and in one of a long text any two sets differ in half of the bits, which

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from airgrid.llm import attribution, jaccard, language, mixing, packing, planes, quality, queries
+from airgrid.llm import attribution, blocks, jaccard, language, mixing, packing, planes, quality, queries
 from airgrid.llm.common import held_out
 from airgrid.llm.components import components
 from airgrid.llm.pieces import _KIND, _LOWER, PIECES, PieceEncoder, parts, word_begins
@@ -315,6 +315,106 @@ def test_links_added_to_known_components(spark, work):
     assert jaccard._joined(components(none, work), more.limit(1), work).count() == 2
 
 
+def test_tokens_that_one_document_alone_has_are_no_rows_of_a_shuffle(spark, work):
+    """400 documents of about 300 shingles; near copies in pairs. Only blocks go between tasks, never a row a token."""
+    texts = [(i, " ".join(f"d{i // 2}w{k if k != i % 2 * 7 else 900}" for k in range(300))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    written, keep = {}, work.keep
+
+    def kept(df, name, *rest):
+        found = keep(df, name, *rest)
+        written[name] = written.get(name, 0) + found.count()
+        return found
+
+    work.keep = kept
+    got = jaccard.link_documents(docs, work, 5, 80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {i: i // 2 * 2 for i in range(400)}
+    assert 200 <= written["postings"] <= 400 * jaccard.n_prefix(296, 80)
+    signed = jaccard.signed_sets(docs, work, 5, 80).withColumn("doc", F.col("doc_id"))
+    plan = jaccard.shared_postings(signed, 80)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SortMergeJoin" not in plan and "Generate" not in plan
+
+
+def test_blocks_bring_equal_hashes_together(monkeypatch):
+    monkeypatch.setattr(blocks, "ROWS", 500)
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 2**64, 3000, np.uint64)
+    hashes[1000:2200] = hashes[0]  # more than a piece
+    doc = np.arange(3000)
+    parts = [(hashes[k : k + 70], doc[k : k + 70]) for k in range(0, 3000, 70)]
+    sort = lambda *c: [x[np.argsort(c[0], kind="stable")] for x in c]
+    sent = pa.Table.from_batches(list(blocks.to_blocks(iter(parts), sort))).sort_by("bucket")
+    assert sent.num_rows < 3000 and len(set(sent["bucket"].to_pylist())) > 500
+    lists = list(blocks.from_blocks(sent.to_batches(max_chunksize=100), [np.uint64, np.int64]))
+    assert any(len(p) > 1 for p in lists) and sum(len(p) == 1 for p in lists) > 1
+    got = [np.concatenate([p[0] for p in pieces]) for pieces in lists]
+    assert len({h for x in got for h in set(x.tolist())}) == sum(len(set(x.tolist())) for x in got) == 1800
+    assert sorted((h, d) for p in lists for x in p for h, d in zip(*map(np.ndarray.tolist, x))) == sorted(zip(hashes.tolist(), doc.tolist()))
+    assert list(blocks.from_blocks([], [np.uint64])) == [] and list(blocks.to_blocks(iter([(hashes[:0],)]), sort)) == []
+
+
+def test_postings_meet_their_leader_in_one_piece_or_several():
+    """Against all postings of a token; what is left out has no partner that sizes and places allow."""
+    rng, seen = random.Random(1), Counter()
+    for turn in range(60):
+        m = rng.randint(1, 300)
+        token = np.array([rng.randint(0, 60 if turn % 2 else 5) for _ in range(m)], np.uint64)
+        n = np.array([rng.randint(5, 60) for _ in range(m)], np.int32)
+        pos, doc = (n * rng.random() / 5).astype(np.int32), np.array(rng.sample(range(1000), m))
+        columns, expected, whole = (token, doc, n, pos), {}, {}
+        for i in range(m):
+            same = np.flatnonzero(token == token[i])
+            lead = min((int(pos[k]), int(doc[k]), int(n[k])) for k in same)
+
+            def may(k, both_sides, i=i):
+                a, b, tail = int(n[i]), int(n[k]), int(min(n[i] - pos[i], n[k] - pos[k]))
+                most = tail + (int(min(pos[i], pos[k])) if both_sides else 0)
+                return 100 * most >= 80 * (a + b - most) and 100 * min(a, b) >= 80 * max(a, b)
+
+            near, first = (len(same) > jaccard.LISTED or any(may(k, x) for k in same if k != i) for x in (True, False))
+            row = (int(token[i]), int(doc[i]), int(n[i]), int(pos[i]), lead[0], lead[1], lead[2])
+            if len(same) > 1:
+                whole[row] = True
+                if near:
+                    expected[row] = first
+            seen[near, first] += 1
+        rows = lambda pieces: {r[:-1]: r[-1] for x in jaccard.led_postings(pieces, 80) for r in zip(*(c.tolist() for c in x.values()))}
+        assert rows([columns]) == expected
+        if m > 2:
+            assert rows([[c[: m // 2] for c in columns], [c[m // 2 :] for c in columns]]) == whole
+    assert all(seen[x] for x in ((True, True), (True, False), (False, False)))
+
+
+def test_words_have_one_hash_wherever_they_stand():
+    rng, seen = random.Random(1), {}
+    words = ["a" * k for k in range(1, 140)] + ["a\x00", "a\x00\x00", "日本語", "日本語" * 30]
+    words = sorted({*words, *("".join(rng.choice("abc") for _ in range(rng.randint(1, 90))) for _ in range(2000))})
+    for turn in range(30):
+        some = rng.sample(words, 500)
+        data = (" " * (turn % 3) + "\n ".join(some) + " " * (turn % 2)).encode()
+        starts, hashes = jaccard.word_hashes(data)
+        assert [data[a : a + len(w.encode())].decode() for a, w in zip(starts, some, strict=True)] == some
+        assert all(seen.setdefault(w, h) == h for w, h in zip(some, hashes.tolist()))
+    assert len(set(seen.values())) == len(seen) and not len(jaccard.word_hashes(b" \n")[1])
+
+
+def test_sets_of_a_batch_have_the_bitmaps_and_prefixes_of_each_alone():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 2**64, int(n), np.uint64)) for n in rng.integers(0, 90, 600)]
+    for x, bits, orders in zip(sets, jaccard.bitmaps(sets), jaccard.order_prefixes(sets, 80), strict=True):
+        assert bits is None and orders is None if not len(x) else (bits == jaccard.bitmap(x)).all()
+        if len(x):
+            p = jaccard.n_prefix(len(x), 80)
+            for k, found in enumerate(np.frombuffer(orders, np.uint16).reshape(jaccard.ORDERS, -1)):
+                assert sorted(found.tolist()) == sorted((np.sort(jaccard._mixed(x, k + 1))[:p] & np.uint64(0xFFFF)).tolist())
+    some = np.sort(np.concatenate([x[:1] for x in sets[:300]] + [x[-1:] for x in sets[:9]]))
+    n = rng.integers(5, 9, len(some))
+    counts = dict(zip(some.tolist(), n.tolist(), strict=True))
+    for x, prefix in zip(sets, jaccard.first_prefixes(sets, some, n, 80), strict=True):
+        expected = sorted(x.tolist(), key=lambda t: (counts.get(t, 0), t))[: jaccard.n_prefix(len(x), 80)]
+        assert prefix.tolist() == expected
+
+
 def test_keys_are_equal_for_equal_sets_and_mostly_for_similar_ones():
     rng = np.random.default_rng(4)
     sets = [np.sort(rng.integers(0, 2**63, 400).astype(np.uint64)) for _ in range(60)]
