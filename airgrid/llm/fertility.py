@@ -17,6 +17,7 @@ band: the script's is taken, and without one too, the measure rejects nothing. A
 """
 
 import base64
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from airgrid.llm.common import fresh, steps, to_batch
 from airgrid.session import Workspace
 
 #: Words learnt in one go, and how many words and characters an encoder remembers at most before it starts anew.
-LEARNT, REMEMBERED, REMEMBERED_CHARS = 4096, 150_000, 3_000_000
+LEARNT, REMEMBERED, REMEMBERED_CHARS = 4096, 500_000, 10_000_000
 #: Texts of a cell that make a band; width of the fences in quartile ranges.
 LEAST, FENCE = 200, 6.0
 #: Per measure: bins per unit, the least quartile range taken, and whether small values are rejected too.
@@ -49,9 +50,10 @@ RANGES = [
     (0x10A0, 0x10FF, "Georgian"), (0x1100, 0x11FF, "Hangul"), (0x1E00, 0x1EFF, "Latin"), (0x1F00, 0x1FFF, "Greek"),
     (0x3041, 0x30FF, "Kana"), (0x3400, 0x4DBF, "Han"), (0x4E00, 0x9FFF, "Han"), (0xAC00, 0xD7A3, "Hangul"),
 ]
-_BEGINS = np.array([r[0] for r in RANGES], np.uint32)
-_ENDS = np.array([r[1] for r in RANGES], np.uint32)
-_KINDS = np.array([SCRIPTS.index(r[2]) for r in RANGES])
+#: The script of each code point below 0x10000; len(SCRIPTS) for no letter. No range reaches further, nor to the last one.
+_SCRIPT = np.full(1 << 16, len(SCRIPTS), np.uint8)
+for _begin, _end, _name in RANGES:
+    _SCRIPT[_begin : _end + 1] = SCRIPTS.index(_name)
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -72,6 +74,8 @@ class Vocabularies:
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+        self.widths = np.zeros(max(table.values()) + 1, np.int64)  # of each token, in bytes
+        self.widths[list(table.values())] = list(map(len, table))
         self.size = self.pieces.get_piece_size()
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.size)])
         self._forget()
@@ -83,28 +87,52 @@ class Vocabularies:
         self.first = np.zeros(1, np.int64)
         self.n_bytes = np.zeros(0, np.int32)
 
+    def _byte_tokens(self, words: list[str]) -> np.ndarray:
+        """How many byte-level tokens each word has with a blank before it.
+
+        Words are encoded in one go: the pattern puts a blank to what follows it, and ends no match behind it, unless white
+        space is beside it, which printable words don't have. So no token reaches over a word's edge."""
+        joined = " " + " ".join(words)
+        if not joined.isprintable():
+            found = np.zeros(len(words), np.int32)
+            plain = [i for i, w in enumerate(words) if w.isprintable()]
+            if plain:
+                found[plain] = self._byte_tokens([words[i] for i in plain])
+            for i, w in enumerate(words):
+                if not w.isprintable():
+                    found[i] = len(self.bytes.encode_ordinary(" " + w))
+            return found
+        ends = np.cumsum(self.widths[self.bytes.encode_to_numpy(joined)])
+        blanks = np.flatnonzero(np.frombuffer(joined.encode(), np.uint8) == 32)
+        return np.diff(np.searchsorted(ends, [*blanks, ends[-1]], "right")).astype(np.int32)
+
     def _learn(self, words: list[str]) -> None:
         ids, ends, n_bytes = [self.ids], [self.first], [self.n_bytes]
         at = self.first[-1]
         for begin in range(0, len(words), LEARNT):
             some = words[begin : begin + LEARNT]
-            found = self.pieces.encode(some)
-            ids.append(np.fromiter((i for x in found for i in x), self.ids.dtype))
-            ends.append(at + np.cumsum([len(x) for x in found]))
+            found = self.pieces.encode(some, num_threads=1)
+            ids.append(np.fromiter(chain.from_iterable(found), self.ids.dtype))
+            ends.append(at + np.cumsum(list(map(len, found))))
             at = ends[-1][-1]
-            n_bytes.append(np.array([len(self.bytes.encode_ordinary(" " + w)) for w in some], np.int32))
+            n_bytes.append(self._byte_tokens(some))
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.chars += sum(map(len, words))
         self.ids, self.first, self.n_bytes = np.concatenate(ids), np.concatenate(ends), np.concatenate(n_bytes)
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """The places of distinct `words` among those remembered; all of them are remembered until the next call."""
-        new = [w for w in words if w not in self.known]
+        found = list(map(self.known.get, words))
+        new = [i for i, k in enumerate(found) if k is None]
         if new and (len(self.known) + len(new) > REMEMBERED or self.chars > REMEMBERED_CHARS):
             self._forget()
-            new = words
-        self._learn(new) if new else None
-        return np.fromiter((self.known[w] for w in words), np.int64, len(words))
+            new = range(len(words))
+        begin = len(self.known)
+        if new:
+            self._learn([words[i] for i in new])
+        for k, i in enumerate(new, begin):
+            found[i] = k
+        return np.array(found, np.int64)
 
 
 _loaded: dict[tuple, Vocabularies] = {}
@@ -142,13 +170,14 @@ def repeated_lines(text: str) -> int:
 def _scripts(data: bytes, ends: np.ndarray) -> np.ndarray:
     """Per text, which script most of its letters are in (the first of equals; -1: no letters)."""
     points = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
-    at = np.searchsorted(_BEGINS, points, "right") - 1
-    letter = (at >= 0) & (points <= _ENDS[at])
+    kinds = _SCRIPT[np.minimum(points, len(_SCRIPT) - 1)]
     raw = np.frombuffer(data, np.uint8)
-    edges = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[ends]  # code points before each text's end
-    text = np.searchsorted(edges, np.flatnonzero(letter), "right")
-    counts = np.bincount(text * len(SCRIPTS) + _KINDS[at[letter]], minlength=len(ends) * len(SCRIPTS))
-    counts = counts.reshape(len(ends), -1)
+    lead = (raw & 0xC0) != 0x80
+    lengths = np.add.reduceat(lead, np.concatenate([[0], ends[:-1]]), dtype=np.int64)  # code points of each text and its blank
+    begins = np.cumsum(lengths) - lengths
+    counts = np.zeros((len(ends), len(SCRIPTS)), np.int64)
+    for k in np.flatnonzero(np.bincount(kinds, minlength=len(SCRIPTS))[: len(SCRIPTS)]):
+        counts[:, k] = np.add.reduceat(kinds == k, begins, dtype=np.int64)
     return np.where(counts.any(1), counts.argmax(1), -1)
 
 
@@ -165,9 +194,9 @@ def measured_texts(texts: list[str | None], known: Vocabularies) -> dict[str, li
     begins, lengths = edges[::2], edges[1::2] - edges[::2]
     text_of = np.searchsorted(ends, begins, "right")
     n_words = np.bincount(text_of, minlength=n)
-    where = np.searchsorted(ends, np.flatnonzero(inside & ((raw & 0xC0) != 0x80)), "right")
-    word_chars = np.bincount(where, minlength=n)
-    n_symbols = np.bincount(np.searchsorted(ends, np.flatnonzero(_SYMBOL[raw]), "right"), minlength=n)
+    text_begins = np.concatenate([[0], ends[:-1]])  # with its blank, each text has a byte at least
+    word_chars = np.add.reduceat(inside & ((raw & 0xC0) != 0x80), text_begins, dtype=np.int64)
+    n_symbols = np.add.reduceat(_SYMBOL[raw], text_begins, dtype=np.int64)
 
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
     words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(raw[inside].tobytes()))

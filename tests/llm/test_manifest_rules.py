@@ -77,6 +77,33 @@ def test_an_encoder_remembers_a_bounded_number_of_words():
         assert len(known.known) <= fertility.REMEMBERED and len(known.ids) == known.first[-1]
 
 
+def test_words_are_encoded_together_and_once(monkeypatch):
+    """Also where white space other than blanks, marks or quotes stand in a word or at its edges."""
+    odd = ["b\u3000c", "\u3000", "x\u3000", "\u2009y", "c\x85", "\x85", "d\xa0\xa0", "e\x1c\x1d", "'s", "it's", "'tis", "x's'S", "\xad", "a\u200bb", "\ufeff", "\U0001f600x", "\x00", "a\u2028b"]
+    words = list(dict.fromkeys([*odd, *(w for r in rows() for w in WORD.findall(r[1] or "")), *(f"w{i:x}" for i in range(60_000))]))
+    known = fertility.Vocabularies(*VOCABULARIES)
+    expected = [len(known.bytes.encode_ordinary(" " + w)) for w in words]
+    calls, whole = [], tiktoken.Encoding.encode_ordinary
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(text) or whole(self, text))
+    places = known.numbers(words)
+    assert known.n_bytes[places].tolist() == expected and set(calls) <= {" " + w for w in words if not w.isprintable()}
+    for i in range(60_000, 150_000, 30_000):
+        known.numbers([f"w{k:x}" for k in range(i, i + 30_000)])
+    learnt, before = [], known._learn
+    monkeypatch.setattr(known, "_learn", lambda new: learnt.extend(new) or before(new))
+    assert (known.numbers([*words, "new word"]) == [*places, len(known.known) - 1]).all() and learnt == ["new word"]
+
+
+def test_an_encoder_starts_anew_beyond_its_bound(monkeypatch):
+    monkeypatch.setattr(fertility, "REMEMBERED", 1000)
+    known = fertility.Vocabularies(*VOCABULARIES)
+    for k in range(0, 5000, 400):
+        words = [f"q{i:x}" for i in range(k, k + 500)]
+        places = known.numbers(words)
+        assert len(known.known) <= 1000 and len(known.ids) == known.first[-1] and len(known.n_bytes) == len(known.known)
+        assert known.ids[known.first[places[7]] : known.first[places[7] + 1]].tolist() == known.pieces.encode(words[7])
+
+
 def test_scripts():
     texts = ["abc где", "где абв a", "日本 漢字", "ひらがな", "한국어", "12 -- ?", "", "αβγ abc", "éàü × ÷"]
     found = fertility.measured_texts(texts, fertility.Vocabularies(*VOCABULARIES))["script"]
