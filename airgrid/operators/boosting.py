@@ -30,8 +30,12 @@ from airgrid.session import Workspace
 LOWEST = -1.7976931348623157e308
 #: Replica fold that leaves no row out.
 ALL_ROWS = -1
-#: Bytes of sums that a task holds before it hands them on.
-HELD = 64 << 20
+#: Bytes of sums that a task holds before it hands them on, and that it hands on at once.
+HELD, HANDED = 64 << 20, 4 << 20
+#: Bytes of a chunk's predictions.
+CHUNK_BYTES = 2 << 20
+#: Bytes of a tree's leaves up to which they go to every task, instead of the chunks going where the leaves are.
+LEAVES_SENT = 32 << 20
 #: With more tasks than this, sums are first added up in shares.
 SHARED_BEYOND = 16
 
@@ -143,8 +147,9 @@ CHUNK = "cnlname string, day_type string, n long, bins binary, labels binary, fo
 
 
 def chunks(train: DataFrame, cuts: DataFrame, settings: BoostingSettings, bases: dict[tuple, list[float]]) -> DataFrame:
-    """Rows of about one Arrow batch and one segment together: bins (n, features), labels, folds, and what each replica
-    predicts so far (replicas, n), at first the mean label it may see."""
+    """Rows of one segment together, those of an Arrow batch or fewer, so that their predictions have a bounded size: bins
+    (n, features), labels, folds, and what each replica predicts so far (replicas, n), at first the mean label it may see."""
+    most = max(1, CHUNK_BYTES // (8 * len(settings.replicas)))
     binned = join_per_segment(train, cuts).select(
         *SEGMENT, F.col(config.LABEL).cast("double").alias("label"), F.col("cv_fold").cast("int").alias("fold"),
         *[
@@ -157,9 +162,11 @@ def chunks(train: DataFrame, cuts: DataFrame, settings: BoostingSettings, bases:
         for batch in batches:
             columns = [batch.column(f"bin_{k}").to_numpy() for k in range(len(config.FEATURES))]
             bins, labels, folds = np.stack(columns, 1).astype(np.uint8), batch.column("label").to_numpy(), batch.column("fold").to_numpy()
-            for segment, where in _index(batch):
-                start = np.repeat(np.array(bases[segment])[:, None], len(where), 1)
-                yield _chunk(segment, bins[where], labels[where], folds[where].astype(np.int16), start, None)
+            for segment, places in _index(batch):
+                for k in range(0, len(places), most):
+                    where = places[k : k + most]
+                    start = np.repeat(np.array(bases[segment])[:, None], len(where), 1)
+                    yield _chunk(segment, bins[where], labels[where], folds[where].astype(np.int16), start, None)
 
     return binned.mapInArrow(run, CHUNK)
 
@@ -225,12 +232,17 @@ def _level(state: DataFrame, settings: BoostingSettings, splits: dict, active: l
         held, size = {}, 0
 
         def report():
-            rows = list(held.items())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([s[0] for (s, _), _ in rows]), pa.array([s[1] for (s, _), _ in rows]), pa.array([r for (_, r), _ in rows], pa.int32()),
-                 pa.array([share] * len(rows), pa.int32()), pa.array([x.tobytes() for _, x in rows], pa.binary())],
-                names=[c.split()[0] for c in SUMS.split(", ")],
-            )
+            """All that is held, in batches of bounded bytes, given up on the way."""
+            while held:
+                rows, bytes_ = [], 0
+                while held and bytes_ < HANDED:
+                    rows.append(held.popitem())
+                    bytes_ += rows[-1][1].nbytes
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([s[0] for (s, _), _ in rows]), pa.array([s[1] for (s, _), _ in rows]), pa.array([r for (_, r), _ in rows], pa.int32()),
+                     pa.array([share] * len(rows), pa.int32()), pa.array([x.tobytes() for _, x in rows], pa.binary())],
+                    names=[c.split()[0] for c in SUMS.split(", ")],
+                )
 
         for segment, (binned, labels, folds, predicted), _ in _opened(batches):
             if segment not in splits:
@@ -250,10 +262,9 @@ def _level(state: DataFrame, settings: BoostingSettings, splits: dict, active: l
                     held[segment, r] = found
                     size += found.nbytes
             if size > HELD:
-                yield report()
-                held, size = {}, 0
-        if held:
-            yield report()
+                yield from report()
+                size = 0
+        yield from report()
 
     def summed(table: pa.Table) -> np.ndarray:
         table = table.sort_by("share")
@@ -290,6 +301,9 @@ def _updated(state: DataFrame, settings: BoostingSettings, splits: dict, leaves:
     may not see."""
     replicas = settings.replicas
     per_segment = leaves.groupBy(*SEGMENT).agg(F.collect_list(F.struct("replica", "leaves")).alias("grown"))
+    # The chunks are the whole sample many times over, and a segment's would all go to one task.
+    if len(splits) * sum(8 << depth for depth, _ in replicas) <= LEAVES_SENT:
+        per_segment = F.broadcast(per_segment)
 
     def run(batches):
         for segment, (bins, labels, folds, predicted), (batch, i) in _opened(batches):
@@ -342,7 +356,9 @@ class _Growth:
             if ends:
                 chosen = work.keep(chosen, "level")
                 ended.append(chosen.where("ends is not null").select(*SEGMENT, F.col("ends").alias("replica"), "leaves"))
-            for r in chosen.drop("leaves").collect():
+            with work.running():
+                found = chosen.drop("leaves").collect()
+            for r in found:
                 segment = r["cnlname"], r["day_type"]
                 if r["error"]:
                     self.errors.setdefault(segment, r["error"])
@@ -423,16 +439,17 @@ def fit_boosted(
     usable = [s for s in usable if s not in errors]
     models = spark.createDataFrame([], MODELS)
     if usable:
-        listed = spark.createDataFrame(usable, "cnlname string, day_type string")
+        # Spark takes a list from the driver for a table of any size, and would send all rows to their segment's task.
+        listed = F.broadcast(spark.createDataFrame(usable, "cnlname string, day_type string"))
         rows = join_per_segment(train, listed)
         cuts = work.keep(borders(rows, settings.bins), "borders")
-        state = work.keep(chunks(rows, cuts, settings, bases), "chunks")
+        state = work.keep(chunks(rows, cuts, settings, bases), "chunks", long_rows=True)
         growth, scores = _Growth(settings, usable), {}
         for tree in range(1, max(settings.iterations) + 1):
             leaves, splits = growth.grow(state, work, first=tree == 1)
             if not splits:
                 break
-            before, state = state, work.keep(_updated(state, settings, splits, leaves), "chunks")
+            before, state = state, work.keep(_updated(state, settings, splits, leaves), "chunks", long_rows=True)
             work.drop(before)
             if settings.several and tree in settings.iterations:
                 for s, by_replica in _unseen_errors(state).items():

@@ -46,6 +46,9 @@ def shared_folder(spark: SparkSession) -> str:
 #: garbage, and hands rows of long texts to Python in batches of bounded bytes.
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", _BATCH_BYTES: "4m"}
+#: How stages of long rows (megabytes each) are written: a page holds a row, a row group a few. By default Parquet looks at
+#: a page's size only after a hundred rows, compresses them at once, and a reader takes up to 4,096 rows of a group together.
+_LONG_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.row.count.limit": "4", "parquet.enable.dictionary": "false"}
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -72,14 +75,15 @@ class Workspace:
         self._written += 1
         return f"{self.root}/{self._written:03d}-{name}"
 
-    def keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, partition_by: list[str] | None = None, long_rows: bool = False) -> DataFrame:
         """Write `df` and return it as read back.
 
         With `partition_by`, rows are first rebalanced on those columns: one value's rows end up in
-        few files, and a value holding a large share of the rows is split over several tasks.
+        few files, and a value holding a large share of the rows is split over several tasks. With
+        `long_rows`, no more than a few rows are held at once, neither here nor when they are read.
         """
         with self.running():
-            return self._keep_at(self.path(name), df, partition_by)
+            return self._keep_at(self.path(name), df, partition_by, _LONG_ROWS if long_rows else {})
 
     def keep_all(self, stages: dict[str, DataFrame]) -> list[DataFrame]:
         """Write stages that do not depend on each other side by side, so one's tail leaves no idle cores."""
@@ -101,11 +105,11 @@ class Workspace:
             for key, value in before.items():
                 self.spark.conf.unset(key) if value is None else self.spark.conf.set(key, value)
 
-    def _keep_at(self, path: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    def _keep_at(self, path: str, df: DataFrame, partition_by: list[str] | None = None, options: dict[str, str] = {}) -> DataFrame:
         if partition_by:
-            df.hint("rebalance", *[F.col(c) for c in partition_by]).write.partitionBy(*partition_by).parquet(path)
+            df.hint("rebalance", *[F.col(c) for c in partition_by]).write.options(**options).partitionBy(*partition_by).parquet(path)
         else:
-            df.write.parquet(path)
+            df.write.options(**options).parquet(path)
         stage = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
         self._paths[id(stage)] = stage, path  # with the stage itself, so that its number stays its own
         return stage

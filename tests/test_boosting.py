@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,6 +155,61 @@ def test_chunks_within_one_fold_change_nothing(spark, work):
     assert len(found[0]) == 8 and found[0] == pytest.approx(found[1])
 
 
+def test_chunks_are_held_a_few_at_a_time(spark, work, monkeypatch):
+    """Neither a Parquet page or row group nor what goes to Python at once grows with the rows of a task, however well they
+    compress, and a chunk not with the rows of an Arrow batch."""
+    train, settings = spark.createDataFrame(learnable_rows(["a"], n=600), LAYOUT).coalesce(1), boosting.BoostingSettings(iterations=[1, 2], depths=[1, 2])
+    whole = boosting.fit_boosted(train, [("a", "weekdays")], work, settings).grid.collect()
+    files, limits, keep, collect = [], [], Workspace.keep, type(train).collect
+
+    def watched(self, df, name, *args, **kwargs):
+        stage = keep(self, df, name, *args, **kwargs)
+        if name == "chunks":
+            files.extend(pq.ParquetFile(f.removeprefix("file:")) for f in stage.inputFiles())
+        return stage
+
+    monkeypatch.setattr(Workspace, "keep", watched)
+    monkeypatch.setattr(type(train), "collect", lambda df: limits.append((df.columns, spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None))) or collect(df))
+    monkeypatch.setattr(boosting, "CHUNK_BYTES", 8 * len(settings.replicas) * 20, raising=False)
+    fitted = boosting.fit_boosted(train, [("a", "weekdays")], work, settings)
+    groups = [f.metadata.row_group(k) for f in files for k in range(f.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 3 * 30 and max(g.num_rows for g in groups) <= 4
+    assert sum(x for f in files for g in range(f.num_row_groups) for x in f.read_row_group(g, ["n"])["n"].to_pylist()) == 3 * 600
+    assert max(x for f in files for x in f.read(["n"])["n"].to_pylist()) == 20
+    levels = [limit for columns, limit in limits if "border" in columns]
+    assert len(levels) == 4 and set(levels) == {"4m"}
+    assert {tuple(r)[:4]: r.r2 for r in fitted.grid.collect()} == pytest.approx({tuple(r)[:4]: r.r2 for r in whole})
+
+
+def test_a_task_hands_on_its_sums_in_pieces(spark, work, monkeypatch):
+    train, settings, found = spark.createDataFrame(learnable_rows(["a", "b"], n=90), LAYOUT), boosting.BoostingSettings(iterations=[1, 2], depths=[2, 3]), []
+    for handed in (1 << 22, 1):
+        monkeypatch.setattr(boosting, "HANDED", handed)
+        fitted = boosting.fit_boosted(train, [("a", "weekdays"), ("b", "weekdays")], work, settings)
+        found.append({tuple(r)[:4]: r.r2 for r in fitted.grid.collect()})
+    assert len(found[0]) == 8 and found[0] == pytest.approx(found[1])
+
+
+def test_rows_stay_where_they_are(spark, work, monkeypatch):
+    """Rows and chunks meet what belongs to their segment in their own tasks, even where Spark itself broadcasts nothing:
+    dealt by segment, a segment's would all go to one task. The borders are a written stage, joined by its size."""
+    train, settings = work.keep(spark.createDataFrame(learnable_rows(["a", "b"], n=60), LAYOUT), "rows"), boosting.BoostingSettings(iterations=[1, 2], depths=[1, 2])
+    plans, keep = [], Workspace.keep
+
+    def watched(self, df, name, *args, **kwargs):
+        if name == "chunks":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(self, df, name, *args, **kwargs)
+
+    monkeypatch.setattr(Workspace, "keep", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        boosting.fit_boosted(train, [("a", "weekdays"), ("b", "weekdays")], work, settings)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [p.count("SortMergeJoin") for p in plans] == [1, 0, 0]
+
+
 def test_an_unusable_segment_does_not_stop_the_others(spark, work):
     rows = learnable_rows(["good", "huge", "null", "nan"], n=30)
     spoiled = {"huge": (10, 1e200), "null": (3, None), "nan": (10, math.nan)}
