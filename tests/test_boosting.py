@@ -181,6 +181,28 @@ def test_chunks_are_held_a_few_at_a_time(spark, work, monkeypatch):
     assert {tuple(r)[:4]: r.r2 for r in fitted.grid.collect()} == pytest.approx({tuple(r)[:4]: r.r2 for r in whole})
 
 
+def test_a_forecast_holds_chunks_a_few_at_a_time(spark, work, sf_dir, monkeypatch):
+    """The whole run, with as many chunks as tables 360 times as large have."""
+    groups, keep = [], Workspace.keep
+
+    def watched(self, df, name, *args, **kwargs):
+        stage = keep(self, df, name, *args, **kwargs)
+        if name == "chunks":
+            files = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in stage.inputFiles()]
+            groups.append([m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)])
+        return stage
+
+    monkeypatch.setattr(Workspace, "keep", watched)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        settings = boosting.BoostingSettings(iterations=[1], depths=[1, 2], cv_folds=2)
+        run = forecast.run_forecast(event_blocks(spark, sf_dir), EVENT_CALENDAR, work, ["click", "view"], [], boosting_settings=settings)
+        assert run.forecast.where("Pred_GBT is not null").count() == run.forecast.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(groups) == 2 and all(sum(g) > 40 and max(g) <= 4 for g in groups)
+
+
 def test_a_task_hands_on_its_sums_in_pieces(spark, work, monkeypatch):
     train, settings, found = spark.createDataFrame(learnable_rows(["a", "b"], n=90), LAYOUT), boosting.BoostingSettings(iterations=[1, 2], depths=[2, 3]), []
     for handed in (1 << 22, 1):
